@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import linededup, mixing, quality
+from . import linededup, mixing, packing, quality, tokenfile
 from .common import documents
 
 
@@ -22,8 +22,18 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(spark, documents(spark, sf_dir).select("doc_id", "source", "text"))
 
 
+def op4_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfile.token_table(spark, documents(spark, sf_dir).select("doc_id", "text"))
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(spark, documents(spark, sf_dir).select("doc_id", "text"))
+
+
 QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op6_mixing": op6_mixing,
+    "op4_token_file": op4_token_file,
     "op8_quality_rules": op8_quality_rules,
+    "op10_packing": op10_packing,
 }
