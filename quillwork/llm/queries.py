@@ -5,15 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import linededup, mixing, packing, quality, tokenfile
+from . import htmltext, langid, linededup, mixing, packing, quality, tokenfile
 from .common import documents
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = langid.train(spark, docs.where(~langid.held_out(F.col("doc_id"))).select("doc_id", "text", "lang"))
+    out = langid.identify(spark, docs.select("doc_id", "text"), model)
+    return out.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = linededup.dedup_lines(spark, documents(spark, sf_dir).select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(spark, documents(spark, sf_dir).select("doc_id", "source", "text")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -31,9 +42,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op2_line_dedup": op2_line_dedup,
-    "op6_mixing": op6_mixing,
     "op4_token_file": op4_token_file,
+    "op5_html_text": op5_html_text,
+    "op6_mixing": op6_mixing,
     "op8_quality_rules": op8_quality_rules,
     "op10_packing": op10_packing,
 }
