@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import htmltext, langid, linededup, mixing, packing, quality, tokenfile
+from . import cws, htmltext, langid, linededup, mixing, packing, quality, setsketch, tokenfile
 from .common import documents
 
 
@@ -29,6 +29,10 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(spark, documents(spark, sf_dir).select("doc_id", "source", "text")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setsketch.near_duplicates(spark, documents(spark, sf_dir).select("doc_id", "text"), k=3, percent=85)
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(spark, documents(spark, sf_dir).select("doc_id", "source", "text"))
 
@@ -37,6 +41,10 @@ def op4_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.token_table(spark, documents(spark, sf_dir).select("doc_id", "text"))
 
 
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cws.edited_pairs(spark, documents(spark, sf_dir).select("doc_id", "text"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(spark, documents(spark, sf_dir).select("doc_id", "text"))
 
@@ -47,6 +55,8 @@ QUERIES = {
     "op4_token_file": op4_token_file,
     "op5_html_text": op5_html_text,
     "op6_mixing": op6_mixing,
+    "op7_near_dedup": op7_near_dedup,
     "op8_quality_rules": op8_quality_rules,
+    "op9_fingerprints": op9_fingerprints,
     "op10_packing": op10_packing,
 }
