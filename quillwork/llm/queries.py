@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cws, htmltext, langid, linededup, mixing, packing, quality, setsketch, tokenfile
+from . import cws, htmltext, langid, linededup, mixing, packing, quality, setsketch, suffixdedup, tokenfile
 from .common import documents
 
 
@@ -37,6 +37,11 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(spark, documents(spark, sf_dir).select("doc_id", "source", "text"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffixdedup.dedup_suffixes(spark, documents(spark, sf_dir).select("doc_id", "text"), length=400)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.token_table(spark, documents(spark, sf_dir).select("doc_id", "text"))
 
@@ -52,6 +57,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_line_dedup": op2_line_dedup,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_token_file": op4_token_file,
     "op5_html_text": op5_html_text,
     "op6_mixing": op6_mixing,
