@@ -1,20 +1,58 @@
-"""A training-data pipeline over documents: stages are written and read again one after another."""
+"""A training-data pipeline over documents: language identification, line deduplication, near-duplicate removal, mixing
+to target weights, packing. Each stage takes what its predecessor kept and is written before the next one reads it."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from quillwork.llm import langid, linededup, mixing, packing, setsketch
 from quillwork.llm.common import Scratch, documents
 
+#: Language identification trains a model and packing runs a tokenizer; SQL has neither.
 ORACLE_SQL = None
 
 
-STAGES: list = []
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without letters go, and those for which no language is more likely than all others together."""
+    model = langid.train(spark, docs.select("doc_id", "text", "lang"))
+    found = langid.identify(spark, docs, model)
+    return found.where((F.col("lang_pred") != langid.UND) & (F.col("score") >= 0.5)).select(*docs.columns)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines of 40 characters or more that five documents share stay in the last of them only."""
+    cut = linededup.dedup_lines(spark, docs)
+    return cut.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays: five-word shingles, similarity 0.8."""
+    found = setsketch.near_duplicates(spark, docs.select("doc_id", "text"), k=5, percent=80)
+    ids = found.groupBy("doc_id").agg(F.max("kept").alias("__kept"), F.count(F.lit(1)).alias("__n")).where("__kept")
+    ids = ids.select(F.col("doc_id").alias("__id"), "__n")
+    both = docs.join(ids.hint("shuffle_hash"), F.col("doc_id").cast("long").eqNullSafe(F.col("__id")))
+    one, more = both.where("__n = 1"), both.where("__n > 1").dropDuplicates(["doc_id"])
+    return one.unionByName(more).select(*docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it."""
+    return mixing.apply_mix(spark, docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of token sequences."""
+    return packing.pack_documents(spark, docs)
+
+
+STAGES = [("language_id", language_id), ("line_dedup", line_dedup), ("near_dedup", near_dedup), ("mixing", mix_sources), ("packing", pack)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
-    scratch = Scratch(spark, "pipeline")
+    docs, scratch = documents(spark, sf_dir), Scratch(spark, "pipeline")
     for k, (name, stage) in enumerate(STAGES):
         docs = scratch.put(f"{k}-{name}", stage(spark, docs, sf_dir))
+        if k:
+            scratch.drop(f"{k - 1}-{STAGES[k - 1][0]}")
     return docs
