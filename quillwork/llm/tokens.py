@@ -1,8 +1,10 @@
-"""Encoding of texts with a public tokenizer file, by way of its distinct pre-tokens.
+"""Encoding of texts with a public tokenizer file, by way of their distinct words.
 
-A byte-level BPE codes each pre-token by itself. So the library codes every distinct pre-token once and a text's ids
-are the joined ids of its pre-tokens. Texts with characters outside SAFE, where two Unicode tables might differ, go to
-the library whole. Ids are kept as little-endian unsigned 32-bit bytes.
+A byte-level BPE first splits a text into pre-tokens, and no pre-token reaches over a single space or line feed between
+other characters: a space begins the next one, a line feed is one by itself. So a text's ids are the joined ids of its
+lines' parts at spaces. Parts are kept once coded; a new part is split into pre-tokens, which are kept as well, and the
+library's model codes each new pre-token. Texts with runs of white space or white space of other kinds, and parts with
+characters outside SAFE, go to the library whole. Ids are kept as little-endian unsigned 32-bit bytes.
 """
 
 from __future__ import annotations
@@ -10,16 +12,22 @@ from __future__ import annotations
 import functools
 import json
 import os
+import re
 from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 
-#: The published pattern of byte-level BPE pre-tokens.
-PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
-UNSAFE = regex.compile(r"[^\t\n\r\x20-\x7e\xa0-ɏ‐-‧‰-⁞]")
+#: White space other than space and line feed.
+OTHER_SPACE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028\u2029\u202f\u205f\u3000\ufeff]")
+#: Characters of whose class (letter, digit, other) there is no doubt.
+SAFE = re.compile("[!-~À-ÖØ-öø-ɏ]+")
+#: The published pattern of byte-level BPE pre-tokens, for SAFE characters after one space at most.
+PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?[0-9]+| ?(?:[^\w\s]|_)+")
+#: The published rule that gives each byte a printable character.
+_PLAIN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_CHARS = {b: chr(b) for b in _PLAIN} | {b: chr(256 + i) for i, b in enumerate(sorted(set(range(256)) - set(_PLAIN)))}
 #: Appended to each document: id 0.
 END = (0).to_bytes(4, "little")
 
@@ -36,53 +44,78 @@ def default_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+class Pieces(dict):
+    """Ids of pre-tokens, by the library's model."""
+
+    def __init__(self, model):
+        self.tokenize = model.tokenize
+
+    def __missing__(self, piece: str) -> bytes:
+        chars = "".join(map(BYTE_CHARS.__getitem__, piece.encode()))
+        out = self[piece] = array("I", [t.id for t in self.tokenize(chars)]).tobytes()
+        return out
+
+
+class Parts(dict):
+    """Ids of the parts of a line: those at its start, or those after a space."""
+
+    def __init__(self, before: str, pieces: Pieces, whole):
+        self.before, self.pieces, self.whole = before, pieces, whole
+
+    def __missing__(self, part: str) -> bytes:
+        text = self.before + part
+        if not SAFE.fullmatch(part):
+            out = self.whole(text) if part else b""
+        elif part.isalpha():
+            out = self.pieces[text]
+        else:
+            out = b"".join(map(self.pieces.__getitem__, PIECES.findall(text)))
+        self[part] = out
+        return out
+
+
 class Encoder:
-    def __init__(self, model: str, most: int = 800_000):
+    def __init__(self, model: str, most: int = 500_000):
+        """most: parts kept, and as many pre-tokens."""
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_str(model)
         self.library.encode_special_tokens = True  # their strings in a text are ordinary text
-        pre = json.loads(model).get("pre_tokenizer") or {}
-        self.by_piece = pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and json.loads(model).get("normalizer") is None
-        self.most, self.known = most, {}
+        kind = json.loads(model)
+        pre = kind.get("pre_tokenizer") or {}
+        self.feed = self.whole("\n")
+        self.by_part = pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and kind.get("normalizer") is None and len(self.feed) == 4
+        self.most = most
+        own = self.library.model
+        own._resize_cache(0)
+        self.pieces = Pieces(own)
+        self.first, self.later = Parts("", self.pieces, self.whole), Parts(" ", self.pieces, self.whole)
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4").tobytes()
 
     def encode(self, text: str | None) -> bytes:
-        """Ids of text without the end id."""
-        return self.encode_many([text])[0]
-
-    def encode_many(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text. New pre-tokens of all texts are coded in one call."""
-        known, out, late = self.known, [b""] * len(texts), []
-        if len(known) > self.most:
-            known.clear()
-        for i, text in enumerate(texts):
-            if not text:
-                continue
-            if not self.by_piece or UNSAFE.search(text):
-                out[i] = self.whole(text)
-                continue
-            pieces = PIECES.findall(text)
-            try:
-                out[i] = b"".join(map(known.__getitem__, pieces))
-            except KeyError:
-                late.append((i, pieces))
-        new = list(set().union(*(set(p).difference(known) for _, p in late)))
-        for p, e in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            known[p] = array("I", e.ids).tobytes()
-        for i, pieces in late:
-            out[i] = b"".join(map(known.__getitem__, pieces))
-        return out
+        """Ids of text, without the end id."""
+        if not text:
+            return b""
+        if not self.by_part or "  " in text or "\n\n" in text or "\n " in text or " \n" in text or text[0] == " " or text[-1] == " " or OTHER_SPACE.search(text):
+            return self.whole(text)
+        for known, most in ((self.later, self.most), (self.first, self.most), (self.pieces, self.most)):
+            if len(known) > most:
+                known.clear()
+        first, later, out = self.first, self.later.__getitem__, []
+        for line in text.split("\n"):
+            head, *rest = line.split(" ")
+            out.append(first[head] + b"".join(map(later, rest)))
+        return self.feed.join(out)
 
 
 def encoded(batch: pa.RecordBatch, enc: Encoder, step: int = 64) -> Iterator[tuple[int | None, bytes]]:
-    """doc_id and ids with the end id for each row of a batch (doc_id, text), a few rows at a time."""
+    """doc_id and ids with the end id for each row of a batch (doc_id, text)."""
     for at in range(0, batch.num_rows, step):
         rows = batch.slice(at, step)
-        for doc, ids in zip(rows.column(0).to_pylist(), enc.encode_many(rows.column(1).to_pylist()), strict=True):
-            yield doc, ids + END
+        for doc, text in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True):
+            yield doc, enc.encode(text) + END
 
 
 @functools.lru_cache(maxsize=2)
