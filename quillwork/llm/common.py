@@ -35,9 +35,9 @@ class Scratch:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def put(self, name: str, df: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
-        """Writes df, which runs it once, and returns the table. by: partition columns."""
-        out = df.write.mode("overwrite").option("compression", "zstd")
+    def put(self, name: str, df: DataFrame, by: tuple[str, ...] = (), codec: str = "snappy") -> DataFrame:
+        """Writes df, which runs it once, and returns the table. by: partition columns. codec: "none" suits hashes."""
+        out = df.write.mode("overwrite").option("compression", codec)
         (out.partitionBy(*by) if by else out).parquet(self.path(name))
         return self.get(name, df)
 

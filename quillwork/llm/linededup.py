@@ -44,16 +44,18 @@ class LineStore:
     """Levelled sorted runs of (h1, h2, n_docs, last_doc). In each table, partition known=false is the run, with keys that
     no other run has; partition known=true logs the batch's repeats of keys that older runs have."""
 
-    def __init__(self, spark: SparkSession, fan_out: int = 3):
+    def __init__(self, spark: SparkSession, n_lines: int, fan_out: int = 3, per_bucket: int = 500_000):
+        """n_lines: lines to come, for the number of buckets."""
         self.spark, self.fan_out = spark, fan_out
         self.levels: list[list[str]] = []
-        self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.buckets = min(20_000, max(1, n_lines // per_bucket))
         self.tag, self.count = uuid.uuid4().hex[:12], 0
 
     def _save(self, df: DataFrame) -> str:
         self.count += 1
         name = f"quillwork_lines_{self.tag}_{self.count}"
-        out = df.repartition(self.buckets, *KEY).sortWithinPartitions("known", *KEY).write.format("parquet").option("compression", "zstd")
+        bucket = F.pmod(F.hash(*KEY), F.lit(self.buckets))  # as bucketBy has it: a bucket is one task's and one file
+        out = df.repartition(self.buckets, bucket).sortWithinPartitions("known", *KEY).write.format("parquet").option("compression", "none")
         out.partitionBy("known").bucketBy(self.buckets, *KEY).sortBy(*KEY).saveAsTable(name)
         return name
 
@@ -98,8 +100,8 @@ class LineStore:
 def repeated_lines(spark: SparkSession, docs: DataFrame, min_chars: int = 40, min_docs: int = 5, n_batches: int = 4, fan_out: int = 3) -> DataFrame:
     """Per document text (doc, th) the sorted positions of lines to drop: those whose key is in min_docs documents or more, but for the last document that holds it."""
     scratch = Scratch(spark, "lines")
-    lines = scratch.put("lines", keyed_lines(docs, min_chars, n_batches), by=("batch",))
-    store = LineStore(spark, fan_out)
+    lines = scratch.put("lines", keyed_lines(docs, min_chars, n_batches), by=("batch",), codec="none")
+    store = LineStore(spark, lines.count(), fan_out)
     for b in range(n_batches):
         store.add(lines.where(F.col("batch") == b))
     common = store.totals().where(F.col("n_docs") >= min_docs).select(*KEY, "last_doc")
