@@ -77,41 +77,53 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when((F.size(a) == 0) & (F.size(b) == 0), 1.0).when((F.size(a) == 0) | (F.size(b) == 0), 0.0).otherwise(same / float(SAMPLES))
 
 
+#: Ranges of ids at most; their first documents' ids are broadcast (16 bytes each).
+MAX_CELLS = 500_000
+
+
 def with_next(docs: DataFrame, rows_per_cell: int = 2000) -> DataFrame:
-    """doc_id, text, rid, next_rid, next_text: each document with its follower in descending doc_id order, the first
-    after the last. Ranges of ids are sorted apart; a range's last document gets the first of the next range that has any."""
+    """doc_id, text, cell, rn, next_cell, next_rn, next_text: each document with its follower in descending doc_id order,
+    the first after the last. Ranges of ids are sorted apart; a range's last document gets the first of the next range
+    that has any. The result stays partitioned by cell."""
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     n, lo, hi = docs.agg(F.count(F.lit(1)), F.min("doc_id"), F.max("doc_id")).first()
-    width = 1 if lo is None else max(1, -(-(hi - lo + 1) * rows_per_cell // n))
+    width = 1 if lo is None else max(1, -(-(hi - lo + 1) // min(MAX_CELLS, -(-n // rows_per_cell))))
     cell = F.when(F.col("doc_id").isNull(), F.lit(NO_ID)).otherwise(F.expr(f"doc_id div {width}L"))
-    order = Window.partitionBy("cell").orderBy(F.col("doc_id").desc_nulls_last(), F.xxhash64("text"), "text")
-    own = base.withColumn("cell", cell).select("*", F.row_number().over(order).alias("rn"), F.lead("text").over(order).alias("next_text"))
-    own = own.withColumn("rid", F.struct("cell", "rn"))
-    inner = own.where("next_text is not null").select("doc_id", "text", "rid", F.struct("cell", (F.col("rn") + 1).alias("rn")).alias("next_rid"), "next_text")
-    heads = own.where("rn = 1").select(F.col("cell").alias("next_cell"), F.col("text").alias("next_text"))
+    base = base.withColumn("cell", cell)
+    order = [F.col("doc_id").desc_nulls_last(), F.xxhash64("text"), F.col("text")]
+    by = Window.partitionBy("cell").orderBy(*order)
     # one row per range
-    ring = base.select(cell.alias("cell")).distinct()
+    tops = docs.select(F.col("doc_id").cast("long").alias("doc_id")).groupBy(cell.alias("cell")).agg(F.max("doc_id").alias("top"))
     down = Window.orderBy(F.desc("cell"))
-    ring = ring.select("cell", F.coalesce(F.lead("cell").over(down), F.max("cell").over(Window.partitionBy())).alias("next_cell"))
-    last = own.where("next_text is null").drop("next_text").join(ring, "cell").join(heads, "next_cell")
-    last = last.select("doc_id", "text", "rid", F.struct(F.col("next_cell").alias("cell"), F.lit(1).alias("rn")).alias("next_rid"), "next_text")
-    return inner.unionByName(last)
+    tops = tops.withColumn("up", F.coalesce(F.lag("cell").over(down), F.min("cell").over(Window.partitionBy())))
+    tops = tops.select(F.col("cell").alias("c"), "top", "up")
+    heads = base.join(F.broadcast(tops), (F.col("cell") == F.col("c")) & F.col("doc_id").eqNullSafe(F.col("top")))
+    heads = heads.groupBy(F.col("up").alias("cell")).agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text", "c")).alias("head"))
+    heads = heads.select("cell", F.col("head.text").alias("head"), F.col("head.c").alias("head_cell"))
+    own = base.select("*", F.row_number().over(by).alias("rn"), F.lead("text").over(by).alias("lead")).join(heads, "cell")
+    last = F.col("lead").isNull()
+    return own.select(
+        "doc_id", "text", "cell", "rn", F.when(last, F.col("head_cell")).otherwise(F.col("cell")).alias("next_cell"),
+        F.when(last, 1).otherwise(F.col("rn") + 1).alias("next_rn"), F.coalesce("lead", "head").alias("next_text"),
+    )
 
 
 def edited_pairs(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next for each document."""
     scratch = Scratch(spark, "cws")
     n = F.char_length("text")
-    half = F.floor(n / 2).cast("int")
-    edited = F.concat(F.expr("left(text, char_length(text) - cast(floor(char_length(text) / 2) as int))"), F.expr("left(next_text, cast(floor(char_length(text) / 2) as int))"))
-    own = with_next(docs).select("doc_id", "rid", "next_rid", n.cast("long").alias("n_chars"), "text", F.when(half > 0, edited).otherwise(F.col("text")).alias("edited"))
-    own = own.select("rid", "next_rid", "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), F.array("text", "edited").alias("sides"))
-    keys = ["rid", "next_rid", "doc_id", "n_chars", "edited_sha256"]
+    half = F.expr("cast(floor(char_length(text) / 2) as int)")
+    edited = F.concat(F.left("text", n - half), F.left("next_text", half))
+    place = ["cell", "rn", "next_cell", "next_rn"]
+    own = with_next(docs).select(*place, "doc_id", n.cast("long").alias("n_chars"), "text", edited.alias("edited"))
+    own = own.select(*place, "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), F.array("text", "edited").alias("sides"))
+    # grouped by cell and more: what a cell's task makes is summed there, without an exchange
+    keys = [*place, "doc_id", "n_chars", "edited_sha256"]
     fps = scratch.put("fps", fingerprints(own, keys), codec="none")
     mine = fps.where("side = 0").select(*keys, "fp")
-    changed = fps.where("side = 1").select("rid", F.col("fp").alias("efp"))
-    following = fps.where("side = 0").select(F.col("rid").alias("next_rid"), F.col("fp").alias("nfp"))
-    out = mine.join(changed, "rid").join(following, "next_rid")
+    changed = fps.where("side = 1").select("cell", "rn", F.col("fp").alias("efp"))
+    following = fps.where("side = 0").select(F.col("cell").alias("next_cell"), F.col("rn").alias("next_rn"), F.col("fp").alias("nfp"))
+    out = mine.join(changed, ["cell", "rn"]).join(following, ["next_cell", "next_rn"])
     return out.select(
         "doc_id", "n_chars", "edited_sha256", as_hex(F.col("fp")).alias("fingerprint"), as_hex(F.col("efp")).alias("edited_fingerprint"),
         likeness(F.col("fp"), F.col("efp")).alias("near_edited"), likeness(F.col("fp"), F.col("nfp")).alias("near_next"),
