@@ -10,9 +10,10 @@ their full sets.
 2. Bands of classes are counted by key with map-side sums; no bucket is gathered. Each member of a bucket is compared
    with two of its members: the first, and the one with most company over all bands (the text that others were made
    from, if it is there). A group of n copies costs n comparisons a band, not n squared.
-3. Links join classes to components. In buckets of three or more that still hold several components, members of
-   different components are compared by their registers, whole; pairs inside a component need no check. So no link
-   between classes that share a bucket is lost.
+3. Links join classes to components. Pairs inside a component need no check. Buckets of three or more that still hold
+   several components form groups by shared members; in each, those outside the largest component are held, in slices
+   of bounded size, and compared on full sets with all others, which stream by. So no link between classes that share a
+   bucket is lost, and only links that join components leave a task.
 The number of bands is such that a pair at the threshold shares no bucket with probability `miss` at most.
 
 Defined cases: null, empty or white text has no set, is linked with nothing and is its own component. Fewer words than a
@@ -23,6 +24,7 @@ empty result.
 from __future__ import annotations
 
 import functools
+import itertools
 import math
 from collections.abc import Iterator
 
@@ -91,7 +93,7 @@ def shingle_sets(texts: list[str | None], k: int) -> list[np.ndarray]:
     return out
 
 
-def batches_of(texts: list[str | None], most: int = 4_000_000) -> Iterator[tuple[int, list[str | None]]]:
+def batches_of(texts: list[str | None], most: int = 500_000) -> Iterator[tuple[int, list[str | None]]]:
     """Portions of texts of bounded size, each with its first index; a very long text is one by itself."""
     at = size = 0
     for i, t in enumerate(texts):
@@ -193,50 +195,103 @@ def _promising(pairs: DataFrame, classes: DataFrame, t: float, m: int) -> DataFr
     return both.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(work, "a long, b long")
 
 
-def _across(members: DataFrame, t: float, m: int, block: int = 512) -> DataFrame:
-    """Promising pairs of different components within each bucket. members: key, cid, comp, n, regs. Members of all
-    components but a bucket's largest are compared with the whole bucket, in blocks."""
-
-    def bucket(cid, comp, n, regs) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        names, counts = np.unique(comp, return_counts=True)
-        small = np.flatnonzero(comp != names[np.argmax(counts)])
-        for at in range(0, len(small), 16):
-            i = small[at : at + 16]
-            for to in range(0, len(cid), block):
-                j = np.arange(to, min(to + block, len(cid)))
-                a, b = np.repeat(i, len(j)), np.tile(j, len(i))
-                ok = (comp[a] != comp[b]) & (np.minimum(n[a], n[b]) >= t * np.maximum(n[a], n[b]) - 1e-9)
-                a, b = a[ok], b[ok]
-                if len(a):
-                    ok = likely(n[a], n[b], regs[a], regs[b], t)
-                    yield np.minimum(cid[a[ok]], cid[b[ok]]), np.maximum(cid[a[ok]], cid[b[ok]])
-
-    def work(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-
-        def out(parts: list[tuple]) -> Iterator[pa.RecordBatch]:
-            cid, comp, n = (np.concatenate([p[c] for p in parts]) for c in range(3))
-            for a, b in bucket(cid, comp, n, np.concatenate([p[3] for p in parts])):
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-
-        last = None
-        for x in tables:
-            if not x.num_rows:
+class Held:
+    """Sets held for comparison, as one sorted list of their elements with owners."""
+
+    def __init__(self, sets: list[np.ndarray], names: list[int]):
+        self.names, self.sizes = np.array(names, np.int64), np.array([len(x) for x in sets], np.int64)
+        whole, owner = np.concatenate([*sets, np.zeros(0, U)]), np.repeat(np.arange(len(sets)), self.sizes)
+        order = np.argsort(whole, kind="stable")
+        self.elements, self.owner, self.sets = whole[order], owner[order], sets
+
+    def linked(self, x: np.ndarray, percent: int) -> np.ndarray:
+        """Which held sets reach the threshold with x."""
+        lo, hi = np.searchsorted(self.elements, x, "left"), np.searchsorted(self.elements, x, "right")
+        n = hi - lo
+        at = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        both = np.bincount(self.owner[at], minlength=len(self.sizes))
+        return np.flatnonzero(100 * both >= percent * (self.sizes + len(x) - both))
+
+    def without(self, gone: set[int]) -> Held:
+        keep = [i for i, c in enumerate(self.names.tolist()) if c not in gone]
+        return Held([self.sets[i] for i in keep], self.names[keep].tolist())
+
+
+def _across(members: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links that join components within each group. members: grp, slice, rank, cid, comp, text; of a slice, rank 0 is
+    held and compared with itself, then with all others as they come: first those outside the largest component (rank
+    1), then those in it (rank 2). What has a link to the largest component needs no further one."""
+
+    def solve(rows: Iterator[tuple[int, int, int, str]]) -> Iterator[tuple[int, int]]:
+        owner: dict[int, int] = {}
+
+        def find(c: int) -> int:
+            while owner.setdefault(c, c) != c:
+                owner[c] = c = owner[owner[c]]
+            return c
+
+        of: dict[int, int] = {}
+        sets, names, held, main, gone = [], [], None, None, set()
+        for rank, cid, comp, text in rows:
+            x = shingle_sets([text], k)[0]
+            if rank == 0:
+                sets.append(x)
+                names.append(cid)
+                of[cid] = comp
                 continue
-            key = x["key"].to_numpy()
-            cols = x["cid"].to_numpy(), x["comp"].to_numpy(), x["n"].to_numpy(), _registers(x["regs"], m)
-            cuts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-            for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(key)], strict=True):
-                if held and key[a] != last:
-                    yield from out(held)
-                    held = []
-                last = key[a]
-                held.append(tuple(c[a:b] for c in cols))
-        if held:
-            yield from out(held)
-
-    # rows of a key arrive together and in order
-    return members.repartition("key").sortWithinPartitions("key").select("key", "cid", "comp", "n", "regs").mapInArrow(work, "a long, b long").distinct()
+            if held is None:
+                held = Held(sets, names)
+                yield from among(held, of, find, owner)
+            if rank == 2 and main is None:
+                main = comp
+            yield from meet(held, x, cid, comp, of, find, owner)
+            if main is not None:
+                gone = {c for c in held.names.tolist() if find(of[c]) == find(main)} if len(held.names) and rank == 2 else gone
+                if 2 * len(gone) > len(held.names):
+                    held, gone = held.without(gone), set()
+        if held is None:
+            yield from among(Held(sets, names), of, find, owner)
+
+    def among(held: Held, of: dict, find, owner: dict) -> Iterator[tuple[int, int]]:
+        for x, cid in zip(held.sets, held.names.tolist(), strict=True):
+            yield from meet(held, x, cid, of[cid], of, find, owner)
+
+    def meet(held: Held, x: np.ndarray, cid: int, comp: int, of: dict, find, owner: dict) -> Iterator[tuple[int, int]]:
+        for i in held.linked(x, percent).tolist() if len(held.names) else ():
+            other = int(held.names[i])
+            a, b = find(comp), find(of[other])
+            if a != b:
+                owner[a] = b
+                yield min(cid, other), max(cid, other)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows() -> Iterator[tuple[tuple[int, int], tuple[int, int, int, str]]]:
+            for x in batches:
+                for g, sl, *rest in zip(*(x[c].to_pylist() for c in ("grp", "slice", "rank", "cid", "comp", "text")), strict=True):
+                    yield (g, sl), tuple(rest)
+
+        for _, group in itertools.groupby(rows(), key=lambda r: r[0]):
+            found = list(solve(r[1] for r in group))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["a", "b"])
+
+    ordered = members.repartition("grp", "slice").sortWithinPartitions("grp", "slice", "rank")
+    return ordered.select("grp", "slice", "rank", "cid", "comp", "text").mapInArrow(work, "a long, b long")
+
+
+def _slices(scratch: Scratch, open_rows: DataFrame, hold: int = 1000) -> DataFrame:
+    """Members of buckets that hold several components, by groups of buckets that share members: grp, slice, rank, cid,
+    comp. Members outside a group's largest component are dealt to slices of about `hold`, each of which sees all."""
+    mixed = open_rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("cid").alias("head")).where("lo <> hi").select("key", "head")
+    rows = scratch.put("mixed", open_rows.join(mixed, "key").select("cid", "comp", "head").distinct(), codec="none")
+    groups = components(scratch, "g", rows.where("cid <> head").select(F.col("cid").alias("a"), F.col("head").alias("b")))
+    own = scratch.put("grouped", rows.select("cid", "comp").distinct().join(groups.withColumnRenamed("comp", "grp"), "cid"), codec="none")
+    sizes = own.groupBy("grp", "comp").agg(F.count(F.lit(1)).alias("n"))
+    largest = sizes.groupBy("grp").agg(F.max(F.struct("n", "comp")).alias("m"), F.sum("n").alias("all"))
+    largest = largest.select("grp", F.col("m.comp").alias("main"), F.ceil((F.col("all") - F.col("m.n")) / F.lit(hold)).cast("int").alias("slices")).where("slices > 0")
+    dealt = own.join(largest, "grp").withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
+    mine = F.pmod(F.xxhash64("cid"), F.col("slices")) == F.col("slice")
+    return dealt.select("grp", "slice", F.when(F.col("comp") == F.col("main"), 2).when(mine, 0).otherwise(1).alias("rank"), "cid", "comp")
 
 
 def _confirm(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
@@ -273,9 +328,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, k: int = 3, percent: i
     pairs = stars.select(F.least("cid", "other").alias("a"), F.greatest("cid", "other").alias("b")).distinct()
     first = scratch.put("first", _promising(pairs, classes, t, m), codec="none")
 
-    def texts(name: str, pairs: DataFrame) -> DataFrame:
-        """Texts of the classes in pairs, the only ones that confirming needs."""
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
+    def texts(name: str, wanted: DataFrame) -> DataFrame:
+        """Texts of the wanted classes (cid)."""
         ids = classes.join(wanted, "cid").select("cid", F.col("rep").alias("doc_id"))
         found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids.hint("shuffle_hash"), "doc_id")
 
@@ -286,14 +340,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, k: int = 3, percent: i
 
         return scratch.put(name, found.select("cid", "text").mapInArrow(own, "cid long, text string").dropDuplicates(["cid"]))
 
-    links = scratch.put("links", _confirm(first, texts("texts", first), k, percent), codec="none")
+    links = scratch.put("links", _confirm(first, texts("texts", first.select(F.explode(F.array("a", "b")).alias("cid")).distinct()), k, percent), codec="none")
     labels = components(scratch, "c1", links)
     open_rows = members.where("size > 2").select("key", "cid").join(labels, "cid", "left").select("key", "cid", F.coalesce("comp", "cid").alias("comp"))
-    mixed = open_rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
-    again = _across(open_rows.join(mixed, "key").join(classes, "cid"), t, m).join(first, ["a", "b"], "left_anti")
-    second = scratch.put("second", again, codec="none")
-    if second.take(1):
-        more = scratch.put("more", _confirm(second, texts("texts2", second), k, percent), codec="none")
+    others = scratch.put("slices", _slices(scratch, open_rows), codec="none")
+    if others.take(1):
+        own = texts("texts2", others.select("cid").distinct())
+        more = scratch.put("more", _across(others.join(own, "cid"), k, percent), codec="none")
         if more.take(1):
             labels = components(scratch, "c2", links.unionByName(more))
     named = classes.join(labels, "cid", "left").select("cid", "rep", F.coalesce("comp", "cid").alias("comp"))
