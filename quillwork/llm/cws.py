@@ -38,34 +38,39 @@ def terms(text: Column) -> Column:
 
 
 def sampled(bags: DataFrame, keys: list[str]) -> DataFrame:
-    """keys, part, s0.. : bags (keys, term, w) to the least packed a of AT_ONCE samples for each part of the samples."""
+    """keys, part, s0.. : bags (keys, term, w) to the least packed a of AT_ONCE samples for each part of the samples.
+    keys holds side and info; info stays with part 0 of side 0 only, to keep the other groups' keys short."""
     parts = bags.withColumn("part", F.explode(F.array(*[F.lit(i) for i in range(SAMPLES // AT_ONCE)])))
+    parts = parts.withColumn("info", F.when((F.col("part") == 0) & (F.col("side") == 0), F.col("info")))
     own = parts.select(*keys, "part", "term", F.ln(F.col("w").cast("double")).alias("lw"), F.xxhash64("term", "part").alias("h"))
     bits = lambda h, shift: (F.shiftrightunsigned(h, shift).bitwiseAND(F.lit((1 << 21) - 1)).cast("double") + 0.5) / float(1 << 21)
-    own = own.select("*", *[F.xxhash64("h", F.lit(2 * j)).alias(f"x{j}") for j in range(AT_ONCE)], *[F.xxhash64("h", F.lit(2 * j + 1)).alias(f"y{j}") for j in range(AT_ONCE)])
+    own = own.select("*", *[F.xxhash64(F.col("h").bitwiseXOR(F.lit(j + 1).cast("long"))).alias(f"x{j}") for j in range(AT_ONCE)])
+    own = own.select("*", *[F.xxhash64(f"x{j}").alias(f"y{j}") for j in range(AT_ONCE)])
     own = own.select(*keys, "part", "term", "lw", *[x for j in range(AT_ONCE) for x in (
+        f"x{j}",
         (-F.ln(bits(F.col(f"x{j}"), 0) * bits(F.col(f"x{j}"), 21))).alias(f"r{j}"), bits(F.col(f"x{j}"), 42).alias(f"b{j}"),
         F.ln(-F.ln(bits(F.col(f"y{j}"), 0) * bits(F.col(f"y{j}"), 21))).alias(f"c{j}"))])
     own = own.select(*keys, "part", "term", *[x for j in range(AT_ONCE) for x in (
-        f"r{j}", f"b{j}", f"c{j}", F.floor(F.col("lw") / F.col(f"r{j}") + F.col(f"b{j}")).alias(f"t{j}"))])
+        f"x{j}", f"r{j}", f"b{j}", f"c{j}", F.floor(F.col("lw") / F.col(f"r{j}") + F.col(f"b{j}")).alias(f"t{j}"))])
 
     def packed(j: int) -> Column:
         la = F.col(f"c{j}") - F.col(f"r{j}") * (F.col(f"t{j}") - F.col(f"b{j}") + 1)
         high = F.least(F.greatest((la + 96.0) * float(1 << 24), F.lit(0.0)), F.lit(float((1 << 31) - 1))).cast("long")
-        return F.shiftleft(high, 32).bitwiseOR(F.xxhash64("term", f"t{j}").bitwiseAND(F.lit((1 << 32) - 1)))
+        return F.shiftleft(high, 32).bitwiseOR(F.xxhash64(F.col(f"x{j}").bitwiseXOR(F.col(f"t{j}"))).bitwiseAND(F.lit((1 << 32) - 1)))
 
     own = own.select(*keys, "part", *[F.when(F.col("term").isNotNull(), packed(j)).alias(f"s{j}") for j in range(AT_ONCE)])
     return own.groupBy(*keys, "part").agg(*[F.min(f"s{j}").alias(f"s{j}") for j in range(AT_ONCE)])
 
 
 def fingerprints(texts: DataFrame, keys: list[str]) -> DataFrame:
-    """keys, side, fp (array of SAMPLES longs, empty for a text without words): texts (keys, sides array<string>)."""
-    sides = texts.select(*keys, F.posexplode("sides").alias("side", "t"))
-    bags = sides.select(*keys, "side", F.inline_outer(terms(F.col("t"))))
-    some = sampled(bags, [*keys, "side"])
+    """keys, side, info, fp (array of SAMPLES longs, empty for a text without words): texts (keys, info, sides: array of
+    strings). info goes with side 0."""
+    sides = texts.select(*keys, "info", F.posexplode("sides").alias("side", "t"))
+    bags = sides.select(*keys, "side", "info", F.inline_outer(terms(F.col("t"))))
+    some = sampled(bags, [*keys, "side", "info"])
     low = [F.col(f"s{j}").bitwiseAND(F.lit((1 << 32) - 1)) for j in range(AT_ONCE)]
-    whole = some.groupBy(*keys, "side").agg(F.array_sort(F.collect_list(F.struct("part", F.array(*low).alias("v")))).alias("parts"))
-    return whole.withColumn("fp", F.filter(F.flatten("parts.v"), lambda x: x.isNotNull())).drop("parts")
+    whole = some.groupBy(*keys, "side").agg(F.array_sort(F.collect_list(F.struct("part", F.array(*low).alias("v"), "info"))).alias("parts"))
+    return whole.select(*keys, "side", F.get("parts", F.lit(0))["info"].alias("info"), F.filter(F.flatten("parts.v"), lambda x: x.isNotNull()).alias("fp"))
 
 
 def as_hex(fp: Column) -> Column:
@@ -114,13 +119,11 @@ def edited_pairs(spark: SparkSession, docs: DataFrame) -> DataFrame:
     n = F.char_length("text")
     half = F.expr("cast(floor(char_length(text) / 2) as int)")
     edited = F.concat(F.left("text", n - half), F.left("next_text", half))
-    place = ["cell", "rn", "next_cell", "next_rn"]
-    own = with_next(docs).select(*place, "doc_id", n.cast("long").alias("n_chars"), "text", edited.alias("edited"))
-    own = own.select(*place, "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), F.array("text", "edited").alias("sides"))
+    info = F.struct("next_cell", "next_rn", "doc_id", n.cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"))
+    own = with_next(docs).withColumn("edited", edited).select("cell", "rn", info.alias("info"), F.array("text", "edited").alias("sides"))
     # grouped by cell and more: what a cell's task makes is summed there, without an exchange
-    keys = [*place, "doc_id", "n_chars", "edited_sha256"]
-    fps = scratch.put("fps", fingerprints(own, keys), codec="none")
-    mine = fps.where("side = 0").select(*keys, "fp")
+    fps = scratch.put("fps", fingerprints(own, ["cell", "rn"]), codec="none")
+    mine = fps.where("side = 0").select("cell", "rn", "info.*", "fp")
     changed = fps.where("side = 1").select("cell", "rn", F.col("fp").alias("efp"))
     following = fps.where("side = 0").select(F.col("cell").alias("next_cell"), F.col("rn").alias("next_rn"), F.col("fp").alias("nfp"))
     out = mine.join(changed, ["cell", "rn"]).join(following, ["next_cell", "next_rn"])
