@@ -31,8 +31,8 @@ def review_batches(units: DataFrame, size: int = 40) -> DataFrame:
 def deferred_split(units: DataFrame, indexed: DataFrame, attributed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """FLT-08: units to review now, and captions that wait for attribution."""
     open_ = units.where("semantic_status <> 'COMPLETE'").join(indexed.select("unit_id"), "unit_id", "left_anti")
-    cap = open_.where("source_type = 'youtube_caption'")
-    now = open_.where("source_type <> 'youtube_caption'").unionByName(cap.join(attributed.select("content_id").distinct(), "content_id", "left_semi").select(*open_.columns))
+    cap = open_.where("source_type = 'caption'")
+    now = open_.where("source_type <> 'caption'").unionByName(cap.join(attributed.select("content_id").distinct(), "content_id", "left_semi").select(*open_.columns))
     return now, cap.join(attributed.select("content_id").distinct(), "content_id", "left_anti")
 
 

@@ -58,10 +58,10 @@ def segment_scan(spark: SparkSession, root: str) -> DataFrame:
     """SRC-05, SRC-07, TXT-03, SET-01: caption and diarized segments as one relation with source_type and content_id."""
     p = F.col("path")
     cap = json_lines(spark, f"{root}/*/*/*.segments.jsonl", SEGMENT).select(
-        F.lit("youtube_caption").alias("source_type"), "path", F.regexp_extract(p, r"([^/]+)\.segments\.jsonl$", 1).alias("content_id"), F.col("line_no").alias("cue_index"),
+        F.lit("caption").alias("source_type"), "path", F.regexp_extract(p, r"([^/]+)\.segments\.jsonl$", 1).alias("content_id"), F.col("line_no").alias("cue_index"),
         "start", F.coalesce("end", "start").alias("end"), "text", F.lit(None).cast("string").alias("speaker_id"))
     dia = json_lines(spark, f"{root}/*/*/diarized_transcript.jsonl", DIARIZED).select(
-        F.lit("moji_diarized").alias("source_type"), "path", F.col("video_id").alias("content_id"), F.col("line_no").alias("cue_index"),
+        F.lit("diarized").alias("source_type"), "path", F.col("video_id").alias("content_id"), F.col("line_no").alias("cue_index"),
         F.col("start_seconds").alias("start"), F.col("end_seconds").alias("end"), "text", "speaker_id")
     return cap.unionByName(dia)
 
