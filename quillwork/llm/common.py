@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,6 +51,23 @@ class Scratch:
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: What Python workers keep between tasks, by operator.
+_KEPT: dict[str, Callable] = {}
+
+
+def kept(name: str, cached: Callable) -> Callable:
+    """Registers an lru_cache function that workers keep between an operator's tasks."""
+    _KEPT[name] = cached
+    return cached
+
+
+def keep_only(name: str) -> None:
+    """Frees what other operators' tasks have left in this worker."""
+    for other, cached in _KEPT.items():
+        if other != name:
+            cached.cache_clear()
+
+
 def ascii_lower(c: Column) -> Column:
     """A-Z lower-cased and nothing else; pure ASCII strings take the fast built-in."""
     return F.when(F.octet_length(c) == F.char_length(c), F.lower(c)).otherwise(F.translate(c, UPPER, UPPER.lower()))

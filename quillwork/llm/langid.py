@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .common import keep_only, kept
+
 UND = "und"
 WORDS = re.compile(r"[^\W\d_]+")
 START = "▁"  # the vocabulary's mark for a word's start
@@ -89,7 +91,7 @@ class Lattice:
             alpha[ends[first]] = np.logaddexp.reduceat(alpha[start[a:b]] + logp[piece[a:b]], first, axis=0)
         return alpha, e
 
-    def score(self, words: list[str], logp: np.ndarray, chars: int = 500_000) -> np.ndarray:
+    def score(self, words: list[str], logp: np.ndarray, chars: int = 100_000) -> np.ndarray:
         """log probability of each word in each language; long lists go in portions of bounded size."""
         out, at = [], 0
         while at < len(words):
@@ -152,7 +154,7 @@ def training_words(docs: DataFrame, docs_per_lang: int = 400, words_per_lang: in
 class Scorer:
     """Scores texts with one model; distinct words are kept, up to `most`."""
 
-    def __init__(self, model: bytes, most: int = 300_000):
+    def __init__(self, model: bytes, most: int = 200_000):
         pieces, self.langs, self.logp = pickle.loads(model)
         self.lattice, self.most = Lattice(pieces), most
         self.clear()
@@ -189,6 +191,9 @@ def scorer(model: bytes) -> Scorer:
     return Scorer(model)
 
 
+kept("langid", scorer)
+
+
 def train(spark: SparkSession, docs: DataFrame, vocabulary: str | None = None, **bounds) -> bytes:
     """A model fitted to labelled docs (doc_id, text, lang)."""
     pieces = read_pieces(vocabulary or default_vocabulary())
@@ -203,7 +208,9 @@ def identify(spark: SparkSession, docs: DataFrame, model: bytes, step: int = 64)
     schema["fields"] = [*schema["fields"], *({"name": n, "type": t, "nullable": True, "metadata": {}} for n, t in (("lang_pred", "string"), ("score", "double")))]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_only("langid")
         own = scorer(shared.value)
+        own.clear()
         for batch in batches:
             langs, scores, texts = [], [], batch.column(at)
             for k in range(0, batch.num_rows, step):
@@ -211,6 +218,7 @@ def identify(spark: SparkSession, docs: DataFrame, model: bytes, step: int = 64)
                 langs += a
                 scores += b
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[*batch.schema.names, "lang_pred", "score"])
+        own.clear()
 
     return docs.mapInArrow(work, type(docs.schema).fromJson(schema))
 

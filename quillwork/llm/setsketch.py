@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, keep_only, kept
 from .components import components
 
 U = np.uint64
@@ -58,6 +58,9 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.cumprod(up), np.cumprod(down)
 
 
+kept("sets", _powers)
+
+
 def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Start and hash of each word of data."""
     a = np.frombuffer(data, np.uint8)
@@ -161,6 +164,7 @@ def set_id(s: np.ndarray) -> int:
 
 def _sketch(docs: DataFrame, k: int, m: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_only("sets")
         sketcher = Sketcher(m)
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1).to_pylist()

@@ -19,6 +19,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
+from .common import keep_only, kept
+
 #: White space other than space and line feed.
 OTHER_SPACE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028\u2029\u202f\u205f\u3000\ufeff]")
 #: Characters of whose class (letter, digit, other) there is no doubt.
@@ -51,7 +53,8 @@ class Pieces(dict):
         self.tokenize = model.tokenize
 
     def __missing__(self, piece: str) -> bytes:
-        chars = "".join(map(BYTE_CHARS.__getitem__, piece.encode()))
+        # an ASCII piece has one character that changes, a space at its start
+        chars = piece.replace(" ", BYTE_CHARS[32]) if piece.isascii() else "".join(map(BYTE_CHARS.__getitem__, piece.encode()))
         out = self[piece] = array("I", [t.id for t in self.tokenize(chars)]).tobytes()
         return out
 
@@ -64,10 +67,10 @@ class Parts(dict):
 
     def __missing__(self, part: str) -> bytes:
         text = self.before + part
-        if not SAFE.fullmatch(part):
-            out = self.whole(text) if part else b""
-        elif part.isalpha():
+        if part.isascii() and part.isalpha():
             out = self.pieces[text]
+        elif not SAFE.fullmatch(part):
+            out = self.whole(text) if part else b""
         else:
             out = b"".join(map(self.pieces.__getitem__, PIECES.findall(text)))
         self[part] = out
@@ -75,7 +78,7 @@ class Parts(dict):
 
 
 class Encoder:
-    def __init__(self, model: str, most: int = 500_000):
+    def __init__(self, model: str, most: int = 400_000):
         """most: parts kept, and as many pre-tokens."""
         from tokenizers import Tokenizer
 
@@ -112,6 +115,7 @@ class Encoder:
 
 def encoded(batch: pa.RecordBatch, enc: Encoder, step: int = 64) -> Iterator[tuple[int | None, bytes]]:
     """doc_id and ids with the end id for each row of a batch (doc_id, text)."""
+    keep_only("tokens")
     for at in range(0, batch.num_rows, step):
         rows = batch.slice(at, step)
         for doc, text in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True):
@@ -123,3 +127,6 @@ def encoder(model: str) -> Encoder:
     """One per Python worker, kept between tasks."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     return Encoder(model)
+
+
+kept("tokens", encoder)
