@@ -28,14 +28,19 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     full[:n] = values
     v[:, :BLOCK] = full.reshape(blocks, BLOCK)
     sel = np.full(v.shape, ESCAPE, np.int8)
-    # from one value a word to sixty: the last that fits wins
-    for s in range(len(COUNT) - 1, 0, -1):
-        k, b = int(COUNT[s]), int(BITS[s])
-        small = v < np.uint64(1 << b)
-        run = np.cumsum(~small, axis=1, dtype=np.int32)
-        bad = run[:, k - 1 :].copy()
-        bad[:, 1:] -= run[:, : v.shape[1] - k]
-        sel[:, : bad.shape[1]][bad == 0] = s
+    width = np.frexp(v.astype(float))[1].astype(np.uint8)  # bits; one too many at most, for values above 2^53
+    # most[k]: the widest of k values from each place on, from two overlapping or adjoining shorter runs
+    most = {1: width}
+    for s in range(len(COUNT) - 1, 0, -1):  # from one value a word to sixty: the last that fits wins
+        k = int(COUNT[s])
+        if k not in most:
+            j = max(x for x in most if x < k)
+            while 2 * j < k:
+                most[2 * j] = np.maximum(most[j][:, :-j], most[j][:, j:])
+                j *= 2
+            wide = most[j].shape[1] - (k - j)
+            most[k] = np.maximum(most[j][:, :wide], most[j][:, k - j : k - j + wide])
+        np.copyto(sel[:, : most[k].shape[1]], s, where=most[k] <= BITS[s])
     lane, at, ends = np.arange(blocks), np.zeros(blocks, np.int64), np.minimum(BLOCK, n - np.arange(blocks) * BLOCK)
     lanes, starts = [], []
     while len(lane):

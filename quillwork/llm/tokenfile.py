@@ -37,7 +37,7 @@ def _chunk(part: int, k: int, start: int, ids: list, parts: list[bytes]) -> pa.R
     return pa.RecordBatch.from_arrays([pa.array([v], types.get(c, pa.int64())) for c, v in row.items()], names=list(row))
 
 
-def write_tokens(spark: SparkSession, docs: DataFrame, path: str, tokenizer: str | None = None, chunk_ids: int = 200_000) -> None:
+def write_tokens(spark: SparkSession, docs: DataFrame, path: str, tokenizer: str | None = None, chunk_ids: int = 250_000) -> None:
     """Writes docs (doc_id, text) to the folder at path."""
     model = spark.sparkContext.broadcast(read_model(tokenizer or default_path()))
 
