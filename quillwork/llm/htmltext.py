@@ -1,10 +1,12 @@
 """Main text of web pages by two-pass block rules.
 
-A page is cut into blocks at block-level tags. Structure decides first: what stands in menus, page headers, footers,
-asides, forms, adverts, notices, reader comments and the like is out; what stands in an article or main element and is
-not mostly links is in. In a page without such an element the first pass decides each block by its own figures: link
-density, length and stop-word density make it good, bad or ambiguous; in the second pass ambiguous short blocks take
-the label of the nearest decided neighbours, and where these differ the block is out unless it was nearly good.
+A page is cut into blocks at block-level tags. Structure leaves out what stands in menus, page headers, footers, asides,
+forms, adverts, notices, reader comments and the like. Of every page's other blocks the first pass decides each by its
+own figures: link density, length and stop-word density make it good, bad or ambiguous; in the second pass ambiguous
+blocks take the label of the nearest decided neighbours, and where these differ the block is out unless it was nearly
+good. An article or main element is a prior only: it lifts the first label of its blocks by a step (see `first_label`).
+Inside it, an element is left out by name only where a whole name says so (class="related", id="newsletter-signup"); one
+such word in a longer name (id="related-work") takes the prior away from the element's blocks and no more.
 
 Defined cases: null or empty html gives an empty text. Broken markup (unclosed tags, cut-off pages, stray ends) is read
 as far as it goes. An unclosed script, style or comment hides the rest of the page.
@@ -56,14 +58,21 @@ WORD = re.compile(r"[^\W\d_]+")
 class Block:
     text: str
     linked: int  # characters in links
-    inside: bool  # an article or main element holds it
+    inside: int  # the number of the outermost article or main element that holds it, from 1; 0 for none
     heading: bool
+    doubtful: bool = False  # inside, but a part of a name speaks against it
 
 
 def named(attributes: str) -> set[str]:
     return {w.lower() for m in NAMES.finditer(attributes) for w in PARTS.findall(m[1] or m[2] or m[3] or "")}
 
 
+def doubted(tag: str, attributes: str) -> bool:
+    """Of an element inside an article: a part of a name is of those of other things."""
+    words = named(attributes)
+    return tag not in ("article", "main") and bool(words & NOT_ARTICLE) and not words & QUALIFIED
+
+
 def left_out(tag: str, attributes: str, inside: bool) -> bool:
     if tag in OUT or tag == "header" and not inside:
         return True
@@ -74,26 +83,29 @@ def left_out(tag: str, attributes: str, inside: bool) -> bool:
         return False
     if tag in ("article", "main"):
         return bool(words & {"comment", "comments", "related", "ad", "ads", "promo"})
-    return bool(words & NOT_ARTICLE) or not inside and bool(words & PAGE_HEADER)
+    if inside:
+        whole = [{w.lower() for w in PARTS.findall(x)} for m in NAMES.finditer(attributes) for x in (m[1] or m[2] or m[3] or "").split()]
+        return any(x and x <= NOT_ARTICLE for x in whole)
+    return bool(words & NOT_ARTICLE) or bool(words & PAGE_HEADER)
 
 
 def blocks(html: str) -> list[Block]:
     """Blocks in page order, without those that structure leaves out."""
     found: list[Block] = []
-    stack: list[tuple[str, bool, bool, bool]] = []  # tag, out, inside, link
+    stack: list[tuple[str, bool, int, bool, bool]] = []  # tag, out, inside, link, doubtful
     text: list[str] = []
-    linked, heading = 0, False
+    linked, heading, n_inside = 0, False, 0
 
     def end() -> None:
         nonlocal linked, heading
         if text:
             whole = " ".join(unescape("".join(text)).split())
             if whole:
-                found.append(Block(whole, linked, inside, heading))
+                found.append(Block(whole, linked, inside, heading, doubtful))
             text.clear()
         linked, heading = 0, False
 
-    out = inside = link = False
+    out, inside, link, doubtful = False, 0, False, False
     for m in TOKEN.finditer(html):
         if m[8] is not None:
             if not out:
@@ -121,11 +133,14 @@ def blocks(html: str) -> list[Block]:
                     last = stack.pop()[0]
                     if last == tag:
                         break
-            inner = inside or tag in ("article", "main")
-            stack.append((tag, out or left_out(tag, attributes, inside), inner, link or tag == "a"))
+            inner = inside
+            if not inside and tag in ("article", "main"):
+                inner = n_inside = n_inside + 1
+            doubt = doubtful or inside > 0 and attributes != "" and doubted(tag, attributes)
+            stack.append((tag, out or left_out(tag, attributes, inside > 0), inner, link or tag == "a", doubt))
         if tag in ("h1", "h2", "h3", "h4", "h5", "h6"):
             heading = not closing
-        _, out, inside, link = stack[-1] if stack else ("", False, False, False)
+        _, out, inside, link, doubtful = stack[-1] if stack else ("", False, 0, False, False)
     end()
     return found
 
@@ -148,6 +163,22 @@ def first_pass(b: Block, max_links: float = 0.2, short: int = 70, long: int = 20
     return BAD
 
 
+def first_label(b: Block, lone: bool, long: int = 200, links: float = 0.9) -> str:
+    """The first pass, with an article or main element as a prior: low density and short length leave its blocks nearly
+    good, links leave them to their neighbours unless they are links all over, and nearly good blocks are good where they
+    are long or where this is the page's only such element (teasers come in numbers)."""
+    label, n = first_pass(b), len(b.text)
+    if b.doubtful:
+        return BAD if label == SHORT and not b.heading else label
+    if not b.inside or label == GOOD:
+        return label
+    if label == NEAR:
+        return GOOD if lone or n > long else NEAR
+    if b.linked > links * n:
+        return BAD
+    return SHORT if b.linked > 0.2 * n else NEAR
+
+
 def second_pass(labels: list[str]) -> list[bool]:
     """Nearest decided labels before and after decide what the first pass left open."""
     n, before, after = len(labels), [BAD] * len(labels), [BAD] * len(labels)
@@ -162,17 +193,15 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     found = blocks(html)
-    if any(b.inside for b in found):
-        keep = [b.inside and b.linked <= 0.5 * len(b.text) for b in found]
-    else:
-        labels = [first_pass(b) for b in found]
-        keep = second_pass(labels)
-        # a heading goes with the block that it stands over
-        for i in range(len(found) - 2, -1, -1):
-            if found[i].heading and labels[i] == SHORT and keep[i + 1]:
-                keep[i] = True
-        if not any(keep):  # a page without a long block: all that nothing speaks against
-            keep = [x in (NEAR, SHORT) for x in labels]
+    insides = {b.inside for b in found if b.inside}
+    labels = [first_label(b, len(insides) == 1) for b in found]
+    keep = second_pass(labels)
+    # a heading goes with the block that it stands over
+    for i in range(len(found) - 2, -1, -1):
+        if found[i].heading and labels[i] in (SHORT, NEAR) and keep[i + 1]:
+            keep[i] = True
+    if not any(keep):  # a page without a good block: all that nothing speaks against, of an article if there is one
+        keep = [x in (NEAR, SHORT) and (b.inside > 0 or not insides) for b, x in zip(found, labels, strict=True)]
     return " ".join(b.text for b, k in zip(found, keep, strict=True) if k)
 
 

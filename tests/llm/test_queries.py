@@ -177,6 +177,24 @@ def test_html():
     assert htmltext.main_text(None) == htmltext.main_text("") == htmltext.main_text("<script>x") == ""
 
 
+def test_html_article_is_a_prior_only():
+    long = "And so it was that the end of the day was the end of the man and of the sea and all that is in it. " * 3
+    body = long.strip()
+    cards = "".join(f"<article><h3><a href=x>Teaser number {i}</a></h3><p>A short word on the matter.</article>" for i in range(3))
+    assert htmltext.main_text(f"<div><p>{long}<p>{long}</div>{cards}") == f"{body} {body}"
+    # neighbours decide a block of links inside an article; one that is all links goes
+    some = "<p>See <a href=x>the whole list of the other reports on this</a> now"
+    assert htmltext.main_text(f"<article><p>{long}{some}<p>{long}</article>") == f"{body} See the whole list of the other reports on this now {body}"
+    assert htmltext.main_text(f"<article><p>{long}<p><a href=x>Next</a><p>{long}</article>") == f"{body} {body}"
+    # a word in a longer name is no verdict; a whole name is
+    assert htmltext.main_text(f"<article><p>{long}<section id='related-work'><h2>Related work</h2><p>{long}</section></article>") == f"{body} Related work {body}"
+    assert htmltext.main_text(f"<article><p>{long}<div class='box related'><p>{long}</div><div class='share-bar'>Share</div></article>") == body
+    # what stands beside an article is judged as well
+    assert htmltext.main_text(f"<article><p>{long}</article><p>{long}<p><a href=x>All pages</a>") == f"{body} {body}"
+    # a language without known stop words rests on the prior
+    assert htmltext.main_text("<article><p>" + "xyz " * 100 + "</article><p>out") == ("xyz " * 100).strip()
+
+
 def test_html_query(spark):
     rows = queries.QUERIES["op5_html_text"](spark, SF).collect()
     html = {r.page_id: r.html for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
