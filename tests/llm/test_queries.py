@@ -338,3 +338,15 @@ def test_pipeline(spark, odd):
     for _, stage in corpus_pipeline.STAGES:
         rest = stage(spark, rest, SF)
     assert rest.count() > 0
+
+
+def test_pipeline_near_dedup_goes_by_row(spark):
+    import corpus_pipeline
+
+    text = lambda c: " ".join(f"{c}{j}" for j in range(60))
+    rows = [(None, text("a")), (None, text("b")), (None, text("c")), (1, text("d")), (1, text("e")), (2, text("e") + " more"), (3, text("c") + " more"), (4, text("f")), (4, text("f")), (None, None), (None, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    out = corpus_pipeline.near_dedup(spark, docs, SF)
+    assert out.columns == docs.columns
+    want = [(None, text("a")), (None, text("b")), (3, text("c") + " more"), (1, text("d")), (1, text("e")), (4, text("f")), (None, None), (None, "")]
+    assert Counter((r.doc_id, r.text) for r in out.collect()) == Counter(want)
