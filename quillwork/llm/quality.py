@@ -4,9 +4,10 @@ Each line with a word is normalised (lower case, white space squeezed) and hashe
 (column `source`). Keys found in more than `max_docs` documents of a host are boilerplate; their lines are taken out,
 and a document that loses more than `max_lost` of its words to them is rejected as depleted.
 
-Only the per-row summary (numbers, line hashes, words per line) is kept from the scan; texts are never shuffled.
+The scan keeps each row's summary (numbers, line hashes, words and place per line) beside its text. Texts are read once
+more, to take the lines out by their places; they are shuffled only if the rows that lose lines are too many to broadcast.
 
-Defined cases: null text has no words and fails the base rules. A null source is a host of its own. Rows that share a
+Defined cases: null text has no words, fails the base rules and stays null. A null source is a host of its own. Rows that share a
 doc_id count as separate documents. An empty table gives an empty result.
 """
 
@@ -56,28 +57,34 @@ def repeat_words(words: Column) -> Column:
 
 
 def summary(docs: DataFrame) -> DataFrame:
-    """Per row: rid, doc_id, the base numbers and lines (array of key hash and words), all from one scan."""
+    """Per row: rid, doc_id, text, the base numbers and lines (array of key hash, words and place of lines with a word), all from one scan."""
     text = F.coalesce("text", F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(NOT_WS))
-    own = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "source", text.alias("t"), words_of(text).alias("words"), lines.alias("ls"))
+    own = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "source", "text", text.alias("t"), words_of(text).alias("words"), lines.alias("ls"))
     norm = lambda x: F.lower(F.regexp_replace(F.btrim(x, F.lit(WS_CHARS)), WS + "+", " "))
     return own.select(
-        "rid", "doc_id", F.size("words").cast("long").alias("n_words"),
+        "rid", "doc_id", "text", F.size("words").cast("long").alias("n_words"),
         (F.char_length("t") - F.regexp_count("t", F.lit(WS))).cast("long").alias("word_chars"),
         F.regexp_count("t", F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
         (F.size("ls") - F.size(F.array_distinct("ls"))).cast("long").alias("n_dup_lines"),
         repeat_words(F.col("words")).alias("n_repeat_words"),
-        F.transform("ls", lambda x: F.struct(F.xxhash64(F.col("source"), norm(x)).alias("h"), n_words(x).cast("int").alias("w"))).alias("lines"),
+        F.filter(
+            F.transform(F.split("t", "\n"), lambda x, i: F.struct(F.xxhash64(F.col("source"), norm(x)).alias("h"), n_words(x).cast("int").alias("w"), i.alias("p"))),
+            lambda s: s["w"] > 0,
+        ).alias("lines"),
     )
 
 
 def quality(spark: SparkSession, docs: DataFrame, max_docs: int = 200, max_lost: float = 0.5) -> DataFrame:
-    """doc_id, the base numbers, n_lost_words, base_failed and kept, one row per row of docs."""
-    base = Scratch(spark, "quality").put("summary", summary(docs))
+    """doc_id, the base numbers, n_lost_words, base_failed, kept and text without its boilerplate lines, one row per row of docs."""
+    scratch = Scratch(spark, "quality")
+    base = scratch.put("summary", summary(docs))
     keys = base.select(F.explode(F.array_distinct(F.col("lines.h"))).alias("h"))
     common = keys.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max_docs).select("h")
-    lost = base.select("rid", F.inline("lines")).join(common, "h").groupBy("rid").agg(F.sum("w").alias("lost"))
+    lost = scratch.put("lost", base.select("rid", F.inline("lines")).join(common, "h").groupBy("rid").agg(F.collect_list("p").alias("gone")))
+    left = let(F.split("text", "\n"), lambda ls: F.transform(F.array_except(F.sequence(F.lit(0), F.size(ls) - 1), F.col("gone")), lambda i: F.get(ls, i)))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    out = base.drop("lines").join(lost, "rid", "left").withColumn("n_lost_words", F.coalesce("lost", F.lit(0)).cast("long"))
+    out = base.drop("lines").join(lost, "rid", "left").withColumn("text", F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(left, "\n")))
+    out = out.withColumn("n_lost_words", F.when(F.col("gone").isNull(), F.lit(0).cast("long")).otherwise(F.col("n_words") - n_words(F.col("text"))))
     out = out.withColumns({"base_failed": failed, "kept": ~failed & (F.col("n_lost_words") <= max_lost * F.col("n_words"))})
-    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lost_words")
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lost_words", "text")

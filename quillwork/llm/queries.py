@@ -34,7 +34,7 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.quality(spark, documents(spark, sf_dir).select("doc_id", "source", "text"))
+    return quality.quality(spark, documents(spark, sf_dir).select("doc_id", "source", "text")).drop("text")
 
 
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -304,6 +304,13 @@ def test_quality(spark, odd):
     assert quality.quality(spark, odd.where("false")).count() == 0
 
 
+def test_quality_takes_lines_out(spark):
+    rows = [(i, "h", f"own  {i}\n Shared\tLine \n\nlast {i}\nshared line") for i in range(6)] + [(6, "g", "shared line\nx"), (7, "h", None), (8, "h", "shared line"), (9, "h", "")]
+    got = {r.doc_id: r for r in quality.quality(spark, spark.createDataFrame(rows, "doc_id long, source string, text string"), max_docs=5).collect()}
+    assert all((got[i].text, got[i].n_lost_words, got[i].n_words) == (f"own  {i}\n\nlast {i}", 4, 8) for i in range(6))
+    assert (got[6].text, got[7].text, got[8].text, got[8].n_lost_words, got[9].text) == ("shared line\nx", None, "", 2, "")
+
+
 def test_fingerprints(spark, odd, texts):
     rows = {r.doc_id: r for r in queries.QUERIES["op9_fingerprints"](spark, SF).collect()}
     ids, off = sorted(texts, reverse=True), []
