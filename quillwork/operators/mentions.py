@@ -168,18 +168,34 @@ def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
 
 
 def resolution_queue(mentions: DataFrame, names: DataFrame, k: int = 5, least: float = 0.62) -> DataFrame:
+#: Letters of handles, common ones first. Any order is right; this one makes the first letters of a text its rare ones.
+HANDLE = " eairtonslcdupmghbyfvkwzxqj0123456789.-'_@"
+
+
+def letters(c: Column) -> Column:
+    """The letters of a handle, each with its number among its likes, rare letters first."""
+    ordered = F.array_sort(F.filter(F.split(F.translate(c, HANDLE, "".join(chr(0x180 - i) for i in range(len(HANDLE)))), ""), lambda x: x != ""))
+    return F.transform(ordered, lambda x, i: F.concat(x, (i - F.array_position(ordered, x)).cast("string")))
+
+
     """TXT-15, AGG-13, JON-22: surfaces (surface, content_id, entity_type, seq) with their k nearest known names.
 
-    A ratio of r needs two texts to share at least r/2 of their letters in pairs, so names are met through shared pairs
-    of letters (an equi-join), never all against all; each pair is then measured."""
+    Matching blocks take each letter once, so a ratio of r needs two texts to have r/2 of all their letters in common,
+    counted as often as both have them; of one text alone, r/(2 - r). Two such texts share a letter (with its number)
+    among the first letters of each in one order, rare ones first: names are met through these by an equi-join, and no
+    pair that reaches the ratio is missed. Distinct texts are measured once; entities are joined afterwards."""
     s = mentions.withColumn("key", X.norm_handle(F.col("surface"))).where("key <> ''").groupBy("key").agg(
         F.count(F.lit(1)).alias("mentions"), F.countDistinct("content_id").alias("contents"), F.max_by("surface", F.struct(F.length("surface"), -F.col("seq"))).alias("display"), F.max_by("entity_type", "seq").alias("entity_type"))
-    grams = lambda c: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(c) - 1)), lambda i: F.substring(c, i, F.lit(2))))
-    n = names.withColumn("name_key", X.norm_handle(F.col("name")))
-    met = s.select("key", F.explode(grams(F.col("key"))).alias("g")).join(n.select("entity_id", "name_key", F.explode(grams(F.col("name_key"))).alias("g")), "g")
-    close = F.least(F.length("key"), F.length("name_key")) * 2 >= least * (F.length("key") + F.length("name_key"))
-    pairs = met.select("key", "entity_id", "name_key").where(close).distinct().withColumn("sim", ratio("key", "name_key")).where(F.col("sim") >= least)
-    best = pairs.groupBy("key", "entity_id").agg(F.max("sim").alias("sim"))
+    n = names.select("entity_id", X.norm_handle(F.col("name")).alias("name_key")).where("name_key <> ''")
+    first = lambda c: F.length(c) - F.ceil(F.length(c) * (least / (2 - least)) - 1e-9).cast("int") + 1
+    met = s.select("key", F.explode(F.slice(letters(F.col("key")), F.lit(1), first("key"))).alias("g")).join(
+        n.select("name_key").distinct().select("name_key", F.explode(F.slice(letters(F.col("name_key")), F.lit(1), first("name_key"))).alias("g")), "g")
+    both, total = F.size(F.array_intersect(letters(F.col("key")), letters(F.col("name_key")))), F.length("key") + F.length("name_key")
+    near = met.where(F.least(F.length("key"), F.length("name_key")) * 2 >= least * total).select("key", "name_key").distinct().where(both * 2 >= least * total)
+    pairs = near.withColumn("sim", ratio("key", "name_key")).where(F.col("sim") >= least)
+    # of entities with one name, only the first k can be among a key's first k
+    firsts = core.topk(n.distinct(), ["name_key"], [F.desc("entity_id")], k).select("entity_id", "name_key")
+    best = pairs.join(firsts, "name_key").groupBy("key", "entity_id").agg(F.max("sim").alias("sim"))
     top = core.topk(best, ["key"], [F.desc("sim"), F.desc("entity_id")], k).groupBy("key").agg(F.array_sort(F.collect_list(F.struct("rank", "entity_id", "sim"))).alias("candidates"))
     return s.join(top, "key", "left")
 

@@ -125,6 +125,20 @@ def test_mentions(spark):
     assert len(hits) == 2
 
 
+def test_resolution_queue_misses_no_pair(spark):
+    from difflib import SequenceMatcher
+
+    r = random.Random(7)
+    word = lambda: "".join(r.choice("abcde j'") for _ in range(r.randrange(1, 9)))
+    keys = {" ".join(w.split()) for w in ["jon", "abc", "lisa", *[word() for _ in range(60)]]} - {""}
+    names = {i: " ".join(w.split()) for i, w in enumerate(["jn", "axbxc", "lsia", "jn", *[word() for _ in range(60)]])}
+    m = spark.createDataFrame([(k, "c", "t", i) for i, k in enumerate(sorted(keys))], "surface string, content_id string, entity_type string, seq int")
+    got = {x.key: [(c.entity_id, c.sim) for c in x.candidates or []] for x in mentions.resolution_queue(m, spark.createDataFrame(list(names.items()), "entity_id int, name string")).collect()}
+    for k in keys:
+        all_ = [(i, SequenceMatcher(None, k, n).ratio()) for i, n in names.items() if n]
+        assert got[k] == sorted([x for x in all_ if x[1] >= 0.62], key=lambda x: (-x[1], -x[0]))[:5]
+
+
 def test_resolution_queue(spark):
     m = spark.createDataFrame([("Jon Smithe", "c1", "person", 1), ("Jon Smithe", "c2", "person", 2), ("Zzz", "c1", "x", 3)], "surface string, content_id string, entity_type string, seq int")
     n = spark.createDataFrame([("E1", "John Smith"), ("E2", "Unrelated Name")], "entity_id string, name string")
