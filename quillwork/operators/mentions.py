@@ -80,13 +80,14 @@ def known_aliases(entities: DataFrame, aliases: DataFrame) -> DataFrame:
     return core.topk(rows, ["alias"], [F.asc("p"), F.asc("canonical_id")], 1).select("alias", "canonical_id", "name", "kind")
 
 
-def alias_mentions(segments: DataFrame, known: DataFrame, most_words: int = 6) -> DataFrame:
+def alias_mentions(segments: DataFrame, known: DataFrame) -> DataFrame:
     """TXT-04, JON-23: seg_id, surface, start, canonical_id: aliases on word boundaries, all occurrences.
 
-    Runs of up to most_words words are looked up by an equi-join, so the dictionary may be of any size."""
+    Runs of as many words as aliases have are looked up by an equi-join, so the dictionary may be of any size."""
+    counts = [F.lit(r.n) for r in known.select(F.size(F.split("alias", " ")).alias("n")).distinct().orderBy("n").collect()] or [F.lit(1)]
     word = r"[\p{L}\p{N}][\p{L}\p{N}'&.-]*[\p{L}\p{N}]|[\p{L}\p{N}]"
     w = segments.select("seg_id", F.lower("text").alias("t")).withColumn("w", F.regexp_extract_all("t", F.lit(f"({word})"), F.lit(1)))
-    runs = w.select("seg_id", F.explode(F.flatten(F.transform(F.sequence(F.lit(1), F.lit(most_words)), lambda n: F.transform(
+    runs = w.select("seg_id", F.explode(F.flatten(F.transform(F.array(*counts), lambda n: F.transform(
         F.filter(F.sequence(F.lit(0), F.size("w")), lambda i: i + n <= F.size("w")), lambda i: F.struct(i.alias("word_no"), F.array_join(F.slice("w", i + 1, n), " ").alias("alias")))))).alias("r"))
     return runs.select("seg_id", "r.*").join(known, "alias").select("seg_id", "word_no", F.col("alias").alias("surface"), "canonical_id", "name", "kind")
 
@@ -167,7 +168,6 @@ def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([difflib.SequenceMatcher(None, x or "", y or "").ratio() for x, y in zip(a, b, strict=True)])
 
 
-def resolution_queue(mentions: DataFrame, names: DataFrame, k: int = 5, least: float = 0.62) -> DataFrame:
 #: Letters of handles, common ones first. Any order is right; this one makes the first letters of a text its rare ones.
 HANDLE = " eairtonslcdupmghbyfvkwzxqj0123456789.-'_@"
 
@@ -178,6 +178,7 @@ def letters(c: Column) -> Column:
     return F.transform(ordered, lambda x, i: F.concat(x, (i - F.array_position(ordered, x)).cast("string")))
 
 
+def resolution_queue(mentions: DataFrame, names: DataFrame, k: int = 5, least: float = 0.62) -> DataFrame:
     """TXT-15, AGG-13, JON-22: surfaces (surface, content_id, entity_type, seq) with their k nearest known names.
 
     Matching blocks take each letter once, so a ratio of r needs two texts to have r/2 of all their letters in common,

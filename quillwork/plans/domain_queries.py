@@ -22,8 +22,8 @@ def segments(spark: SparkSession, d: str) -> DataFrame:
 
 
 def known(spark: SparkSession, d: str) -> DataFrame:
-    """A dictionary of ten names out of the benchmark texts."""
-    words = table(spark, d, "benchmark").select(F.explode(F.split("text", " ")).alias("name")).where(F.col("name").rlike("^[A-Z][a-z]{3,}$")).distinct().orderBy("name").limit(10)
+    """A dictionary of all capitalised words of the benchmark texts."""
+    words = table(spark, d, "benchmark").select(F.explode(F.split("text", " ")).alias("name")).where(F.col("name").rlike("^[A-Z][a-z]{3,}$")).distinct()
     ents = words.select(X.stable_id("E_", F.col("name")).alias("id"), "name", F.lit("term").alias("type"))
     return mentions.known_aliases(ents, ents.select(F.col("id").alias("canonical_id"), F.lower("name").alias("alias")))
 

@@ -125,6 +125,22 @@ def test_mentions(spark):
     assert len(hits) == 2
 
 
+def test_aliases_of_any_length(spark):
+    known = spark.createDataFrame([("the very long name of a thing and more", "E1", "n", "p"), ("thing", "E2", "n", "p")], "alias string, canonical_id string, name string, kind string")
+    seg = spark.createDataFrame([(1, "So the very long name of a Thing and more.")], "seg_id int, text string")
+    assert sorted((r.word_no, r.canonical_id) for r in mentions.alias_mentions(seg, known).collect()) == [(1, "E1"), (7, "E2")]
+
+
+def test_dictionary_is_whole(spark):
+    import re
+
+    from quillwork.plans import domain_queries
+
+    sf = "/root/testdata/sf0.001"
+    want = {w.lower() for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect() for w in r.text.split(" ") if re.fullmatch("[A-Z][a-z]{3,}", w)}
+    assert len(want) > 10 and {r.alias for r in domain_queries.known(spark, sf).collect()} == want
+
+
 def test_resolution_queue_misses_no_pair(spark):
     from difflib import SequenceMatcher
 
