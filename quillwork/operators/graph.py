@@ -25,6 +25,8 @@ def saved(df: DataFrame, tag: str) -> DataFrame:
     spark = df.sparkSession
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = f"file://{tempfile.mkdtemp(prefix='quillwork-')}"
         spark.conf.set("spark.checkpoint.dir", root)
     path = f"{root.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
