@@ -19,19 +19,28 @@ NO_ID = -(2**63)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share: spark.checkpoint.dir; where it is unset, one temporary folder."""
+    """The folder that the driver and all executors share: spark.checkpoint.dir. Where it is unset, one temporary folder
+    if driver and executors are one machine (a local master), else an error: a machine-local folder would lose rows."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = f"file://{tempfile.mkdtemp(prefix='quillwork-')}"
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
 
+#: Folders and tables made by this process, for sweep().
+_MADE: list[tuple[str, str]] = []
+
+
 class Scratch:
-    """Parquet tables in the shared folder. They cut lineage and outlive lost executors."""
+    """Parquet tables in the shared folder. They cut lineage and outlive lost executors. Operators drop those that their
+    result does not read; sweep() deletes the others when results are no longer needed."""
 
     def __init__(self, spark: SparkSession, tag: str):
         self.spark, self.root = spark, f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+        _MADE.append(("folder", self.root))
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -45,10 +54,45 @@ class Scratch:
     def get(self, name: str, like: DataFrame) -> DataFrame:
         return self.spark.read.schema(like.schema).parquet(self.path(name))
 
-    def drop(self, name: str) -> None:
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.path(name))
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+    def drop(self, *names: str) -> None:
+        for name in names:
+            delete(self.spark, self.path(name))
+
+
+def delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def made_table(name: str) -> None:
+    _MADE.append(("table", name))
+
+
+def sweep(spark: SparkSession) -> None:
+    """Deletes what operators of this process have left in the shared folder and the warehouse. Results that were not
+    written elsewhere can no longer be read."""
+    for kind, name in _MADE:
+        if kind == "table":
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+        else:
+            delete(spark, name)
+    _MADE.clear()
+
+
+#: Keys that a join of rows by key broadcasts at most.
+HEAVY_KEYS = 4000
+
+
+def by_key(rows: DataFrame, per_key: DataFrame, keys: list[str], n: str, total: int, hint: str | None = None) -> DataFrame:
+    """rows joined with per_key, which has one row per key, n of them the rows that have the key, and total all rows or
+    more. Keys of more than total / HEAVY_KEYS rows are HEAVY_KEYS at most: they are broadcast and their rows stay where
+    they are, so that no task gets all rows of a hot key. All others meet by a shuffle. Both inputs are read twice, so
+    they should be tables."""
+    heavy = per_key.where(F.col(n) > max(1000, total // HEAVY_KEYS))
+    light = per_key.where(F.col(n) <= max(1000, total // HEAVY_KEYS))
+    few = rows.join(F.broadcast(heavy), keys)
+    rest = rows.join(F.broadcast(heavy.select(*keys)), keys, "left_anti")
+    return few.unionByName(rest.join(light.hint(hint) if hint else light, keys))
 
 
 #: What Python workers keep between tasks, by operator.

@@ -48,7 +48,8 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def components(scratch: Scratch, name: str, links: DataFrame, in_one: int = 300_000, most: int = 60) -> DataFrame:
     """cid, comp (the least cid of its component) for every node of links (a, b), links between different nodes.
-    Up to in_one links are solved in one task, in some 50 MB; more than that by distributed steps."""
+    Up to in_one links are solved in one task, in some 50 MB; more than that by distributed steps, of which a graph needs
+    some log2 of its longest path; an error says so if `most` do not suffice."""
     edges = scratch.put(f"{name}-0", links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), codec="none")
     if edges.count() <= in_one:
         return scratch.put(name, edges.coalesce(1).mapInArrow(_forest, "cid long, comp long"), codec="none")
@@ -60,5 +61,7 @@ def components(scratch: Scratch, name: str, links: DataFrame, in_one: int = 300_
             break
         mark = now
         scratch.drop(f"{name}-{i - 1}")
+    else:
+        raise RuntimeError(f"components did not settle in {most} rounds")
     stars = edges.select(F.col("a").alias("cid"), F.col("b").alias("comp"))
     return stars.unionByName(stars.select(F.col("comp").alias("cid"), "comp").distinct())

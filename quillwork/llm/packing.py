@@ -8,8 +8,9 @@ Each task packs its own rows as they stream by, so nothing is shuffled: pieces o
 rest waits in a buffer of bounded size, and sequence ids are the task's number and a counter. A task ends with one
 sequence that is not full, or few if other limits than tokens bind. It is cut at powers of two, which need no padding.
 
-Defined cases: null text is empty: the end id alone. Rows that share a doc_id are packed apart, as two documents. An
-empty table gives an empty result.
+Defined cases: null text is empty: the end id alone. Rows that share a doc_id are packed apart, as two documents; a null
+doc_id stays null in its pieces. A very long text is coded as one portion and cut like any other; an item that waits
+holds its own ids alone. Other columns, whatever their names, are left out. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -135,9 +136,9 @@ def pack_documents(
             nonlocal number
             at = 0
             for x in own:
-                doc, ids = x.data
+                doc, ids, before, total = x.data
                 crc = zlib.crc32(memoryview(ids)[4 * x.start : 4 * (x.start + x.tokens)])
-                rows.append((doc, x.start, x.tokens, crc, len(ids) // 4, number, at))
+                rows.append((doc, before + x.start, x.tokens, crc, total, number, at))
                 at += x.tokens
             number += 1
 
@@ -148,10 +149,13 @@ def pack_documents(
 
         for batch in batches:
             for doc, ids in encoded(batch, enc):
-                for own in packer.add(Item(len(ids) // 4, len(ids) // 4, (doc, ids))):
-                    put(own)
-                if len(rows) >= 20_000:
-                    yield out()
+                total = len(ids) // 4
+                for before in range(0, total, max_tokens):  # an item that waits holds no more than its own ids
+                    part = bytes(ids[4 * before : 4 * (before + max_tokens)])
+                    for own in packer.add(Item(len(part) // 4, len(part) // 4, (doc, part, before, total))):
+                        put(own)
+                    if len(rows) >= 20_000:
+                        yield out()
         for own in packer.finish():
             if sum(x.tokens for x in own) < max_tokens:
                 for part in packer.powers(own):
@@ -165,25 +169,42 @@ def pack_documents(
 
 
 def pack_examples(examples: DataFrame, limits: tuple[int, int, int] = (1024, 16, 512)) -> DataFrame:
-    """Instruction data: whole examples (id, n_tokens, n_segments, n_loss) placed uncut. Gives id, sequence_id, offset."""
+    """Instruction data: whole examples (id, n_tokens, n_segments, n_loss) placed uncut. Gives id, sequence_id, offset, over.
+
+    Null and negative numbers count as 0. An example beyond a limit is neither cut nor dropped: it has a sequence to
+    itself, with over = true. Rows that share an id, or have none, are examples of their own. Other columns are left out."""
+    own_limits = np.array(limits, float)
 
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         packer, number = Packer(limits, may_cut=False), TaskContext.get().partitionId() << 40
 
-        def rows(sequences: Iterator[list[Item]]) -> pd.DataFrame:
+        def rows(sequences: Iterator[list[Item]], over: bool = False) -> Iterator[tuple]:
             nonlocal number
-            out = []
             for own in sequences:
                 at = 0
                 for x in own:
-                    out.append((x.data, number, at))
+                    yield x.data, number, at, over
                     at += x.tokens
                 number += 1
-            return pd.DataFrame(out, columns=["id", "sequence_id", "offset"])
 
-        for frame in frames:
-            cells = frame[["id", "n_tokens", "n_segments", "n_loss"]].itertuples(index=False)
-            yield rows(own for x in cells for own in packer.add(Item(int(x[1]), int(x[3]), x[0], segments=int(x[2]))))
-        yield rows(packer.finish())
+        def table(found: list[tuple]) -> pd.DataFrame:
+            out = pd.DataFrame(found, columns=["id", "sequence_id", "offset", "over"])
+            return out.astype({"sequence_id": "int64", "offset": "int64", "over": "bool"})
 
-    return examples.select("id", "n_tokens", "n_segments", "n_loss").mapInPandas(work, "id long, sequence_id long, offset long")
+        for frame in frames:
+            found = []
+            for id_, tokens, segments, loss in frame.itertuples(index=False):
+                item = Item(int(tokens), int(loss), None if pd.isna(id_) else id_, segments=int(segments))
+                if (np.array([item.tokens, item.segments, item.loss]) > own_limits).any():
+                    found += rows([[item]], True)
+                elif item.tokens:
+                    found += rows(packer.add(item))
+                else:  # nothing to place: a sequence of no tokens
+                    found += rows([[item]])
+            yield table(found)
+        yield table(list(rows(packer.finish())))
+
+    number = lambda c: F.greatest(F.lit(0), F.coalesce(F.col(c).cast("long"), F.lit(0))).alias(c)
+    rows = examples.select(F.col("id").cast("string").alias("id"), *map(number, ("n_tokens", "n_segments", "n_loss")))
+    kind = dict(examples.dtypes)["id"]
+    return rows.mapInPandas(work, "id string, sequence_id long, offset long, over boolean").withColumn("id", F.col("id").cast(kind))
