@@ -39,7 +39,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffixdedup.dedup_suffixes(spark, documents(spark, sf_dir).select("doc_id", "text"), length=400)
-    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), "n_passage_words")
 
 
 def op4_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,11 +1,14 @@
 """Removal of repeated byte strings by a distributed merge sort of suffixes that knows common prefixes.
 
-A string of `length` bytes that starts in two places is found through sampled suffixes. Over every window of WINDOW
-grams of GRAM bytes the one of least hash is an anchor; two equal strings have the same least gram, so they share an
-anchor, and each possible start belongs to one anchor: the starts whose first window has that least gram. What follows an
-anchor, up to the end of its last string, is its suffix; what precedes it, back to its first start, is its left context.
+A string of `length` units that starts in two places is found through sampled suffixes. Over every window of grams the one
+of least hash is an anchor; two equal strings have the same least gram, so they share an anchor, and each possible start
+belongs to one anchor: the starts whose first window has that least gram. What follows an anchor, up to the end of its
+last string, is its suffix; what precedes it, back to its first start, is its left context.
 
-1. One pass finds the anchors. Anchors whose first `length - WINDOW + 1` bytes occur once cannot lie in a repeat; they go
+One run serves two kinds of units: bytes (what is removed) and words as 32-bit hashes (passages of many words, which may
+be shorter in bytes; they are counted and nothing is removed for them).
+
+1. One pass finds the anchors. Anchors whose first `length - window + 1` units occur once cannot lie in a repeat; they go
    after a count by key with map-side sums.
 2. For the rest, each task sorts suffixes into runs, one per bucket of that key, equal entries as one, and sends
    them front-coded: the length of the prefix shared with the entry before, and the rest.
@@ -15,11 +18,15 @@ anchor, up to the end of its last string, is its suffix; what precedes it, back
    larger, kept in order of left contexts; an entry's neighbours there are its longest matches to the left. For each
    entry this gives the first and last start of a repeated string, so a group of n entries takes n log n steps
    and no pair is left out.
+5. A key of more than `hot` anchors (a text in very many documents) goes to no bucket. Its strings are counted
+   one by one, by 128-bit hashes with map-side sums, which spreads over all tasks whatever the key's size.
 
-Matches are exact: contexts are compared byte by byte, hashes only choose candidates.
+Matches in buckets are exact: contexts are compared unit by unit, hashes only choose candidates.
 
 Defined cases: null text is empty. Texts shorter than `length` keep all bytes. Rows that share a doc_id are separate
-documents. Cuts may split a character; the rest is bytes, not text. An empty table gives an empty result.
+documents, a null doc_id stays null, and repeated rows are copies of each other. Cuts may split a character; the rest is
+bytes, not text. A very long text is read whole, in blocks. Other columns, whatever their names, are left out. An empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,28 +34,56 @@ from __future__ import annotations
 import hashlib
 from bisect import bisect_left
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import NO_ID, Scratch
-from .setsketch import _powers, mix64
+from .common import NO_ID, Scratch, by_key
+from .setsketch import _powers, mix64, word_hashes
 
 U = np.uint64
-GRAM, WINDOW = 32, 256
 PLACE_BITS = 22
 
 
-def anchors(data: bytes, length: int, gram: int = GRAM, window: int = WINDOW, block: int = 1 << 20) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Per anchor: key (hash of its first length - window + 1 bytes), place, and how far before it its first and last
-    start lie. gram and window are powers of two."""
-    n_starts, need = len(data) - length + 1, length - window + 1
+@dataclass(frozen=True)
+class Kind:
+    """Strings of `length` units of `unit` bytes; gram and window, in units, are powers of two."""
+
+    code: int
+    unit: int
+    length: int
+    gram: int
+    window: int
+
+    @property
+    def need(self) -> int:
+        """Units after an anchor that all its strings hold."""
+        return self.length - self.window + 1
+
+    def units(self, data: bytes) -> np.ndarray:
+        """A text's bytes as units."""
+        return np.frombuffer(data, np.uint8) if self.unit == 1 else word_hashes(data)[1].astype(np.uint32)
+
+
+def byte_kind(length: int) -> Kind:
+    return Kind(0, 1, length, 32, 256)
+
+
+def word_kind(length: int) -> Kind:
+    return Kind(1, 4, length, 8, 32)
+
+
+def anchors(units: np.ndarray, kind: Kind, block: int = 1 << 20) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Per anchor: key (hash of its first kind.need units), place, and how far before it its first and last start lie."""
+    length, gram, window, need = kind.length, kind.gram, kind.window, kind.need
+    n_starts = len(units) - length + 1
     parts = []
     for at in range(0, max(0, n_starts), block):
         starts = min(block, n_starts - at)
-        a = np.frombuffer(data, np.uint8)[at : at + starts + length - 1]
+        a = units[at : at + starts + length - 1]
         h = mix64(a.astype(U) + U(1))
         step = 1
         while step < gram:
@@ -65,13 +100,22 @@ def anchors(data: bytes, length: int, gram: int = GRAM, window: int = WINDOW, bl
         p = place[first]
         up, down = _powers(1 << max(16, len(a).bit_length()))
         total = np.concatenate([np.zeros(1, U), np.cumsum((a.astype(U) + U(1)) * up[: len(a)], dtype=U)])
-        key = mix64((total[p + need] - total[p]) * down[p])
+        key = mix64((total[p + need] - total[p]) * down[p] + U(kind.code))
         parts.append((key, p + at, p - first, p - last))
     if not parts:
         return (np.zeros(0, U), *(np.zeros(0, np.int64) for _ in range(3)))
     return tuple(np.concatenate(c) for c in zip(*parts, strict=True))
 
 
+#: A spot packs an anchor's place, kind and its first and last start.
+def pack_spots(kind: Kind, place: np.ndarray, far: np.ndarray, near: np.ndarray) -> np.ndarray:
+    return place << 19 | kind.code << 18 | far << 9 | near
+
+
+def unpack_spot(s: int) -> tuple[int, int, int, int]:
+    return s >> 18 & 1, s >> 19, s >> 9 & 511, s & 511
+
+
 def shared(a: bytes, b: bytes, at: int = 0) -> int:
     """Length of the common prefix, that of `at` bytes being known."""
     n = min(len(a), len(b))
@@ -150,16 +194,17 @@ def _play(heads: list, lost: list, node: int, run: int, h: int) -> tuple[int, in
     return other, g
 
 
-def repeated_starts(common: list[int], rights: list[bytes], lefts: list[bytes], times: list[int], length: int) -> list[tuple[int, int] | None]:
-    """For entries in suffix order, common[i] being the prefix that i shares with i - 1: how far before the anchor the
-    first and the last start of a repeated string lie; None if there is none. times: occurrences of the very entry."""
+def repeated_starts(common: list[int], rights: list[bytes], lefts: list[bytes], times: list[int], length: int, unit: int = 1) -> list[tuple[int, int] | None]:
+    """For entries in suffix order, common[i] being the prefix (in bytes) that i shares with i - 1: how far, in units,
+    before the anchor the first and the last start of a repeated string lie; None if there is none. times: occurrences of
+    the very entry."""
     n = len(rights)
-    far = [len(x) for x in lefts]
-    near = [length - len(x) for x in rights]
+    far = [len(x) // unit for x in lefts]
+    near = [length - len(x) // unit for x in rights]
     best: list[list[int] | None] = [[far[i], near[i]] if times[i] > 1 else None for i in range(n)]
 
     def meet(i: int, right: int, left: int) -> None:
-        lo, hi = max(length - right, near[i]), min(left, far[i])
+        lo, hi = max(length - right // unit, near[i]), min(left // unit, far[i])
         if lo <= hi:
             if best[i] is None:
                 best[i] = [hi, lo]
@@ -197,53 +242,64 @@ def repeated_starts(common: list[int], rights: list[bytes], lefts: list[bytes],
     return [tuple(x) if x else None for x in best]
 
 
-def _anchor_table(docs: DataFrame, length: int) -> DataFrame:
+def _anchor_table(docs: DataFrame, kinds: tuple[Kind, ...]) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, spots = [], []
             for t in batch.column(2):
-                key, place, far, near = anchors(t.as_py().encode(), length)
-                keys.append(key.astype(np.int64))
-                spots.append(place << 18 | far << 9 | near)
-            kinds = [pa.array(x, pa.list_(pa.int64())) for x in (keys, spots)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *kinds], names=["doc", "th", "keys", "spots"])
+                data, k, s = t.as_py().encode(), [], []
+                for kind in kinds:
+                    key, place, far, near = anchors(kind.units(data), kind)
+                    k.append(key.astype(np.int64))
+                    s.append(pack_spots(kind, place, far, near))
+                keys.append(np.concatenate(k))
+                spots.append(np.concatenate(s))
+            lists = [pa.array(x, pa.list_(pa.int64())) for x in (keys, spots)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *lists], names=["doc", "th", "keys", "spots"])
 
     return docs.mapInArrow(work, "doc long, th long, keys array<long>, spots array<long>")
 
 
-RUN = "bucket int, heads binary, body binary, times binary, docs binary"
+RUN = "bucket int, kind int, heads binary, body binary, times binary, docs binary"
 
 
-def _runs(texts: DataFrame, length: int, n_buckets: int, most: int = 50_000) -> DataFrame:
+def _runs(texts: DataFrame, kinds: tuple[Kind, ...], n_buckets: int, most: int = 50_000) -> DataFrame:
     """Front-coded sorted runs of the suffixes at each text's spots. texts: doc, th, t, spots."""
-    need = length - WINDOW + 1
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[bytes, bytes], list[int]] = {}
+        held: dict[tuple[int, bytes, bytes], list[int]] = {}
         count = 0
 
         def out() -> Iterator[pa.RecordBatch]:
-            by: dict[int, list[tuple[bytes, bytes]]] = {}
-            for e in held:
-                by.setdefault(int.from_bytes(hashlib.blake2b(e[0][:need], digest_size=6).digest()) % n_buckets, []).append(e)
+            by: dict[tuple[int, int], list[tuple[bytes, bytes]]] = {}
+            for code, r, left in held:
+                kind = kinds[code]
+                bucket = int.from_bytes(hashlib.blake2b(r[: kind.need * kind.unit], digest_size=6).digest()) % n_buckets
+                by.setdefault((bucket, code), []).append((r, left))
             rows = []
-            for bucket, entries in by.items():
+            for (bucket, code), entries in by.items():
                 entries.sort()
                 heads, body = front_code(entries)
-                where = [held[e] for e in entries]
+                where = [held[(code, *e)] for e in entries]
                 flat = [x for w in where for x in w]
-                rows.append((bucket, heads.tobytes(), body, np.array([len(w) // 3 for w in where], "<u4").tobytes(), np.array(flat, "<i8").tobytes()))
+                rows.append((bucket, code, heads.tobytes(), body, np.array([len(w) // 3 for w in where], "<u4").tobytes(), np.array(flat, "<i8").tobytes()))
             held.clear()
             for at in range(0, len(rows), 64):
                 cols = list(zip(*rows[at : at + 64], strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *(pa.array(c, pa.binary()) for c in cols[1:])], names=["bucket", "heads", "body", "times", "docs"])
+                yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int32()) for c in cols[:2]), *(pa.array(c, pa.binary()) for c in cols[2:])], names=["bucket", "kind", "heads", "body", "times", "docs"])
 
         for batch in batches:
             for doc, th, t, spots in zip(*(batch.column(i) for i in range(4)), strict=True):
-                data, d, h = t.as_py().encode(), doc.as_py(), th.as_py()
+                raw, d, h, by_code = t.as_py().encode(), doc.as_py(), th.as_py(), {}
                 for s in spots.as_py():
-                    p, far, near = s >> 18, s >> 9 & 511, s & 511
-                    held.setdefault((data[p : p + length - near], data[p - far : p][::-1]), []).extend((d, h, p))
+                    code, p, far, near = unpack_spot(s)
+                    kind = kinds[code]
+                    if code not in by_code:
+                        units = kind.units(raw)
+                        by_code[code] = units.tobytes(), units[::-1].tobytes(), len(units)
+                    data, back, n = by_code[code]
+                    u = kind.unit
+                    held.setdefault((code, data[u * p : u * (p + kind.length - near)], back[u * (n - p) : u * (n - p + far)]), []).extend((d, h, p))
                     count += 1
                 if count >= most:
                     yield from out()
@@ -254,11 +310,15 @@ def _runs(texts: DataFrame, length: int, n_buckets: int, most: int = 50_000) ->
     return texts.mapInArrow(work, RUN)
 
 
-def _merged(runs: DataFrame, length: int) -> DataFrame:
-    """doc, th, lo, hi: bytes covered by repeated strings, overlaps included."""
-    need = length - WINDOW + 1
+SPAN = "doc long, th long, kind int, lo long, hi long"
+
+
+def _merged(runs: DataFrame, kinds: tuple[Kind, ...]) -> DataFrame:
+    """SPAN: units covered by repeated strings, overlaps included."""
+
+    def solve(code: int, rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+        kind = kinds[code]
 
-    def solve(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
         def run(heads: bytes, body: bytes, times: bytes, docs: bytes) -> Iterator[tuple[int, bytes, bytes, object]]:
             n, d, at = np.frombuffer(times, "<u4").tolist(), np.frombuffer(docs, "<i8"), 0
             for (k, r, left), m in zip(decoded(np.frombuffer(heads, "<u2").reshape(-1, 3), body), n, strict=True):
@@ -271,48 +331,88 @@ def _merged(runs: DataFrame, length: int) -> DataFrame:
             times = [len(x[3]) // 3 for x in group]
             if len(group) == 1 and times[0] == 1:
                 return
-            for x, span in zip(group, repeated_starts([x[0] for x in group], [x[1] for x in group], [x[2] for x in group], times, length), strict=True):
+            starts = repeated_starts([x[0] for x in group], [x[1] for x in group], [x[2] for x in group], times, kind.length, kind.unit)
+            for x, span in zip(group, starts, strict=True):
                 if span:
                     w = x[3].reshape(-1, 3)
-                    found.append(np.stack([w[:, 0], w[:, 1], w[:, 2] - span[0], w[:, 2] - span[1] + length]))
+                    found.append(np.stack([w[:, 0], w[:, 1], w[:, 2] - span[0], w[:, 2] - span[1] + kind.length]))
 
         group: list[tuple] = []
         for x in merge([run(*r) for r in rows]):
-            if group and x[0] < need:
+            if group and x[0] < kind.need * kind.unit:
                 close(group)
                 group = []
             group.append(x)
         if group:
             close(group)
         if found:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in np.concatenate(found, axis=1)], names=["doc", "th", "lo", "hi"])
+            doc, th, lo, hi = (pa.array(c, pa.int64()) for c in np.concatenate(found, axis=1))
+            yield pa.RecordBatch.from_arrays([doc, th, pa.array([code] * len(doc), pa.int32()), lo, hi], names=["doc", "th", "kind", "lo", "hi"])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, now = [], None
         for batch in batches:
-            for bucket, *rest in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if rows and bucket != now:
-                    yield from solve(rows)
+            for bucket, code, *rest in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if rows and (bucket, code) != now:
+                    yield from solve(now[1], rows)
                     rows = []
-                now = bucket
+                now = bucket, code
                 rows.append(tuple(rest))
         if rows:
-            yield from solve(rows)
+            yield from solve(now[1], rows)
+
+    return runs.repartition("bucket").sortWithinPartitions("bucket", "kind").mapInArrow(work, SPAN)
 
-    return runs.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(work, "doc long, th long, lo long, hi long")
 
+def _strings(texts: DataFrame, kinds: tuple[Kind, ...]) -> DataFrame:
+    """Each string that starts near a hot spot: h1, h2, kind, doc, th, lo. texts: doc, th, t, hot (spots)."""
 
-def repeats(spark: SparkSession, docs: DataFrame, length: int = 400, per_bucket: int = 10_000) -> DataFrame:
-    """doc, th, spans: per text with repeats, the byte ranges that they cover. docs: doc, th, t."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for doc, th, t, spots in zip(*(batch.column(i) for i in range(4)), strict=True):
+                raw = t.as_py().encode()
+                for kind in kinds:
+                    own = [x[1:] for x in map(unpack_spot, spots.as_py()) if x[0] == kind.code]
+                    if not own:
+                        continue
+                    units = kind.units(raw).astype(U) + U(1)
+                    starts = np.unique(np.concatenate([np.arange(p - far, p - near + 1) for p, far, near in own]))
+                    up, down = _powers(1 << max(16, len(units).bit_length()))
+                    hashes = []
+                    for mixed in (units, mix64(units)):
+                        total = np.concatenate([np.zeros(1, U), np.cumsum(mixed * up[: len(units)], dtype=U)])
+                        hashes.append(mix64((total[starts + kind.length] - total[starts]) * down[starts] + U(kind.code)).astype(np.int64))
+                    n = len(starts)
+                    same = [pa.array([x] * n, pa.int64()) for x in (doc.as_py(), th.as_py())]
+                    yield pa.RecordBatch.from_arrays([*map(pa.array, hashes), pa.array([kind.code] * n, pa.int32()), *same, pa.array(starts)], names=["h1", "h2", "kind", "doc", "th", "lo"])
+
+    return texts.mapInArrow(work, "h1 long, h2 long, kind int, doc long, th long, lo long")
+
+
+def repeats(spark: SparkSession, docs: DataFrame, kinds: tuple[Kind, ...], per_bucket: int = 10_000, hot: int = 100_000) -> DataFrame:
+    """doc, th, spans: per text with repeats, the ranges that they cover by kind. docs: doc, th, t."""
     scratch = Scratch(spark, "suffix")
-    table = scratch.put("anchors", _anchor_table(docs, length), codec="none").withColumn("rid", F.struct("doc", "th"))
-    twice = table.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    table = scratch.put("anchors", _anchor_table(docs, kinds), codec="none")
+    counts = table.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    twice = scratch.put("twice", counts, codec="none")
+    total = twice.agg(F.sum("n")).first()[0] or 0
     each = table.select("doc", "th", F.inline(F.arrays_zip("keys", "spots"))).withColumnRenamed("keys", "key")
-    spots = scratch.put("spots", each.join(twice, "key").groupBy("doc", "th").agg(F.sort_array(F.collect_set("spots")).alias("spots")))
-    n = spots.agg(F.sum(F.size("spots"))).first()[0] or 0
-    texts = docs.join(spots.hint("shuffle_hash"), ["doc", "th"]).select("doc", "th", "t", "spots")
-    found = _merged(_runs(texts, length, max(1, n // per_bucket)), length)
-    return scratch.put("spans", found.groupBy("doc", "th").agg(F.collect_list(F.struct("lo", "hi")).alias("spans")))
+    some = by_key(each, twice, ["key"], "n", total).groupBy("doc", "th")
+    of = lambda c: F.sort_array(F.collect_set(F.when(c, F.col("spots"))))
+    spots = scratch.put("spots", some.agg(of(F.col("n") <= hot).alias("spots"), of(F.col("n") > hot).alias("hot")))
+    scratch.drop("anchors", "twice")
+    n, n_hot = spots.agg(F.sum(F.size("spots")), F.sum(F.size("hot"))).first()
+    with_text = lambda which: docs.join(spots.where(F.size(which) > 0).select("doc", "th", which).hint("shuffle_hash"), ["doc", "th"]).select("doc", "th", "t", which)
+    found = _merged(_runs(with_text("spots"), kinds, max(1, (n or 0) // per_bucket)), kinds)
+    if n_hot:
+        strings = scratch.put("strings", _strings(with_text("hot"), kinds), codec="none")
+        again = scratch.put("again", strings.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), codec="none")
+        size = F.get(F.array(*[F.lit(k.length) for k in kinds]), F.col("kind"))
+        hits = by_key(strings, again, ["h1", "h2"], "n", again.agg(F.sum("n")).first()[0] or 0)
+        found = found.unionByName(hits.select("doc", "th", "kind", "lo", (F.col("lo") + size).alias("hi")))
+    spans = scratch.put("spans", found.groupBy("doc", "th").agg(F.collect_list(F.struct("kind", "lo", "hi")).alias("spans")))
+    scratch.drop("spots", "strings", "again")
+    return spans
 
 
 def covered(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -326,21 +426,26 @@ def covered(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [tuple(x) for x in out]
 
 
-def dedup_suffixes(spark: SparkSession, docs: DataFrame, length: int = 400) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept (the remaining bytes), one row per row of docs (doc_id, text)."""
+def dedup_suffixes(spark: SparkSession, docs: DataFrame, length: int = 400, passage: int = 51, hot: int = 100_000) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept (the remaining bytes), n_passage_words, one row per row of docs (doc_id,
+    text). n_passage_words: the words covered by a run of `passage` words that starts anywhere else too (words as equal
+    bytes between white space), whatever its bytes; bytes are removed for `length` alone."""
     text = F.coalesce("text", F.lit(""))
     own = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).cast("long").alias("doc"), F.xxhash64(text).alias("th"), text.alias("t"))
-    spans = repeats(spark, own, length)
+    spans = repeats(spark, own, (byte_kind(length), word_kind(passage)), hot=hot)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for t, found in zip(batch.column(1), batch.column(2), strict=True):
-                data, ranges = t.as_py().encode(), covered([(x["lo"], x["hi"]) for x in found.as_py() or []])
+                data, spans = t.as_py().encode(), found.as_py() or []
+                ranges, words = (covered([(x["lo"], x["hi"]) for x in spans if x["kind"] == code]) for code in (0, 1))
                 cuts = [0, *(x for r in ranges for x in r), len(data)]
-                rows.append((len(data), sum(b - a for a, b in ranges), len(ranges), b"".join(data[a:b] for a, b in zip(cuts[::2], cuts[1::2], strict=True))))
-            cols = list(zip(*rows, strict=True)) or [[]] * 4
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.int64()) for c in cols[:3]), pa.array(cols[3], pa.binary())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
+                kept = b"".join(data[a:b] for a, b in zip(cuts[::2], cuts[1::2], strict=True))
+                rows.append((len(data), sum(b - a for a, b in ranges), len(ranges), kept, sum(b - a for a, b in words)))
+            cols = list(zip(*rows, strict=True)) or [[]] * 5
+            kinds = [pa.int64()] * 3 + [pa.binary(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "n_passage_words"])
 
     both = own.join(spans.hint("shuffle_hash"), ["doc", "th"], "left").select(F.when(F.col("doc") != NO_ID, F.col("doc")).alias("doc_id"), "t", "spans")
-    return both.mapInArrow(work, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    return both.mapInArrow(work, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, n_passage_words long")
