@@ -9,8 +9,9 @@ Words are hashed, sorted and counted inside the row; only the least a of each sa
 31 bits of its logarithm above the hash of (word, t), so that one minimum of longs finds both.
 
 Defined cases: null text is empty. A text without words has the empty fingerprint, which is like (1) itself and unlike
-(0) all others. A null doc_id comes after all others. Rows that share a doc_id follow each other by their text hashes.
-An empty table gives an empty result.
+(0) all others. A null doc_id comes after all others. Rows that share a doc_id follow each other by their text hashes, and
+equal rows stay apart. Any 64-bit ids do. Texts of any length are read whole. Other columns, whatever their names, are left
+out. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import NO_ID, Scratch
+from .common import Scratch
 from .quality import let, words_of
 
 SAMPLES, AT_ONCE = 32, 4
@@ -82,35 +83,75 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when((F.size(a) == 0) & (F.size(b) == 0), 1.0).when((F.size(a) == 0) | (F.size(b) == 0), 0.0).otherwise(same / float(SAMPLES))
 
 
-#: Ranges of ids at most; their first documents' ids are broadcast (16 bytes each).
+#: Ranges of a cut at most; a cut's ranges, or the heavy ones among them, are broadcast (some 60 bytes each).
 MAX_CELLS = 500_000
 
 
-def with_next(docs: DataFrame, rows_per_cell: int = 2000) -> DataFrame:
-    """doc_id, text, cell, rn, next_cell, next_rn, next_text: each document with its follower in descending doc_id order,
-    the first after the last. Ranges of ids are sorted apart; a range's last document gets the first of the next range
-    that has any. The result stays partitioned by cell."""
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    n, lo, hi = docs.agg(F.count(F.lit(1)), F.min("doc_id"), F.max("doc_id")).first()
-    width = 1 if lo is None else max(1, -(-(hi - lo + 1) // min(MAX_CELLS, -(-n // rows_per_cell))))
-    cell = F.when(F.col("doc_id").isNull(), F.lit(NO_ID)).otherwise(F.expr(f"doc_id div {width}L"))
-    base = base.withColumn("cell", cell)
-    order = [F.col("doc_id").desc_nulls_last(), F.xxhash64("text"), F.col("text")]
-    by = Window.partitionBy("cell").orderBy(*order)
-    # one row per range
-    tops = docs.select(F.col("doc_id").cast("long").alias("doc_id")).groupBy(cell.alias("cell")).agg(F.max("doc_id").alias("top"))
+def cells(docs: DataFrame, rows_per_cell: int = 2000, most_cuts: int = 16) -> tuple[DataFrame, list[str], DataFrame]:
+    """docs (doc_id, h, ...) with columns at0, at1, ...: ranges of ascending (doc_id, descending h) of bounded size, nulls
+    below all; the names of these columns; and one row per range with its number of rows, n.
+
+    The ids are cut into ranges of equal width. Ranges that got many rows all the same are cut again, each between its own
+    least and greatest id, until none is left; one of a single id is cut by hashes. So outlying ids, gaps and ids of very
+    many rows change the number of cuts, not the size of a range."""
+    big = "decimal(20,0)"
+    heavy_rows = 4 * rows_per_cell
+    ids = docs.select("doc_id", "h")
+    names: list[str] = []
+    groups = ids.agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.max(F.col("doc_id").isNull()).alias("none"))
+
+    def cut(rows: DataFrame, ranges: DataFrame, name: str) -> DataFrame:
+        """rows of ranges (names, lo, hi, parts) numbered by their place within; other rows get 0."""
+        met = rows.join(F.broadcast(ranges), names, "left") if names else rows.join(F.broadcast(ranges))
+        # a range of several ids is cut by ids, nulls first; one of a single id by hashes, the greatest first
+        span = F.greatest(F.col("hi").cast(big) - F.col("lo").cast(big) + 1, F.lit(1).cast(big))
+        by_id = F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(F.floor((F.col("doc_id").cast(big) - F.col("lo").cast(big)) * F.col("parts").cast("decimal(10,0)") / span))
+        turned = F.bitwise_not("h").cast("double") / 2.0**64 + 0.5
+        by_hash = F.least(F.floor(turned * F.col("parts")), F.col("parts") - 1)
+        place = F.when(F.col("parts").isNull(), F.lit(0)).when(F.col("one"), by_hash).otherwise(by_id)
+        return met.withColumn(name, place.cast("long")).drop("lo", "hi", "parts", "one")
+
+    # a small table is cut finer, for all tasks to have some
+    spread = F.least(F.floor(F.col("n") / 50), F.lit(4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    found = groups.select("lo", "hi", F.lit(False).alias("one"), F.greatest(F.lit(1), F.least(F.lit(MAX_CELLS), F.greatest(F.ceil(F.col("n") / rows_per_cell), spread))).alias("parts"))
+    per = None
+    for i in range(most_cuts):
+        name = f"at{i}"
+        docs, ids = cut(docs, found, name), cut(ids, found, name)
+        names.append(name)
+        per = ids.groupBy(*names).agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count_distinct("h").alias("hashes"))
+        one = F.col("lo").eqNullSafe(F.col("hi"))
+        # rows equal in id and hash are one text again and again: no order parts them
+        wide = per.where((F.col("n") > heavy_rows) & (~one | (F.col("hashes") > 1)))
+        again = wide.select(*names, "lo", "hi", one.alias("one"), F.ceil(F.col("n") / rows_per_cell).alias("parts"))
+        if not again.take(1):
+            break
+        found = again
+    return docs, names, per
+
+
+def with_next(docs: DataFrame, rows_per_cell: int = 2000) -> tuple[DataFrame, list[str]]:
+    """doc_id, text, rn, next_*, next_rn, next_text and the columns of its range: each document with its follower in
+    descending doc_id order, the first after the last; and the names of the range's columns. Ranges are sorted apart; a
+    range's last document gets the first of the next range. The result stays partitioned by range."""
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
+    base, names, _ = cells(base, rows_per_cell)
+    by = Window.partitionBy(*names).orderBy(F.col("doc_id").desc_nulls_last(), "h", "text")
+    cell = F.struct(*names)
+    # one row per range: its first document
+    first = F.max(F.struct(F.col("doc_id").isNotNull().alias("a"), "doc_id", F.bitwise_not("h").alias("nh")))
+    tops = base.groupBy(*names).agg(first.alias("top")).withColumn("cell", cell)
     down = Window.orderBy(F.desc("cell"))
     tops = tops.withColumn("up", F.coalesce(F.lag("cell").over(down), F.min("cell").over(Window.partitionBy())))
-    tops = tops.select(F.col("cell").alias("c"), "top", "up")
-    heads = base.join(F.broadcast(tops), (F.col("cell") == F.col("c")) & F.col("doc_id").eqNullSafe(F.col("top")))
-    heads = heads.groupBy(F.col("up").alias("cell")).agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text", "c")).alias("head"))
-    heads = heads.select("cell", F.col("head.text").alias("head"), F.col("head.c").alias("head_cell"))
-    own = base.select("*", F.row_number().over(by).alias("rn"), F.lead("text").over(by).alias("lead")).join(heads, "cell")
+    heads = base.join(F.broadcast(tops), names).where(F.col("doc_id").eqNullSafe(F.col("top.doc_id")) & (F.bitwise_not("h") == F.col("top.nh")))
+    heads = heads.groupBy("up").agg(F.min(F.struct("text", "cell")).alias("head"))
+    heads = heads.select(*[F.col(f"up.{c}").alias(c) for c in names], F.col("head.text").alias("head"), F.col("head.cell").alias("head_cell"))
+    own = base.select("*", F.row_number().over(by).alias("rn"), F.lead("text").over(by).alias("lead")).join(heads, names)
     last = F.col("lead").isNull()
     return own.select(
-        "doc_id", "text", "cell", "rn", F.when(last, F.col("head_cell")).otherwise(F.col("cell")).alias("next_cell"),
+        "doc_id", "text", *names, "rn", *[F.when(last, F.col(f"head_cell.{c}")).otherwise(F.col(c)).alias(f"next_{c}") for c in names],
         F.when(last, 1).otherwise(F.col("rn") + 1).alias("next_rn"), F.coalesce("lead", "head").alias("next_text"),
-    )
+    ), names
 
 
 def edited_pairs(spark: SparkSession, docs: DataFrame) -> DataFrame:
@@ -119,14 +160,16 @@ def edited_pairs(spark: SparkSession, docs: DataFrame) -> DataFrame:
     n = F.char_length("text")
     half = F.expr("cast(floor(char_length(text) / 2) as int)")
     edited = F.concat(F.left("text", n - half), F.left("next_text", half))
-    info = F.struct("next_cell", "next_rn", "doc_id", n.cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"))
-    own = with_next(docs).withColumn("edited", edited).select("cell", "rn", info.alias("info"), F.array("text", "edited").alias("sides"))
-    # grouped by cell and more: what a cell's task makes is summed there, without an exchange
-    fps = scratch.put("fps", fingerprints(own, ["cell", "rn"]), codec="none")
-    mine = fps.where("side = 0").select("cell", "rn", "info.*", "fp")
-    changed = fps.where("side = 1").select("cell", "rn", F.col("fp").alias("efp"))
-    following = fps.where("side = 0").select(F.col("cell").alias("next_cell"), F.col("rn").alias("next_rn"), F.col("fp").alias("nfp"))
-    out = mine.join(changed, ["cell", "rn"]).join(following, ["next_cell", "next_rn"])
+    docs, names = with_next(docs)
+    ahead = [f"next_{c}" for c in names]
+    info = F.struct(*ahead, "next_rn", "doc_id", n.cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"))
+    own = docs.withColumn("edited", edited).select(*names, "rn", info.alias("info"), F.array("text", "edited").alias("sides"))
+    # grouped by range and more: what a range's task makes is summed there, without an exchange
+    fps = scratch.put("fps", fingerprints(own, [*names, "rn"]), codec="none")
+    mine = fps.where("side = 0").select(*names, "rn", "info.*", "fp")
+    changed = fps.where("side = 1").select(*names, "rn", F.col("fp").alias("efp"))
+    following = fps.where("side = 0").select(*[F.col(c).alias(f"next_{c}") for c in names], F.col("rn").alias("next_rn"), F.col("fp").alias("nfp"))
+    out = mine.join(changed, [*names, "rn"]).join(following, [*ahead, "next_rn"])
     return out.select(
         "doc_id", "n_chars", "edited_sha256", as_hex(F.col("fp")).alias("fingerprint"), as_hex(F.col("efp")).alias("edited_fingerprint"),
         likeness(F.col("fp"), F.col("efp")).alias("near_edited"), likeness(F.col("fp"), F.col("nfp")).alias("near_next"),

@@ -9,8 +9,10 @@ Training: word counts of up to `docs_per_lang` labelled documents of each langua
 most frequent words, are the bounded sample; piece probabilities are fitted to them by expectation-maximisation with
 the same lattice. Everything is scored over whole texts.
 
-Defined cases: text null or without letters gives `und` and score 0. A training set without labels gives `und` for
-all. Ties go to the language first by code point. An empty table gives an empty result.
+Defined cases: text null or without letters (number characters such as ½ are none) gives `und` and score 0. A training set
+without labels gives `und` for all. Ties go to the language first by code point. Rows are scored one by one, so repeated
+rows and null ids are like any other; in training, rows that share a doc_id are chosen together. Texts of any length are
+read whole. Input columns named lang_pred or score are replaced; all others stay. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,7 +31,9 @@ from pyspark.sql import functions as F
 from .common import keep_only, kept
 
 UND = "und"
-WORDS = re.compile(r"[^\W\d_]+")
+#: What Python's \\w takes beyond letters, decimals and the underscore: fractions, superscripts, letter-like numerals.
+_NUMBERS = "".join(c for c in map(chr, range(0x110000)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
+WORDS = re.compile(rf"[^\W\d_{_NUMBERS}]+")
 START = "▁"  # the vocabulary's mark for a word's start
 
 
@@ -40,7 +44,8 @@ def default_vocabulary() -> str:
 
 
 def read_pieces(path: str, longest: int = 16) -> list[str]:
-    """The vocabulary's pieces of letters (and START), in order of their ids."""
+    """The vocabulary's pieces of letters (and START), in order of their ids. Others cannot occur in a word; longer ones
+    than `longest` are left to their parts."""
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -135,11 +140,19 @@ def fit(pieces: list[str], samples: dict[str, dict[str, int]], rounds: int = 4,
     return langs, np.stack(columns, axis=1) if columns else np.zeros((len(pieces) + 1, 0))
 
 
-def training_words(docs: DataFrame, docs_per_lang: int = 400, words_per_lang: int = 20_000, seed: int = 5) -> dict[str, dict[str, int]]:
+def training_words(spark: SparkSession, docs: DataFrame, docs_per_lang: int = 400, words_per_lang: int = 20_000, seed: int = 5, max_langs: int = 1000) -> dict[str, dict[str, int]]:
     """The bounded sample: word counts by language. Documents and words are chosen and counted on the executors."""
     labelled = docs.where("lang is not null and text is not null")
-    pick = Window.partitionBy("lang").orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id")
-    chosen = labelled.select("lang", "doc_id").withColumn("n", F.row_number().over(pick)).where(F.col("n") <= docs_per_lang).select("lang", "doc_id").distinct()
+    sizes = labelled.groupBy("lang").count().limit(max_langs + 1).collect()
+    if len(sizes) > max_langs:
+        raise ValueError(f"more than {max_langs} languages")
+    # of each language the documents of least hash, about twice as many as wanted, are ranked: some rows in all
+    shares = [(r["lang"], min(1.0, (2 * docs_per_lang + 100) / r["count"])) for r in sizes]
+    limits = spark.createDataFrame(shares, "lang string, share double")
+    h = F.xxhash64(F.lit(seed), "doc_id")
+    pick = Window.partitionBy("lang").orderBy(h, "doc_id")
+    near = labelled.select("lang", "doc_id").join(F.broadcast(limits), "lang").where((h.cast("double") / 2.0**64 + 0.5) <= F.col("share"))
+    chosen = near.select("lang", "doc_id").withColumn("n", F.row_number().over(pick)).where(F.col("n") <= docs_per_lang).select("lang", "doc_id").distinct()
     texts = labelled.join(F.broadcast(chosen), ["lang", "doc_id"])  # at most docs_per_lang ids a language
     words = texts.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))).alias("w"))
     counts = words.groupBy("lang", "w").agg(F.count(F.lit(1)).alias("c"))
@@ -197,12 +210,13 @@ kept("langid", scorer)
 def train(spark: SparkSession, docs: DataFrame, vocabulary: str | None = None, **bounds) -> bytes:
     """A model fitted to labelled docs (doc_id, text, lang)."""
     pieces = read_pieces(vocabulary or default_vocabulary())
-    langs, logp = fit(pieces, training_words(docs, **bounds))
+    langs, logp = fit(pieces, training_words(spark, docs, **bounds))
     return pickle.dumps((pieces, langs, logp))
 
 
 def identify(spark: SparkSession, docs: DataFrame, model: bytes, step: int = 64) -> DataFrame:
     """docs with lang_pred and score. The model's size is bounded by the vocabulary and the number of languages."""
+    docs = docs.drop("lang_pred", "score")
     shared, at = spark.sparkContext.broadcast(model), docs.columns.index("text")
     schema = docs.schema.jsonValue()
     schema["fields"] = [*schema["fields"], *({"name": n, "type": t, "nullable": True, "metadata": {}} for n, t in (("lang_pred", "string"), ("score", "double")))]
@@ -224,5 +238,5 @@ def identify(spark: SparkSession, docs: DataFrame, model: bytes, step: int = 64)
 
 
 def held_out(doc_id: Column) -> Column:
-    """Documents that training leaves aside."""
-    return F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2
+    """Documents that training leaves aside; those without an id are not among them."""
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))

@@ -8,7 +8,8 @@ batch shuffles that batch's keys only.
 
 Defined cases: null or empty text is one empty line. Rows that share a doc_id are one document; a null doc_id is a
 document below all others. Lines equal after trimming and A-Z lower-casing share a key; two keys are held apart by
-128 bits of hash. An empty table gives an empty result. Columns of other names are ignored.
+128 bits of hash. Repeated rows are one document's lines. Texts of any length are read whole. Input columns named n_lines
+or n_dropped are replaced; all others stay. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import NO_ID, WS_CHARS, Scratch, ascii_lower
+from .common import NO_ID, WS_CHARS, Scratch, ascii_lower, by_key, made_table
 
 KEY = ["h1", "h2"]
 
@@ -54,11 +55,17 @@ class LineStore:
     def _save(self, df: DataFrame) -> str:
         self.count += 1
         name = f"quillwork_lines_{self.tag}_{self.count}"
+        made_table(name)
         bucket = F.pmod(F.hash(*KEY), F.lit(self.buckets))  # as bucketBy has it: a bucket is one task's and one file
         out = df.repartition(self.buckets, bucket).sortWithinPartitions("known", *KEY).write.format("parquet").option("compression", "none")
         out.partitionBy("known").bucketBy(self.buckets, *KEY).sortBy(*KEY).saveAsTable(name)
         return name
 
+    def drop(self) -> None:
+        for name in self.runs():
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        self.levels = []
+
     def runs(self) -> list[str]:
         return [r for level in self.levels for r in level]
 
@@ -104,13 +111,17 @@ def repeated_lines(spark: SparkSession, docs: DataFrame, min_chars: int = 40, mi
     store = LineStore(spark, lines.count(), fan_out)
     for b in range(n_batches):
         store.add(lines.where(F.col("batch") == b))
-    common = store.totals().where(F.col("n_docs") >= min_docs).select(*KEY, "last_doc")
-    hits = lines.join(common, KEY).where(F.col("doc") != F.col("last_doc"))
-    return hits.groupBy("doc", "th").agg(F.collect_set("pos").alias("drop"))
+    common = scratch.put("common", store.totals().where(F.col("n_docs") >= min_docs).select(*KEY, "n_docs", "last_doc"), codec="none")
+    store.drop()
+    hits = by_key(lines, common, KEY, "n_docs", common.agg(F.sum("n_docs")).first()[0] or 0).where(F.col("doc") != F.col("last_doc"))
+    drops = scratch.put("drops", hits.groupBy("doc", "th").agg(F.collect_set("pos").alias("drop")))
+    scratch.drop("lines", "common")
+    return drops
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, min_chars: int = 40, min_docs: int = 5, n_batches: int = 4, fan_out: int = 3) -> DataFrame:
     """docs with their texts cut (column text), and n_lines, n_dropped. All other columns stay as they are."""
+    docs = docs.drop("n_lines", "n_dropped")
     drops = repeated_lines(spark, docs, min_chars, min_docs, n_batches, fan_out)
     mark = {"doc": "__doc", "th": "__th", "drop": "__drop"}
     drops = drops.select(*[F.col(k).alias(v) for k, v in mark.items()])

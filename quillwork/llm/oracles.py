@@ -25,7 +25,8 @@ cov AS (SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, unnest([i, i
 ln AS (SELECT doc_id, source, unnest(ls) AS line FROM w),
 nk AS (SELECT doc_id, source, lower(regexp_replace(trim(line, {BLANKS}), '[\\x20\\x09-\\x0D]+', ' ', 'g')) AS k,
   len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) AS n FROM ln),
-c AS (SELECT source, k FROM nk GROUP BY source, k HAVING count(DISTINCT doc_id) > 200),
+hd AS (SELECT source, count(*) AS docs FROM documents GROUP BY source),
+c AS (SELECT nk.source, k FROM nk JOIN hd ON nk.source IS NOT DISTINCT FROM hd.source GROUP BY nk.source, k, docs HAVING count(DISTINCT doc_id) > 10 AND 100 * count(DISTINCT doc_id) > 5 * docs),
 lost AS (SELECT nk.doc_id, sum(nk.n) AS n FROM nk JOIN c ON nk.k = c.k AND nk.source IS NOT DISTINCT FROM c.source GROUP BY nk.doc_id),
 b AS (SELECT w.doc_id, len(ws) AS n_words, coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0)::BIGINT AS word_chars,
   len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, len(ls) - len(list_distinct(ls)) AS n_dup_lines,

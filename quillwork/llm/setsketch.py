@@ -17,8 +17,10 @@ their full sets.
 The number of bands is such that a pair at the threshold shares no bucket with probability `miss` at most.
 
 Defined cases: null, empty or white text has no set, is linked with nothing and is its own component. Fewer words than a
-shingle: the whole sequence is one. Rows that share a doc_id are separate texts with one id. An empty table gives an
-empty result.
+shingle: the whole sequence is one. Rows that share a doc_id, or have none, are separate texts: texts are found again by
+their hashes, not by ids, so they lose no link. A null doc_id comes after all others: a component's id is its least
+doc_id, null only if none of its rows has one. Ties and repeated rows have one component. Texts of any length are read
+whole. Other columns, whatever their names, are left out. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -33,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, keep_only, kept
+from .common import Scratch, by_key, keep_only, kept
 from .components import components
 
 U = np.uint64
@@ -167,18 +169,19 @@ def _sketch(docs: DataFrame, k: int, m: int) -> DataFrame:
         keep_only("sets")
         sketcher = Sketcher(m)
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1).to_pylist()
+            ids, hashes, texts = batch.column(0), batch.column(1), batch.column(2).to_pylist()
             for at, some in batches_of(texts):
                 sets = shingle_sets(some, k)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        ids.slice(at, len(some)), pa.array([len(s) for s in sets], pa.int64()),
+                        ids.slice(at, len(some)), hashes.slice(at, len(some)), pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([set_id(s) for s in sets], pa.int64()), pa.array([sketcher.registers(s).tobytes() if len(s) else b"" for s in sets], pa.binary()),
                     ],
-                    names=["doc_id", "n", "cid", "regs"],
+                    names=["doc_id", "th", "n", "cid", "regs"],
                 )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(work, "doc_id long, n long, cid long, regs binary")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
+    return rows.mapInArrow(work, "doc_id long, th long, n long, cid long, regs binary")
 
 
 def _registers(column: pa.Array, m: int) -> np.ndarray:
@@ -320,25 +323,27 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, k: int = 3, percent: i
     m, bands = plan(t)
     rows = scratch.put("rows", _sketch(docs, k, m), codec="none")
     solid = rows.where("n > 0")
-    classes = scratch.put("classes", solid.groupBy("cid").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.max("regs").alias("regs")), codec="none")
+    classes = scratch.put("classes", solid.groupBy("cid").agg(F.min("doc_id").alias("rep"), F.min("th").alias("th"), F.max("n").alias("n"), F.max("regs").alias("regs")), codec="none")
     width = m // bands * 2
     keys = F.array(*[F.xxhash64(F.lit(i), F.substring("regs", i * width + 1, width)) for i in range(bands)])
     banded = classes.select("cid", F.explode(keys).alias("key"))
-    shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("cid").alias("head")).where("size > 1")
-    members = scratch.put("members", banded.join(shared, "key"), codec="none")
+    shared = scratch.put("shared", banded.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("cid").alias("head")).where("size > 1"), codec="none")
+    total = shared.agg(F.sum("size")).first()[0] or 0
+    members = scratch.put("members", by_key(banded, shared, ["key"], "size", total), codec="none")
     company = members.groupBy("cid").agg(F.sum("size").alias("company"))
-    centres = members.join(company, "cid").groupBy("key").agg(F.max(F.struct("company", "cid"))["cid"].alias("centre"))
-    stars = members.join(centres, "key").select("cid", F.explode(F.array("head", "centre")).alias("other")).where("cid <> other")
+    best = members.join(company, "cid").groupBy("key").agg(F.max(F.struct("company", "cid"))["cid"].alias("centre"), F.max("size").alias("n"))
+    centres = scratch.put("centres", best, codec="none")
+    stars = by_key(members, centres, ["key"], "n", total).select("cid", F.explode(F.array("head", "centre")).alias("other")).where("cid <> other")
     pairs = stars.select(F.least("cid", "other").alias("a"), F.greatest("cid", "other").alias("b")).distinct()
     first = scratch.put("first", _promising(pairs, classes, t, m), codec="none")
 
     def texts(name: str, wanted: DataFrame) -> DataFrame:
         """Texts of the wanted classes (cid)."""
-        ids = classes.join(wanted, "cid").select("cid", F.col("rep").alias("doc_id"))
-        found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids.hint("shuffle_hash"), "doc_id")
+        ids = classes.join(wanted, "cid").select("cid", "th")
+        found = docs.select(F.xxhash64("text").alias("th"), "text").join(ids.hint("shuffle_hash"), "th")
 
         def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for x in batches:  # where rows share a doc_id, those of another set go
+            for x in batches:  # where texts share a hash, those of another set go
                 ok = [c == set_id(shingle_sets([s], k)[0]) for c, s in zip(x["cid"].to_pylist(), x["text"].to_pylist(), strict=True)]
                 yield x.filter(pa.array(ok, pa.bool_()))
 

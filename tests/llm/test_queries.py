@@ -296,17 +296,17 @@ def test_components_both_ways(spark):
 
 
 def test_quality(spark, odd):
-    got = {r.doc_id: r for r in quality.quality(spark, odd, max_docs=5).collect()}
+    got = {r.doc_id: r for r in quality.quality(spark, odd, percent=0, floor=5).collect()}
     assert got[9].n_words == 0 and got[9].base_failed and got[0].n_lost_words == 11 and got[10].n_repeat_words == 30_000
     body = " ".join(f"a{i}" for i in range(60))
     docs = spark.createDataFrame([(i, "h" if i < 6 else "g", body if i % 2 else f"{body}\n" + " ".join(f"{i}x{j}" for j in range(200))) for i in range(12)], "doc_id long, source string, text string")
-    assert {r.doc_id for r in quality.quality(spark, docs, max_docs=5).collect() if not r.kept} == {1, 3, 5, 7, 9, 11}
+    assert {r.doc_id for r in quality.quality(spark, docs, percent=0, floor=5).collect() if not r.kept} == {1, 3, 5, 7, 9, 11}
     assert quality.quality(spark, odd.where("false")).count() == 0
 
 
 def test_quality_takes_lines_out(spark):
     rows = [(i, "h", f"own  {i}\n Shared\tLine \n\nlast {i}\nshared line") for i in range(6)] + [(6, "g", "shared line\nx"), (7, "h", None), (8, "h", "shared line"), (9, "h", "")]
-    got = {r.doc_id: r for r in quality.quality(spark, spark.createDataFrame(rows, "doc_id long, source string, text string"), max_docs=5).collect()}
+    got = {r.doc_id: r for r in quality.quality(spark, spark.createDataFrame(rows, "doc_id long, source string, text string"), percent=0, floor=5).collect()}
     assert all((got[i].text, got[i].n_lost_words, got[i].n_words) == (f"own  {i}\n\nlast {i}", 4, 8) for i in range(6))
     assert (got[6].text, got[7].text, got[8].text, got[8].n_lost_words, got[9].text) == ("shared line\nx", None, "", 2, "")
 
