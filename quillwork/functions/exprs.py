@@ -188,17 +188,23 @@ def resolve_refs(refs: Column, table: Column) -> Column:
     return F.filter(F.transform(refs, lambda r: F.try_element_at(table, r)), lambda x: x.isNotNull())
 
 
-# Failure classes in order, the first that matches counts.
+# Failure classes in order, the first that matches counts. "pot" counts as a word only.
 FAILURES = [
-    ("PO_TOKEN", r"\bpo[_ -]?token\b|\bpot\b"), ("SIGN_IN", r"sign in|login|cookies"), ("PRIVATE", r"private video|members[- ]only"),
-    ("UNAVAILABLE", r"unavailable|removed|deleted"), ("RATE_LIMIT", r"429|too many requests|rate"), ("FORBIDDEN", r"403|forbidden"),
-    ("NETWORK", r"timed? ?out|connection|reset by peer"), ("FORMAT", r"format|codec|ffmpeg"),
-]
+    ("HTTP_403", r"HTTP Error 403|HTTP 403|403 Forbidden"),
+    ("PO_TOKEN", r"PO Token|Proof of Origin|\bpot\b"),
+    ("ONLY_IMAGES", r"Only images are available|only images"),
+    ("NO_FORMAT", r"Requested format is not available|No video formats found|no formats"),
+    ("SIGN_IN", r"Sign in to confirm|login required|age-restricted"),
+    ("RATE_LIMIT", r"429|Too Many Requests|rate limit"),
+    ("FRAGMENT_FAIL", r"fragment|Unable to download video data|failed to download"),
+    ("FFMPEG", r"ffmpeg|Invalid data found|Error while decoding"),
+]
 
 
 def failure_class(c: Column) -> Column:
     """STR-14."""
-    return reduce(lambda w, x: w.when(F.lower(c).rlike(x[1]), x[0]), FAILURES[1:], F.when(F.lower(c).rlike(FAILURES[0][1]), FAILURES[0][0])).otherwise("OTHER")
+    text = F.coalesce(c, F.lit(""))
+    return reduce(lambda w, x: w.when(text.rlike(f"(?i){x[1]}"), x[0]), FAILURES[1:], F.when(text.rlike(f"(?i){FAILURES[0][1]}"), FAILURES[0][0])).otherwise("OTHER")
 
 
 def truthy(c: Column) -> Column:

@@ -227,7 +227,7 @@ def failures(rows: DataFrame, most: int = 5) -> DataFrame:
     """AGG-22, STR-14: class, count and first examples of failure messages (id, message)."""
     r = rows.withColumn("class", X.failure_class(F.col("message")))
     n = r.groupBy("class").agg(F.count(F.lit(1)).alias("n"))
-    ex = core.topk(r, ["class"], [F.asc("id")], most).groupBy("class").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "id", X.tail(F.col("message"), 200).alias("m")))), lambda x: x["m"]).alias("examples"))
+    ex = core.topk(r, ["class"], [F.asc("id")], most).groupBy("class").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "id", X.tail(F.col("message"), 900).alias("m")))), lambda x: x["m"]).alias("examples"))
     return n.join(ex, "class").orderBy(F.desc("n"), "class")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
-from ..operators import attribution, mentions, review, vectors
+from ..operators import attribution, mentions, vectors
 from ..operators.graph import saved
 from ..streaming import streams
 from .base import micros, table
@@ -98,48 +98,6 @@ def voice_fusion(spark: SparkSession, d: str) -> DataFrame:
     return out.select("cluster_id", "entity_id", *[F.round(c, 6).alias(c) for c in ("context", "acoustic", "combined")], "status")
 
 
-def semantic_events(spark: SparkSession, d: str) -> DataFrame:
-    """Events of users as typed events: an error accuses, a purchase praises."""
-    e = table(spark, d, "events")
-    t = F.col("event_type")
-    s = lambda c: c.cast("string")
-    return e.select(
-        s(F.col("event_id")).alias("event_id"), s(F.col("event_id")).alias("unit_id"), s(F.col("event_id") % 97).alias("content_id"), s(F.col("user_id")).alias("speaker_id"), s(F.col("user_id")).alias("source_entity_id"),
-        s(F.col("event_id") % 13).alias("target_entity_id"), F.lit(None).cast("string").alias("target_surface"), F.lit(None).cast("string").alias("target_claim_id"),
-        F.when(t == "error", "ACCUSES_FAULT").when(t == "purchase", "PRAISES").otherwise("MENTIONS").alias("predicate_code"), F.when(t == "click", "RHETORIC").otherwise("OTHER").alias("predicate_family"),
-        F.when(t == "error", "NEGATIVE").when(t == "purchase", "POSITIVE").otherwise("NEUTRAL").alias("polarity"), F.lit("ADOPTS").alias("speaker_adoption"), t.alias("topic"),
-        F.when(t == "purchase", "AD").alias("commerciality"), F.when(F.col("event_id") % 2 == 0, F.array(s(F.col("event_id")))).alias("related_claim_ids"))
-
-
-def semantic_claims(spark: SparkSession, d: str) -> DataFrame:
-    e = table(spark, d, "events").where("event_id % 4 = 0")
-    return e.select(F.col("event_id").cast("string").alias("claim_id"), F.col("user_id").cast("string").alias("claimant_entity_id"), F.when(F.col("value") > 10, "SUPPORTED").otherwise("PENDING").alias("status"))
-
-
-SEM = "e AS (SELECT event_id, user_id::VARCHAR AS source, (event_id % 13)::VARCHAR AS target, event_type AS t, (event_id % 97)::VARCHAR AS content FROM events)"
-
-
-@register("view_interactions", f"""WITH {SEM} SELECT source, target, count(*) AS events, count(DISTINCT content) AS contents, count(*) FILTER (WHERE t = 'error') AS negative, count(*) FILTER (WHERE t = 'purchase') AS positive,
-count(*) FILTER (WHERE t = 'error') AS allegations, count(*) FILTER (WHERE t = 'purchase') AS promotions, count(DISTINCT t) AS topics FROM e GROUP BY 1, 2""")
-def view_interactions(spark: SparkSession, d: str) -> DataFrame:
-    """SEM-09, AGG-04."""
-    v = review.views(semantic_events(spark, d), semantic_claims(spark, d))["interactions"]
-    return v.select("source", "target", "events", "contents", "negative", "positive", "allegations", "promotions", "topics")
-
-
-@register("view_reputation", f"""WITH {SEM}, l AS (SELECT event_id, source, target, CASE WHEN event_id % 2 = 0 THEN event_id::VARCHAR END AS claim_id FROM e WHERE t = 'error')
-SELECT l.event_id::VARCHAR AS event_id, source, target, claim_id, CASE WHEN claim_id IS NULL THEN 'NO_LINKED_CLAIM' WHEN l.event_id % 4 <> 0 THEN 'PENDING' WHEN v.value > 10 THEN 'SUPPORTED' ELSE 'PENDING' END AS claim_status FROM l JOIN events v USING (event_id)""")
-def view_reputation(spark: SparkSession, d: str) -> DataFrame:
-    """SEM-09, JON-02."""
-    return review.views(semantic_events(spark, d), semantic_claims(spark, d))["reputational_claims"].select("event_id", "source", "target", "claim_id", "claim_status")
-
-
-@register("view_claim_status", """SELECT user_id::VARCHAR AS claimant_entity_id, count(*) AS claims, count(*) FILTER (WHERE value > 10) AS completed FROM events WHERE event_id % 4 = 0 GROUP BY 1""")
-def view_claim_status(spark: SparkSession, d: str) -> DataFrame:
-    """SEM-09, AGG-07."""
-    return review.views(semantic_events(spark, d), semantic_claims(spark, d))["claim_status"].select("claimant_entity_id", "claims", "completed")
-
-
 LOG = "CASE event_type WHEN 'signup' THEN 'enqueue' WHEN 'view' THEN 'lease' WHEN 'click' THEN 'heartbeat' WHEN 'purchase' THEN 'complete' ELSE 'fail' END"
 
 
