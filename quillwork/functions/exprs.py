@@ -59,14 +59,33 @@ def sentences(c: Column) -> Column:
     return F.split(c, r"(?<=[.!?])\s+(?=[A-Z0-9\"'(\[])")
 
 
+# Web addresses, and bare domains with a well-known ending.
+URL = r"https?://[^\s<>\"']+|\b(?:www\.)?[A-Za-z0-9.-]+\.(?:com|org|net|io|tv|news|co|us|gov|edu)\b"
+CHANNEL_TABS = ["/videos", "/shorts", "/streams", "/featured"]
+CHANNEL_PATHS = ["/@", "/channel/", "/c/", "/user/"]
+
+
 def urls(c: Column) -> Column:
     """STR-08."""
-    return F.regexp_extract_all(c, F.lit(r"(?:https?://|www\.)[A-Za-z0-9./_?=&%:#-]+"), F.lit(0))
+    return F.regexp_extract_all(c, F.lit(f"(?i)(?:{URL})"), F.lit(0))
 
 
 def url_root(c: Column) -> Column:
-    """STR-07: scheme, host and path without query and trailing parts."""
-    return F.regexp_replace(F.regexp_replace(c, r"[?#].*$", ""), r"/+$", "")
+    """STR-07: struct(root, is_channel). A channel's address loses its tab and query; watch pages, playlists and addresses
+    of other hosts stay as they are but for closing slashes."""
+    u = F.regexp_replace(F.trim(c), "/+$", "")
+    part = lambda i: F.coalesce(F.regexp_extract(u, r"^([a-zA-Z][a-zA-Z0-9+.-]*)://([^/?#]*)([^?#]*)(?:\?([^#]*))?", i), F.lit(""))
+    path = F.regexp_replace(part(3), "/+$", "")
+    cut = F.regexp_replace(path, "(?:" + "|".join(CHANNEL_TABS) + ")$", "")
+    other = ~F.lower(part(2)).contains("youtube.com") | cut.isin("/watch", "/playlist") | part(4).contains("list=")
+    root = F.when(other, u).otherwise(F.regexp_replace(F.concat(part(1), F.lit("://"), part(2), cut), "/+$", ""))
+    channel = reduce(lambda a, p: a | cut.startswith(p), CHANNEL_PATHS[1:], cut.startswith(CHANNEL_PATHS[0]))
+    return F.struct(root.alias("root"), (~other & channel).alias("is_channel"))
+
+
+def run_stamp(now: Column) -> Column:
+    """DTE-02: a time as the name of a run."""
+    return F.date_format(now, "yyyyMMdd'T'HHmmss'Z'")
 
 
 def unescape(c: Column) -> Column:
@@ -150,7 +169,7 @@ def cosine(a: Column, b: Column) -> Column:
 
 def motif_strength(relations: Column, a: Column, b: Column, content_a: Column, content_b: Column) -> Column:
     """MTH-06."""
-    return F.round(F.least(F.lit(100.0), 12 * (1.5 * F.ln(1 + relations) + F.ln(1 + a) + F.ln(1 + b) + 0.5 * F.ln(1 + content_a + content_b))), 2)
+    return F.bround(F.least(F.lit(100.0), 12 * (1.5 * F.ln(1 + relations) + F.ln(1 + a) + F.ln(1 + b) + 0.5 * F.ln(1 + content_a + content_b))), 2)
 
 
 def triage_score(canonical: Column, kind: Column, signals: Column, known: Column, mentions: Column, contents: Column, speakers: Column) -> Column:

@@ -22,12 +22,13 @@ def interval_join(left: DataFrame, right: DataFrame, keys: list[str], l_span: tu
 def point_in_interval(points: DataFrame, spans: DataFrame, keys: list[str], t: str, span: tuple[str, str], width: float, order: str) -> DataFrame:
     """JON-11: each point with the first (by `order`) closed interval that holds it; points without one stay with NULLs."""
     s, e = span
-    p = points.withColumn("__pid", F.monotonically_increasing_id()).withColumn("__bin", F.floor(F.col(t) / width))
     q = spans.withColumn("__bin", F.explode(F.sequence(F.floor(F.col(s) / width), F.floor(F.col(e) / width))))
-    hits = p.select("__pid", "__bin", *keys, t).join(q, [*keys, "__bin"]).where((F.col(t) >= F.col(s)) & (F.col(t) <= F.col(e)))
     names = [c for c in spans.columns if c not in keys]
-    best = hits.groupBy("__pid").agg(F.min_by(F.struct(*names), order).alias("__b"))
-    return p.join(best, "__pid", "left").select(*points.columns, *[F.col(f"__b.{c}").alias(c) for c in names])
+    # points of one time share their interval, so times are looked up, not rows
+    times = points.select(*keys, t).distinct().withColumn("__bin", F.floor(F.col(t) / width))
+    hits = times.join(q, [*keys, "__bin"]).where((F.col(t) >= F.col(s)) & (F.col(t) <= F.col(e)))
+    best = hits.groupBy(*keys, t).agg(F.min_by(F.struct(*names), order).alias("__b"))
+    return points.join(best, [*keys, t], "left").select(*points.columns, *[F.col(f"__b.{c}").alias(c) for c in names])
 
 
 def asof_both(left: DataFrame, right: DataFrame, keys: list[str], t: str, value: list[str]) -> DataFrame:
@@ -105,6 +106,12 @@ def unordered_pairs(df: DataFrame, group: list[str], item: str) -> DataFrame:
     return a.join(b, group).where(F.col("a") < F.col("b"))
 
 
+def pairs_in_row(df: DataFrame, items: Column) -> DataFrame:
+    """JON-12 where a group is a row: a, b for each two of a row's sorted distinct items, without a join."""
+    pairs = lambda x: F.flatten(F.transform(x, lambda p, i: F.transform(F.slice(x, i + 2, F.size(x)), lambda q: F.struct(p.alias("a"), q.alias("b")))))
+    return df.select(items.alias("__x")).where(F.size("__x") > 1).select(F.inline(pairs(F.col("__x"))))
+
+
 def scd_merge(current: DataFrame, incoming: DataFrame, key: str, run: Column) -> DataFrame:
     """AGG-20, TXT-14: versions. Keys that come again are seen anew, keys that do not are superseded, new keys begin.
     current: key, source_status, created_at, last_seen_at, superseded_at and payload; incoming: key and payload."""

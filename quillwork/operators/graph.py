@@ -10,7 +10,8 @@ from collections import defaultdict
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
@@ -20,16 +21,21 @@ INCLUDED = ["", "ACTIVE", "VERIFIED", "SUPPORTED", "CONFIRMED", "DOCUMENTED", "S
 EXCLUDED = ["REJECTED", "CONTRADICTED", "SUPERSEDED"]
 
 
-def saved(df: DataFrame, tag: str) -> DataFrame:
-    """df written to the cluster's shared folder and read again: short lineage that outlives executors."""
-    spark = df.sparkSession
+def shared_root(spark: SparkSession) -> str:
+    """The folder that the driver and all executors share."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = f"file://{tempfile.mkdtemp(prefix='quillwork-')}"
         spark.conf.set("spark.checkpoint.dir", root)
-    path = f"{root.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+    return root.rstrip("/")
+
+
+def saved(df: DataFrame, tag: str) -> DataFrame:
+    """df written to the cluster's shared folder and read again: short lineage that outlives executors."""
+    spark = df.sparkSession
+    path = f"{shared_root(spark)}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -91,18 +97,29 @@ def modularity(edges: DataFrame, communities: DataFrame, resolution: float = 1.0
     return per.agg((F.sum(F.coalesce("l", F.lit(0.0))) / m - resolution * F.sum(F.col("d") * F.col("d")) / (4 * m * m)).alias("q"))
 
 
-def pagerank(edges: DataFrame, rounds: int = 20, damping: float = 0.85, every: int = 5) -> DataFrame:
-    """GRF-06: node, rank; weighted, undirected, so no node dangles. Written every few rounds."""
+def pagerank(edges: DataFrame, rounds: int = 20, damping: float = 0.85, every: int = 5, tolerance: float | None = None) -> DataFrame:
+    """GRF-06: node, rank; weighted, undirected, so no node dangles. Edges are dealt by node once and kept on disk, so a
+    round moves ranks only; a lost executor's part is read again from the written edges. Ranks are written every few
+    rounds. With a tolerance the rounds end when ranks change by less than it per node, summed over nodes."""
+    spark = edges.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     e = both_ways(edges)
     e = saved(e.join(e.groupBy("node").agg(F.sum("weight").alias("out")), "node").select("node", "other", (F.col("weight") / F.col("out")).alias("share")), "pr-edges")
+    e = e.repartition(parts, "node").persist(StorageLevel.DISK_ONLY)
     nodes = e.select("node").distinct()
     n = nodes.count()
-    rank = nodes.withColumn("rank", F.lit(1.0 / max(1, n)))
+    rank = last = nodes.withColumn("rank", F.lit(1.0 / max(1, n)))
     for i in range(rounds):
         got = e.join(rank, "node").groupBy(F.col("other").alias("node")).agg(F.sum(F.col("rank") * F.col("share")).alias("got"))
         rank = got.select("node", ((1 - damping) / max(1, n) + damping * F.col("got")).alias("rank"))
-        if (i + 1) % every == 0:
+        if (i + 1) % every == 0 or i + 1 == rounds:
             rank = saved(rank, "pr")
+            if tolerance is not None:
+                moved = rank.join(last.withColumnRenamed("rank", "was"), "node").agg(F.sum(F.abs(F.col("rank") - F.col("was")))).first()[0] or 0.0
+                if moved < tolerance * n * every:
+                    break
+            last = rank
+    e.unpersist()
     return rank
 
 
@@ -129,13 +146,16 @@ def _louvain(edges: list[tuple], resolution: float) -> dict:
                 own = home[n]
                 mass[own] -= size[n]
                 gain = lambda c: links.get(c, 0.0) - resolution * mass[c] * size[n] / (2 * total)  # noqa: B023, E731
-                best = max([own, *sorted(links)], key=lambda c: (round(gain(c), 12), c == own, -_order(c, links)))  # noqa: B023
+                order = {c: i for i, c in enumerate(sorted(links))}
+                best = max([own, *order], key=lambda c: (round(gain(c), 12), c == own, -order.get(c, -1)))  # noqa: B023
                 mass[best] += size[n]
                 if best != own:
                     home[n], moved, any_move = best, True, True
         if not any_move:
             break
-        names = {c: min(n for n in home if home[n] == c) for c in set(home.values())}
+        names: dict = {}
+        for n in sorted(home):
+            names.setdefault(home[n], n)
         final = {n: names[home[c]] for n, c in final.items()}
         coarse: dict = defaultdict(lambda: defaultdict(float))
         for a, x in graph.items():
@@ -148,17 +168,18 @@ def _louvain(edges: list[tuple], resolution: float) -> dict:
                 else:
                     coarse[p][p] += w / 2
         graph = coarse
-    least = {c: min(n for n in final if final[n] == c) for c in set(final.values())}
+    least: dict = {}
+    for n in sorted(final):
+        least.setdefault(final[n], n)
     return {n: least[c] for n, c in final.items()}
 
 
-def _order(c, links) -> int:
-    return sorted(links).index(c) if c in links else -1
-
-
-def louvain(edges: DataFrame, by: list[str], resolution: float = 1.0) -> DataFrame:
+def louvain(edges: DataFrame, by: list[str], resolution: float = 1.0, max_edges: int = 500_000) -> DataFrame:
     """GRF-02: by, node, community (its least node), a task per snapshot or layer in `by`; meant for graphs of some
-    thousand nodes each. communities() is the distributed way for larger ones."""
+    thousand nodes each; an error beyond max_edges. communities() is the distributed way for larger ones."""
+    top = edges.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    if top > max_edges:
+        raise ValueError("louvain holds a graph in one task; one is beyond max_edges")
 
     def work(frame: pd.DataFrame) -> pd.DataFrame:
         found = _louvain(list(frame[["src", "dst", "weight"]].itertuples(index=False)), resolution)
@@ -185,8 +206,9 @@ def communities(edges: DataFrame, rounds: int = 10) -> DataFrame:
     return label
 
 
-def betweenness(edges: DataFrame, distance: Column | None = None, max_edges: int = 2_000_000) -> DataFrame:
-    """GRF-05: node, betweenness, normalised. Sources are dealt to tasks, each with all edges: up to max_edges of them.
+def betweenness(edges: DataFrame, distance: Column | None = None, max_edges: int = 200_000) -> DataFrame:
+    """GRF-05: node, betweenness, normalised. Sources are dealt to tasks, each with all edges: up to max_edges of them
+    (200,000 take some 100 MB on the driver and in each task); an error beyond.
     The default distance is the weight itself; pass 1 / weight to make strong ties short."""
     from heapq import heappop, heappush
 
@@ -260,43 +282,118 @@ def lineage(old: DataFrame, new: DataFrame, threshold: float = 0.18, member: flo
     return matched.unionByName(births).unionByName(deaths)
 
 
-# Stances by polarity.
-NEGATIVE = ["ACCUSES", "ATTACKS", "CRITICIZES", "DISMISSES", "DENIES", "OPPOSES", "REJECTS", "WARNS_AGAINST"]
-POSITIVE = ["ENDORSES", "PRAISES", "DEFENDS", "RECOMMENDS", "SUPPORTS", "AGREES_WITH", "PROMOTES"]
+# Stances by polarity, and adoptions that count as the speaker's own.
+NEGATIVE = ["CRITICIZES", "DISPUTES", "ACCUSES", "WARNS_AGAINST", "RIDICULES", "DISTANCES_FROM", "CONTRADICTS", "OPPOSES"]
+POSITIVE = ["PRAISES", "ENDORSES", "SUPPORTS", "DEFENDS", "AGREES_WITH", "PROMOTES", "RECOMMENDS"]
+ADOPTED = ["ADOPTS", "SUPPORTS", "OWN_STATEMENT", ""]
+
+
+def own_stances(raw: DataFrame) -> DataFrame:
+    """FLT-03: stances (stance_event_id, source_entity_id, target_entity_id, stance_type, speaker_adoption, content_id)
+    with source, target and type, adopted by their speaker: source, target, stance, content_id, stance_event_id."""
+    text = lambda c: F.trim(F.coalesce(c, F.lit("")))
+    x = raw.select(text("source_entity_id").alias("source"), text("target_entity_id").alias("target"), F.upper(text("stance_type")).alias("stance"), X.nz("content_id").alias("content_id"), X.nz("stance_event_id").alias("stance_event_id"), F.upper(text("speaker_adoption")).alias("__a"))
+    return x.where((F.col("source") != "") & (F.col("target") != "") & (F.col("stance") != "") & F.col("__a").isin(ADOPTED)).drop("__a")
+
+
+def relation_pairs(raw: DataFrame) -> DataFrame:
+    """FLT-02, SET-07: unordered pairs a < b with their number of relations and the sources of these (source_ids joined by ;)."""
+    r = motif_relations(raw).select(F.trim("source_id").alias("x"), F.trim("target_id").alias("y"), "source_ids").where("x <> '' and y <> '' and x <> y")
+    ids = F.array_sort(F.array_distinct(F.filter(F.flatten(F.collect_list(F.split(F.trim(F.coalesce("source_ids", F.lit(""))), ";"))), lambda s: s != "")))
+    return r.groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(F.count(F.lit(1)).alias("relations"), ids.alias("source_ids"))
 
 
 def wedge_motifs(rels: DataFrame, stances: DataFrame) -> DataFrame:
-    """GRF-12, JON-14: related a, b with stances to the same target. rels: a < b, relations; stances: source, target,
-    stance, contents. Negative wins where a source has both. The join starts from related pairs, so a target with many
-    sources makes no pairs of its own."""
-    pol = F.when(F.col("stance").isin(NEGATIVE), -1).when(F.col("stance").isin(POSITIVE), 1)
-    side = stances.withColumn("p", pol).where("p is not null").groupBy("source", "target").agg(F.min("p").alias("p"), F.count(F.lit(1)).alias("n"), F.sum("contents").alias("c"))
-    x = side.select(F.col("source").alias("a"), "target", F.col("p").alias("pa"), F.col("n").alias("na"), F.col("c").alias("ca"))
-    y = side.select(F.col("source").alias("b"), "target", F.col("p").alias("pb"), F.col("n").alias("nb"), F.col("c").alias("cb"))
-    both = rels.join(x, "a").join(y, ["b", "target"]).where("pa = pb and target <> a and target <> b")
-    kind = F.when(F.col("pa") < 0, "SHARED_ADVERSARY").otherwise("SUPPORT_CONNECTED")
-    strength = X.motif_strength(F.col("relations"), F.col("na"), F.col("nb"), F.col("ca"), F.col("cb"))
-    return both.select(X.stable_id("MF_", kind, F.col("a"), F.col("b"), F.col("target"), n=20).alias("motif_id"), kind.alias("kind"), "a", "b", "target", strength.alias("strength"))
+    """GRF-12, JON-14, SET-03, MTH-06: related a, b (relation_pairs) with stances of one polarity to the same target
+    (own_stances); negative wins where both have both. The join starts from related pairs, so a target with many sources
+    makes no pairs of its own."""
+    has = lambda values: F.arrays_overlap(F.collect_set("stance"), F.array(*map(F.lit, values)))
+    ids = F.array_sort(F.array_compact(F.collect_list("stance_event_id")))
+    side = stances.groupBy("source", "target").agg(has(NEGATIVE).alias("neg"), has(POSITIVE).alias("pos"), F.count(F.lit(1)).alias("n"), F.countDistinct("content_id").alias("c"), ids.alias("events"))
+    name = lambda s: side.select(F.col("source").alias(s), "target", *[F.col(c).alias(f"{c}_{s}") for c in ("neg", "pos", "n", "c", "events")])
+    both = rels.join(name("a"), "a").join(name("b"), ["b", "target"])
+    kind = F.when(F.col("neg_a") & F.col("neg_b"), "SHARED_ADVERSARY_CONNECTED").when(F.col("pos_a") & F.col("pos_b"), "SHARED_SUPPORT_CONNECTED")
+    both = both.withColumn("motif_type", kind).where("motif_type is not null")
+    strength = X.motif_strength(F.col("relations"), F.col("n_a"), F.col("n_b"), F.col("c_a"), F.col("c_b"))
+    return both.select(
+        X.stable_id("MF_", F.col("motif_type"), F.col("a"), F.col("b"), F.col("target"), n=20).alias("motif_id"), "motif_type", F.to_json(F.array("a", "b", "target")).alias("node_ids"),
+        F.to_json(F.concat("events_a", "events_b")).alias("edge_event_ids"), F.to_json("source_ids").alias("source_ids"), strength.alias("signal_strength"))
+
+
+def reversals(stances: DataFrame) -> DataFrame:
+    """GRF-13: a source with stances of both polarities to one target; strength 35."""
+    s = F.col("stance")
+    g = stances.groupBy("source", "target").agg(F.count_if(s.isin(NEGATIVE)).alias("neg"), F.count_if(s.isin(POSITIVE)).alias("pos")).where("neg > 0 and pos > 0")
+    kind = F.lit("STANCE_REVERSAL")
+    return g.select(X.stable_id("MF_", kind, F.col("source"), F.col("target"), n=20).alias("motif_id"), kind.alias("motif_type"), F.to_json(F.array("source", "target")).alias("node_ids"), F.lit("[]").alias("edge_event_ids"), F.lit("[]").alias("source_ids"), F.lit(35.0).alias("signal_strength"))
 
 
 def bridge_motifs(metrics: DataFrame) -> DataFrame:
-    """GRF-14: metrics: node, participation, bridge, betweenness."""
-    hit = (F.col("participation") >= 0.55) & ((F.col("bridge") >= 0.75) | (F.col("betweenness") >= 0.03))
+    """GRF-14: metrics: snapshot_id, node, participation, bridge, brokerage."""
+    hit = (F.col("participation") >= 0.55) & ((F.col("bridge") >= 0.75) | (F.col("brokerage") >= 0.03))
     strength = F.least(F.lit(100.0), 25 + 45 * F.col("participation") + 15 * F.least(F.lit(1.0), F.col("bridge")))
-    return metrics.where(hit).select(X.stable_id("MF_", F.lit("CROSS_COMMUNITY_BRIDGE"), F.col("node"), n=20).alias("motif_id"), "node", F.round(strength, 2).alias("strength"))
+    kind = F.lit("CROSS_COMMUNITY_BRIDGE")
+    return metrics.where(hit).select(X.stable_id("MF_", kind, F.col("node"), F.col("snapshot_id"), n=20).alias("motif_id"), kind.alias("motif_type"), F.to_json(F.array("node")).alias("node_ids"), F.lit("[]").alias("edge_event_ids"), F.lit("[]").alias("source_ids"), F.round(strength, 2).alias("signal_strength"))
+
+
+def node_metrics(edges: DataFrame, shares: DataFrame, between: DataFrame, ranks: DataFrame, snapshot: str) -> DataFrame:
+    """GRF-07, MTH-09, AGG-10: one row per node: degree, strength, betweenness, PageRank, participation, bridge, outlier,
+    evidence; rounded to even halves. edges with evidence; shares from membership()."""
+    ends = edges.select(F.col("src").alias("node"), "weight", "evidence").unionByName(edges.select(F.col("dst").alias("node"), "weight", "evidence"))
+    g = ends.groupBy("node").agg(F.count(F.lit(1)).alias("degree"), F.sum("weight").alias("s"), F.sum("evidence").alias("evidence_coverage"))
+    m = g.join(participation(shares), "node").join(between.select("node", "betweenness"), "node", "left").join(ranks.select("node", "rank"), "node", "left")
+    b = F.coalesce("betweenness", F.lit(0.0))
+    return m.select(
+        F.lit(snapshot).alias("snapshot_id"), "node", F.lit("relationship").alias("layer"), "degree", F.bround("s", 6).alias("weighted_degree"), F.bround(b, 8).alias("betweenness"), F.bround("rank", 8).alias("pagerank"),
+        F.bround("participation", 6).alias("participation"), F.bround(X.bridge_score(F.col("participation"), F.col("s")), 6).alias("bridge"), F.bround(b, 8).alias("brokerage"), F.bround("outlier", 6).alias("outlier"), "evidence_coverage")
+
+
+def stance_edges(stances: DataFrame) -> DataFrame:
+    """DCL-02: source to target: stances by polarity, contents, the stance that is most frequent (the first of equals)."""
+    s = F.col("stance")
+    per = stances.groupBy("source", "target", "stance").agg(F.count(F.lit(1)).alias("n"))
+    top = per.groupBy("source", "target").agg(F.min_by("stance", F.struct((-F.col("n")).alias("n"), "stance")).alias("dominant"))
+    g = stances.groupBy("source", "target").agg(F.count(F.lit(1)).alias("stances"), F.count_if(s.isin(NEGATIVE)).alias("negative"), F.count_if(s.isin(POSITIVE)).alias("positive"), F.countDistinct("content_id").alias("contents"))
+    return g.join(top, ["source", "target"])
+
+
+# Relationships that are money, those that are business, and the weight of a strong tie.
+MONEY = ["OWNS", "CONTROLS", "FINANCIAL", "PAYS", "FUNDS", "INVESTS_IN", "EMPLOYS"]
+COMMERCE = ["SPONSORSHIP", "AFFILIATE_REFERRAL", "SELLS", "MANUFACTURES", "DISTRIBUTES", "LICENSES", "COMMERCIAL_PROMOTION", "CONTRACTS_WITH", "JOINT_PRODUCT"]
+STRONG = 8.0
+
+
+def layers(edges: DataFrame) -> DataFrame:
+    """DCL-03: degree and strength of each node in four layers: all edges, strong ties, commerce, money. An edge is in a
+    layer if one of its types is."""
+    has = lambda values: F.arrays_overlap("types", F.array(*map(F.lit, values)))
+    names = F.array_compact(F.array(F.lit("all"), F.when(F.col("weight") >= STRONG, "strong"), F.when(has(COMMERCE), "commerce"), F.when(has(MONEY), "money")))
+    e = edges.withColumn("layer", F.explode(names))
+    ends = e.select("layer", F.col("src").alias("node"), "weight").unionByName(e.select("layer", F.col("dst").alias("node"), "weight"))
+    return ends.groupBy("layer", "node").agg(F.count(F.lit(1)).alias("degree"), F.sum("weight").alias("strength"))
 
 
 def carry_review(found: DataFrame, prior: DataFrame) -> DataFrame:
-    """GRF-15: motifs once each, with the review state they had. prior: motif_id, review_status, notes."""
+    """GRF-15: motifs once each, with the status and notes that people gave them. prior: motif_id, status, notes."""
     one = found.dropDuplicates(["motif_id"])
-    return one.join(prior, "motif_id", "left").withColumns({"review_status": F.coalesce("review_status", F.lit("NEW")), "notes": F.coalesce("notes", F.lit(""))})
+    p = prior.select("motif_id", X.nz("status").alias("__s"), X.nz("notes").alias("__n"))
+    return one.join(p, "motif_id", "left").select("*", F.coalesce("__s", F.lit("OPEN")).alias("status"), F.coalesce("__n", F.lit("")).alias("review_notes")).drop("__s", "__n")
+
+
+def named_nodes(nodes: DataFrame, names: DataFrame) -> DataFrame:
+    """JON-25: nodes (node, ...) with the entity's name, the id where it has none. names: id, name."""
+    return nodes.join(names.select(F.col("id").alias("node"), X.nz("name").alias("__n")), "node", "left").withColumn("label", F.coalesce("__n", F.col("node").cast("string"))).drop("__n")
 
 
-def snapshot_json(snapshot: str, nodes: DataFrame, edges: DataFrame) -> DataFrame:
+def snapshot_json(snapshot: str, nodes: DataFrame, edges: DataFrame, communities: DataFrame | None = None, lineage: DataFrame | None = None) -> DataFrame:
     """GRF-11, SNK-04: one JSON text of a graph that fits a page: callers cut it first (DCL-13)."""
-    n = nodes.agg(F.array_sort(F.collect_list(F.struct(*nodes.columns))).alias("nodes"))
-    e = edges.agg(F.array_sort(F.collect_list(F.struct(*edges.columns))).alias("edges"))
-    return n.join(e).select(F.to_json(F.struct(F.lit(snapshot).alias("snapshot"), "nodes", "edges")).alias("json"))
+    part = lambda df, name: df.agg(F.array_sort(F.collect_list(F.struct(*df.columns))).alias(name))
+    given = {"communities": communities, "nodes": nodes, "edges": edges, "lineage": lineage}
+    parts = [part(df, name) for name, df in given.items() if df is not None]
+    whole = parts[0]
+    for p in parts[1:]:
+        whole = whole.join(p)  # one row each
+    return whole.select(F.to_json(F.struct(F.lit(snapshot).alias("snapshot"), *whole.columns)).alias("json"))
 
 
 def ego(edges: DataFrame, centre, hops: int = 2) -> DataFrame:

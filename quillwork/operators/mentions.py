@@ -14,47 +14,119 @@ from pyspark.sql import types as T
 from ..functions import exprs as X
 from . import core
 
-# Words that begin sentences or stand for no one by themselves.
+# Words that stand for no one by themselves.
 STOP = frozenset(
-    """a an and are as at but by can could did do does for from had has have he her here his how i if in into is it its just like may me my no not now of on
-    one or our out she should so some such than that the their them then there these they this those to under up us was we well were what when where which
-    while who why will with would yes you your""".split()
+    """a an the this that these those there here and but or so because for with from into when what why how who where today yesterday tomorrow we you they he
+    she it i me my our your their his her its is are was were be been being have has had do does did can could will would should may might must not no
+    yes yeah mhm uh um right okay ok well now then just really actually basically exactly absolutely probably maybe anyway again all one two three four five look see
+    sure good great wow""".split()
+)
+# Single capitalised words that are no names.
+BAD_SINGLE = STOP | frozenset("american chinese iranian russian british european global local federal state national".split())
+# Words that a name after a cue does not begin with.
+BAD_CUE_START = STOP | frozenset(
+    """someone somebody something people person thing things way kind lot number new same in on at to from about into over under near around through taking place based""".split()
+)
+# Words at which a name after a cue ends.
+CUE_STOP = frozenset(
+    """because who that which where when if then so but however although though while was were is are has have had will would can could should may might must""".split()
+)
+# Small words inside names.
+CONNECTORS = frozenset("of the and for de del van von la le &".split())
+CONTRACTION = r"(?i)^(?:i|we|you|they|he|she|it|that|what|there|here)['’]?(?:m|re|ve|d|ll|s|t)?$"
+IS_CONTRACTION = re.compile(CONTRACTION)
+TOKEN = r"[A-Za-z0-9&’'\.-]+"
+NAME = r"[A-Z][A-Za-z0-9&’'\.-]*"
+#: A name: up to six tokens, small connectors inside. It never runs over sentence punctuation (see spans_of).
+SPAN = re.compile(rf"\b{NAME}(?:\s+(?:{NAME}|of|the|and|for)){{0,5}}\b")
+# What introduces a person, and kinds of things that introduce a name, with their types.
+PERSON_CUE = re.compile(
+    rf"\b(?:guest(?:\s+is)?|joined\s+by|speaking\s+with|interview(?:ing|\s+with)?|dr\.?|doctor|professor|mr\.?|mrs\.?|ms\.?)\s+({TOKEN}(?:\s+{TOKEN}){{0,4}})", re.I
 )
-NAME = r"[A-Z][A-Za-z0-9'&-]*"
-#: A name: up to six tokens, small connectors inside; it never runs over sentence punctuation.
-SPAN = re.compile(rf"{NAME}(?: (?:(?:of|the|and|for) )?{NAME}){{0,5}}")
-PERSON_CUE = re.compile(rf"(?i:\b(?:guests? (?:is|are|was)|interview with|joined by|my friend|(?:dr|mr|mrs|ms|prof)\.?)) ({NAME}(?: {NAME}){{0,4}})")
-# Kinds of things that introduce a name, and their types.
 KINDS = {
-    "company": "organization", "firm": "organization", "group": "organization", "organization": "organization", "agency": "organization",
-    "institute": "organization", "foundation": "organization", "book": "work", "film": "work", "movie": "work", "documentary": "work",
-    "podcast": "media", "channel": "media", "show": "media", "website": "website", "product": "product", "app": "product", "conference": "event",
+    "podcast": "media_show", "channel": "media_show", "website": "website", "company": "organization", "organization": "organization", "organisation": "organization",
+    "foundation": "organization", "institute": "organization", "book": "product", "report": "product", "film": "product", "documentary": "product",
+    "conference": "event", "summit": "event", "project": "organization", "platform": "product", "service": "product", "sponsor": "organization",
 }
-ENTITY_CUE = re.compile(rf"(?i:\b({'|'.join(KINDS)})s?) (?i:called|named|titled|known as) ({NAME}(?: {NAME}){{0,5}})")
+ENTITY_CUE = re.compile(rf"\b(?P<kind>{'|'.join(KINDS)})\s+(?:(?P<intro>called|named|titled|known\s+as)\s+)?(?P<name>{TOKEN}(?:\s+{TOKEN}){{0,5}})", re.I)
+IS_URL = re.compile(r"(?:https?://[^\s<>\"']+|(?:www\.)?[A-Za-z0-9.-]+\.(?:com|org|net|io|tv|news|co|us|gov|edu))", re.I)
+ENDS = ".,;:!?()[]{}\"'"
 SPOKEN = T.ArrayType(T.StructType([T.StructField(n, k) for n, k in (("surface", T.StringType()), ("kind", T.StringType()), ("start", T.IntegerType()), ("end", T.IntegerType()), ("signal", T.StringType()))]))
 
 
+def low(word: str) -> str:
+    return word.lower().strip(ENDS).replace("’", "'")
+
+
+def is_proper(token: str) -> bool:
+    """Whether a token has the form of a part of a name."""
+    t = token.strip("()[]{}\"'")
+    return bool(t) and (t.lower() in CONNECTORS or t.isupper() and 2 <= len(t) <= 12 or re.fullmatch(r"[A-Z][A-Za-z0-9&’'-]*", t) is not None)
+
+
+def trim_cue(raw: str, most: int) -> str:
+    """The name at the start of what follows a cue: up to a word that ends names, a sentence's end, or the first
+    lower-case word after a proper one."""
+    words, kept = raw.split(), []
+    if not words or low(words[0]) in BAD_CUE_START:
+        return ""
+    for w in words[:most]:
+        if kept and (low(w) in CUE_STOP or is_proper(kept[-1]) and not is_proper(w.strip(ENDS)) and w[:1].islower()):
+            break
+        if w.strip(ENDS):
+            kept.append(w.strip(ENDS))
+        if w[-1] in ".!?" and not re.fullmatch(r"(?:Dr|Mr|Mrs|Ms|St|[A-Z])\.", w):
+            break
+    while kept and (low(kept[-1]) in STOP or kept[-1].lower() in CONNECTORS):
+        kept.pop()
+    return " ".join(kept)
+
+
+def sentence_parts(text: str, a: int, b: int) -> list[tuple[int, int]]:
+    """A span cut where a token ends a sentence, so no name runs over one; single letters and titles end none."""
+    out, at = [], a
+    for m in re.finditer(r"\S+", text[a:b]):
+        if m[0][-1] in ".!?" and not re.fullmatch(r"(?:Dr|Mr|Mrs|Ms|St|(?:[A-Z]\.)*[A-Z])\.", m[0]):
+            out.append((at, a + m.end()))
+            at = a + m.end()
+            while at < b and text[at].isspace():
+                at += 1
+    return [*out, (at, b)] if at < b else out
+
+
 def spans_of(text: str) -> list[tuple[str, str, int, int, str]]:
     """Names in a text with character offsets; one entry per span and signal."""
     out = []
+
+    def add(name: str, kind: str, start: int, signal: str) -> None:
+        if len(name) >= 3 and name.lower() not in STOP:
+            out.append((name, kind, start, start + len(name), signal))
+
     for m in SPAN.finditer(text):
-        for a, b in _halves(text, m.start(), m.end()):
-            while a < b and text[a:b].split(" ")[0].lower() in STOP:
-                a += len(text[a:b].split(" ")[0]) + 1
-            while a < b and text[a:b].split(" ")[-1].lower() in STOP:
-                b -= len(text[a:b].split(" ")[-1]) + 1
-            name = text[a : max(a, b)]
-            if not name:
-                continue
-            begins = a == 0 or bool(re.search(r"[.!?]\s*$", text[:a]))
-            tokens = name.split(" ")
-            single_ok = name.isupper() and len(name) > 1 or any(c.isupper() for c in name[1:]) or not begins
-            if len(tokens) > 1 or single_ok:
-                out.append((name, "", a, a + len(name), "proper_case"))
+        for p, q in sentence_parts(text, m.start(), m.end()):
+            for a, b in _halves(text, p, q):
+                words = [(w.start() + a, w[0]) for w in re.finditer(r"\S+", text[a:b])]
+                while words and low(words[0][1]) in STOP:
+                    words = words[1:]
+                while words and words[-1][1].lower() in CONNECTORS:
+                    words = words[:-1]
+                if not words:
+                    continue
+                start = words[0][0]
+                name = re.sub(r"\s+", " ", text[start : words[-1][0] + len(words[-1][1])]).strip(ENDS + " ")
+                if len(words) == 1:
+                    before = text[:start].rstrip()
+                    mid = bool(before) and before[-1] not in ".!?\n>"
+                    if low(name) in BAD_SINGLE or not (name.isupper() and 2 <= len(name) <= 12 or any(c.isupper() for c in name[1:]) or mid):
+                        continue
+                add(name, "", start, "proper_case")
     for m in PERSON_CUE.finditer(text):
-        out.append((m[1], "person", m.start(1), m.end(1), "cue_person"))
+        add(trim_cue(m[1], 4), "person", m.start(1), "cue_person")
     for m in ENTITY_CUE.finditer(text):
-        out.append((m[2], KINDS[m[1].lower()], m.start(2), m.end(2), "cue_entity"))
+        name = trim_cue(m["name"], 5)
+        shown = any(is_proper(w) and w.lower() not in CONNECTORS for w in name.split()) or IS_URL.fullmatch(name)
+        if name and (m["intro"] or shown):
+            add(name, KINDS[m["kind"].lower()], m.start("name"), "cue_entity_named" if m["intro"] else "cue_entity")
     return out
 
 
@@ -105,32 +177,43 @@ def evidence(segments: DataFrame) -> DataFrame:
 
 # Context words of a kind, in order.
 CONTEXTS = [
-    ("organization", r"(?i)\b(company|corporation|agency|institute|foundation|university)\b"), ("product", r"(?i)\b(product|supplement|device|app)\b"),
-    ("event", r"(?i)\b(conference|summit|festival|event)\b"), ("media", r"(?i)\b(podcast|channel|show|episode)\b"), ("work", r"(?i)\b(book|film|movie|documentary)\b"),
+    ("media_show", r"(?i)\b(podcast|show|channel|radio|newsletter|substack|youtube|rumble|odysee|broadcast)\b"),
+    ("event", r"(?i)\b(conference|summit|symposium|forum|congress|expo|webinar|workshop)\b"),
+    ("government", r"(?i)\b(department|agency|commission|administration|bureau|ministry|senate|parliament|government|sec|cftc|ftc|fda|doj|fbi|cia|cdc|nih)\b"),
+    ("organization", r"(?i)\b(foundation|institute|association|network|organization|organisation|council|committee|alliance|coalition|project|group|media|news|company|corp|corporation|inc|llc|ltd|nonprofit|charity)\b"),
+    ("product", r"(?i)\b(report|course|book|film|documentary|device|supplement|membership|subscription|software|platform|service|system|model|program|app)\b"),
 ]
 
 
 def context_class(context: Column, surface: Column) -> Column:
     """TXT-10."""
-    out = F.when(surface.rlike(r"(?i)^(https?://|www\.)"), "website")
+    out = F.when(F.lit(False), "")
     for kind, pattern in CONTEXTS:
         out = out.when(context.rlike(pattern), kind)
-    n = F.size(F.split(surface, " "))
-    return out.when((n >= 2) & (n <= 5), "person_or_named_entity").otherwise("unknown")
+    n = F.size(F.split(F.trim(surface), r"\s+"))
+    return out.when(surface.rlike(rf"(?i)^(?:{X.URL})$"), "website").when((n >= 2) & (n <= 5), "person_or_named_entity").otherwise("named_entity")
 
 
-def eligible(surface: Column, signals: Column, kind: Column, canonical: Column, contents: Column) -> Column:
-    """TXT-09, FLT-11: the candidate gate."""
-    tokens = F.split(surface, " ")
+def eligible(surface: Column, signals: Column, kind: Column, canonical: Column, contents: Column, prior: Column | None = None) -> Column:
+    """TXT-09, FLT-11: the candidate gate. prior: the status that people gave."""
+    raw = X.clean(surface)
+    tokens = F.split(raw, " ")
     n = F.size(tokens)
-    stop = lambda t: F.lower(t).isin(sorted(STOP)) | t.contains("'")
-    proper = F.forall(tokens, lambda t: t.rlike("^[A-Z0-9]") | t.isin("of", "the", "and", "for"))
-    has = lambda s: F.array_contains(signals, s)
-    single = surface.rlike("^[A-Z0-9]{2,}$") | surface.rlike("^.+[A-Z]") | (contents >= 2)
+    bare = lambda t: F.replace(F.btrim(F.lower(t), F.lit(ENDS)), F.lit("’"), F.lit("'"))
+    first, last = bare(F.get(tokens, F.lit(0))), bare(F.get(tokens, n - 1))
+    has = lambda p: F.exists(signals, lambda s: s.startswith(p))
+    acronym = lambda t: t.rlike("[A-Z]") & (t == F.upper(t)) & F.length(t).between(2, 12)
+    proper = F.forall(tokens, lambda t: F.lower(F.btrim(t, F.lit("()[]{}\"'"))).isin(sorted(CONNECTORS)) | acronym(F.btrim(t, F.lit("()[]{}\"'"))) | F.btrim(t, F.lit("()[]{}\"'")).rlike("^[A-Z][A-Za-z0-9&’'-]*$"))
+    single = acronym(raw) | raw.rlike("^.+[A-Z]") | (contents >= 2)
+    known = X.nz(canonical).isNotNull()
+    if prior is not None:
+        known = known | F.lower(F.trim(F.coalesce(prior, F.lit("")))).isin("approved", "existing", "accepted")
     return (
-        F.when(canonical.isNotNull(), True).when(has("url") | (kind == "website"), True).when(F.length(surface) < 3, False)
-        .when(has("proper_case") & surface.rlike("[.!?]"), False).when(stop(F.get(tokens, F.lit(0))) | stop(F.get(tokens, n - 1)), False)
-        .when(has("cue_person"), n <= 5).when(has("cue_entity"), n <= 6).when(n == 1, single).otherwise((n <= 6) & proper)
+        F.when(known, True).when(F.array_contains(signals, "url") | (kind == "website"), True).when(F.length(raw) < 3, False)
+        .when(F.array_contains(signals, "proper_case") & raw.rlike("[.!?]"), False)
+        .when(first.isin(sorted(STOP | BAD_CUE_START)) | first.rlike(CONTRACTION) | last.isin(sorted(STOP | CUE_STOP)) | last.rlike(CONTRACTION), False)
+        .when(has("cue_person"), n <= 5).when(has("cue_entity"), n <= 6).when(~F.array_contains(signals, "proper_case"), False)
+        .when(n == 1, ~raw.rlike(CONTRACTION) & single).otherwise((n <= 6) & proper)
     )
 
 
@@ -153,13 +236,36 @@ def comentions(ev: DataFrame) -> DataFrame:
     return core.unordered_pairs(ev, ["seg_id"], "candidate_key").groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
 
 
-def master(batches: DataFrame, prior: DataFrame) -> DataFrame:
-    """AGG-02, TXT-13: candidates over all standing batches (candidate_key, batch_id, processed_at, mentions, contents),
-    with first and last batch and the human state of `prior` (candidate_key, review_status, notes)."""
-    g = batches.groupBy("candidate_key").agg(
-        F.sum("mentions").alias("mentions"), F.sum("contents").alias("contents"), F.min_by("batch_id", F.struct("processed_at", "batch_id")).alias("first_batch"),
-        F.max_by("batch_id", F.struct("processed_at", "batch_id")).alias("last_batch"))
-    return g.join(prior, "candidate_key", "left").na.fill("NEW", ["review_status"])
+def master(evidence: DataFrame, prior: DataFrame) -> DataFrame:
+    """AGG-02, TXT-13: candidates over the evidence of all standing batches (candidate_key, display, kind, content_id,
+    source_path, speaker, signal, processed_at, batch_id, canonical_id, snippet, seq), with first and last sighting and the
+    human state of `prior` (candidate_key, review_status, approved_id, notes). What a row shows first is its first by seq;
+    the first batch is the earliest, the last the latest one, the later of equals."""
+    first = lambda c: F.min_by(c, "seq").alias(c)
+    seen = F.col("processed_at").isNotNull() & (F.col("processed_at") != "")
+    g = evidence.groupBy("candidate_key").agg(
+        first("display"), first("kind"), first("content_id"), first("snippet"), first("canonical_id"), F.count(F.lit(1)).alias("mentions"), F.countDistinct(X.nz("content_id")).alias("contents"),
+        F.countDistinct(X.nz("source_path")).alias("sources"), F.countDistinct(X.nz("speaker")).alias("speakers"), F.array_sort(F.collect_set(X.nz("signal"))).alias("signals"),
+        F.min(F.when(seen, F.col("processed_at"))).alias("first_seen"), F.max(F.when(seen, F.col("processed_at"))).alias("last_seen"),
+        F.min_by("batch_id", F.when(seen, F.struct("processed_at", "seq"))).alias("first_batch"), F.max_by("batch_id", F.when(seen, F.struct("processed_at", "seq"))).alias("last_batch"))
+    g = g.join(prior, "candidate_key", "left")
+    known = X.nz("canonical_id").isNotNull()
+    score = X.triage_score(known, F.col("kind"), F.col("signals"), F.array_contains("signals", "known"), F.col("mentions"), F.col("contents"), F.col("speakers"))
+    g = g.withColumns({"score": score, "priority": X.priority(score, known)})
+    g = g.where(eligible(F.col("display"), F.col("signals"), F.col("kind"), F.col("canonical_id"), F.col("contents"), F.col("review_status")))
+    return g.withColumns({"review_status": F.coalesce(X.nz("review_status"), F.when(known, "existing").otherwise("new")), "approved_id": X.first_of("approved_id", "canonical_id", default="")})
+
+
+def surface_rollup(mentions: DataFrame) -> DataFrame:
+    """AGG-13: unresolved surfaces (surface, canonical_id, content_id, entity_type, correction, seq) by their norm: counts,
+    the first five as examples, of these the longest (the first of equals) for display, the last type, corrections."""
+    m = mentions.where(X.nz("canonical_id").isNull()).withColumn("key", X.norm_handle(F.col("surface"))).where("key <> ''")
+    first = core.topk(m, ["key"], [F.asc("seq")], 5).groupBy("key").agg(F.array_sort(F.collect_list(F.struct("seq", "surface"))).alias("e"))
+    longest = F.array_max(F.transform("e", lambda x, i: F.struct(F.length(x["surface"]).alias("n"), (-i).alias("i"), x["surface"].alias("s"))))["s"]
+    g = m.groupBy("key").agg(F.count(F.lit(1)).alias("mentions"), F.countDistinct(X.nz("content_id")).alias("contents"), F.max_by("entity_type", F.when(X.nz("entity_type").isNotNull(), F.col("seq"))).alias("entity_type"))
+    fixes = core.map_counter(m.where(X.nz("correction").isNotNull()), ["key"], "correction", "corrections")
+    out = g.join(first.select("key", longest.alias("display"), F.col("e.surface").alias("examples")), "key").join(fixes, "key", "left")
+    return out.select("key", "display", "examples", "mentions", "contents", F.coalesce("entity_type", F.lit("")).alias("entity_type"), F.coalesce(F.to_json("corrections"), F.lit("{}")).alias("corrections_json"))
 
 
 @F.pandas_udf(T.DoubleType())

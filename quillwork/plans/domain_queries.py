@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
-from ..operators import attribution, mentions, vectors
+from ..operators import attribution, mentions
 from ..operators.graph import saved
 from ..streaming import streams
-from .base import micros, table
+from .base import duck, made, micros, table
 from .registry import register
 from .text_queries import sentence_rows
 
@@ -80,24 +78,6 @@ def dense_attribution(spark: SparkSession, d: str) -> DataFrame:
     return out.select("content_id", "cue_index", "speaker", F.round("first_share", 6).alias("first_share"), F.round("coverage", 6).alias("coverage"), "status")
 
 
-@register("sampling_plan")
-def sampling_plan(spark: SparkSession, d: str) -> DataFrame:
-    """VOI-05."""
-    return attribution.sampling_plan(cues(spark, d), every=8.0).select("content_id", "cue_index", "clip_start", "clip_end", "ordinal")
-
-
-@register("voice_fusion")
-def voice_fusion(spark: SparkSession, d: str) -> DataFrame:
-    """VOI-08: vectors as clusters, labels as entities; every tenth vector is a verified voice."""
-    e = table(spark, d, "embeddings")
-    v = e.select(F.col("vec_id").alias("id"), F.col("embedding").alias("vec"))
-    pairs = vectors.canonical_pairs(vectors.blocks_topk(v, v, 5, 0.55))
-    bind = e.where("vec_id % 10 = 0").select(F.col("vec_id").alias("cluster_id"), F.concat(F.lit("E"), F.col("label").cast("string")).alias("entity_id"))
-    clues = e.where("vec_id % 3 = 0").select(F.col("vec_id").alias("cluster_id"), F.concat(F.lit("E"), F.col("label").cast("string")).alias("entity_id"), F.lit("HOST_INTRODUCTION").alias("evidence_type"), F.lit(0.9).alias("confidence"), F.lit("c").alias("content_id"))
-    out = vectors.fuse(clues, pairs, bind)
-    return out.select("cluster_id", "entity_id", *[F.round(c, 6).alias(c) for c in ("context", "acoustic", "combined")], "status")
-
-
 LOG = "CASE event_type WHEN 'signup' THEN 'enqueue' WHEN 'view' THEN 'lease' WHEN 'click' THEN 'heartbeat' WHEN 'purchase' THEN 'complete' ELSE 'fail' END"
 
 
@@ -109,10 +89,69 @@ def job_states(spark: SparkSession, d: str) -> DataFrame:
     return streams.job_states(e).select("job_id", "attempts", "state")
 
 
-@register("watermark_stream")
+@register("watermark_stream", "SELECT epoch_us(time_bucket(INTERVAL '1 hour', ts)) AS w, event_type, count(*) AS n FROM events GROUP BY 1, 2")
 def watermark_stream(spark: SparkSession, d: str) -> DataFrame:
     """Section 2.11: windowed counts of events as a stream over what is there now."""
     src = saved(table(spark, d, "events"), "stream-in")
     path = src.inputFiles()[0].rsplit("/", 1)[0]
-    s = streams.windowed_counts(streams.read_events(spark, path), late="60 days")
-    return streams.run_now(s, f"w{uuid.uuid4().hex[:8]}", f"{path}-checkpoint", "complete")
+    return streams.run_now(streams.windowed_counts(streams.read_events(spark, path), late="60 days"), f"{path}-run", "complete")
+
+
+JOBS = "SELECT 'J' || CAST(event_id % 300 AS STRING) AS job_key, ts, event_id FROM {events}"
+
+
+@register("distinct_jobs", "SELECT DISTINCT 'J' || (event_id % 300) AS job_key FROM events")
+def distinct_jobs(spark: SparkSession, d: str) -> DataFrame:
+    """STM-01: enqueued again, a job stays one; a stream over what is there now."""
+    src = saved(made(spark, d, JOBS).withColumn("ts", F.col("ts").cast("timestamp")), "jobs-in")
+    path = src.inputFiles()[0].rsplit("/", 1)[0]
+    return streams.run_now(streams.distinct_jobs(streams.read_events(spark, path), "60 days"), f"{path}-run").select("job_key")
+
+
+STATES = """SELECT 'J' || CAST(event_id AS STRING) AS job_id, CASE event_id % 5 WHEN 0 THEN 'queued' WHEN 1 THEN 'leased' WHEN 2 THEN 'done' WHEN 3 THEN 'failed' ELSE 'leased' END AS state, CAST(event_id % 4 AS INT) AS attempts, CAST(event_id AS DOUBLE) AS expires, CAST(event_id AS DOUBLE) AS at FROM {events}"""
+LANES = "SELECT 'J' || CAST(event_id AS STRING) AS job_id, event_type AS lane, CAST(event_id % 7 AS INT) AS priority, 'P' || CAST(event_id % 50 AS STRING) AS parent_id FROM {events} WHERE event_id % 5 < 3"
+
+
+@register("reclaimed_jobs", f"""{duck(s=STATES)} SELECT job_id, CASE WHEN state = 'leased' AND expires < 500 THEN 'queued' ELSE state END AS state, CASE WHEN state = 'leased' AND expires < 500 THEN greatest(0, attempts - 1) ELSE attempts END AS attempts FROM s""")
+def reclaimed_jobs(spark: SparkSession, d: str) -> DataFrame:
+    """STM-03, STM-06."""
+    return streams.reclaim(made(spark, d, STATES), 500.0).select("job_id", "state", "attempts")
+
+
+@register("next_jobs", f"""{duck(s=STATES, l=LANES)} SELECT lane, arg_min(l.job_id, (priority, l.job_id)) AS job_id FROM l JOIN s ON l.job_id = s.job_id AND s.state = 'queued' GROUP BY 1""")
+def next_jobs(spark: SparkSession, d: str) -> DataFrame:
+    """SRT-07, STM-02."""
+    return streams.next_jobs(made(spark, d, LANES), made(spark, d, STATES))
+
+
+@register("fan_in", f"""{duck(s=STATES, l=LANES)} SELECT parent_id, count(DISTINCT l.job_id) AS total, count(*) FILTER (WHERE state = 'done') AS done FROM l LEFT JOIN s USING (job_id) GROUP BY 1 HAVING total = done""")
+def fan_in(spark: SparkSession, d: str) -> DataFrame:
+    """STM-07."""
+    return streams.fan_in(made(spark, d, LANES), made(spark, d, STATES))
+
+
+@register("queue_page", f"""{duck(s=STATES)} SELECT job_id, state FROM s ORDER BY job_id DESC LIMIT 50""")
+def queue_page(spark: SparkSession, d: str) -> DataFrame:
+    """SRT-08, SRT-06: a page of the listing, which is the feature."""
+    return streams.queue_listing(made(spark, d, STATES), 50).select("job_id", "state")
+
+
+@register("resumed_items", f"""{duck(s=STATES, l=LANES)} SELECT job_id FROM s WHERE job_id NOT IN (SELECT job_id FROM l)""")
+def resumed_items(spark: SparkSession, d: str) -> DataFrame:
+    """STM-10, STM-08."""
+    return streams.resume(made(spark, d, STATES), made(spark, d, LANES), "job_id").select("job_id")
+
+
+@register("stale_rows", f"""{duck(s=STATES, l=LANES)} SELECT job_id FROM s WHERE job_id IN (SELECT job_id FROM l)""")
+def stale_rows(spark: SparkSession, d: str) -> DataFrame:
+    """SET-09: rows whose file is still there."""
+    return streams.drop_stale(made(spark, d, STATES), made(spark, d, LANES), "job_id").select("job_id")
+
+
+SNAPS = "SELECT 's' || CAST(event_id % 9 AS STRING) AS snapshot_id, event_id AS node FROM {events}"
+
+
+@register("latest_snapshot", f"""{duck(s=SNAPS)} SELECT snapshot_id, node FROM s WHERE snapshot_id = (SELECT max(snapshot_id) FROM s WHERE snapshot_id < 's7')""")
+def latest_snapshot(spark: SparkSession, d: str) -> DataFrame:
+    """WIN-14: the snapshot before a given one."""
+    return streams.latest_snapshot(made(spark, d, SNAPS), "s7")

@@ -84,15 +84,6 @@ def point_in_interval(spark: SparkSession, d: str) -> DataFrame:
     return core.point_in_interval(o, q, ["k"], "t", ("s", "e"), 91.0, "s").select("o_orderkey", "q")
 
 
-@register("overlap_marking", f"""WITH {SESS} SELECT a.user_id, a.sid, EXISTS (SELECT 1 FROM sess b WHERE b.kind = a.kind AND b.user_id <> a.user_id AND least(a.e, b.e) - greatest(a.s, b.s) > 30000) AS overlapped FROM sess a WHERE a.e > a.s""")
-def overlap_marking(spark: SparkSession, d: str) -> DataFrame:
-    """WIN-08: sessions of one kind that overlap another user's by more than 0.03 s."""
-    s = sessions(table(spark, d, "events")).where("e > s")
-    b = s.select("kind", F.col("user_id").alias("other"), F.col("s").alias("bs"), F.col("e").alias("be"))
-    hit = core.interval_join(s, b, ["kind"], ("s", "e"), ("bs", "be"), float(DAY6)).where("user_id <> other and ov > 30000").select("user_id", "sid").distinct().withColumn("o", F.lit(True))
-    return s.join(hit, ["user_id", "sid"], "left").select("user_id", "sid", F.coalesce("o", F.lit(False)).alias("overlapped"))
-
-
 @register("grid_sampling", f"""WITH e AS (SELECT user_id, event_id, epoch_us(ts) AS t FROM events), g AS (SELECT user_id, unnest(range(min(t) // {DAY6}, max(t) // {DAY6} + 1)) * {DAY6} + {DAY6 // 2} AS target FROM e GROUP BY user_id),
 r AS (SELECT g.user_id, g.target, e.event_id, row_number() OVER (PARTITION BY g.user_id, g.target ORDER BY abs(e.t - g.target), e.t, e.event_id) AS rk FROM g JOIN e USING (user_id))
 SELECT DISTINCT user_id, event_id FROM r WHERE rk = 1""")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import exprs as X
 from ..operators import graph as G
 from ..operators import vectors as V
-from .base import table
+from .base import duck, made, table
 from .registry import register
 
 SIM = """
@@ -80,6 +80,11 @@ def edges(spark: SparkSession, d: str) -> DataFrame:
     return G.build_edges(raw_relations(spark, d))
 
 
+def kept_edges(spark: SparkSession, d: str) -> DataFrame:
+    """Edges as a table, for queries that read them more than once."""
+    return G.saved(edges(spark, d), "edges")
+
+
 def regions(spark: SparkSession, d: str) -> DataFrame:
     n = F.broadcast(table(spark, d, "nation").select("n_nationkey", F.col("n_regionkey").alias("community")))  # 25 rows
     c = table(spark, d, "customer").join(n, F.col("c_nationkey") == F.col("n_nationkey")).select(F.concat(F.lit("C"), "c_custkey").alias("node"), "community")
@@ -94,7 +99,7 @@ def edge_build(spark: SparkSession, d: str) -> DataFrame:
 
 @register("node_strength", f"WITH {EDGES} SELECT node, round(sum(weight), 4) AS strength, count(*) AS degree FROM ways GROUP BY node")
 def node_strength(spark: SparkSession, d: str) -> DataFrame:
-    return G.strengths(edges(spark, d)).withColumn("strength", F.round("strength", 4))
+    return G.strengths(kept_edges(spark, d)).withColumn("strength", F.round("strength", 4))
 
 
 SHARES = f"""{EDGES},
@@ -104,7 +109,7 @@ sh AS (SELECT node, community, w / sum(w) OVER (PARTITION BY node) AS share, sum
 
 @register("participation", f"WITH {SHARES} SELECT node, round(1 - sum(share * share), 6) AS participation, round(1 - max(share), 6) AS outlier FROM sh GROUP BY node")
 def participation(spark: SparkSession, d: str) -> DataFrame:
-    e = edges(spark, d)
+    e = kept_edges(spark, d)
     shares = G.membership(e, regions(spark, d)).join(G.strengths(e).select("node"), "node", "left_semi")
     p = G.participation(shares)
     return p.select("node", F.round("participation", 6).alias("participation"), F.round("outlier", 6).alias("outlier"))
@@ -112,7 +117,7 @@ def participation(spark: SparkSession, d: str) -> DataFrame:
 
 @register("bridge_score", f"WITH {SHARES}, p AS (SELECT node, 1 - sum(share * share) AS p, max(strength) AS s FROM sh GROUP BY node) SELECT node, round(p * ln(1 + s), 5) AS bridge FROM p")
 def bridge_score(spark: SparkSession, d: str) -> DataFrame:
-    e = edges(spark, d)
+    e = kept_edges(spark, d)
     st = G.strengths(e)
     p = G.participation(G.membership(e, regions(spark, d))).join(st, "node")
     return p.select("node", F.round(X.bridge_score(F.col("participation"), F.col("strength")), 5).alias("bridge"))
@@ -122,7 +127,7 @@ def bridge_score(spark: SparkSession, d: str) -> DataFrame:
 g AS (SELECT n.community, sum(weight) AS d FROM ways JOIN nodes n USING (node) GROUP BY 1), m AS (SELECT sum(d) / 2 AS m FROM g)
 SELECT round(sum(coalesce(l, 0)) / max(m) - sum(d * d) / (4 * max(m) * max(m)), 6) AS q FROM g LEFT JOIN i USING (community), m""")
 def modularity(spark: SparkSession, d: str) -> DataFrame:
-    return G.modularity(edges(spark, d), regions(spark, d)).select(F.round("q", 6).alias("q"))
+    return G.modularity(kept_edges(spark, d), regions(spark, d)).select(F.round("q", 6).alias("q"))
 
 
 def _rank_sql(rounds: int) -> str:
@@ -137,12 +142,12 @@ def pagerank_20(spark: SparkSession, d: str) -> DataFrame:
 
 
 def nation_edges(spark: SparkSession, d: str) -> DataFrame:
-    """A small graph: nations by the trade between their customers and suppliers, heavier than average."""
+    """A small graph: nations by the trade between their customers and suppliers."""
     e = edges(spark, d)
     c = table(spark, d, "customer").select(F.concat(F.lit("C"), "c_custkey").alias("src"), F.col("c_nationkey").alias("a"))
     s = table(spark, d, "supplier").select(F.concat(F.lit("S"), "s_suppkey").alias("dst"), F.col("s_nationkey").alias("b"))
     g = e.join(c, "src").join(s, "dst").where("a <> b").groupBy(F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst")).agg(F.round(F.sum("weight"), 6).alias("weight"))
-    return g.where(F.col("weight") > 0).withColumn("m", F.avg("weight").over(Window.partitionBy(F.lit(0)))).where("weight > m").drop("m")
+    return g.where("weight > 0")
 
 
 @register("louvain")
@@ -157,7 +162,7 @@ def betweenness(spark: SparkSession, d: str) -> DataFrame:
 
 @register("label_communities")
 def label_communities(spark: SparkSession, d: str) -> DataFrame:
-    return G.communities(edges(spark, d), 4)
+    return G.communities(kept_edges(spark, d), 4)
 
 
 MONTHS = """
@@ -196,28 +201,7 @@ def supply(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "lineitem").groupBy(F.col("l_suppkey").alias("s"), F.col("l_partkey").alias("p")).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("l_returnflag") == "R").alias("neg"))
 
 
-@register("shared_target_pairs", f"""WITH {SUPPLY}, x AS (SELECT a.s AS s1, b.s AS s2, a.p, a.n AS n1, b.n AS n2, a.neg AS g1, b.neg AS g2 FROM t a JOIN t b ON a.p = b.p AND (a.n, a.neg, -a.s) > (b.n, b.neg, -b.s) WHERE a.n > 2)
-SELECT s1 AS source_a, s2 AS source_b, p AS target, n1 + n2 AS events FROM x""")
-def shared_target_pairs(spark: SparkSession, d: str) -> DataFrame:
-    """JON-13: pairs of suppliers of a part, the busier first (more events, more returns, lesser key)."""
-    t = supply(spark, d)
-    a = t.where("n > 2").select(F.col("s").alias("s1"), "p", F.col("n").alias("n1"), F.col("neg").alias("g1"))
-    b = t.select(F.col("s").alias("s2"), "p", F.col("n").alias("n2"), F.col("neg").alias("g2"))
-    first = F.struct(F.col("n1").alias("n"), F.col("g1").alias("g"), (-F.col("s1")).alias("s")) > F.struct(F.col("n2").alias("n"), F.col("g2").alias("g"), (-F.col("s2")).alias("s"))
-    return a.join(b, "p").where(first).select(F.col("s1").alias("source_a"), F.col("s2").alias("source_b"), F.col("p").alias("target"), (F.col("n1") + F.col("n2")).alias("events"))
-
-
-@register("wedge_motif", """WITH c AS (SELECT DISTINCT c_custkey AS k, c_nationkey AS nat, l_suppkey AS s FROM orders JOIN lineitem ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey WHERE o_orderstatus = 'P')
-SELECT a.k AS a, b.k AS b, a.s AS target FROM c a JOIN c b ON a.nat = b.nat AND a.s = b.s AND a.k < b.k""")
-def wedge_motif(spark: SparkSession, d: str) -> DataFrame:
-    """GRF-12's shape: customers of one nation with a supplier in common; nation and supplier together are the key."""
-    o = table(spark, d, "orders").where("o_orderstatus = 'P'").select("o_orderkey", "o_custkey")
-    l, c = table(spark, d, "lineitem").select("l_orderkey", "l_suppkey"), table(spark, d, "customer").select("c_custkey", "c_nationkey")
-    x = o.join(l, F.col("o_orderkey") == F.col("l_orderkey")).join(c, F.col("c_custkey") == F.col("o_custkey")).select(F.col("c_custkey").alias("k"), "c_nationkey", F.col("l_suppkey").alias("target")).distinct()
-    return x.withColumnRenamed("k", "a").join(x.withColumnRenamed("k", "b"), ["c_nationkey", "target"]).where("a < b").select("a", "b", "target")
-
-
-@register("reciprocity", """WITH e AS (SELECT DISTINCT c_nationkey AS a, s_nationkey AS b FROM orders JOIN lineitem ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey JOIN supplier ON s_suppkey = l_suppkey WHERE o_totalprice > 300000)
+@register("reciprocity", """WITH e AS (SELECT DISTINCT c_nationkey AS a, s_nationkey AS b FROM orders JOIN lineitem ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey JOIN supplier ON s_suppkey = l_suppkey)
 SELECT x.a, x.b FROM e x JOIN e y ON x.a = y.b AND x.b = y.a WHERE x.a < x.b""")
 def reciprocity(spark: SparkSession, d: str) -> DataFrame:
     """DCL-05: nations that buy from each other."""
@@ -226,14 +210,14 @@ def reciprocity(spark: SparkSession, d: str) -> DataFrame:
 
 
 def trade(spark: SparkSession, d: str) -> DataFrame:
-    o = table(spark, d, "orders").where("o_totalprice > 300000").select("o_orderkey", "o_custkey")
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey")
     l = table(spark, d, "lineitem").select("l_orderkey", "l_suppkey")
     c = table(spark, d, "customer").select("c_custkey", F.col("c_nationkey").alias("a"))
     s = table(spark, d, "supplier").select("s_suppkey", F.col("s_nationkey").alias("b"))
     return o.join(l, F.col("o_orderkey") == F.col("l_orderkey")).join(c, F.col("c_custkey") == F.col("o_custkey")).join(s, F.col("s_suppkey") == F.col("l_suppkey")).select("a", "b").distinct()
 
 
-CYCLE = "e AS (SELECT DISTINCT c_nationkey AS a, s_nationkey AS b FROM orders JOIN lineitem ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey JOIN supplier ON s_suppkey = l_suppkey WHERE o_totalprice > 300000 AND c_nationkey <> s_nationkey)"
+CYCLE = "e AS (SELECT DISTINCT c_nationkey AS a, s_nationkey AS b FROM orders JOIN lineitem ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey JOIN supplier ON s_suppkey = l_suppkey WHERE c_nationkey <> s_nationkey)"
 
 
 @register("cycle_3hop", f"WITH {CYCLE} SELECT x.a AS n1, x.b AS n2, y.b AS n3 FROM e x JOIN e y ON x.b = y.a JOIN e z ON y.b = z.a AND z.b = x.a WHERE x.a < x.b AND x.a < y.b")
@@ -247,7 +231,7 @@ def cycle_3hop(spark: SparkSession, d: str) -> DataFrame:
 @register("scope_rule", f"""WITH {EDGES}, s AS (SELECT node, count(*) AS ties, count(*) FILTER (WHERE weight >= 8) AS strong FROM ways GROUP BY node) SELECT node, ties >= 2 OR strong >= 1 AS in_scope FROM s""")
 def scope_rule(spark: SparkSession, d: str) -> DataFrame:
     """DCL-09: two ties or one strong tie."""
-    s = G.both_ways(edges(spark, d)).groupBy("node").agg(F.count(F.lit(1)).alias("ties"), F.count_if(F.col("weight") >= 8).alias("strong"))
+    s = G.both_ways(kept_edges(spark, d)).groupBy("node").agg(F.count(F.lit(1)).alias("ties"), F.count_if(F.col("weight") >= 8).alias("strong"))
     return s.select("node", ((F.col("ties") >= 2) | (F.col("strong") >= 1)).alias("in_scope"))
 
 
@@ -256,4 +240,127 @@ def strongest_edges(spark: SparkSession, d: str) -> DataFrame:
     """DCL-13."""
     from ..operators.core import topk
 
-    return topk(G.both_ways(edges(spark, d)).withColumn("weight", F.round("weight", 5)), ["node"], [F.desc("weight"), F.asc("other")], 3)
+    return topk(G.both_ways(kept_edges(spark, d)).withColumn("weight", F.round("weight", 5)), ["node"], [F.desc("weight"), F.asc("other")], 3)
+
+
+STANCES = """SELECT CASE WHEN event_id % 19 = 0 THEN '' ELSE 'S' || CAST(event_id AS STRING) END AS stance_event_id, CASE WHEN event_id % 23 = 0 THEN ' ' ELSE ' N' || CAST(user_id % 30 AS STRING) END AS source_entity_id, CASE WHEN event_id % 29 = 0 THEN NULL ELSE 'T' || CAST(event_id % 8 AS STRING) END AS target_entity_id,
+CASE event_id % 17 WHEN 0 THEN 'CRITICIZES' WHEN 1 THEN 'DISPUTES' WHEN 2 THEN 'accuses' WHEN 3 THEN 'WARNS_AGAINST' WHEN 4 THEN 'RIDICULES' WHEN 5 THEN 'DISTANCES_FROM' WHEN 6 THEN 'CONTRADICTS' WHEN 7 THEN 'OPPOSES' WHEN 8 THEN 'PRAISES' WHEN 9 THEN 'ENDORSES' WHEN 10 THEN 'SUPPORTS' WHEN 11 THEN 'DEFENDS' WHEN 12 THEN 'AGREES_WITH' WHEN 13 THEN 'promotes' WHEN 14 THEN 'RECOMMENDS' WHEN 15 THEN '' ELSE 'MENTIONS' END AS stance_type,
+CASE event_id % 7 WHEN 0 THEN 'ADOPTS' WHEN 1 THEN 'supports' WHEN 2 THEN 'OWN_STATEMENT' WHEN 3 THEN '' WHEN 4 THEN NULL WHEN 5 THEN 'REJECTS' ELSE 'NEUTRAL_REPORT' END AS speaker_adoption, CASE WHEN event_id % 31 = 0 THEN '' ELSE 'C' || CAST(event_id % 50 AS STRING) END AS content_id FROM {events}"""
+CONNECTIONS = """SELECT 'N' || CAST(p_partkey % 30 AS STRING) AS source_id, CASE WHEN p_partkey % 13 = 0 THEN '' ELSE 'N' || CAST(p_partkey % 30 * 7 % 30 AS STRING) END AS target_id, CASE p_partkey % 6 WHEN 0 THEN 'rejected' WHEN 1 THEN 'ACTIVE' WHEN 2 THEN '' WHEN 3 THEN 'OTHER' WHEN 4 THEN 'SUPERSEDED' END AS status, 'd' || CAST(p_partkey % 4 AS STRING) || ';;d' || CAST(p_partkey % 3 AS STRING) AS source_ids FROM {part}"""
+NEG, POS = "('CRITICIZES', 'DISPUTES', 'ACCUSES', 'WARNS_AGAINST', 'RIDICULES', 'DISTANCES_FROM', 'CONTRADICTS', 'OPPOSES')", "('PRAISES', 'ENDORSES', 'SUPPORTS', 'DEFENDS', 'AGREES_WITH', 'PROMOTES', 'RECOMMENDS')"
+OWN = """, own AS (SELECT trim(source_entity_id) AS source, trim(target_entity_id) AS target, upper(stance_type) AS stance, nullif(content_id, '') AS content_id, nullif(stance_event_id, '') AS stance_event_id FROM st WHERE trim(source_entity_id) <> '' AND trim(coalesce(target_entity_id, '')) <> '' AND stance_type <> '' AND upper(coalesce(speaker_adoption, '')) IN ('ADOPTS', 'SUPPORTS', 'OWN_STATEMENT', ''))"""
+
+
+@register("own_stances", f"{duck(st=STANCES)}{OWN} SELECT * FROM own")
+def own_stances(spark: SparkSession, d: str) -> DataFrame:
+    """FLT-03."""
+    return G.own_stances(made(spark, d, STANCES))
+
+
+RELS = """, rel AS (SELECT least(source_id, target_id) AS a, greatest(source_id, target_id) AS b, count(*) AS relations, array_to_string(list_sort(list_distinct(list_filter(flatten(list(string_split(source_ids, ';'))), lambda s: s <> ''))), ',') AS ids FROM cn
+WHERE upper(coalesce(status, '')) NOT IN ('REJECTED', 'CONTRADICTED', 'SUPERSEDED') AND source_id <> '' AND target_id <> '' AND source_id <> target_id GROUP BY 1, 2)"""
+
+
+@register("relation_pairs", f"{duck(cn=CONNECTIONS)}{RELS} SELECT * FROM rel")
+def relation_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """FLT-02, SET-07."""
+    return G.relation_pairs(made(spark, d, CONNECTIONS)).select("a", "b", "relations", F.array_join("source_ids", ",").alias("ids"))
+
+
+def _json(*parts: str) -> str:
+    return "'[' || " + " || ',' || ".join(f"'\"' || {p} || '\"'" for p in parts) + " || ']'"
+
+
+MOTIFS = f"""{duck(st=STANCES, cn=CONNECTIONS)}{OWN}{RELS}, side AS (SELECT source, target, bool_or(stance IN {NEG}) AS neg, bool_or(stance IN {POS}) AS pos, count(*) AS n, count(DISTINCT content_id) AS c, string_agg('"' || stance_event_id || '"', ',' ORDER BY stance_event_id) AS ev FROM own GROUP BY 1, 2),
+tri AS (SELECT a, b, x.target, relations, ids, x.n AS na, y.n AS nb, x.c AS ca, y.c AS cb, concat_ws(',', x.ev, y.ev) AS ev, CASE WHEN x.neg AND y.neg THEN 'SHARED_ADVERSARY_CONNECTED' WHEN x.pos AND y.pos THEN 'SHARED_SUPPORT_CONNECTED' END AS kind FROM rel JOIN side x ON x.source = a JOIN side y ON y.source = b AND y.target = x.target)"""
+WEDGES = f"""SELECT 'MF_' || upper(substr(sha256(kind || chr(31) || a || chr(31) || b || chr(31) || target), 1, 20)) AS motif_id, kind AS motif_type, {_json("a", "b", "target")} AS node_ids, '[' || ev || ']' AS edge_event_ids, CASE WHEN ids = '' THEN '[]' ELSE '["' || replace(ids, ',', '","') || '"]' END AS source_ids,
+round(least(100.0, 12 * (1.5 * ln(1 + relations) + ln(1 + na) + ln(1 + nb) + 0.5 * ln(1 + ca + cb))), 2) AS signal_strength FROM tri WHERE kind IS NOT NULL"""
+REVERSALS = f"""SELECT 'MF_' || upper(substr(sha256('STANCE_REVERSAL' || chr(31) || source || chr(31) || target), 1, 20)) AS motif_id, 'STANCE_REVERSAL' AS motif_type, {_json("source", "target")} AS node_ids, '[]' AS edge_event_ids, '[]' AS source_ids, 35.0 AS signal_strength
+FROM own GROUP BY source, target HAVING count(*) FILTER (WHERE stance IN {NEG}) > 0 AND count(*) FILTER (WHERE stance IN {POS}) > 0"""
+
+
+@register("wedge_motifs", f"{MOTIFS} {WEDGES}")
+def wedge_motifs(spark: SparkSession, d: str) -> DataFrame:
+    """GRF-12, JON-14, SET-03, SET-07, MTH-06."""
+    return G.wedge_motifs(G.relation_pairs(made(spark, d, CONNECTIONS)), G.own_stances(made(spark, d, STANCES)))
+
+
+@register("stance_reversals", f"{MOTIFS} {REVERSALS}")
+def stance_reversals(spark: SparkSession, d: str) -> DataFrame:
+    """GRF-13."""
+    return G.reversals(G.own_stances(made(spark, d, STANCES)))
+
+
+METRICS = "SELECT 's1' AS snapshot_id, 'N' || CAST(p_partkey AS STRING) AS node, (p_partkey % 10) / 10e0 AS participation, (p_partkey % 7) / 5e0 AS bridge, (p_partkey % 11) / 200e0 AS brokerage FROM {part}"
+BRIDGES = f"""SELECT 'MF_' || upper(substr(sha256('CROSS_COMMUNITY_BRIDGE' || chr(31) || node || chr(31) || snapshot_id), 1, 20)) AS motif_id, 'CROSS_COMMUNITY_BRIDGE' AS motif_type, {_json("node")} AS node_ids, '[]' AS edge_event_ids, '[]' AS source_ids,
+round(least(100, 25 + 45 * participation + 15 * least(1, bridge)), 2) AS signal_strength FROM mt WHERE participation >= 0.55 AND (bridge >= 0.75 OR brokerage >= 0.03)"""
+
+
+@register("bridge_motifs", f"{duck(mt=METRICS)} {BRIDGES}")
+def bridge_motifs(spark: SparkSession, d: str) -> DataFrame:
+    """GRF-14."""
+    return G.bridge_motifs(made(spark, d, METRICS))
+
+
+@register("reviewed_motifs", f"""{MOTIFS}, m AS ({WEDGES} UNION ALL {REVERSALS}) SELECT DISTINCT motif_id, CASE WHEN motif_id < 'MF_4' THEN 'DISMISSED' ELSE 'OPEN' END AS status, CASE WHEN motif_id < 'MF_4' AND motif_id > 'MF_2' THEN 'seen' ELSE '' END AS review_notes FROM m""")
+def reviewed_motifs(spark: SparkSession, d: str) -> DataFrame:
+    """GRF-15: found twice, reviewed before in part."""
+    m = wedge_motifs(spark, d).unionByName(stance_reversals(spark, d))
+    prior = m.where("motif_id < 'MF_4'").select("motif_id", F.lit("DISMISSED").alias("status"), F.when(F.col("motif_id") > "MF_2", "seen").otherwise("").alias("notes"))
+    return G.carry_review(m.unionByName(m), prior).select("motif_id", "status", "review_notes")
+
+
+@register("stance_edges", f"""{duck(st=STANCES)}{OWN}, c AS (SELECT source, target, stance, count(*) AS n FROM own GROUP BY 1, 2, 3) SELECT source, target, count(*) AS stances, count(*) FILTER (WHERE stance IN {NEG}) AS negative, count(*) FILTER (WHERE stance IN {POS}) AS positive, count(DISTINCT content_id) AS contents,
+(SELECT arg_min(c.stance, (-c.n, c.stance)) FROM c WHERE c.source = own.source AND c.target = own.target) AS dominant FROM own GROUP BY 1, 2""")
+def stance_edges(spark: SparkSession, d: str) -> DataFrame:
+    """DCL-02."""
+    return G.stance_edges(G.own_stances(made(spark, d, STANCES)))
+
+
+@register("layer_degrees", f"""WITH {EDGES}, ty AS (SELECT least(source_id, target_id) AS src, greatest(source_id, target_id) AS dst, bool_or(p = '1-URGENT') AS money, bool_or(p = '2-HIGH') AS commerce FROM raw GROUP BY 1, 2), l AS (SELECT e.src, e.dst, weight, unnest(list_filter(['all', CASE WHEN weight >= 8 THEN 'strong' END, CASE WHEN commerce THEN 'commerce' END, CASE WHEN money THEN 'money' END], lambda x: x IS NOT NULL)) AS layer FROM edges e JOIN ty USING (src, dst))
+SELECT layer, node, count(*) AS degree, round(sum(weight), 4) AS strength FROM (SELECT layer, src AS node, weight FROM l UNION ALL SELECT layer, dst, weight FROM l) GROUP BY 1, 2""")
+def layer_degrees(spark: SparkSession, d: str) -> DataFrame:
+    """DCL-03: all edges, strong ties, commerce, money."""
+    return G.layers(kept_edges(spark, d)).withColumn("strength", F.round("strength", 4))
+
+
+@register("membership_shares", f"WITH {SHARES}, own AS (SELECT node, community, 0.0 AS z FROM nodes WHERE node IN (SELECT node FROM ways)) SELECT node, community, round(coalesce(share, z), 6) AS share FROM sh FULL JOIN own USING (node, community)")
+def membership_shares(spark: SparkSession, d: str) -> DataFrame:
+    """GRF-03, AGG-11."""
+    e = kept_edges(spark, d)
+    return G.membership(e, regions(spark, d)).join(G.strengths(e).select("node"), "node", "left_semi").withColumn("share", F.round("share", 6))
+
+
+@register("node_metrics", f"""WITH {SHARES}, ev AS (SELECT node, sum(evidence) AS ev, count(*) AS degree FROM (SELECT src AS node, evidence FROM edges UNION ALL SELECT dst, evidence FROM edges) GROUP BY 1), p AS (SELECT node, 1 - sum(share * share) AS p, 1 - max(share) AS o, max(strength) AS s FROM sh GROUP BY 1)
+SELECT 's1' AS snapshot_id, node, 'relationship' AS layer, degree, round(round_even(s, 6) * 1e6)::BIGINT AS weighted_degree, round(round_even(s / 1000, 8) * 1e8)::BIGINT AS betweenness, round(round_even(p, 6) * 1e6)::BIGINT AS participation, round(round_even(p * ln(1 + s), 6) * 1e6)::BIGINT AS bridge, round(round_even(o, 6) * 1e6)::BIGINT AS outlier, ev::DOUBLE AS evidence_coverage FROM p JOIN ev USING (node)""")
+def node_metrics(spark: SparkSession, d: str) -> DataFrame:
+    """GRF-07, AGG-10, MTH-09: with a stand-in for betweenness, which GRF-05 computes for small graphs only. Shown as
+    whole numbers of the last digit."""
+    e = kept_edges(spark, d)
+    st = G.saved(G.strengths(e), "strengths")
+    shares = G.membership(e, regions(spark, d)).join(st.select("node"), "node", "left_semi")
+    m = G.node_metrics(e, shares, st.select("node", (F.col("strength") / 1000).alias("betweenness")), st.select("node", F.lit(0.0).alias("rank")), "s1")
+    digits = {"weighted_degree": 6, "betweenness": 8, "participation": 6, "bridge": 6, "outlier": 6}
+    return m.withColumns({c: F.round(F.col(c) * float(10**k)).cast("long") for c, k in digits.items()}).drop("pagerank", "brokerage")
+
+
+@register("snapshot_payload", f"""WITH n AS (SELECT n_nationkey AS node, n_regionkey AS community, CASE WHEN n_nationkey % 6 = 0 THEN n_nationkey::VARCHAR ELSE n_name END AS label FROM nation) SELECT 'nodes' AS part, '{{"node":' || node || ',"community":' || community || ',"label":"' || label || '"}}' AS item FROM n
+UNION ALL SELECT 'edges', '{{"src":' || (n_nationkey - 1) || ',"dst":' || n_nationkey || '}}' FROM nation WHERE n_nationkey > 0 UNION ALL SELECT 'communities', '{{"community":' || n_regionkey || ',"size":' || count(*) || '}}' FROM nation GROUP BY n_regionkey""")
+def snapshot_payload(spark: SparkSession, d: str) -> DataFrame:
+    """GRF-11, SNK-04, JON-25: the parts of the payload read back from its JSON."""
+    n = table(spark, d, "nation")
+    nodes = G.named_nodes(n.select(F.col("n_nationkey").alias("node"), F.col("n_regionkey").alias("community")), n.select(F.col("n_nationkey").alias("id"), F.when(F.col("n_nationkey") % 6 != 0, F.col("n_name")).alias("name")))
+    edges = n.where("n_nationkey > 0").select((F.col("n_nationkey") - 1).alias("src"), F.col("n_nationkey").alias("dst"))
+    sizes = n.groupBy(F.col("n_regionkey").alias("community")).agg(F.count(F.lit(1)).alias("size"))
+    j = G.snapshot_json("s1", nodes, edges, sizes)
+    kind = "nodes array<struct<node:long,community:long,label:string>>, edges array<struct<src:long,dst:long>>, communities array<struct<community:long,size:long>>"
+    x = j.select(F.from_json("json", kind).alias("j"))
+    item = lambda c: x.select(F.lit(c).alias("part"), F.explode(f"j.{c}").alias("i")).select("part", F.to_json("i").alias("item"))
+    return item("nodes").unionByName(item("edges")).unionByName(item("communities"))
+
+
+@register("ego_edges", f"""WITH {EDGES}, h0 AS (SELECT min(node) AS node FROM ways), h1 AS (SELECT other AS node FROM ways WHERE node IN (SELECT node FROM h0) UNION SELECT node FROM h0) SELECT src, dst FROM edges WHERE src IN (SELECT node FROM h1) AND dst IN (SELECT node FROM h1)""")
+def ego_edges(spark: SparkSession, d: str) -> DataFrame:
+    """DCL-13: one hop around the first node."""
+    e = kept_edges(spark, d)
+    return G.ego(e, G.both_ways(e).agg(F.min("node")).first()[0], 1).select("src", "dst")

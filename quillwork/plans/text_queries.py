@@ -43,18 +43,21 @@ def text_norm(spark: SparkSession, d: str) -> DataFrame:
     return t.select("conv_id", "turn", X.norm_tokens(F.col("text")).alias("norm"), X.safe_name(F.concat("role", F.lit("/"), "text")).alias("safe"), X.tail(F.col("text"), 20).alias("tail"))
 
 
-@register("url_mentions", r"""WITH p AS (SELECT page_id, url, unnest(regexp_extract_all(url || ' ' || coalesce(html, ''), '(?:https?://|www\.)[A-Za-z0-9./_?=&%:#-]+')) AS mention FROM pages)
-SELECT page_id, mention, count(*) AS n, min(regexp_replace(regexp_replace(mention, '[?#].*$', ''), '/+$', '')) AS root FROM p GROUP BY page_id, mention""")
+URL_SQL = r"""(?i)(?:https?://[^\s<>"'']+|\b(?:www\.)?[A-Za-z0-9.-]+\.(?:com|org|net|io|tv|news|co|us|gov|edu)\b)"""
+
+
+@register("url_mentions", f"""SELECT page_id, mention, count(*) AS n FROM (SELECT page_id, unnest(regexp_extract_all(url || ' ' || coalesce(html, ''), '{URL_SQL}')) AS mention FROM pages) GROUP BY page_id, mention""")
 def url_mentions(spark: SparkSession, d: str) -> DataFrame:
+    """STR-08, TXT-05."""
     p = table(spark, d, "pages").select("page_id", F.explode(X.urls(F.concat("url", F.lit(" "), F.coalesce("html", F.lit(""))))).alias("mention"))
-    return p.groupBy("page_id", "mention").agg(F.count(F.lit(1)).alias("n"), F.min(X.url_root(F.col("mention"))).alias("root"))
+    return p.groupBy("page_id", "mention").agg(F.count(F.lit(1)).alias("n"))
 
 
-TERMS_SQL = f"terms AS (SELECT doc_id, source, unnest(regexp_extract_all(text, '{TERM}')) AS term FROM documents WHERE lang = 'en')"
+TERMS_SQL = f"terms AS (SELECT doc_id, source, unnest(regexp_extract_all(text, '{TERM}')) AS term FROM documents)"
 
 
 def term_rows(docs: DataFrame) -> DataFrame:
-    return docs.where("lang = 'en'").select("doc_id", "source", F.explode(F.regexp_extract_all("text", F.lit(TERM), F.lit(0))).alias("term"))
+    return docs.select("doc_id", "source", F.explode(F.regexp_extract_all("text", F.lit(TERM), F.lit(0))).alias("term"))
 
 
 @register("proper_terms", f"WITH {TERMS_SQL} SELECT term, count(*) AS n, count(DISTINCT doc_id) AS docs FROM terms GROUP BY term")
@@ -74,8 +77,8 @@ SELECT a.term AS a, b.term AS b, count(*) AS n FROM t a JOIN t b ON a.doc_id = b
 def comentions_topk(spark: SparkSession, d: str) -> DataFrame:
     """Sentences are the segments, so a pair join stays within a sentence: bounded by its terms."""
     s = sentence_rows(table(spark, d, "documents"))
-    terms = s.select("doc_id", "idx", F.explode(F.array_distinct(F.regexp_extract_all("sentence", F.lit(TERM), F.lit(0)))).alias("term"))
-    return core.unordered_pairs(terms, ["doc_id", "idx"], "term").groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "a", "b").limit(100)
+    terms = F.array_sort(F.array_distinct(F.regexp_extract_all("sentence", F.lit(TERM), F.lit(0))))
+    return core.pairs_in_row(s, terms).groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "a", "b").limit(100)
 
 
 ROLL_SQL = f"""{TERMS_SQL}, roll AS (SELECT term, count(*) AS mentions, count(DISTINCT doc_id) AS contents, count(DISTINCT source) AS sources, min(doc_id) AS first_doc,
@@ -124,18 +127,6 @@ def conversation_role_runs(spark: SparkSession, d: str) -> DataFrame:
     return out.select("conv_id", "run", "role", "first_turn", "last_turn", F.array_join(F.col("p.text"), " ").alias("text"))
 
 
-@register("fuzzy_name_topk", """WITH n AS (SELECT DISTINCT p_name FROM part), k AS (SELECT DISTINCT p_name AS name FROM part ORDER BY 1 LIMIT 10),
-s AS (SELECT n.p_name, k.name, round(1 - levenshtein(n.p_name, k.name) / greatest(length(n.p_name), length(k.name)), 6) AS sim FROM n, k)
-SELECT p_name, name, sim, rank FROM (SELECT *, row_number() OVER (PARTITION BY p_name ORDER BY sim DESC, name) AS rank FROM s) WHERE rank <= 3""")
-def fuzzy_name_topk(spark: SparkSession, d: str) -> DataFrame:
-    """Names against a dictionary of ten: a broadcast of stated size."""
-    n = table(spark, d, "part").select("p_name").distinct()
-    k = n.orderBy("p_name").limit(10).agg(F.collect_list("p_name").alias("names"))
-    pairs = n.join(F.broadcast(k)).select("p_name", F.explode("names").alias("name"))
-    sim = F.round(1 - F.levenshtein("p_name", "name") / F.greatest(F.char_length("p_name"), F.char_length("name")), 6)
-    return core.topk(pairs.withColumn("sim", sim), ["p_name"], [F.desc("sim"), F.asc("name")], 3)
-
-
 @register("rule_violations", """SELECT doc_id AS id, 'short_text' AS rule FROM documents WHERE length(text) < 100 UNION ALL SELECT doc_id, 'length_mismatch' FROM documents WHERE n_chars <> length(text)
 UNION ALL SELECT conv_id, 'empty_turn' FROM conversations WHERE trim(text) = '' UNION ALL SELECT conv_id, 'unknown_role' FROM conversations WHERE role NOT IN ('user', 'assistant', 'system')""")
 def rule_violations(spark: SparkSession, d: str) -> DataFrame:

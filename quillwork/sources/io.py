@@ -27,16 +27,22 @@ def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return raw.select(*[cell(f).alias(f.name) for f in want.schema.fields])
 
 
-def json_lines(spark: SparkSession, path: str, schema: str, strict: bool = False, recursive: bool = True) -> DataFrame:
-    """SRC-02, SRC-03: path, line_no (blank lines count) and the fields of each line. Malformed lines go, or stop a strict scan."""
+def json_lines(spark: SparkSession, path: str, schema: str, strict: bool = False, recursive: bool = True, numbered: bool = True) -> DataFrame:
+    """SRC-02, SRC-03: path, line_no (blank lines count) and the fields of each line. Malformed lines go, or stop a strict
+    scan. Line numbers need each file whole in one task: fit for transcripts. Without them line_no is NULL, and files of any
+    size are read in splits."""
     read = spark.read.option("recursiveFileLookup", recursive)
     try:
-        files = read.text(path, wholetext=True).withColumn("path", F.col("_metadata.file_path"))
+        files = read.text(path, wholetext=numbered).withColumn("path", F.col("_metadata.file_path"))
     except Exception as e:
         if _missing(e):
             return spark.createDataFrame([], f"path string, line_no int, {schema}")
         raise
-    lines = files.select("path", F.posexplode(F.split("value", "\n")).alias("line_no", "line")).where(F.trim("line") != "")
+    if numbered:
+        lines = files.select("path", F.posexplode(F.split("value", "\n")).alias("line_no", "line"))
+    else:
+        lines = files.select("path", F.lit(None).cast("int").alias("line_no"), F.col("value").alias("line"))
+    lines = lines.where(F.trim("line") != "")
     mode = {"mode": "FAILFAST" if strict else "PERMISSIVE"}
     kind = schema if strict else f"{schema}, _bad string"
     options = mode if strict else mode | {"columnNameOfCorruptRecord": "_bad"}
@@ -107,14 +113,17 @@ def dual_key(manifest: DataFrame) -> DataFrame:
 
 
 def audio_to_video(paths: DataFrame, manifest: DataFrame, names: DataFrame) -> DataFrame:
-    """JON-24: path to video id by the path, else its stem, else the longest id that its name begins with."""
-    stem = F.regexp_extract("path", r"([^/\\]+?)(?:\.128k)?\.[^./\\]+$", 1)
-    p = paths.withColumn("stem", stem)
+    """JON-24: path to video id by the path, else its stem without .128k, else the longest id that its name begins with.
+
+    A prefix is an equal key: names are cut at the lengths that ids have, of which there are few."""
+    name = F.regexp_extract("path", r"([^/\\]+)$", 1)
+    p = paths.select("path", name.alias("name"), F.regexp_extract(name, r"^(.+?)(?:\.128k)?\.[^.]+$", 1).alias("stem"))
     by_path = manifest.select(F.col("audio_path").alias("path"), F.col("video_id").alias("v1"))
-    by_stem = names.select(F.col("video_id").alias("stem"), F.col("video_id").alias("v2"))
-    # ids have a fixed length, so a prefix is an equal key
-    prefix = names.select(F.col("video_id").alias("head"), F.col("video_id").alias("v3"))
-    out = p.join(by_path, "path", "left").join(by_stem, "stem", "left").withColumn("head", F.substring("stem", 1, 11)).join(prefix, "head", "left")
+    ids = names.select("video_id").distinct()
+    lengths = [F.lit(r.n) for r in ids.select(F.length("video_id").alias("n")).distinct().collect()] or [F.lit(1)]
+    heads = p.select("path", F.explode(F.array(*[F.left("name", n) for n in lengths])).alias("video_id")).join(ids, "video_id")
+    longest = heads.groupBy("path").agg(F.max_by("video_id", F.length("video_id")).alias("v3"))
+    out = p.join(by_path, "path", "left").join(ids.select(F.col("video_id").alias("stem"), F.col("video_id").alias("v2")), "stem", "left").join(longest, "path", "left")
     return out.select("path", F.coalesce("v1", "v2", "v3").alias("video_id"))
 
 
@@ -149,6 +158,58 @@ def active_evidence(evidence: DataFrame, manifests: DataFrame, version: str) ->
     return evidence.join(ok, "batch_id", "left_semi")
 
 
+def attribution_scan(spark: SparkSession, root: str) -> DataFrame:
+    """SRC-15: all caption_speaker_attribution.csv below root: video_id, start, end, text, raw_speaker, status. Rows whose
+    times cannot be read go; an empty end is the start."""
+    fields = "video_id string, start_seconds string, end_seconds string, text string, raw_speaker_id string, speaker_attribution_status string"
+    r = read_csv(spark, f"{root}/*/caption_speaker_attribution.csv", fields)
+    number = lambda c, d: F.when(F.coalesce(F.trim(c), F.lit("")) == "", d).otherwise(F.col(c).try_cast("double"))
+    r = r.withColumn("start", number("start_seconds", F.lit(0.0))).withColumn("end", number("end_seconds", F.col("start"))).where("start is not null and end is not null")
+    return r.select("video_id", "start", "end", F.coalesce("text", F.lit("")).alias("text"), F.col("raw_speaker_id").alias("raw_speaker"), F.col("speaker_attribution_status").alias("status"))
+
+
+def registry_channels(rows: DataFrame) -> DataFrame:
+    """FLT-06: enabled and verified channels."""
+    is_ = lambda c, v: F.lower(F.trim(F.coalesce(c, F.lit("")))) == v
+    return rows.where(is_("enabled", "true") & is_("verification_status", "verified"))
+
+
+def with_status(rows: DataFrame, statuses: str) -> DataFrame:
+    """FLT-12: rows of the statuses in a comma-separated list that have an id and an address."""
+    wanted = [s.strip() for s in statuses.split(",") if s.strip()]
+    return rows.where(F.trim(F.coalesce("status", F.lit(""))).isin(wanted) & X.nz("video_id").isNotNull() & X.nz("url").isNotNull())
+
+
+def full_channels(registry: DataFrame, research: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """FLT-14: channels of the entities to be read in full, and those entities without a channel, which there must not be."""
+    full = research.where(F.lower(F.trim("acquisition_scope")) == "full_channel").select("entity_id").distinct()
+    chosen = registry_channels(registry).join(full, "entity_id", "left_semi")
+    return chosen, full.join(chosen, "entity_id", "left_anti")
+
+
+def rank_channels(found: DataFrame) -> DataFrame:
+    """SRC-19: search results (entity_id, entity_name, channel_id, channel_name, seq) as candidates: per entity and channel
+    the result with the most similar name (the first of equals), ranked within the entity."""
+    from ..operators.mentions import ratio
+
+    s = found.where(X.nz("channel_id").isNotNull()).withColumn("similarity", ratio(X.norm_tokens(F.col("entity_name")), X.norm_tokens(F.col("channel_name"))))
+    best = s.groupBy("entity_id", "channel_id").agg(F.min_by(F.struct("channel_name", "similarity", "seq"), F.struct((-F.col("similarity")).alias("s"), "seq")).alias("b")).select("entity_id", "channel_id", "b.*")
+    return core.topk(best, ["entity_id"], [F.desc("similarity"), F.asc("seq")], 2**31 - 1)
+
+
+def merge_batches(batches: list[DataFrame]) -> DataFrame:
+    """SET-08: attribution batches as one table, absent columns NULL."""
+    out = batches[0]
+    for b in batches[1:]:
+        out = out.unionByName(b, allowMissingColumns=True)
+    return out
+
+
+def pick_media(files: DataFrame) -> DataFrame:
+    """SRT-09: of each item's files (item, path, mtime, size) the newest, of equals the largest."""
+    return files.groupBy("item").agg(F.max_by("path", F.struct("mtime", "size", "path")).alias("path"))
+
+
 def write_csv(df: DataFrame, path: str, fields: list[str]) -> None:
     """SNK-01: the listed fields, absent ones empty."""
     have = set(df.columns)

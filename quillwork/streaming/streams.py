@@ -41,12 +41,15 @@ def ingest(spark: SparkSession, segments: DataFrame, sink: Callable[[DataFrame,
     return found.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def run_now(df: DataFrame, name: str, checkpoint: str, mode: str = "append") -> DataFrame:
-    """Runs a stream over what is there and gives its rows."""
-    q = df.writeStream.outputMode(mode).format("memory").queryName(name).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    if not q.awaitTermination(120):
-        q.stop()
-    return df.sparkSession.table(name)
+def run_now(df: DataFrame, folder: str, mode: str = "append") -> DataFrame:
+    """Runs a stream over all that is there and gives its rows, from a table in the folder. It waits for the end, however
+    long, and raises what the stream raises. A batch that is run again replaces its own rows."""
+
+    def put(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{folder}/out/{number if mode == 'append' else 0:09d}")
+
+    df.writeStream.outputMode(mode).foreachBatch(put).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return df.sparkSession.read.schema(df.schema).option("recursiveFileLookup", True).parquet(f"{folder}/out")
 
 
 JOB = "job_id string, state string, attempts int, expires double, at double"
