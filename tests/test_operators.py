@@ -73,8 +73,8 @@ def test_dense_attribution(spark):
 def test_unit_vote(spark):
     units = spark.createDataFrame([("V", "u", 10.5, 15.5)], "content_id string, unit_id string, start double, end double")
     cues = spark.createDataFrame(
-        [("V", 10.0, 14.0, "ATTRIBUTED_HIGH", [("S", 1.0)]), ("V", 12.0, 16.0, "ATTRIBUTED_HIGH", [("S", 1.0)])],
-        "content_id string, c_start double, c_end double, status string, candidates array<struct<speaker_id:string,share:double>>")
+        [("V", 10.0, 14.0, "ATTRIBUTED_HIGH", [("S", 1.0)], "S", 1), ("V", 12.0, 16.0, "ATTRIBUTED_HIGH", [("S", 1.0)], "S", 2)],
+        "content_id string, c_start double, c_end double, status string, candidates array<struct<speaker_id:string,share:double>>, raw_speaker string, seq int")
     r = A.unit_vote(units, cues).first()
     assert (r.speaker, r.score, r.coverage, r.status) == ("S", 7.0, 1.0, "ATTRIBUTED_HIGH")
 
@@ -84,6 +84,8 @@ def test_sparse_attribution(spark):
     cues = spark.createDataFrame([("V", 1, 40.0), ("V", 2, 130.0), ("V", 3, 300.0), ("V", 102, 200.0), ("W", 1, 5.0)], "content_id string, cue_index int, t double")
     got = {(r.content_id, r.cue_index): r.status for r in A.sparse(cues, samples).collect()}
     assert got == {("V", 1): "ATTRIBUTED_HIGH", ("V", 2): "AMBIGUOUS", ("V", 3): "AMBIGUOUS", ("V", 102): "ATTRIBUTED_HIGH", ("W", 1): "NO_SPEECH_MATCH"}
+    far = spark.createDataFrame([("V", 1, 10.0, "v1"), ("V", 2, 400.0, "v2")], samples.schema)
+    assert A.sparse(spark.createDataFrame([("V", 9, 40.0)], cues.schema), far).first().method == "sparse_conflicting_bracket"
 
 
 def test_overlap_marking(spark):
@@ -115,11 +117,12 @@ def test_mentions(spark):
     assert {"Mara Quill", "Tom Reed"} <= names("I met Mara Quill and Tom Reed yesterday.")
     assert "Mara Quill" in names("I trust Mara Quill. I do.")
     assert not names("However it rained.") and not names("It's taking place in june.")
-    seg = spark.createDataFrame([("s1", "c1", "cap", "p1", "We spoke to Mara Quill and saw www.acme.example today"), ("s2", "c2", "cap", "p2", "Then Mara Quill left")], "seg_id string, content_id string, source_type string, speaker_id string, text string")
+    assert "jane doe" in names("an interview with jane doe because she asked") and not names("He saw the website in town.")
+    seg = spark.createDataFrame([("s1", "c1", "cap", "p1", "We spoke to Mara Quill and saw www.acme.org today"), ("s2", "c2", "cap", "p2", "Then Mara Quill left")], "seg_id string, content_id string, source_type string, speaker_id string, text string")
     ev = mentions.evidence(seg)
     known = spark.createDataFrame([("mara quill", "E1")], "alias string, canonical_id string")
     got = {r.candidate_key: r for r in mentions.candidates(ev, known).collect()}
-    assert got["mara quill"].priority == "EXISTING" and got["mara quill"].contents == 2 and "www acme example" in got
+    assert got["mara quill"].priority == "EXISTING" and got["mara quill"].contents == 2 and "www acme org" in got
     assert mentions.comentions(ev).count() == 1
     hits = mentions.alias_mentions(seg, known.selectExpr("alias", "canonical_id", "'n' name", "'p' kind")).collect()
     assert len(hits) == 2
@@ -168,12 +171,14 @@ def test_voice_matching_and_fusion(spark):
     assert [(r.left_id, r.right_id) for r in pairs.collect()] == [(1, 2)]
     again = vectors.incremental(spark, v.withColumn("matched_at", F.lit(1)), pairs.select("left_id", "right_id"), 5, 0.8)
     assert again.count() == 0
-    clues = spark.createDataFrame([(2, "E", "HOST_INTRODUCTION", 1.0, "c1")], "cluster_id long, entity_id string, evidence_type string, confidence double, content_id string")
-    bind = spark.createDataFrame([(1, "E")], "cluster_id long, entity_id string")
+    pairs = pairs.withColumn("status", F.lit("OPEN"))
+    clues = spark.createDataFrame([(2, "E", "", "HOST_INTRODUCTION", 0.95, "c1")], "cluster_id long, entity_id string, name string, evidence_type string, weight double, content_id string")
+    bind = spark.createDataFrame([(1, "E", "", "VERIFIED")], "cluster_id long, entity_id string, name string, binding_status string")
     r = vectors.fuse(clues, pairs, bind).collect()
     assert len(r) == 1 and r[0].status == "HIGH_CONFIDENCE_CANDIDATE" and r[0].context == pytest.approx(0.95) and r[0].combined == 1.0
-    half = spark.createDataFrame([(7, "E", "CONTEXT", 0.5, "a"), (7, "E", "SELF_IDENTIFICATION", 1.0, "b")], clues.schema)
+    half = spark.createDataFrame([(7, "E", "", "TRANSCRIPT_CONTEXT", 0.5, "a"), (7, "E", "", "SELF_IDENTIFICATION", 1.0, "b")], clues.schema)
     assert vectors.fuse(half, pairs, bind.where("false")).first().context == 1.0
+    assert vectors.fuse(clues.where("false"), pairs, bind).first().status == "ACOUSTIC_CANDIDATE"
 
 
 def test_graph(spark):
@@ -210,58 +215,36 @@ def test_lineage(spark):
 
 
 def test_motifs(spark):
-    rels = spark.createDataFrame([("a", "b", 1)], "a string, b string, relations int")
-    st = spark.createDataFrame([("a", "x", "ATTACKS", 1), ("a", "x", "PRAISES", 1), ("b", "x", "OPPOSES", 1), ("c", "x", "OPPOSES", 1)], "source string, target string, stance string, contents int")
-    m = graph.wedge_motifs(rels, st)
+    raw = spark.createDataFrame([("a", "b", "", "s1;s2"), ("b", "a", "OTHER", "s2"), ("a", "c", "REJECTED", "")], "source_id string, target_id string, status string, source_ids string")
+    st = spark.createDataFrame(
+        [("e1", "a", "x", "CRITICIZES", "", "c1"), ("e2", "a", "x", "PRAISES", "ADOPTS", "c1"), ("e3", "b", "x", "OPPOSES", None, "c2"), ("e4", "c", "x", "OPPOSES", "", "c2"), ("e5", "b", "x", "OPPOSES", "REJECTS", "c3")],
+        "stance_event_id string, source_entity_id string, target_entity_id string, stance_type string, speaker_adoption string, content_id string")
+    own = graph.own_stances(st)
+    m = graph.wedge_motifs(graph.relation_pairs(raw), own)
     r = m.collect()
-    assert [(x.kind, x.a, x.b, x.target) for x in r] == [("SHARED_ADVERSARY", "a", "b", "x")]
-    prior = spark.createDataFrame([(r[0].motif_id, "ACCEPTED", "n")], "motif_id string, review_status string, notes string")
-    assert graph.carry_review(m, prior).first().review_status == "ACCEPTED"
-
-
-EVENT = """unit_id string, semantic_events array<struct<predicate_code:string,raw_predicate:string,predicate_family:string,speaker_adoption:string,attribution_mode:string,
-relationship_evidence_state:string,fact_check_need:string,negated:boolean,source_surface:string,target_surface:string,source_span_text:string,related_claim_refs:array<string>>>,
-mentions array<struct<surface:string,transcript_fragmented:boolean,correction_candidate:string>>, atomic_claims array<struct<local_claim_id:string,claim_id:string,claim_text:string,checkability:string>>"""
-
-
-def test_review(spark):
-    ev = lambda code, **k: ({"predicate_code": code, "raw_predicate": "says", "predicate_family": "CLAIM", "speaker_adoption": "ADOPTS", "attribution_mode": "DIRECT", "relationship_evidence_state": "ALLEGED", "fact_check_need": "NONE", "negated": False, "source_surface": "A", "target_surface": "B", "source_span_text": "t", "related_claim_refs": ["c1", "zz"]} | k)
-    claim = [{"local_claim_id": "c1", "claim_id": "CL_1", "claim_text": "x", "checkability": "CHECKABLE"}]
-    docs = spark.createDataFrame([
-        ("ok", [ev("ALLEGES")], [], claim), ("bad1", [ev("NOPE")], [], claim), ("bad2", [ev("ALLEGES", speaker_adoption="NEUTRAL_REPORT", attribution_mode="OWN_CLAIM")], [], claim),
-        ("bad3", [ev("QUOTES", relationship_evidence_state="DOCUMENTED")], [], claim)], EVENT)
-    onto = spark.createDataFrame([("ALLEGES", "CLAIM"), ("QUOTES", "CLAIM")], "predicate_code string, family string")
-    assert {(r.unit_id, r.rule) for r in review.violations(docs, onto).collect()} == {("bad1", "unknown_predicate"), ("bad2", "neutral_own_claim"), ("bad3", "discourse_documented")}
-    e = review.events(docs.where("unit_id = 'ok'")).first()
-    assert e.related_claim_ids == ["CL_1"] and e.polarity == "NEUTRAL" and e.id.startswith("SE_")
-    checks = spark.createDataFrame([("CL_1", "SUPPORTED")], "claim_id string, status string")
-    c = review.claims(docs.where("unit_id = 'ok'"), checks)
-    assert c.first().status == "SUPPORTED"
-    units = spark.createDataFrame([("ok",), ("none",)], "unit_id string")
-    assert {r.unit_id: r.fact_status for r in review.unit_completion(units, c).collect()} == {"ok": "COMPLETE", "none": "NOT_APPLICABLE"}
-
-
-def test_views(spark):
-    kind = "event_id string, unit_id string, content_id string, speaker_id string, source_entity_id string, target_entity_id string, target_surface string, target_claim_id string, predicate_code string, predicate_family string, polarity string, speaker_adoption string, topic string, commerciality string, related_claim_ids array<string>"
-    row = lambda i, s, t, pol, claims=(): (f"e{i}", f"u{i}", "c", "sp", s, t, None, None, "ACCUSES_X", "RHETORIC", pol, "ADOPTS", "t", "AD" if i == 1 else None, list(claims))
-    e = spark.createDataFrame([row(1, "a", "x", "NEGATIVE", ["k1", "k2"]), row(2, "a", "x", "NEGATIVE"), row(3, "b", "x", "POSITIVE")], kind)
-    c = spark.createDataFrame([("k1", "a", "SUPPORTED"), ("k3", "a", "PENDING")], "claim_id string, claimant_entity_id string, status string")
-    ver = spark.createDataFrame([("e1", "VERIFIED_TEXT")], "event_id string, status string")
-    assert review.verified(e, ver).count() == 1 and review.verified(e, ver.where("false")).count() == 0
-    v = review.views(e, c)
-    top = v["interactions"].first()
-    assert (top.source, top.events, top.negative, top.allegations, top.predicates) == ("a", 2, 2, 2, {"ACCUSES_X": 2})
-    p = v["pressure"].first()
-    assert (p.events, p.sources, p.negative_sources, p.positive_sources) == (3, 2, 1, 1)
-    assert [(r.source_a, r.source_b) for r in v["shared_targets"].collect()] == [("a", "b")]
-    assert sorted(r.claim_status for r in v["reputational_claims"].collect()) == ["NO_LINKED_CLAIM", "NO_LINKED_CLAIM", "PENDING", "SUPPORTED"]
-    assert v["rhetoric_commerce"].first().commerce == 1 and v["claim_status"].first().completed == 1 and v["exposure"].first().events == 3
+    assert [(x.motif_type, x.node_ids, x.edge_event_ids, x.source_ids) for x in r] == [("SHARED_ADVERSARY_CONNECTED", '["a","b","x"]', '["e1","e2","e3"]', '["s1","s2"]')]
+    assert r[0].signal_strength == round(12 * (1.5 * math.log(3) + math.log(3) + math.log(2) + 0.5 * math.log(3)), 2)
+    assert [x.node_ids for x in graph.reversals(own).collect()] == ['["a","x"]']
+    prior = spark.createDataFrame([(r[0].motif_id, "ACCEPTED", "n")], "motif_id string, status string, notes string")
+    assert graph.carry_review(m, prior).first().status == "ACCEPTED"
+
+
+def test_unit_completion_and_gates(spark):
+    claims = spark.createDataFrame([("k1", "u1", "CHECKABLE", "VERIFIED"), ("k2", "u1", "OPINION", "PENDING"), ("k3", "u2", "PARTLY_CHECKABLE", "PENDING")], "claim_id string, unit_id string, checkability string, fact_check_status string")
+    units = spark.createDataFrame([("u1", "COMPLETE", ""), ("u2", "COMPLETE", ""), ("u3", "COMPLETE", ""), ("u4", "", "x")], "unit_id string, semantic_status string, fact_status string")
+    assert {r.unit_id: r.fact_status for r in review.unit_completion(units, claims).collect()} == {"u1": "COMPLETE", "u2": "PENDING", "u3": "NOT_APPLICABLE", "u4": "x"}
+    assert [r.claim_id for r in review.fact_queue(claims).collect()] == ["k3"]
+    ev = spark.createDataFrame([("e1",), ("e2",)], "semantic_event_id string")
+    ver = spark.createDataFrame([("e1", "VERIFIED_TEXT")], "semantic_event_id string, status string")
+    assert review.verified(ev, ver).count() == 1 and review.verified(ev, ver.where("false")).count() == 0
 
 
 def test_scores(spark):
     i = lambda *x: spark.createDataFrame(list(x), "case_id string, item string")
-    r = review.scores(i(("1", "a"), ("1", "b")), i(("1", "b"), ("1", "c")), spark.createDataFrame([("1", "WRONG_SPEAKER"), ("1", "odd")], "case_id string, code string")).first()
-    assert (r.precision, r.recall, r.f1, r.score) == (0.5, 0.5, 0.5, 80.0)
+    r = review.scores(i(("1", "a"), ("1", "b")), i(("1", "b"), ("1", "c"), ("9", "z")), ["case_id"]).collect()
+    assert len(r) == 1 and (r[0].precision, r[0].recall, r[0].f1) == (0.5, 0.5, 0.5)
+    s = review.safety(spark.createDataFrame([("WRONG_CLAIMANT",), ("odd",)], "code string")).first()
+    assert (s.errors, s.penalty, s.safety_score) == (2, 20.0, 80.0)
 
 
 def test_sources(spark, tmp_path):
@@ -294,6 +277,6 @@ def test_stream_equals_batch(spark, tmp_path):
     e = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
     e.repartition(3).write.parquet(str(src))
     s = streams.read_events(spark, str(src))
-    got = streams.run_now(streams.windowed_counts(s, late="60 days"), "w", str(tmp_path / "cp"), "complete")
+    got = streams.run_now(streams.windowed_counts(s, late="60 days"), f"file://{tmp_path}/run", "complete")
     want = streams.windowed_counts(e)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
