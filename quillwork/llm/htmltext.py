@@ -8,7 +8,8 @@ good. An article or main element is a prior only: it lifts the first label of it
 Inside it, an element is left out by name only where a whole name says so (class="related", id="newsletter-signup"); one
 such word in a longer name (id="related-work") takes the prior away from the element's blocks and no more.
 
-Defined cases: null or empty html gives an empty text. Broken markup (unclosed tags, cut-off pages, stray ends) is read
+Defined cases: null or empty html gives an empty text. Rows go one by one: repeated rows, null page_ids and ties are like
+any other, other columns are left out, a very long page is read whole, an empty table gives an empty result. Broken markup (unclosed tags, cut-off pages, stray ends) is read
 as far as it goes. An unclosed script, style or comment hides the rest of the page.
 """
 

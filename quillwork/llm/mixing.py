@@ -10,8 +10,9 @@ folded inside one array expression and leaves one fractional residual at most; r
 groups again, until each source has one group. Longer documents meet first, so that what is left at the end is
 short; it is rounded to the nearer side. Groups are bounded, so no source is gathered in one task.
 
-Defined cases: null text has size 0 and takes 0. A null source sorts last and is a source. Rows that share a doc_id are
-rounded apart. Zero words in all: all targets are 0. An empty table gives an empty result.
+Defined cases: null text has size 0 and takes 0. A null source sorts last and is a source. Rows that share a doc_id, or
+have none, are rounded apart. Zero words in all: all targets are 0. Ties go by hashes, so reruns agree. Texts of any length
+are read whole. Other columns, whatever their names, are left out. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ WEIGHTS = (3, 1, 2)
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0) -> DataFrame:
     """source, source_size, target. sizes: source, size. The excess over `most` times a source's size is shared again by
     weight; that ends at the level L where targets are min(L * weight, most * size), found from sums over sorted ratios.
-    Works on one row per source."""
+    Works on one row per source, in one task: fit for some million sources."""
     per = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
     rank = (F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1) % len(weights)
     per = per.withColumn("weight", F.get(F.array(*[F.lit(float(w)) for w in weights]), rank)).withColumn("cap", most * F.col("source_size"))
@@ -77,7 +78,7 @@ def fold(units: Column, level: int, seed: int) -> Column:
 
 
 def mix(spark: SparkSession, docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0, group: int = 64, seed: int = 17) -> DataFrame:
-    """doc_id, rid, source, size, source_size, target, copies, taken, one row per row of docs; rid numbers the rows of docs."""
+    """doc_id, source, size, source_size, target, copies, taken, one row per row of docs."""
     scratch = Scratch(spark, "mix")
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", F.coalesce(n_words(F.col("text")), F.lit(0)).cast("long").alias("size"))
     sized = scratch.put("sizes", own)

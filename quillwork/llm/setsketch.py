@@ -358,6 +358,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, k: int = 3, percent: i
         more = scratch.put("more", _across(others.join(own, "cid"), k, percent), codec="none")
         if more.take(1):
             labels = components(scratch, "c2", links.unionByName(more))
+    scratch.drop("shared", "members", "centres", "first", "texts", "links", "mixed", "grouped", "slices", "texts2", "more")
     named = classes.join(labels, "cid", "left").select("cid", "rep", F.coalesce("comp", "cid").alias("comp"))
     least = named.groupBy("comp").agg(F.min("rep").alias("component_id"))
     of = named.join(least, "comp").select("cid", "component_id")

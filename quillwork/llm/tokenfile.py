@@ -7,7 +7,8 @@ An id's place in the whole is the sum of the parts before it, local_start and it
 the files of a task as a whole, so a lost executor leaves no half-written part.
 
 Defined cases: null text is empty and has the end id alone. Rows that share a doc_id follow each other in the order of
-their text hashes; null doc_ids come first. An empty table gives a folder without rows.
+their text hashes; null doc_ids come first; repeated rows stay. A very long text is one chunk. Other columns, whatever their
+names, are left out. An empty table gives a folder without rows.
 """
 
 from __future__ import annotations
