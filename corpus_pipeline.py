@@ -1,5 +1,8 @@
 """A training-data pipeline over documents: language identification, line deduplication, near-duplicate removal, mixing
-to target weights, packing. Each stage takes what its predecessor kept and is written before the next one reads it."""
+to target weights, packing. Each stage takes what its predecessor kept and is written before the next one reads it.
+
+Every stage takes nulls in any column, empty and very long texts, ties, repeated rows and an empty table, and keeps columns
+of any other name as they are; what it does with them is said at the stage."""
 
 from __future__ import annotations
 
@@ -14,14 +17,16 @@ ORACLE_SQL = None
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without letters go, and those for which no language is more likely than all others together."""
+    """Texts without letters go (null and empty ones too), and those for which no language is more likely than all others
+    together. Each row is judged by itself, so repeated rows and rows without an id fare alike. Without labels all go."""
     model = langid.train(spark, docs.select("doc_id", "text", "lang"))
     found = langid.identify(spark, docs, model)
     return found.where((F.col("lang_pred") != langid.UND) & (F.col("score") >= 0.5)).select(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines of 40 characters or more that five documents share stay in the last of them only."""
+    """Lines of 40 characters or more that five documents share stay in the last of them only. No row goes; null text
+    becomes empty. Rows that share a doc_id are one document, rows without one are one below all others."""
     cut = linededup.dedup_lines(spark, docs)
     return cut.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
@@ -41,12 +46,14 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it."""
+    """Each document as often as the mix takes it; those taken 0 times go, among them texts without words. A null source is
+    a source. Rows that share a doc_id get its copies dealt over them."""
     return mixing.apply_mix(spark, docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of token sequences."""
+    """Pieces of token sequences. Null or empty text is its end id alone; rows that share a doc_id are packed apart; a null
+    doc_id stays null."""
     return packing.pack_documents(spark, docs)
 
 

@@ -193,6 +193,15 @@ def louvain(edges: DataFrame, by: list[str], resolution: float = 1.0, max_edges:
     return edges.groupBy(*by).applyInPandas(work, schema)
 
 
+def community_ids(members: DataFrame, snapshot: str) -> DataFrame:
+    """SRT-03: members (node, community) with community_id C_<snapshot>_0001 ... by size, the largest first, and least node."""
+    g = members.groupBy("community").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("least"))
+    # one row per community: those of one snapshot
+    n = F.row_number().over(Window.orderBy(F.desc("size"), "least"))
+    ids = g.select("community", F.concat(F.lit(f"C_{snapshot}_"), F.lpad(n.cast("string"), 4, "0")).alias("community_id"))
+    return members.join(ids, "community").select("node", "community_id")
+
+
 def communities(edges: DataFrame, rounds: int = 10) -> DataFrame:
     """Label propagation in DataFrame steps, for graphs of any size: a node takes the label with most weight around it."""
     e = both_ways(edges)

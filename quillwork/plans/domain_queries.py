@@ -28,20 +28,20 @@ def known(spark: SparkSession, d: str) -> DataFrame:
 
 @register("mention_candidates")
 def mention_candidates(spark: SparkSession, d: str) -> DataFrame:
-    """TXT-06 ... TXT-12, AGG-01."""
+    """AGG-01. TXT-06 ... TXT-12, AGG-01."""
     out = mentions.candidates(mentions.evidence(segments(spark, d)), known(spark, d))
     return out.select("candidate_key", "display", "kind", "mentions", "contents", "score", "priority")
 
 
 @register("alias_mentions")
 def alias_mentions(spark: SparkSession, d: str) -> DataFrame:
-    """TXT-04."""
+    """JON-23, SET-02. TXT-04."""
     return mentions.alias_mentions(segments(spark, d), known(spark, d)).select("seg_id", "word_no", "surface", "canonical_id")
 
 
 @register("resolution_queue")
 def resolution_queue(spark: SparkSession, d: str) -> DataFrame:
-    """TXT-15: part names against the names of all parts."""
+    """JON-22, SRT-05, STR-09. TXT-15: part names against the names of all parts."""
     p = table(spark, d, "part")
     m = p.select(F.col("p_name").alias("surface"), F.col("p_brand").alias("content_id"), F.lit("part").alias("entity_type"), F.col("p_partkey").cast("int").alias("seq"))
     n = p.select(F.col("p_partkey").cast("string").alias("entity_id"), F.col("p_name").alias("name"))
@@ -59,7 +59,7 @@ def cues(spark: SparkSession, d: str) -> DataFrame:
 
 @register("caption_fold")
 def caption_fold(spark: SparkSession, d: str) -> DataFrame:
-    """TXT-02."""
+    """WIN-03, WIN-07. TXT-02."""
     return attribution.caption_fold(cues(spark, d))
 
 
@@ -70,7 +70,7 @@ r AS (SELECT *, sum(m) OVER w AS total, row_number() OVER (PARTITION BY content_
 b AS (SELECT content_id, cue_index, max(CASE WHEN k = 1 THEN speaker END) AS speaker, max(CASE WHEN k = 1 THEN m / total END) AS f, coalesce(max(CASE WHEN k = 2 THEN m / total END), 0) AS s, least(1.0, max(total) / max(dur)) AS cov FROM r GROUP BY 1, 2)
 SELECT content_id, cue_index, speaker, round(f, 6) AS first_share, round(cov, 6) AS coverage, CASE WHEN cov < 0.35 THEN 'NO_SPEECH_MATCH' WHEN f >= 0.8 AND s <= 0.2 THEN 'ATTRIBUTED_HIGH' WHEN f >= 0.65 AND s <= 0.35 THEN 'ATTRIBUTED_MEDIUM' ELSE 'AMBIGUOUS' END AS status FROM b""")
 def dense_attribution(spark: SparkSession, d: str) -> DataFrame:
-    """VOI-01."""
+    """AGG-12, WIN-02, JON-06. VOI-01."""
     t = table(spark, d, "conversations").select(F.col("conv_id").cast("string").alias("content_id"), F.col("turn").alias("cue_index"), "role")
     c = t.select("content_id", "cue_index", (F.col("cue_index") * 4.0).alias("start"), (F.col("cue_index") * 4.0 + 3.5).alias("end"))
     g = t.select("content_id", F.col("role").alias("speaker"), (F.col("cue_index") * 4.0 - 0.5).alias("seg_start"), (F.col("cue_index") * 4.0 + 3.0).alias("seg_end"))

@@ -30,6 +30,7 @@ def sessions(events: DataFrame) -> DataFrame:
 
 @register("gap_sessions", f"WITH {SESS} SELECT * FROM sess")
 def gap_sessions(spark: SparkSession, d: str) -> DataFrame:
+    """WIN-03, WIN-04."""
     return sessions(table(spark, d, "events"))
 
 
@@ -56,6 +57,7 @@ def interval_overlap(spark: SparkSession, d: str) -> DataFrame:
 b AS (SELECT *, sum(CASE WHEN seen IS NULL OR s > seen THEN 1 ELSE 0 END) OVER (PARTITION BY kind ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run FROM a),
 c AS (SELECT kind, run, max(e) - min(s) AS len FROM b GROUP BY 1, 2) SELECT kind, sum(len)::BIGINT AS union_length FROM c GROUP BY kind""")
 def interval_union(spark: SparkSession, d: str) -> DataFrame:
+    """AGG-16."""
     return core.interval_union(sessions(table(spark, d, "events")), ["kind"], "s", "e")
 
 
@@ -65,6 +67,7 @@ b AS (SELECT p.event_id, q.t AS next_t, q.value AS next_value FROM p ASOF LEFT J
 SELECT a.*, b.next_t, b.next_value, CASE WHEN prev_t IS NULL AND next_t IS NULL THEN 'NONE' WHEN least(coalesce(t - prev_t, 9e18::BIGINT), coalesce(next_t - t, 9e18::BIGINT)) <= 600000000 THEN 'NEAR'
   WHEN prev_t IS NOT NULL AND next_t IS NOT NULL THEN 'BRACKET' ELSE 'FAR' END AS bucket FROM a JOIN b USING (event_id)""")
 def asof_prev_next(spark: SparkSession, d: str) -> DataFrame:
+    """JON-10, WIN-09."""
     e = table(spark, d, "events").select("user_id", "event_id", micros().alias("t"), "event_type", "value")
     p = e.where("event_type = 'purchase'").select("user_id", "event_id", "t")
     out = core.asof_both(p, e.where("event_type in ('click', 'view')").select("user_id", "t", "value"), ["user_id"], "t", ["value"])
@@ -139,6 +142,7 @@ def outer_explode_claims(spark: SparkSession, d: str) -> DataFrame:
 SELECT coalesce(o.o_orderkey, n.o_orderkey) AS o_orderkey, coalesce(n.o_orderstatus, o.o_orderstatus) AS o_orderstatus, CASE WHEN n.o_orderkey IS NULL THEN 'SUPERSEDED' ELSE 'CURRENT' END AS source_status,
 CASE WHEN o.o_orderkey IS NULL THEN 2 ELSE 1 END AS created_at, CASE WHEN n.o_orderkey IS NULL THEN 1 ELSE 2 END AS last_seen_at, CASE WHEN n.o_orderkey IS NULL THEN 2 END AS superseded_at FROM o FULL JOIN n ON o.o_orderkey = n.o_orderkey""")
 def scd_merge(spark: SparkSession, d: str) -> DataFrame:
+    """AGG-20, TXT-14."""
     o = table(spark, d, "orders")
     old = o.where("o_orderkey % 3 <> 0").select("o_orderkey", "o_orderstatus", F.lit("CURRENT").alias("source_status"), F.lit(1).alias("created_at"), F.lit(1).alias("last_seen_at"), F.lit(None).cast("int").alias("superseded_at"))
     new = o.where("o_orderkey % 3 <> 1").select("o_orderkey", F.upper("o_orderpriority").alias("o_orderstatus"))

@@ -26,17 +26,20 @@ def matches(spark: SparkSession, d: str) -> DataFrame:
 
 @register("cosine_topk", f"WITH {SIM} SELECT qid, bid, round(sim, 5) AS sim, rank FROM m")
 def cosine_topk(spark: SparkSession, d: str) -> DataFrame:
+    """MTH-05, SRT-04, JON-21."""
     return matches(spark, d).select("qid", "bid", F.round("sim", 5).alias("sim"), "rank")
 
 
 @register("match_pairs", f"WITH {SIM} SELECT least(qid, bid) AS left_id, greatest(qid, bid) AS right_id, round(max(sim), 5) AS sim FROM m GROUP BY 1, 2")
 def match_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """VOI-02."""
     return V.canonical_pairs(matches(spark, d)).withColumn("sim", F.round("sim", 5))
 
 
 @register("match_margins", f"""WITH {SIM}, x AS (SELECT qid, bid, sim, rank, lead(sim) OVER (PARTITION BY qid ORDER BY rank) AS nxt FROM m)
 SELECT qid, bid, round(sim, 5) AS sim, round(sim - coalesce(nxt, 0), 5) AS margin FROM x WHERE rank = 1""")
 def match_margins(spark: SparkSession, d: str) -> DataFrame:
+    """WIN-10."""
     m = V.margins(matches(spark, d))
     return m.select("qid", "bid", F.round("sim", 5).alias("sim"), F.round("margin", 5).alias("margin"))
 
@@ -94,11 +97,13 @@ def regions(spark: SparkSession, d: str) -> DataFrame:
 
 @register("edge_build", f"WITH {EDGES} SELECT src, dst, round(weight, 5) AS weight, evidence::DOUBLE AS evidence FROM edges")
 def edge_build(spark: SparkSession, d: str) -> DataFrame:
+    """GRF-01, FLT-01, AGG-09, MTH-01."""
     return edges(spark, d).select("src", "dst", F.round("weight", 5).alias("weight"), "evidence")
 
 
 @register("node_strength", f"WITH {EDGES} SELECT node, round(sum(weight), 4) AS strength, count(*) AS degree FROM ways GROUP BY node")
 def node_strength(spark: SparkSession, d: str) -> DataFrame:
+    """AGG-10."""
     return G.strengths(kept_edges(spark, d)).withColumn("strength", F.round("strength", 4))
 
 
@@ -109,6 +114,7 @@ sh AS (SELECT node, community, w / sum(w) OVER (PARTITION BY node) AS share, sum
 
 @register("participation", f"WITH {SHARES} SELECT node, round(1 - sum(share * share), 6) AS participation, round(1 - max(share), 6) AS outlier FROM sh GROUP BY node")
 def participation(spark: SparkSession, d: str) -> DataFrame:
+    """GRF-04, MTH-02, AGG-11."""
     e = kept_edges(spark, d)
     shares = G.membership(e, regions(spark, d)).join(G.strengths(e).select("node"), "node", "left_semi")
     p = G.participation(shares)
@@ -117,6 +123,7 @@ def participation(spark: SparkSession, d: str) -> DataFrame:
 
 @register("bridge_score", f"WITH {SHARES}, p AS (SELECT node, 1 - sum(share * share) AS p, max(strength) AS s FROM sh GROUP BY node) SELECT node, round(p * ln(1 + s), 5) AS bridge FROM p")
 def bridge_score(spark: SparkSession, d: str) -> DataFrame:
+    """MTH-03."""
     e = kept_edges(spark, d)
     st = G.strengths(e)
     p = G.participation(G.membership(e, regions(spark, d))).join(st, "node")
@@ -127,6 +134,7 @@ def bridge_score(spark: SparkSession, d: str) -> DataFrame:
 g AS (SELECT n.community, sum(weight) AS d FROM ways JOIN nodes n USING (node) GROUP BY 1), m AS (SELECT sum(d) / 2 AS m FROM g)
 SELECT round(sum(coalesce(l, 0)) / max(m) - sum(d * d) / (4 * max(m) * max(m)), 6) AS q FROM g LEFT JOIN i USING (community), m""")
 def modularity(spark: SparkSession, d: str) -> DataFrame:
+    """GRF-08."""
     return G.modularity(kept_edges(spark, d), regions(spark, d)).select(F.round("q", 6).alias("q"))
 
 
@@ -138,6 +146,7 @@ def _rank_sql(rounds: int) -> str:
 
 @register("pagerank_20", _rank_sql(20))
 def pagerank_20(spark: SparkSession, d: str) -> DataFrame:
+    """GRF-06."""
     return G.pagerank(edges(spark, d), 20).select("node", F.round("rank", 7).alias("rank"))
 
 
@@ -152,11 +161,13 @@ def nation_edges(spark: SparkSession, d: str) -> DataFrame:
 
 @register("louvain")
 def louvain(spark: SparkSession, d: str) -> DataFrame:
+    """GRF-02."""
     return G.louvain(nation_edges(spark, d).withColumn("snapshot_id", F.lit("s1")), ["snapshot_id"])
 
 
 @register("betweenness")
 def betweenness(spark: SparkSession, d: str) -> DataFrame:
+    """GRF-05."""
     return G.betweenness(nation_edges(spark, d)).withColumn("betweenness", F.round("betweenness", 9))
 
 
@@ -179,7 +190,7 @@ k AS (SELECT *, count(*) OVER (PARTITION BY old_id) AS no, count(*) OVER (PARTIT
 @register("lineage", f"""WITH {MONTHS} SELECT old_id, new_id, round(weighted, 6) AS weighted, round(plain, 6) AS plain, CASE WHEN no > 1 AND nn > 1 THEN 'REFORMED' WHEN no > 1 THEN 'SPLIT' WHEN nn > 1 THEN 'MERGE' ELSE 'CONTINUE' END AS kind FROM k
 UNION ALL SELECT NULL, new_id, 0, 0, 'BIRTH' FROM sn WHERE new_id NOT IN (SELECT new_id FROM k) UNION ALL SELECT old_id, NULL, 0, 0, 'DEATH' FROM so WHERE old_id NOT IN (SELECT old_id FROM k)""")
 def lineage(spark: SparkSession, d: str) -> DataFrame:
-    """GRF-10: event kinds as communities of users, first half of the month against the second."""
+    """JON-16, SET-05, MTH-04. GRF-10: event kinds as communities of users, first half of the month against the second."""
     e = table(spark, d, "events").select((F.date_format("ts", "yyyy-MM-dd") < "2024-01-15").alias("first"), F.concat("event_type", (F.col("user_id") % 3).cast("string")).alias("community"), F.col("user_id").alias("node"))
     m = e.groupBy("first", "community", "node").agg(F.count(F.lit(1)).alias("n"))
     sh = m.select("first", "community", "node", (F.col("n") / F.sum("n").over(Window.partitionBy("first", "node"))).alias("share"))
@@ -364,3 +375,9 @@ def ego_edges(spark: SparkSession, d: str) -> DataFrame:
     """DCL-13: one hop around the first node."""
     e = kept_edges(spark, d)
     return G.ego(e, G.both_ways(e).agg(F.min("node")).first()[0], 1).select("src", "dst")
+
+
+@register("community_ids", f"""WITH {EDGES}, g AS (SELECT community, row_number() OVER (ORDER BY count(*) DESC, min(node)) AS k FROM nodes GROUP BY 1) SELECT node, 'C_s1_' || lpad(k::VARCHAR, 4, '0') AS community_id FROM nodes JOIN g USING (community)""")
+def community_ids(spark: SparkSession, d: str) -> DataFrame:
+    """SRT-03."""
+    return G.community_ids(regions(spark, d), "s1")

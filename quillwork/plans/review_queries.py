@@ -70,7 +70,7 @@ def used(spark: SparkSession, d: str) -> tuple[DataFrame, dict[str, DataFrame]]:
 @register("view_interactions", f"""{duck(**INPUTS)}{USED} SELECT i.*, predicate_counts_json, coalesce(topic_counts_json, '{{}}') AS topic_counts_json, positive_count > 0 AND negative_count > 0 AS mixed_stance FROM inter i
 JOIN {_json_counts("tgt", "source, target", "predicate_code", "predicate_counts_json", "target IS NOT NULL")} USING (source, target) LEFT JOIN {_json_counts("tgt", "source, target", "topic", "topic_counts_json", "target IS NOT NULL AND topic <> ''")} USING (source, target)""")
 def view_interactions(spark: SparkSession, d: str) -> DataFrame:
-    """SEM-09, AGG-04, FLT-04, FLT-05, JON-01, PRJ-01, JSN-02."""
+    """SRT-02. SEM-09, AGG-04, FLT-04, FLT-05, JON-01, PRJ-01, JSN-02."""
     return R.interactions(used(spark, d)[0])
 
 

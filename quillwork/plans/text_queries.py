@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
-from ..operators import core
+from ..operators import core, mentions
 from .base import table
 from .registry import register
 
@@ -32,6 +32,7 @@ def sentence_units(spark: SparkSession, d: str) -> DataFrame:
 
 @register("stable_ids", f"""WITH {SENT} SELECT doc_id, idx, 'TU_' || upper(substr(sha256(concat_ws(chr(31), doc_id::VARCHAR, idx::VARCHAR, sentence)), 1, 24)) AS unit_id FROM sent""")
 def stable_ids(spark: SparkSession, d: str) -> DataFrame:
+    """STR-10."""
     s = sentence_rows(table(spark, d, "documents"))
     return s.select("doc_id", F.col("idx").cast("long").alias("idx"), X.stable_id("TU_", F.col("doc_id"), F.col("idx"), F.col("sentence")).alias("unit_id"))
 
@@ -39,6 +40,7 @@ def stable_ids(spark: SparkSession, d: str) -> DataFrame:
 @register("text_norm", """SELECT conv_id, turn, trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g')) AS norm,
   regexp_replace(role || '/' || text, '[^A-Za-z0-9._-]', '_', 'g') AS safe, right(text, 20) AS tail FROM conversations""")
 def text_norm(spark: SparkSession, d: str) -> DataFrame:
+    """STR-02, STR-05, STR-16."""
     t = table(spark, d, "conversations")
     return t.select("conv_id", "turn", X.norm_tokens(F.col("text")).alias("norm"), X.safe_name(F.concat("role", F.lit("/"), "text")).alias("safe"), X.tail(F.col("text"), 20).alias("tail"))
 
@@ -75,7 +77,7 @@ def proper_terms_per_source(spark: SparkSession, d: str) -> DataFrame:
 @register("comentions_topk", f"""WITH {SENT}, t AS (SELECT DISTINCT doc_id, idx, unnest(regexp_extract_all(sentence, '{TERM}')) AS term FROM sent)
 SELECT a.term AS a, b.term AS b, count(*) AS n FROM t a JOIN t b ON a.doc_id = b.doc_id AND a.idx = b.idx AND a.term < b.term GROUP BY 1, 2 ORDER BY n DESC, 1, 2 LIMIT 100""")
 def comentions_topk(spark: SparkSession, d: str) -> DataFrame:
-    """Sentences are the segments, so a pair join stays within a sentence: bounded by its terms."""
+    """JON-12, AGG-03. Sentences are the segments, so a pair join stays within a sentence: bounded by its terms."""
     s = sentence_rows(table(spark, d, "documents"))
     terms = F.array_sort(F.array_distinct(F.regexp_extract_all("sentence", F.lit(TERM), F.lit(0))))
     return core.pairs_in_row(s, terms).groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "a", "b").limit(100)
@@ -94,12 +96,14 @@ def rollup(docs: DataFrame) -> DataFrame:
 
 @register("mention_rollup", f"WITH {ROLL_SQL} SELECT * FROM roll")
 def mention_rollup(spark: SparkSession, d: str) -> DataFrame:
+    """AGG-01."""
     return rollup(table(spark, d, "documents"))
 
 
 @register("triage_score", f"""WITH {ROLL_SQL}, s AS (SELECT term, mentions, contents, 8 + least(20, 2 * mentions) + least(30, 5 * contents) + least(10, 2 * sources) AS score FROM roll)
 SELECT term, score, CASE WHEN score >= 45 THEN 'HIGH' WHEN score >= 25 THEN 'MEDIUM' ELSE 'LOW' END AS priority FROM s""")
 def triage_score(spark: SparkSession, d: str) -> DataFrame:
+    """TXT-11, MTH-07."""
     r, no = rollup(table(spark, d, "documents")), F.lit(False)
     score = X.triage_score(no, F.lit("name"), F.array(F.lit("proper_case")), no, F.col("mentions"), F.col("contents"), F.col("sources"))
     return r.select("term", score.alias("score")).withColumn("priority", X.priority(F.col("score"), no))
@@ -110,6 +114,7 @@ def triage_score(spark: SparkSession, d: str) -> DataFrame:
   coalesce(lead(role) OVER w || ':' || length(lead(text) OVER w), '') || coalesce('|' || lead(role, 2) OVER w || ':' || length(lead(text, 2) OVER w), '') AS after
 FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)""")
 def context_neighbours(spark: SparkSession, d: str) -> DataFrame:
+    """WIN-01."""
     t = table(spark, d, "conversations")
     out = core.neighbours(t, ["conv_id"], ["turn"], F.concat("role", F.lit(":"), F.char_length("text").cast("string")))
     return out.select("conv_id", "turn", F.array_join("before", "|").alias("before"), F.array_join("after", "|").alias("after"))
@@ -119,6 +124,7 @@ def context_neighbours(spark: SparkSession, d: str) -> DataFrame:
 g AS (SELECT *, sum(new) OVER (PARTITION BY conv_id ORDER BY turn) AS run FROM f)
 SELECT conv_id, run::BIGINT AS run, role, min(turn) AS first_turn, max(turn) AS last_turn, string_agg(text, ' ' ORDER BY turn) AS text FROM g GROUP BY conv_id, run, role""")
 def conversation_role_runs(spark: SparkSession, d: str) -> DataFrame:
+    """WIN-05."""
     t = table(spark, d, "conversations")
     before = F.lag("role").over(Window.partitionBy("conv_id").orderBy("turn"))
     runs = core.islands(t.withColumn("__b", before), ["conv_id"], ["turn"], F.col("__b").isNull() | (F.col("__b") != F.col("role")), "run")
@@ -138,15 +144,6 @@ def rule_violations(spark: SparkSession, d: str) -> DataFrame:
     return a.unionByName(b).select("id", F.explode(F.array_compact("r")).alias("rule"))
 
 
-@register("rolling_overlap", None)
-def rolling_overlap(spark: SparkSession, d: str) -> DataFrame:
-    """WIN-06: words of a sentence that repeat the end of the one before."""
-    s = sentence_rows(table(spark, d, "documents"))
-    w = Window.partitionBy("doc_id").orderBy("idx")
-    pairs = s.select("doc_id", "idx", F.split(F.lower("sentence"), " ").alias("w")).withColumn("b", F.lag("w").over(w))
-    return pairs.select("doc_id", "idx", X.overlap_suffix_prefix(F.coalesce("b", F.expr("cast(array() as array<string>)")), F.col("w"), 30).alias("overlap"))
-
-
 @register("fact_status_left", """SELECT d.doc_id, d.source, CASE WHEN l.quality = 1 THEN 'GOOD' WHEN l.quality = 0 THEN 'POOR' ELSE 'UNCHECKED' END AS status FROM documents d LEFT JOIN labels l USING (doc_id)""")
 def fact_status_left(spark: SparkSession, d: str) -> DataFrame:
     docs, labels = table(spark, d, "documents").select("doc_id", "source"), table(spark, d, "labels").select("doc_id", "quality")
@@ -182,3 +179,19 @@ def content_cooccurrence(spark: SparkSession, d: str) -> DataFrame:
     g = table(spark, d, "events").groupBy("user_id", F.date_format("ts", "yyyy-MM-dd").alias("day"))
     n = lambda t, name: F.count_if(F.col("event_type") == t).alias(name)
     return g.agg(n("error", "errors"), n("purchase", "purchases")).where("errors > 0 and purchases > 0")
+
+
+@register("sentence_split", r"""SELECT conv_id, turn, unnest(s) AS sentence, unnest(range(len(s))) AS idx FROM (SELECT conv_id, turn, string_split(regexp_replace(text || ' Then. we go? "Yes" (No) 3', '([.!?])\s+([A-Z0-9"''(\[])', '\1' || chr(31) || '\2', 'g'), chr(31)) AS s FROM conversations)""")
+def sentence_split(spark: SparkSession, d: str) -> DataFrame:
+    """STR-04."""
+    t = table(spark, d, "conversations").withColumn("text", F.concat("text", F.lit(' Then. we go? "Yes" (No) 3')))
+    return t.select("conv_id", "turn", F.posexplode(X.sentences(F.col("text"))).alias("idx", "sentence"))
+
+
+@register("unit_ledger", r"""WITH s AS (SELECT conv_id::VARCHAR AS content_id, turn AS cue_index, role AS speaker_id, string_split(regexp_replace(trim(regexp_replace(text, '\s+', ' ', 'g')), '([.!?])\s+([A-Z0-9"''(\[])', '\1' || chr(31) || '\2', 'g'), chr(31)) AS s FROM conversations), u AS (SELECT content_id, cue_index, speaker_id, unnest(s) AS text, unnest(range(len(s))) AS i FROM s)
+SELECT content_id, cue_index, i AS sentence_index, text, 'TU_' || upper(substr(sha256(concat_ws(chr(31), content_id, 'sha', cue_index::VARCHAR, i::VARCHAR, (cue_index * 4)::VARCHAR, (cue_index * 4 + 3)::VARCHAR, speaker_id, text)), 1, 24)) AS unit_id FROM u WHERE text <> ''""")
+def unit_ledger(spark: SparkSession, d: str) -> DataFrame:
+    """TXT-14, STR-04, STR-10: times as whole seconds, for an id takes their text."""
+    t = table(spark, d, "conversations")
+    seg = t.select(F.col("conv_id").cast("string").alias("content_id"), F.lit("sha").alias("source_sha"), F.col("turn").alias("cue_index"), (F.col("turn") * 4).alias("start"), (F.col("turn") * 4 + 3).alias("end"), F.col("role").alias("speaker_id"), "text")
+    return mentions.unit_ledger(seg).select("content_id", "cue_index", "sentence_index", "text", "unit_id")
