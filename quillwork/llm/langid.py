@@ -32,8 +32,9 @@ from .common import keep_only, kept
 
 UND = "und"
 #: What Python's \\w takes beyond letters, decimals and the underscore: fractions, superscripts, letter-like numerals.
-_NUMBERS = "".join(c for c in map(chr, range(0x110000)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
-WORDS = re.compile(rf"[^\W\d_{_NUMBERS}]+")
+_NUMBERS = frozenset(c for c in map(chr, range(0x110000)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
+_BLANKS = {ord(c): " " for c in _NUMBERS}
+_LETTERS = re.compile(r"[^\W\d_]+")
 START = "▁"  # the vocabulary's mark for a word's start
 
 
@@ -53,6 +54,15 @@ def read_pieces(path: str, longest: int = 16) -> list[str]:
     return list(dict.fromkeys(p for p in pieces if len(p) <= longest and (p == START or p.removeprefix(START).isalpha())))
 
 
+def words_of(text: str) -> list[str]:
+    """Runs of letters, lower-cased. Number characters part them; they are looked for by a set, for a pattern with all of
+    them costs ten times the time."""
+    low = text.lower()
+    if not low.isascii() and not _NUMBERS.isdisjoint(low):
+        low = low.translate(_BLANKS)
+    return _LETTERS.findall(low)
+
+
 class Lattice:
     """All pieces in all words of a list, found in one pass of an automaton."""
 
@@ -179,7 +189,7 @@ class Scorer:
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         if len(self.index) > self.most:
             self.clear()
-        found = [WORDS.findall(t.lower()) if t else [] for t in texts]
+        found = [words_of(t) if t else [] for t in texts]
         if self.langs:
             new = list(set().union(*(set(x).difference(self.index) for x in found)))
             if new:
