@@ -343,16 +343,16 @@ def membership_shares(spark: SparkSession, d: str) -> DataFrame:
 
 
 @register("node_metrics", f"""WITH {SHARES}, ev AS (SELECT node, sum(evidence) AS ev, count(*) AS degree FROM (SELECT src AS node, evidence FROM edges UNION ALL SELECT dst, evidence FROM edges) GROUP BY 1), p AS (SELECT node, 1 - sum(share * share) AS p, 1 - max(share) AS o, max(strength) AS s FROM sh GROUP BY 1)
-SELECT 's1' AS snapshot_id, node, 'relationship' AS layer, degree, round(round_even(s, 6) * 1e6)::BIGINT AS weighted_degree, round(round_even(s / 1000, 8) * 1e8)::BIGINT AS betweenness, round(round_even(p, 6) * 1e6)::BIGINT AS participation, round(round_even(p * ln(1 + s), 6) * 1e6)::BIGINT AS bridge, round(round_even(o, 6) * 1e6)::BIGINT AS outlier, ev::DOUBLE AS evidence_coverage FROM p JOIN ev USING (node)""")
+SELECT 's1' AS snapshot_id, node, 'relationship' AS layer, degree, round(round_even(s, 6) * 1e6)::BIGINT // 10 AS weighted_degree, round(round_even(s / 1000, 8) * 1e8)::BIGINT // 10 AS betweenness, round(round_even(p, 6) * 1e6)::BIGINT // 10 AS participation, round(round_even(p * ln(1 + s), 6) * 1e6)::BIGINT // 10 AS bridge, round(round_even(o, 6) * 1e6)::BIGINT // 10 AS outlier, ev::DOUBLE AS evidence_coverage FROM p JOIN ev USING (node)""")
 def node_metrics(spark: SparkSession, d: str) -> DataFrame:
     """GRF-07, AGG-10, MTH-09: with a stand-in for betweenness, which GRF-05 computes for small graphs only. Shown as
-    whole numbers of the last digit."""
+    whole numbers without the last digit, in which sums of another order may part at a tie."""
     e = kept_edges(spark, d)
     st = G.saved(G.strengths(e), "strengths")
     shares = G.membership(e, regions(spark, d)).join(st.select("node"), "node", "left_semi")
     m = G.node_metrics(e, shares, st.select("node", (F.col("strength") / 1000).alias("betweenness")), st.select("node", F.lit(0.0).alias("rank")), "s1")
     digits = {"weighted_degree": 6, "betweenness": 8, "participation": 6, "bridge": 6, "outlier": 6}
-    return m.withColumns({c: F.round(F.col(c) * float(10**k)).cast("long") for c, k in digits.items()}).drop("pagerank", "brokerage")
+    return m.withColumns({c: F.floor(F.round(F.col(c) * float(10**k)) / 10) for c, k in digits.items()}).drop("pagerank", "brokerage")
 
 
 @register("snapshot_payload", f"""WITH n AS (SELECT n_nationkey AS node, n_regionkey AS community, CASE WHEN n_nationkey % 6 = 0 THEN n_nationkey::VARCHAR ELSE n_name END AS label FROM nation) SELECT 'nodes' AS part, '{{"node":' || node || ',"community":' || community || ',"label":"' || label || '"}}' AS item FROM n
