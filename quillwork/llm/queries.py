@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cws, htmltext, langid, linededup, mixing, packing, quality, setsketch, suffixdedup, tokenfile
+from . import cws, divergence, htmltext, langid, licenses, linededup, mixing, packing, quality, search, setsketch, suffixdedup, tokenfile
 from .common import documents
 
 
@@ -54,6 +54,18 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(spark, documents(spark, sf_dir).select("doc_id", "text"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(spark, documents(spark, sf_dir).select("lang", "source", "text"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(spark, documents(spark, sf_dir).select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(documents(spark, sf_dir).select("doc_id", "text")).drop("found")
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_line_dedup": op2_line_dedup,
@@ -65,4 +77,7 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_fingerprints": op9_fingerprints,
     "op10_packing": op10_packing,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_license_scan": op13_license_scan,
 }
