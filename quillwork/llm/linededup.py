@@ -123,13 +123,12 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, min_chars: int = 40, min_d
     """docs with their texts cut (column text), and n_lines, n_dropped. All other columns stay as they are."""
     docs = docs.drop("n_lines", "n_dropped")
     drops = repeated_lines(spark, docs, min_chars, min_docs, n_batches, fan_out)
-    mark = {"doc": "__doc", "th": "__th", "drop": "__drop"}
-    drops = drops.select(*[F.col(k).alias(v) for k, v in mark.items()])
     text = F.coalesce("text", F.lit(""))
-    own = docs.withColumns({"__doc": F.coalesce("doc_id", F.lit(NO_ID)).cast("long"), "__th": F.xxhash64(text)})
-    both = own.join(drops.hint("shuffle_hash"), ["__doc", "__th"], "left").withColumn("__lines", F.split(text, "\n"))
-    n = F.size("__lines")
-    kept = F.array_except(F.sequence(F.lit(0), n - 1), F.col("__drop"))
-    new = F.when(F.col("__drop").isNull(), text).otherwise(F.array_join(F.transform(kept, lambda i: F.get(F.col("__lines"), i)), "\n"))
-    out = both.withColumns({"n_lines": n.cast("long"), "n_dropped": (n - F.coalesce(F.size(kept), n)).cast("long"), "__new": new})
-    return out.withColumn("text", F.col("__new")).drop("__doc", "__th", "__drop", "__lines", "__new")
+    # input columns travel in one struct, so that none can clash with the working ones
+    own = docs.select(F.struct("*").alias("row"), F.coalesce("doc_id", F.lit(NO_ID)).cast("long").alias("doc"), F.xxhash64(text).alias("th"), F.split(text, "\n").alias("ls"), text.alias("whole"))
+    both = own.join(drops.hint("shuffle_hash"), ["doc", "th"], "left")
+    n = F.size("ls")
+    kept = F.array_except(F.sequence(F.lit(0), n - 1), F.col("drop"))
+    new = F.when(F.col("drop").isNull(), F.col("whole")).otherwise(F.array_join(F.transform(kept, lambda i: F.get(F.col("ls"), i)), "\n"))
+    columns = [new.alias("text") if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns]
+    return both.select(*columns, n.cast("long").alias("n_lines"), (n - F.coalesce(F.size(kept), n)).cast("long").alias("n_dropped"))

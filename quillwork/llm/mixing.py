@@ -10,8 +10,11 @@ folded inside one array expression and leaves one fractional residual at most; r
 groups again, until each source has one group. Longer documents meet first, so that what is left at the end is
 short; it is rounded to the nearer side. Groups are bounded, so no source is gathered in one task.
 
+Rows are dealt by a hash of source, doc_id, text and, for rows equal in all of these, a number within them, so groups stay
+bounded where ids are missing or shared, and reruns agree however the rows are dealt out.
+
 Defined cases: null text has size 0 and takes 0. A null source sorts last and is a source. Rows that share a doc_id, or
-have none, are rounded apart. Zero words in all: all targets are 0. Ties go by hashes, so reruns agree. Texts of any length
+have none, and repeated rows are rounded apart. Zero words in all: all targets are 0. Texts of any length
 are read whole. Other columns, whatever their names, are left out. An empty table gives an empty result.
 """
 
@@ -22,7 +25,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, n_words
+from .common import Scratch, by_key, n_words
 
 WEIGHTS = (3, 1, 2)
 
@@ -50,7 +53,7 @@ def unit(*cols: Column | int) -> Column:
     return F.shiftrightunsigned(h, 11).cast("double") / float(1 << 53)
 
 
-UNIT = "struct<o:bigint,h:bigint,doc_id:bigint,size:bigint,whole:int,p:double>"
+UNIT = "struct<o:bigint,h:bigint,doc_id:bigint,mark:bigint,size:bigint,whole:int,p:double>"
 STATE = f"struct<done:array<{UNIT}>,carry:{UNIT}>"
 
 
@@ -66,7 +69,7 @@ def fold(units: Column, level: int, seed: int) -> Column:
         empty_c, full_x = c["p"] * c["size"] <= down, (1 - x["p"]) * x["size"] <= down
         pc = F.when(gives, F.when(full_c, 1.0).otherwise(c["p"] + up / c["size"])).otherwise(F.when(empty_c, 0.0).otherwise(c["p"] - down / c["size"]))
         px = F.when(gives, F.when(empty_x, 0.0).otherwise(x["p"] - up / x["size"])).otherwise(F.when(full_x, 1.0).otherwise(x["p"] + down / x["size"]))
-        put = lambda u, p: F.struct(u["o"].alias("o"), u["h"].alias("h"), u["doc_id"].alias("doc_id"), u["size"].alias("size"), u["whole"].alias("whole"), p.alias("p"))
+        put = lambda u, p: F.struct(u["o"].alias("o"), u["h"].alias("h"), u["doc_id"].alias("doc_id"), u["mark"].alias("mark"), u["size"].alias("size"), u["whole"].alias("whole"), p.alias("p"))
         both = F.array(put(c, pc), put(x, px))
         is_open = lambda u: (u["p"] > 1e-12) & (u["p"] < 1 - 1e-12)
         met = F.struct(F.concat(state["done"], F.filter(both, lambda u: ~is_open(u))).alias("done"), F.get(F.filter(both, is_open), F.lit(0)).alias("carry"))
@@ -78,19 +81,20 @@ def fold(units: Column, level: int, seed: int) -> Column:
 
 
 def mix(spark: SparkSession, docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0, group: int = 64, seed: int = 17) -> DataFrame:
-    """doc_id, source, size, source_size, target, copies, taken, one row per row of docs."""
+    """doc_id, source, size, source_size, target, copies, taken and mark (a hash of the text), one row per row of docs."""
     scratch = Scratch(spark, "mix")
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", F.coalesce(n_words(F.col("text")), F.lit(0)).cast("long").alias("size"))
-    sized = scratch.put("sizes", own)
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", text_mark().alias("mark"), F.coalesce(n_words(F.col("text")), F.lit(0)).cast("long").alias("size"))
+    equal = own.groupBy("source", "doc_id", "mark", "size").agg(F.count(F.lit(1)).alias("n"))
+    sized = scratch.put("sizes", equal.select("source", "doc_id", "mark", "size", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("nth")))
     targets = scratch.put("targets", source_targets(sized, weights, share, most).withColumn("sid", F.monotonically_increasing_id()))
     copies = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    rows = sized.join(targets, sized["source"].eqNullSafe(targets["source"])).select("sid", "doc_id", "size", copies.alias("e"))
+    rows = sized.join(targets, sized["source"].eqNullSafe(targets["source"])).select("sid", sized["source"], "doc_id", "mark", "nth", "size", copies.alias("e"))
     whole = F.floor(F.col("e") + 1e-12).cast("int")
-    rows = rows.select("sid", (-F.col("size")).alias("o"), F.xxhash64(F.lit(seed), "sid", "doc_id").alias("h"), "doc_id", "size", whole.alias("whole"), F.greatest(F.lit(0.0), F.col("e") - whole).alias("p"))
+    rows = rows.select("sid", (-F.col("size")).alias("o"), F.xxhash64(F.lit(seed), "source", "doc_id", "mark", "nth").alias("h"), "doc_id", "mark", "size", whole.alias("whole"), F.greatest(F.lit(0.0), F.col("e") - whole).alias("p"))
     largest = sized.groupBy("source").count().agg(F.max("count")).first()[0] or 0
     depth = max(1, math.ceil(math.log(max(2, largest), group)))
     done = []
-    u = F.struct("o", "h", "doc_id", "size", "whole", "p").cast(UNIT)
+    u = F.struct("o", "h", "doc_id", "mark", "size", "whole", "p").cast(UNIT)
     for level in range(depth):
         last = level == depth - 1
         n_groups = 1 if last else math.ceil(largest / group ** (level + 1))
@@ -106,20 +110,37 @@ def mix(spark: SparkSession, docs: DataFrame, weights: tuple[int, ...] = WEIGHTS
     for x in done[1:]:
         out = out.unionByName(x)
     copies = (F.col("whole") + F.col("p").cast("int")).cast("int")
-    return out.join(targets, "sid").select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).cast("long").alias("taken"))
+    return out.join(targets, "sid").select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).cast("long").alias("taken"), "mark")
+
+
+def text_mark() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
+#: Rows of one key that an ordinal is counted over at once.
+DEAL = 10_000
 
 
 def apply_mix(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
-    """docs with each row repeated as often as the mix takes it; rows taken 0 times go. Columns stay as they are.
-    Rows that share a doc_id get that doc_id's copies dealt over them."""
-    plan = mix(spark, docs, **options)
-    per = plan.groupBy("doc_id").agg(F.sum("copies").alias("__all"), F.count(F.lit(1)).alias("__n"), F.max("copies").alias("__max"))
-    names = docs.columns
-    per = per.select(F.col("doc_id").alias("__id"), "__all", "__n", "__max").where("__all > 0")
-    both = docs.join(per.hint("shuffle_hash"), F.col("doc_id").cast("long").eqNullSafe(F.col("__id")))
-    nth = F.row_number().over(Window.partitionBy("__id").orderBy(F.xxhash64("text")))
-    alone = both.where("__n = 1").withColumn("__c", F.col("__all"))
-    shared = both.where("__n > 1").withColumn("__i", nth).withColumn("__c", F.floor(F.col("__all") / F.col("__n")) + (F.col("__i") <= F.col("__all") % F.col("__n")).cast("int")).drop("__i")
-    taken = alone.unionByName(shared.withColumn("__c", F.col("__c").cast("long")))
-    repeated = taken.where("__c > 0").withColumn("__r", F.explode(F.sequence(F.lit(1), F.col("__c"))))
-    return repeated.select(*names)
+    """docs with each row repeated as often as the mix takes it; rows taken 0 times go. Columns stay as they are, whatever
+    their names. Rows equal in source, doc_id and text get their copies dealt over them: each as many, and the first in the
+    order of a hash of the row one more, until all are dealt."""
+    scratch = Scratch(spark, "mixed")
+    key = ["none", "source", "id", "mark"]
+    keys = lambda text: [F.col("source").isNull().cast("int") + 2 * F.col("doc_id").isNull().cast("int"), F.coalesce("source", F.lit("")), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), text]
+    named = lambda text: [c.alias(k) for c, k in zip(keys(text), key, strict=True)]
+    plan = mix(spark, docs, **options).select(*named(F.col("mark")), "copies")
+    per = scratch.put("plan", plan.groupBy(*key).agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("n")).where("copies > 0"))
+    total = per.agg(F.sum("n")).first()[0] or 0
+    rows = docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("tie"), *named(text_mark()))
+    both = by_key(rows, per, key, "n", total, "shuffle_hash")
+    alone = both.where("n = 1").select("row", "copies")
+    # an ordinal among equal rows: counted in parts of bounded size, whose sizes before it are added
+    part = both.where("n > 1").withColumn("h", F.xxhash64("row", "tie")).withColumn("part", F.shiftrightunsigned("h", 1) % F.ceil(F.col("n") / DEAL))
+    sizes = part.groupBy(*key, "part").agg(F.count(F.lit(1)).alias("size"))
+    before = sizes.withColumn("before", F.sum("size").over(Window.partitionBy(*key).orderBy("part").rowsBetween(Window.unboundedPreceding, -1))).drop("size")
+    nth = F.row_number().over(Window.partitionBy(*key, "part").orderBy("h")) + F.coalesce("before", F.lit(0))
+    own = F.floor(F.col("copies") / F.col("n")) + (nth <= F.col("copies") % F.col("n")).cast("int")
+    shared = part.join(before, [*key, "part"]).select("row", own.cast("long").alias("copies"))
+    taken = alone.unionByName(shared).where("copies > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return taken.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -4,8 +4,8 @@ A byte-level BPE first splits a text into pre-tokens, and no pre-token reaches o
 other characters: a space begins the next one, a line feed is one by itself. So a text's ids are the joined ids of its
 pre-tokens. Texts are coded in portions: Arrow marks the pre-tokens, splits at the marks and numbers the distinct ones;
 the library's model codes each that was not met before. Ids are kept in flat arrays, from which a portion's ids are
-gathered at once. Texts with runs of white space or white space of other kinds go to the library whole, and so do parts
-at spaces with characters outside SAFE.
+gathered at once. Texts with runs of white space or white space of other kinds go to the library whole, and so do texts
+that hold an added token's string (the library gives it that token's id) and parts at spaces with characters outside SAFE.
 """
 
 from __future__ import annotations
@@ -91,8 +91,10 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_str(model)
-        self.library.encode_special_tokens = True  # their strings in a text are ordinary text
         kind = json.loads(model)
+        added = [t["content"] for t in kind.get("added_tokens") or ()]
+        #: Where a text goes to the library whole: odd white space, and the strings of added tokens, which are ids of their own.
+        self.odd = "|".join([BLANKS, *("".join(f"\\x{{{ord(c):x}}}" for c in t) for t in added)])
         pre = kind.get("pre_tokenizer") or {}
         self.by_piece = pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and kind.get("normalizer") is None
         self.most = most
@@ -121,7 +123,7 @@ class Encoder:
         self.ids.add(np.array(flat, np.uint32), np.diff(ends))
 
     def encode_simple(self, column: pa.Array) -> list[memoryview]:
-        """Ids with the end id of each text; no text is null or has BLANKS."""
+        """Ids with the end id of each text; no text is null, has BLANKS or an added token."""
         if len(self.known) > self.most:
             self.clear()
         odd = pc.any(pc.match_substring_regex(column, UNSAFE)).as_py()
@@ -142,7 +144,7 @@ class Encoder:
     def encode_all(self, column: pa.Array) -> list[bytes | memoryview]:
         """Ids with the end id of each text; null is empty."""
         column = pc.fill_null(column.cast(pa.large_string()), "")
-        plain = pc.invert(pc.match_substring_regex(column, BLANKS)) if self.by_piece else pa.array([False] * len(column))
+        plain = pc.invert(pc.match_substring_regex(column, self.odd)) if self.by_piece else pa.array([False] * len(column))
         found = iter(self.encode_simple(column.filter(plain)) if pc.any(plain).as_py() else ())
         rest = iter(column.filter(pc.invert(plain)).to_pylist())
         return [next(found) if p else self.whole(next(rest)) + END for p in plain.to_pylist()]

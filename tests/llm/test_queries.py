@@ -14,6 +14,7 @@ from quillwork.llm.tokens import END, Encoder, default_path, read_model
 
 SF = "/root/testdata/sf0.001"
 DOC = "doc_id long, text string, lang string, source string, n_chars long, keys string, lines string, drop int"
+CLASHING = ["__lines", "__new", "__doc", "__id", "__row", "__all", "__c", "__r", "row", "number", "group", "copies", "n", "part", "h", "mark", "key", "none", "before", "doc", "th", "ls", "whole"]
 
 
 @pytest.fixture(scope="module")
@@ -109,8 +110,10 @@ def test_suffix_dedup(spark, odd, texts):
 
 
 def test_tokens_and_packing(spark, odd, texts):
-    enc = Encoder(read_model(default_path()))
-    ids = {k: enc.whole(t) + END if t else END for k, t in texts.items()}
+    from tokenizers import Tokenizer
+
+    fresh = Tokenizer.from_file(default_path())
+    ids = {k: b"".join(i.to_bytes(4, "little") for i in fresh.encode(t, add_special_tokens=False).ids) + END for k, t in texts.items()}
     at = 0
     for r in queries.QUERIES["op4_token_file"](spark, SF).orderBy("doc_id").collect():
         assert (r.start, r.n_tokens, r.ids_crc32) == (at, len(ids[r.doc_id]) // 4, zlib.crc32(ids[r.doc_id]))
@@ -347,6 +350,54 @@ def test_pipeline(spark, odd):
     assert rest.count() > 0
 
 
+def test_pipeline_keeps_clashing_columns(spark, odd):
+    import corpus_pipeline
+
+    docs = odd.select("*", *[F.concat(F.lit(c), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias(c) for c in CLASHING])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns, name
+        assert all(r[c] == f"{c}{'' if r.doc_id is None else r.doc_id}" for r in out.collect() for c in CLASHING), name
+
+
+def test_mixing_without_ids(spark):
+    """Rows without ids, equal ones among them: bounded groups, every source near its target, copies as planned."""
+    n = 20_000
+    docs = spark.range(n).select(F.lit(None).cast("long").alias("doc_id"), F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("source"),
+                                 F.when(F.col("id") % 2 == 0, "same words here").otherwise(F.concat(F.lit("w "), F.col("id").cast("string"))).alias("text"), F.col("id").alias("mark"))
+    plan = {(r.source, r.mark): r.c for r in mixing.mix(spark, docs).groupBy("source", "mark").agg(F.sum("copies").alias("c")).collect()}
+    per = mixing.mix(spark, docs).groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target"), F.count("*").alias("n")).collect()
+    assert sum(r.n for r in per) == n and all(abs(r.taken - r.target) <= 3 for r in per)
+    out = mixing.apply_mix(spark, docs)
+    got = {(r.source, r.h): r.c for r in out.groupBy("source", F.xxhash64("text").alias("h")).agg(F.count("*").alias("c")).collect()}
+    assert got == {k: c for k, c in plan.items() if c}
+    same = out.where("text = 'same words here' and source = 'b'").groupBy("mark").count().agg(F.max("count") - F.min("count"), F.min("count")).first()
+    assert same[0] <= 1 and out.columns == docs.columns
+
+
+def test_copies_stay_in_their_source(spark):
+    docs = spark.createDataFrame([(1, "s1", "a b c d e f g h"), (1, "s2", "x")] + [(2, "s1", "q r s")], "doc_id long, source string, text string")
+    plan = {(r.source, r.size): r.copies for r in mixing.mix(spark, docs).collect()}
+    got = Counter((r.source, len(r.text.split())) for r in mixing.apply_mix(spark, docs).collect())
+    assert got == Counter({k: c for k, c in plan.items() if c})
+
+
+def test_tokens_as_the_library_gives_them(spark):
+    """Against a fresh tokenizer: added tokens keep the ids that the library gives them."""
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    model = read_model(default_path())
+    fresh = Tokenizer.from_str(model)
+    texts = ["hello <|endoftext|> world", "<|endoftext|>", "a<|endoftext|><|endoftext|>\n\nb", "<|endoftext", "x <|EndOfText|> y", "", " <|endoftext|> é 日本", "plain words here\nand there 12's"]
+    got = Encoder(model).encode_all(pa.array([*texts, None]))
+    assert [bytes(g) for g in got[:-1]] == [b"".join(i.to_bytes(4, "little") for i in fresh.encode(t, add_special_tokens=False).ids) + END for t in texts]
+    assert 50256 in fresh.encode(texts[0], add_special_tokens=False).ids
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.doc_id: r.ids_crc32 for r in tokenfile.token_table(spark, docs).collect()}
+    assert all(rows[i] == zlib.crc32(bytes(g)) for i, g in enumerate(got[:-1]))
+
+
 def test_pipeline_near_dedup_goes_by_row(spark):
     import corpus_pipeline
 
