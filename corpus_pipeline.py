@@ -37,17 +37,20 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Rows are told apart by a number of their own, so rows that share a doc_id, or have none, are separate texts: a row goes
     only if its own text is a near copy. Of a group the row with the least doc_id stays (one with an id before one without)."""
     scratch = Scratch(spark, "near-rows")
-    rows = scratch.put("rows", docs.withColumn("__row", F.monotonically_increasing_id()))
-    found = setsketch.near_duplicates(spark, rows.select(F.col("__row").alias("doc_id"), "text"), k=5, percent=80)
-    found = found.select(F.col("doc_id").alias("__id"), F.col("component_id").alias("__group"))
-    first = F.min_by("__id", F.struct(F.col("doc_id").isNull(), "doc_id", "__id")).alias("__id")
-    kept = rows.select("__row", "doc_id").join(found, F.col("__row") == F.col("__id")).groupBy("__group").agg(first)
-    return rows.join(kept.select("__id").hint("shuffle_hash"), F.col("__row") == F.col("__id"), "left_semi").select(*docs.columns)
+    rows = scratch.put("rows", docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("number")))
+    found = setsketch.near_duplicates(spark, rows.select(F.col("number").alias("doc_id"), "row.text"), k=5, percent=80)
+    found = found.select(F.col("doc_id").alias("number"), F.col("component_id").alias("group"))
+    doc_id = F.col("row.doc_id")
+    first = F.min_by("number", F.struct(doc_id.isNull(), doc_id, "number")).alias("number")
+    kept = rows.select("number", "row").join(found, "number").groupBy("group").agg(first)
+    left = rows.join(kept.select("number").hint("shuffle_hash"), "number", "left_semi")
+    return left.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it; those taken 0 times go, among them texts without words. A null source is
-    a source. Rows that share a doc_id get its copies dealt over them."""
+    a source. Rows that share a doc_id are rounded apart; those with the same source and text too get their copies dealt
+    over them."""
     return mixing.apply_mix(spark, docs)
 
 
