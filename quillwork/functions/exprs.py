@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import functools
 from functools import reduce
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -45,8 +47,9 @@ def norm_handle(c: Column) -> Column:
 
 
 def norm_caption_token(c: Column) -> Column:
-    """STR-03: a caption token's comparable form; the raw token where nothing would be left."""
-    return F.coalesce(nz(F.regexp_replace(F.lower(c), r"[^a-z0-9']+", "")), F.trim(c))
+    """STR-03: a caption token's comparable form; the token in lower case where nothing would be left."""
+    low = F.replace(F.lower(c), F.lit("’"), F.lit("'"))
+    return F.coalesce(nz(F.regexp_replace(low, r"[^a-z0-9@_'-]+", "")), F.trim(low))
 
 
 def safe_name(c: Column) -> Column:
@@ -88,11 +91,56 @@ def run_stamp(now: Column) -> Column:
     return F.date_format(now, "yyyyMMdd'T'HHmmss'Z'")
 
 
+REFERENCE = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]*;?)"
+
+
+@functools.lru_cache(maxsize=1)
+def _named() -> tuple[dict[str, str], list[str]]:
+    """HTML's named references (the standard library's table): those with a semicolon, and the names that do without, longest first."""
+    names = {k.removesuffix(";"): v for k, v in html5.items()}
+    return names, sorted((k for k in html5 if not k.endswith(";")), key=lambda k: (-len(k), k))
+
+
+def _quoted(x: str) -> str:
+    return "'" + "".join(f"\\u{ord(c):04x}" if ord(c) < 0x10000 else f"\\U{ord(c):08x}" for c in x) + "'"
+
+
+def _reference(m: Column) -> Column:
+    """What a match of REFERENCE stands for, by HTML's rules; what stands for nothing stays as it is."""
+    names, bare = _named()
+    table = F.expr(f"map({', '.join(f'{_quoted(k)}, {_quoted(v)}' for k, v in names.items())})")
+    short = F.expr(f"array({', '.join(_quoted(k) for k in bare)})")
+    body = F.regexp_replace(m, "^&#?[xX]?|;$", "")
+    hexed = m.rlike("^&#[xX]")
+    digits = F.regexp_replace(body, "^0+", "")
+    huge = F.length(digits) > F.when(hexed, 6).otherwise(7)
+    code = F.when(huge, F.lit(0x110000)).when(hexed, F.conv(F.concat(F.lit("0"), digits), 16, 10).cast("int")).otherwise(F.concat(F.lit("0"), digits).cast("int"))
+    # codes of the old Western set stand for its characters; some codes for none
+    old = F.expr(f"map({', '.join(f'{c}, {_quoted(bytes([c]).decode("cp1252"))}' for c in range(0x80, 0xA0) if c not in (0x81, 0x8D, 0x8F, 0x90, 0x9D))})")
+    plane = code.bitwiseAND(0xFFFF)
+    none = code.between(1, 8) | code.between(0x0E, 0x1F) | (code == 0x0B) | code.between(0xFDD0, 0xFDEF) | plane.isin(0xFFFE, 0xFFFF)
+    lost = code.isin(0x81, 0x8D, 0x8F, 0x90, 0x9D) | (code == 0x7F)
+    bad = (code == 0) | code.between(0xD800, 0xDFFF) | (code > 0x10FFFF)
+    char = F.decode(F.unhex(F.lpad(F.hex(code.cast("long")), 8, "0")), "UTF-32")
+    number = F.when(bad, "\ufffd").when(code == 0x0D, "\r").when(lost & (code != 0x7F), char).when(F.try_element_at(old, code).isNotNull(), F.try_element_at(old, code)).when(none | lost, "").otherwise(char)
+    name = F.substring(m, 2, 64)
+    whole = F.when(m.endswith(";"), F.try_element_at(table, F.regexp_replace(name, ";$", "")))
+    head = F.get(F.filter(short, lambda k: name.startswith(k)), F.lit(0))
+    cut = F.concat(F.try_element_at(table, head), F.substr(name, F.length(head) + 1))
+    return F.when(m.startswith("&#"), number).otherwise(F.coalesce(whole, cut, m))
+
+
+def references(c: Column) -> Column:
+    """STR-06: character references decoded, named and numeric, once."""
+    gaps, found = F.split(c, REFERENCE, -1), F.regexp_extract_all(c, F.lit(REFERENCE), F.lit(0))
+    decoded = F.transform(found, _reference)
+    joined = F.concat(F.get(gaps, F.lit(0)), F.array_join(F.zip_with(decoded, F.slice(gaps, 2, F.greatest(F.size(gaps), F.lit(1))), lambda d, g: F.concat(d, g)), ""))
+    return F.when(F.contains(c, F.lit("&")), joined).otherwise(c)
+
+
 def unescape(c: Column) -> Column:
-    """STR-06: tags off, common character references decoded."""
-    # The five common references.
-    pairs = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")]
-    return reduce(lambda x, p: F.replace(x, F.lit(p[0]), F.lit(p[1])), pairs, F.regexp_replace(c, "<[^>]*>", ""))
+    """STR-06: tags off, character references decoded."""
+    return references(F.regexp_replace(c, "<[^>]*>", ""))
 
 
 def stable_id(prefix: str, *parts: Column, n: int = 24, sep: str = "\x1f", lower: bool = False) -> Column:

@@ -182,7 +182,15 @@ def resolution(clusters: DataFrame, rows: DataFrame) -> DataFrame:
     return clusters.join(best.select("cluster_id", "b.*"), "cluster_id", "left")
 
 
-TOKEN = re.compile(r"[^a-z0-9']+")
+# Characters of a comparable caption token; what ends a sentence.
+TOKEN = re.compile(r"[^a-z0-9@_'-]+")
+SENTENCE_END = r"[.!?][\"')\]]*$"
+
+
+def caption_token(word: str) -> str:
+    """STR-03: as exprs.norm_caption_token."""
+    low = word.lower().replace("’", "'")
+    return TOKEN.sub("", low) or low.strip()
 
 
 def _fold(words: list[str], most: int = 96, fuzzy: float = 0.92, least: int = 4) -> Iterator[int]:
@@ -190,7 +198,7 @@ def _fold(words: list[str], most: int = 96, fuzzy: float = 0.92, least: int = 4)
     said: list[str] = []
     for text in words:
         raw = text.split()
-        own = [TOKEN.sub("", w.lower()) or w for w in raw]
+        own = [caption_token(w) for w in raw]
         top = min(len(own), len(said), most)
         hit = next((k for k in range(top, 0, -1) if said[-k:] == own[:k]), 0)
         if not hit:
@@ -203,28 +211,33 @@ def _fold(words: list[str], most: int = 96, fuzzy: float = 0.92, least: int = 4)
 
 
 def caption_fold(cues: DataFrame, cap: int = 42, gap: float = 1.75) -> DataFrame:
-    """TXT-02, WIN-03, WIN-07: rolling captions (content_id, cue_index, start, end, text) to segments.
+    """TXT-02, WIN-03, WIN-07: rolling captions (content_id, cue_index, start, end, text) to segments: content_id, run, part,
+    start, end, text.
 
-    The fold needs each content's cues in order, so it runs per content in Python; sentences are then cut with windows:
-    at a gap, after . ! ?, and at `cap` words within such a run."""
+    What a cue repeats of the words before it goes; the others share the cue's time evenly, by their place in it (a missing
+    start is 0, a missing or zero end the start, a cue lasts 0.001 s at least). The fold needs each content's cues in order,
+    so it runs per content in Python. A segment ends with a sentence (closing quotes and brackets after the stop count to
+    it), before a pause of more than `gap` seconds between a word's end and the next one's start, and at `cap` words."""
 
     def fold(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("cue_index")
         rows = []
         for c, skip in zip(frame.itertuples(index=False), _fold(frame["text"].fillna("").tolist()), strict=True):
             raw = (c.text or "").split()
-            end = c.start if pd.isna(c.end) else c.end
-            for j in range(skip, len(raw)):
-                rows.append((c.content_id, c.cue_index, j, c.start + (end - c.start) * j / len(raw), raw[j]))
-        return pd.DataFrame(rows, columns=["content_id", "cue_index", "j", "t", "word"])
+            start = 0.0 if pd.isna(c.start) else float(c.start)
+            end = start if pd.isna(c.end) or not c.end else float(c.end)
+            step = max(0.001, end - start)
+            rows += [(c.content_id, c.cue_index, j, start + step * (j / len(raw)), start + step * ((j + 1) / len(raw)), raw[j]) for j in range(skip, len(raw))]
+        return pd.DataFrame(rows, columns=["content_id", "cue_index", "j", "a", "z", "word"])
 
     kinds = dict(cues.dtypes)
-    words = cues.select("content_id", "cue_index", "start", "end", "text").groupBy("content_id").applyInPandas(fold, f"content_id {kinds['content_id']}, cue_index {kinds['cue_index']}, j int, t double, word string")
+    words = cues.select("content_id", "cue_index", "start", "end", "text").groupBy("content_id").applyInPandas(fold, f"content_id {kinds['content_id']}, cue_index {kinds['cue_index']}, j int, a double, z double, word string")
     order = ["cue_index", "j"]
     w = Window.partitionBy("content_id").orderBy(*order)
-    words = words.withColumns({"__t": F.lag("t").over(w), "__w": F.lag("word").over(w)})
-    runs = core.islands(words, ["content_id"], order, F.col("__t").isNull() | (F.col("t") - F.col("__t") > gap) | F.col("__w").rlike(r"[.!?]$"), "run")
+    words = words.withColumns({"before_z": F.lag("z").over(w), "before": F.lag("word").over(w)})
+    runs = core.islands(words, ["content_id"], order, F.col("before_z").isNull() | (F.col("a") - F.col("before_z") > gap) | F.col("before").rlike(SENTENCE_END), "run")
     n = F.row_number().over(Window.partitionBy("content_id", "run").orderBy(*order))
     runs = runs.withColumn("part", F.floor((n - 1) / cap))
-    parts = F.array_sort(F.collect_list(F.struct("cue_index", "j", "word")))
-    return runs.groupBy("content_id", "run", "part").agg(F.min("t").alias("start"), F.max("t").alias("end"), F.array_join(F.transform(parts, lambda x: x["word"]), " ").alias("text"))
+    parts = F.array_sort(F.collect_list(F.struct("cue_index", "j", "word", "a", "z")))
+    out = runs.groupBy("content_id", "run", "part").agg(parts.alias("w"))
+    return out.select("content_id", "run", "part", F.get("w", F.lit(0))["a"].alias("start"), F.element_at("w", -1)["z"].alias("end"), F.array_join("w.word", " ").alias("text"))

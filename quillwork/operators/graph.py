@@ -67,23 +67,33 @@ def both_ways(edges: DataFrame) -> DataFrame:
     return a.unionByName(edges.select(F.col("dst").alias("node"), F.col("src").alias("other"), "weight"))
 
 
+#: Weights are summed as whole billionths, squares of shares as whole trillionths: sums of doubles depend on their order.
+PARTS, SQUARES = 1e9, 1e12
+
+
+def exact_sum(c: Column, parts: float = PARTS) -> Column:
+    """The sum as a whole number of parts."""
+    return F.sum(F.round(c * parts).cast("decimal(38,0)"))
+
+
 def strengths(edges: DataFrame) -> DataFrame:
     """AGG-10: node, strength, degree."""
-    return both_ways(edges).groupBy("node").agg(F.sum("weight").alias("strength"), F.count(F.lit(1)).alias("degree"))
+    return both_ways(edges).groupBy("node").agg((exact_sum(F.col("weight")).cast("double") / PARTS).alias("strength"), F.count(F.lit(1)).alias("degree"))
 
 
 def membership(edges: DataFrame, communities: DataFrame) -> DataFrame:
     """GRF-03, AGG-11: node, community, share: a node's weight to each community, its own with 0 if there is none."""
     w = both_ways(edges).join(communities.select(F.col("node").alias("other"), "community"), "other")
-    per = w.groupBy("node", "community").agg(F.sum("weight").alias("w"))
-    all_ = per.unionByName(communities.select("node", "community", F.lit(0.0).alias("w"))).groupBy("node", "community").agg(F.sum("w").alias("w"))
+    per = w.groupBy("node", "community").agg(exact_sum(F.col("weight")).alias("w"))
+    all_ = per.unionByName(communities.select("node", "community", F.lit(0).cast("decimal(38,0)").alias("w"))).groupBy("node", "community").agg(F.sum("w").alias("w"))
     total = F.sum("w").over(Window.partitionBy("node"))
-    return all_.select("node", "community", F.when(total > 0, F.col("w") / total).otherwise(1.0).alias("share"))
+    share = F.col("w").cast("double") / total.cast("double")
+    return all_.select("node", "community", F.when(total > 0, share).otherwise(1.0).alias("share"))
 
 
 def participation(shares: DataFrame) -> DataFrame:
     """GRF-04, MTH-02: 1 - sum of squared shares; outlier is 1 - the largest."""
-    return shares.groupBy("node").agg((1 - F.sum(F.col("share") * F.col("share"))).alias("participation"), (1 - F.max("share")).alias("outlier"))
+    return shares.groupBy("node").agg(((SQUARES - exact_sum(F.col("share") * F.col("share"), SQUARES).cast("double")) / SQUARES).alias("participation"), (1 - F.max("share")).alias("outlier"))
 
 
 def modularity(edges: DataFrame, communities: DataFrame, resolution: float = 1.0) -> DataFrame:
@@ -349,7 +359,7 @@ def node_metrics(edges: DataFrame, shares: DataFrame, between: DataFrame, ranks:
     """GRF-07, MTH-09, AGG-10: one row per node: degree, strength, betweenness, PageRank, participation, bridge, outlier,
     evidence; rounded to even halves. edges with evidence; shares from membership()."""
     ends = edges.select(F.col("src").alias("node"), "weight", "evidence").unionByName(edges.select(F.col("dst").alias("node"), "weight", "evidence"))
-    g = ends.groupBy("node").agg(F.count(F.lit(1)).alias("degree"), F.sum("weight").alias("s"), F.sum("evidence").alias("evidence_coverage"))
+    g = ends.groupBy("node").agg(F.count(F.lit(1)).alias("degree"), (exact_sum(F.col("weight")).cast("double") / PARTS).alias("s"), F.sum("evidence").alias("evidence_coverage"))
     m = g.join(participation(shares), "node").join(between.select("node", "betweenness"), "node", "left").join(ranks.select("node", "rank"), "node", "left")
     b = F.coalesce("betweenness", F.lit(0.0))
     return m.select(
@@ -379,7 +389,7 @@ def layers(edges: DataFrame) -> DataFrame:
     names = F.array_compact(F.array(F.lit("all"), F.when(F.col("weight") >= STRONG, "strong"), F.when(has(COMMERCE), "commerce"), F.when(has(MONEY), "money")))
     e = edges.withColumn("layer", F.explode(names))
     ends = e.select("layer", F.col("src").alias("node"), "weight").unionByName(e.select("layer", F.col("dst").alias("node"), "weight"))
-    return ends.groupBy("layer", "node").agg(F.count(F.lit(1)).alias("degree"), F.sum("weight").alias("strength"))
+    return ends.groupBy("layer", "node").agg(F.count(F.lit(1)).alias("degree"), (exact_sum(F.col("weight")).cast("double") / PARTS).alias("strength"))
 
 
 def carry_review(found: DataFrame, prior: DataFrame) -> DataFrame:

@@ -312,10 +312,15 @@ def extract_batch(files: DataFrame, done: DataFrame, version: str) -> DataFrame:
     return files.withColumn("version", F.lit(version)).join(done, ["path", "sha256", "version"], "left_anti")
 
 
-def unit_ledger(segments: DataFrame) -> DataFrame:
-    """TXT-14: sentence units of segments (content_id, source_sha, cue_index, start, end, text, speaker_id) with stable ids."""
+# Fixed value: the version of the rules that cut units.
+BUILDER = "caption_overlap_v2"
+
+
+def unit_ledger(segments: DataFrame, version: str = BUILDER) -> DataFrame:
+    """TXT-14, STR-10: sentence units of segments (content_id, source_sha, cue_index, start, end, text, speaker_id) with stable
+    ids: file, content, start, end, speaker, text, the sentence's number and the version of the rules."""
     s = segments.select("content_id", "source_sha", "cue_index", "start", "end", "speaker_id", F.posexplode(X.sentences(X.squeeze(F.col("text")))).alias("sentence_index", "text")).where("text <> ''")
-    uid = X.stable_id("TU_", *[F.col(c) for c in ("content_id", "source_sha", "cue_index", "sentence_index", "start", "end", "speaker_id", "text")])
+    uid = X.stable_id("TU_", *[F.col(c) for c in ("source_sha", "content_id", "start", "end", "speaker_id", "text", "sentence_index")], F.lit(version))
     return s.withColumn("unit_id", uid)
 
 

@@ -101,18 +101,19 @@ def edge_build(spark: SparkSession, d: str) -> DataFrame:
     return edges(spark, d).select("src", "dst", F.round("weight", 5).alias("weight"), "evidence")
 
 
-@register("node_strength", f"WITH {EDGES} SELECT node, round(sum(weight), 4) AS strength, count(*) AS degree FROM ways GROUP BY node")
+@register("node_strength", f"WITH {EDGES} SELECT node, round(sum(round(weight * 1e9)::HUGEINT)::DOUBLE / 1e9, 4) AS strength, count(*) AS degree FROM ways GROUP BY node")
 def node_strength(spark: SparkSession, d: str) -> DataFrame:
     """AGG-10."""
     return G.strengths(kept_edges(spark, d)).withColumn("strength", F.round("strength", 4))
 
 
+#: Weights as whole billionths: sums in any order are equal.
 SHARES = f"""{EDGES},
-pc AS (SELECT w.node, n.community, sum(w.weight) AS w FROM ways w JOIN nodes n ON w.other = n.node GROUP BY 1, 2),
-sh AS (SELECT node, community, w / sum(w) OVER (PARTITION BY node) AS share, sum(w) OVER (PARTITION BY node) AS strength FROM pc)"""
+pc AS (SELECT w.node, n.community, sum(round(w.weight * 1e9)::HUGEINT)::HUGEINT AS w FROM ways w JOIN nodes n ON w.other = n.node GROUP BY 1, 2),
+sh AS (SELECT node, community, w::DOUBLE / (sum(w) OVER (PARTITION BY node))::DOUBLE AS share, (sum(w) OVER (PARTITION BY node))::DOUBLE / 1e9 AS strength, (sum(w) OVER (PARTITION BY node))::HUGEINT AS parts FROM pc)"""
 
 
-@register("participation", f"WITH {SHARES} SELECT node, round(1 - sum(share * share), 6) AS participation, round(1 - max(share), 6) AS outlier FROM sh GROUP BY node")
+@register("participation", f"WITH {SHARES} SELECT node, round((1e12 - sum(round(share * share * 1e12)::HUGEINT)::DOUBLE) / 1e12, 6) AS participation, round(1 - max(share), 6) AS outlier FROM sh GROUP BY node")
 def participation(spark: SparkSession, d: str) -> DataFrame:
     """GRF-04, MTH-02, AGG-11."""
     e = kept_edges(spark, d)
@@ -121,7 +122,7 @@ def participation(spark: SparkSession, d: str) -> DataFrame:
     return p.select("node", F.round("participation", 6).alias("participation"), F.round("outlier", 6).alias("outlier"))
 
 
-@register("bridge_score", f"WITH {SHARES}, p AS (SELECT node, 1 - sum(share * share) AS p, max(strength) AS s FROM sh GROUP BY node) SELECT node, round(p * ln(1 + s), 5) AS bridge FROM p")
+@register("bridge_score", f"WITH {SHARES}, p AS (SELECT node, (1e12 - sum(round(share * share * 1e12)::HUGEINT)::DOUBLE) / 1e12 AS p, max(strength) AS s FROM sh GROUP BY node) SELECT node, round(p * ln(1 + s), 5) AS bridge FROM p")
 def bridge_score(spark: SparkSession, d: str) -> DataFrame:
     """MTH-03."""
     e = kept_edges(spark, d)
@@ -342,17 +343,21 @@ def membership_shares(spark: SparkSession, d: str) -> DataFrame:
     return G.membership(e, regions(spark, d)).join(G.strengths(e).select("node"), "node", "left_semi").withColumn("share", F.round("share", 6))
 
 
-@register("node_metrics", f"""WITH {SHARES}, ev AS (SELECT node, sum(evidence) AS ev, count(*) AS degree FROM (SELECT src AS node, evidence FROM edges UNION ALL SELECT dst, evidence FROM edges) GROUP BY 1), p AS (SELECT node, 1 - sum(share * share) AS p, 1 - max(share) AS o, max(strength) AS s FROM sh GROUP BY 1)
-SELECT 's1' AS snapshot_id, node, 'relationship' AS layer, degree, round(round_even(s, 6) * 1e6)::BIGINT // 10 AS weighted_degree, round(round_even(s / 1000, 8) * 1e8)::BIGINT // 10 AS betweenness, round(round_even(p, 6) * 1e6)::BIGINT // 10 AS participation, round(round_even(p * ln(1 + s), 6) * 1e6)::BIGINT // 10 AS bridge, round(round_even(o, 6) * 1e6)::BIGINT // 10 AS outlier, ev::DOUBLE AS evidence_coverage FROM p JOIN ev USING (node)""")
+#: Half to even, of whole numbers.
+EVEN = "({0} // {1} + CASE WHEN 2 * ({0} % {1}) > {1} OR (2 * ({0} % {1}) = {1} AND ({0} // {1}) % 2 = 1) THEN 1 ELSE 0 END)::BIGINT"
+
+
+@register("node_metrics", f"""WITH {SHARES}, ev AS (SELECT node, sum(evidence) AS ev, count(*) AS degree FROM (SELECT src AS node, evidence FROM edges UNION ALL SELECT dst, evidence FROM edges) GROUP BY 1),
+p AS (SELECT node, 1000000000000::HUGEINT - sum(round(share * share * 1e12)::HUGEINT)::HUGEINT AS p, 1 - max(share) AS o, max(parts) AS w FROM sh GROUP BY 1)
+SELECT 's1' AS snapshot_id, node, 'relationship' AS layer, degree, {EVEN.format("w", "1000")} AS weighted_degree, {EVEN.format("p", "1000000")} AS participation, round_even((p::DOUBLE / 1e12) * ln(1 + w::DOUBLE / 1e9) * 1e6, 0)::BIGINT AS bridge, round_even(o * 1e6, 0)::BIGINT AS outlier, ev::DOUBLE AS evidence_coverage FROM p JOIN ev USING (node)""")
 def node_metrics(spark: SparkSession, d: str) -> DataFrame:
-    """GRF-07, AGG-10, MTH-09: with a stand-in for betweenness, which GRF-05 computes for small graphs only. Shown as
-    whole numbers without the last digit, in which sums of another order may part at a tie."""
+    """GRF-07, AGG-10, MTH-09: all digits, as whole millionths. Betweenness and PageRank have queries of their own."""
     e = kept_edges(spark, d)
     st = G.saved(G.strengths(e), "strengths")
     shares = G.membership(e, regions(spark, d)).join(st.select("node"), "node", "left_semi")
-    m = G.node_metrics(e, shares, st.select("node", (F.col("strength") / 1000).alias("betweenness")), st.select("node", F.lit(0.0).alias("rank")), "s1")
-    digits = {"weighted_degree": 6, "betweenness": 8, "participation": 6, "bridge": 6, "outlier": 6}
-    return m.withColumns({c: F.floor(F.round(F.col(c) * float(10**k)) / 10) for c, k in digits.items()}).drop("pagerank", "brokerage")
+    none = st.select("node", F.lit(0.0).alias("betweenness"), F.lit(0.0).alias("rank"))
+    m = G.node_metrics(e, shares, none, none, "s1")
+    return m.withColumns({c: F.round(F.col(c) * 1e6).cast("long") for c in ("weighted_degree", "participation", "bridge", "outlier")}).drop("pagerank", "brokerage", "betweenness")
 
 
 @register("snapshot_payload", f"""WITH n AS (SELECT n_nationkey AS node, n_regionkey AS community, CASE WHEN n_nationkey % 6 = 0 THEN n_nationkey::VARCHAR ELSE n_name END AS label FROM nation) SELECT 'nodes' AS part, '{{"node":' || node || ',"community":' || community || ',"label":"' || label || '"}}' AS item FROM n

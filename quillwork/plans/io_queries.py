@@ -265,7 +265,7 @@ STR = """SELECT event_id AS id, CASE event_id % 6 WHEN 0 THEN '  "Hi,  there." '
 
 
 @register("clean_text", rf"""{duck(s=STR)} SELECT id, trim(trim(regexp_replace(t, '\s+', ' ', 'g')), ' .,;:!?()[]{{}}"''' || chr(9) || chr(10) || chr(13)) AS clean, trim(regexp_replace(regexp_replace(lower(t), '[^a-z0-9@._'' -]+', ' ', 'g'), '\s+', ' ', 'g')) AS handle,
-coalesce(nullif(regexp_replace(lower(t), '[^a-z0-9'']+', '', 'g'), ''), trim(t)) AS token, substr(t, greatest(0, id % 9 - 2) + 1, id % 9 + 4 - greatest(0, id % 9 - 2)) AS snippet FROM s""")
+coalesce(nullif(regexp_replace(lower(t), '[^a-z0-9@_''-]+', '', 'g'), ''), trim(lower(t))) AS token, substr(t, greatest(0, id % 9 - 2) + 1, id % 9 + 4 - greatest(0, id % 9 - 2)) AS snippet FROM s""")
 def clean_text(spark: SparkSession, d: str) -> DataFrame:
     """STR-01, STR-03, STR-15."""
     t, at = F.col("t"), (F.col("id") % 9).cast("int")

@@ -189,9 +189,21 @@ def sentence_split(spark: SparkSession, d: str) -> DataFrame:
 
 
 @register("unit_ledger", r"""WITH s AS (SELECT conv_id::VARCHAR AS content_id, turn AS cue_index, role AS speaker_id, string_split(regexp_replace(trim(regexp_replace(text, '\s+', ' ', 'g')), '([.!?])\s+([A-Z0-9"''(\[])', '\1' || chr(31) || '\2', 'g'), chr(31)) AS s FROM conversations), u AS (SELECT content_id, cue_index, speaker_id, unnest(s) AS text, unnest(range(len(s))) AS i FROM s)
-SELECT content_id, cue_index, i AS sentence_index, text, 'TU_' || upper(substr(sha256(concat_ws(chr(31), content_id, 'sha', cue_index::VARCHAR, i::VARCHAR, (cue_index * 4)::VARCHAR, (cue_index * 4 + 3)::VARCHAR, speaker_id, text)), 1, 24)) AS unit_id FROM u WHERE text <> ''""")
+SELECT content_id, cue_index, i AS sentence_index, text, 'TU_' || upper(substr(sha256(concat_ws(chr(31), 'sha', content_id, (cue_index * 4)::VARCHAR, (cue_index * 4 + 3)::VARCHAR, speaker_id, text, i::VARCHAR, 'caption_overlap_v2')), 1, 24)) AS unit_id FROM u WHERE text <> ''""")
 def unit_ledger(spark: SparkSession, d: str) -> DataFrame:
     """TXT-14, STR-04, STR-10: times as whole seconds, for an id takes their text."""
     t = table(spark, d, "conversations")
     seg = t.select(F.col("conv_id").cast("string").alias("content_id"), F.lit("sha").alias("source_sha"), F.col("turn").alias("cue_index"), (F.col("turn") * 4).alias("start"), (F.col("turn") * 4 + 3).alias("end"), F.col("role").alias("speaker_id"), "text")
     return mentions.unit_ledger(seg).select("content_id", "cue_index", "sentence_index", "text", "unit_id")
+
+
+#: Each document's first words with a reference among them, and what it stands for.
+REFERENCES = [("&eacute;", "é"), ("&#8217;", "’"), ("&#x27;", "'"), ("&copy", "©"), ("&notit;", "¬it;"), ("&#128;", "€"), ("&amp;lt;", "&lt;"), ("&bogus;", "&bogus;"), ("&#0;", "\ufffd"), ("&NotEqualTilde;", "≂̸"), ("&", "&"), ("&#x1F600;", "😀"), ("&#1;", "")]
+_CASE = lambda k: f"CASE doc_id % {len(REFERENCES)} {' '.join(f"WHEN {i} THEN '{r[k].replace(chr(39), chr(39) * 2)}'" for i, r in enumerate(REFERENCES))} END"
+
+
+@register("decoded_references", rf"""SELECT doc_id, left(t, 20) || {_CASE(1)} || ' ' || t AS decoded FROM (SELECT doc_id, regexp_replace(text, '[&<>]+', ' ', 'g') AS t FROM documents)""")
+def decoded_references(spark: SparkSession, d: str) -> DataFrame:
+    """STR-06."""
+    t = F.regexp_replace("text", "[&<>]+", " ")
+    return table(spark, d, "documents").select("doc_id", X.unescape(F.concat(F.left(t, F.lit(20)), F.expr(_CASE(0)), F.lit(" "), t)).alias("decoded"))

@@ -105,6 +105,76 @@ def test_caption_fold(spark):
     assert all(text.count(p) == 1 for p in phrases) and len(text.split()) < 0.65 * len(said)
 
 
+def fold_plainly(cues, cap=42, gap=1.75):
+    """The rules of caption folding for one content's cues (start, end, text) in order, one token after the other."""
+    import difflib
+    import re
+
+    norm = lambda w: re.sub(r"[^a-z0-9@_'-]+", "", w.lower().replace("’", "'")) or w.lower()
+    tokens, said = [], []
+    for start, end, text in cues:
+        start = start or 0.0
+        end = end or start
+        words = (text or "").split()
+        own = [norm(w) for w in words]
+        most = min(len(own), len(said), 96)
+        same = [k for k in range(1, most + 1) if said[len(said) - k :] == own[:k]]
+        near = [k for k in range(4, most + 1) if difflib.SequenceMatcher(None, said[len(said) - k :], own[:k], autojunk=False).ratio() >= 0.92] if not same else []
+        skip = max(same or near or [0])
+        length = max(0.001, end - start)
+        for j in range(skip, len(words)):
+            tokens.append((start + length * (j / len(words)), start + length * ((j + 1) / len(words)), words[j]))
+            said.append(own[j])
+    out, here = [], []
+    for i, (a, z, w) in enumerate(tokens):
+        here.append((a, z, w))
+        pause = i + 1 < len(tokens) and tokens[i + 1][0] - z > gap
+        if re.search(r"[.!?][\"')\]]*$", w) or len(here) == cap or pause or i + 1 == len(tokens):
+            out.append((here[0][0], here[-1][1], " ".join(x[2] for x in here)))
+            here = []
+    return out
+
+
+def test_caption_fold_against_the_plain_rules(spark):
+    from collections import defaultdict
+
+    from quillwork.plans.domain_queries import cues
+
+    odd = [("q", 0, 0.0, 8.0, "slow words here now"), ("q", 1, 8.0, 9.0, 'he said "stop." and left again today'), ("r", 0, None, None, "no times"), ("r", 1, 3.0, 0.0, "an end of zero"), ("r", 2, 9.0, 9.5, None), ("r", 3, 10.0, 11.0, "it’s user@home a_b x-y (ok?) [yes.]"),
+           ("r", 4, 11.0, 12.0, "IT'S user@home a_b x-y (ok?) [yes.] and more " + "word " * 100)]
+    odd += [("t", i, 2.0 * i, 2.0 * i + 2, " ".join(f"w{j}" for j in range(5 * i, 5 * i + 12)).replace("w7", "w7x" if i else "w7")) for i in range(20)]
+    df = cues(spark, "/root/testdata/sf0.001").unionByName(spark.createDataFrame(odd, "content_id string, cue_index int, start double, end double, text string"))
+    own = defaultdict(list)
+    for r in sorted(df.collect(), key=lambda r: r.cue_index):
+        own[r.content_id].append((r.start, r.end, r.text))
+    got = defaultdict(list)
+    for r in A.caption_fold(df).orderBy("content_id", "run", "part").collect():
+        got[r.content_id].append((r.start, r.end, r.text))
+    assert len(got["q"]) == 2
+    for k, rows in own.items():
+        want = fold_plainly(rows)
+        assert [t for _, _, t in got[k]] == [t for _, _, t in want], k
+        assert all(abs(g[i] - w[i]) < 1e-9 for g, w in zip(got[k], want, strict=True) for i in (0, 1)), k
+
+
+def test_references_as_the_standard_library(spark):
+    import html
+
+    texts = ["it&#8217;s caf&eacute; &#x27;x", "&amp;amp; &lt;b&gt; &AMP &copy2 &notit; &notin; &NotEqualTilde; &zzz; &; & && &#; &#x; &#xZ", "&#0; &#13; &#128; &#129; &#x7f; &#x1F600; &#xD800; &#1114112; &#99999999999; &#11; &#xFFFE; &#00065;", "plain", "", "&bne;&fjlig;&nbsp;|", "&ampx &ltx;"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, None])], "i int, t string")
+    got = {r.i: r.d for r in df.select("i", X.references(F.col("t")).alias("d")).collect()}
+    assert [got[i] for i in range(len(texts))] == [html.unescape(t) for t in texts] and got[len(texts)] is None
+
+
+def test_unit_ids_in_the_order_of_the_parts(spark):
+    import hashlib
+
+    seg = spark.createDataFrame([("V1", "ab12", 3, 4, 7, "One here. Two there!", "P")], "content_id string, source_sha string, cue_index int, start int, end int, text string, speaker_id string")
+    got = [(r.text, r.unit_id) for r in mentions.unit_ledger(seg).orderBy("sentence_index").collect()]
+    want = [(t, "TU_" + hashlib.sha256("\x1f".join(["ab12", "V1", "4", "7", "P", t, str(i), "caption_overlap_v2"]).encode()).hexdigest()[:24].upper()) for i, t in enumerate(["One here.", "Two there!"])]
+    assert got == want
+
+
 def test_sampling_plan(spark):
     cues = spark.createDataFrame([("V", i, 20.0 * i, 20.0 * i + 20, "one two three") for i in range(10)], "content_id string, cue_index int, start double, end double, text string")
     assert [r.cue_index for r in A.sampling_plan(cues).orderBy("cue_index").collect()] == [0, 2, 6, 9]
