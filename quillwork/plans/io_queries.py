@@ -63,37 +63,72 @@ def keyed_lines(spark: SparkSession, d: str) -> DataFrame:
     return io.keyed_lines(spark, path, "id long, v string", "id").select("id", "v")
 
 
-CAPTION = '{"start": 0, "end": 1.5, "text": "one"}\n\nbroken\n{"start": 2, "text": "two"}\n'
-SPOKEN = '{"video_id": "v9", "speaker_id": "S1", "start_seconds": 3, "end_seconds": 4, "text": "three"}\n'
-
-
-@register("segment_scan", """SELECT * FROM (VALUES ('caption', 'abc', 0, 0.0::DOUBLE, 1.5::DOUBLE, 'one', NULL), ('caption', 'abc', 3, 2.0, 2.0, 'two', NULL), ('diarized', 'v9', 0, 3.0, 4.0, 'three', 'S1')) AS t(source_type, content_id, cue_index, start, "end", text, speaker_id)""")
+def put_files(spark: SparkSession, lines: DataFrame, root: str) -> None:
+    """lines (file, no, line) as one text file per name: Spark writes a folder per file, whose one part is then renamed. The
+    driver handles names only."""
+    out = folder(spark)
+    named = lines.select(F.base64(F.col("file").cast("binary")).alias("file"), "no", "line")
+    named.repartition("file").sortWithinPartitions("file", "no").select("file", "line").write.partitionBy("file").text(out)  # the writer keeps this order
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    names = {r["f"]: r["file"] for r in lines.select("file", F.base64(F.col("file").cast("binary")).alias("f")).distinct().collect()}
+    for f, name in names.items():
+        (part,) = [x.getPath() for x in fs.globStatus(path(f"{out}/file={f.replace('=', '%3D').replace('/', '%2F')}/part-*"))]
+        fs.mkdirs(path(f"{root}/{name}").getParent())
+        fs.rename(part, path(f"{root}/{name}"))
+
+
+#: Conversations as caption files of three channels, one of them not for production, and as one file of spoken turns each;
+#: some lines are blank or broken.
+SCRIPTS = """SELECT conv_id, turn, role, CASE conv_id % 3 WHEN 0 THEN 'YT001' WHEN 1 THEN 'yt22' ELSE 'test_channel' END AS channel, CAST(conv_id % 30 AS STRING) AS g, CAST(turn AS DOUBLE) * 1.5e0 AS a, CASE WHEN turn % 4 <> 1 THEN CAST(turn AS DOUBLE) * 1.5e0 + 1 END AS z, regexp_replace(text, '[^A-Za-z0-9 .,]', '') AS t,
+CASE turn % 7 WHEN 5 THEN 'broken' WHEN 6 THEN '' END AS odd FROM {conversations}"""
+ORDERED = """, l AS (SELECT *, regexp_replace(text, '[^A-Za-z0-9 .,]', '', 'g') AS t2, row_number() OVER (PARTITION BY channel, g ORDER BY conv_id, turn) - 1 AS cap, row_number() OVER (PARTITION BY channel ORDER BY conv_id, turn) - 1 AS dia FROM c)"""
+SCRIPTS_DUCK = duck(c=SCRIPTS.replace("regexp_replace(text, '[^A-Za-z0-9 .,]', '') AS t", "text")) + ORDERED
+
+
+def scripts(spark: SparkSession, d: str, root: str) -> None:
+    s = made(spark, d, SCRIPTS)
+    no = F.struct("conv_id", "turn").alias("no")
+    cap = s.select(F.concat("channel", F.lit("/normalized/g"), "g", F.lit(".segments.jsonl")).alias("file"), no, F.coalesce("odd", F.to_json(F.struct(F.col("a").alias("start"), F.col("z").alias("end"), F.col("t").alias("text")))).alias("line"))
+    dia = s.select(F.concat("channel", F.lit("/diarized/diarized_transcript.jsonl")).alias("file"), no, F.coalesce("odd", F.to_json(F.struct(F.concat(F.lit("v"), "g").alias("video_id"), F.col("role").alias("speaker_id"), F.col("a").alias("start_seconds"), F.coalesce("z", F.lit(0.0)).alias("end_seconds"), F.col("t").alias("text")))).alias("line"))
+    put_files(spark, cap.unionByName(dia), root)
+
+
+@register("segment_scan", SCRIPTS_DUCK + """ SELECT 'caption' AS source_type, 'g' || g AS content_id, cap::INTEGER AS cue_index, a AS start, coalesce(z, a) AS "end", t2 AS text, NULL AS speaker_id FROM l WHERE odd IS NULL AND channel <> 'test_channel'
+UNION ALL SELECT 'diarized', 'v' || g, dia, a, coalesce(z, 0), t2, role FROM l WHERE odd IS NULL AND channel <> 'test_channel'""")
 def segment_scan(spark: SparkSession, d: str) -> DataFrame:
-    """SRC-05, SRC-06, SRC-07, SET-01, TXT-03: files of two kinds below two channels, of which one is for production."""
+    """SRC-05, SRC-06, SRC-07, SET-01, TXT-03: files of all conversations, of two kinds, below three channels."""
     root = folder(spark)
-    for channel in ("YT001", "test_channel"):
-        put_file(spark, f"{root}/{channel}/normalized/abc.segments.jsonl", CAPTION)
-        put_file(spark, f"{root}/{channel}/diarized/diarized_transcript.jsonl", SPOKEN)
+    scripts(spark, d, root)
     return io.production_only(io.segment_scan(spark, root)).drop("path")
 
 
-@register("file_digests", f"""SELECT sha256('{CAPTION.replace(chr(10), "' || chr(10) || '")}') AS sha256 UNION ALL SELECT sha256('{SPOKEN.replace(chr(10), "' || chr(10) || '")}')""")
+#: Events as one text file per user.
+USER_FILES = "SELECT 'u' || CAST(user_id % 40 AS STRING) || '/log.txt' AS file, event_id AS no, event_type || ' ' || CAST(event_id AS STRING) AS line FROM {events}"
+
+
+@register("file_digests", duck(f=USER_FILES) + " SELECT file, sha256(string_agg(line, chr(10) ORDER BY no) || chr(10)) AS sha256 FROM f GROUP BY file")
 def file_digests(spark: SparkSession, d: str) -> DataFrame:
-    """SRC-08."""
+    """SRC-08: all events as files of lines."""
     root = folder(spark)
-    put_file(spark, f"{root}/a/x.jsonl", CAPTION)
-    put_file(spark, f"{root}/b/y.jsonl", SPOKEN)
-    return io.file_digests(spark, root).select("sha256")
+    put_files(spark, made(spark, d, USER_FILES), root)
+    return io.file_digests(spark, root).select(F.regexp_extract("path", "([^/]+/[^/]+)$", 1).alias("file"), "sha256")
 
 
-ATTR = 'video_id,start_seconds,end_seconds,text,raw_speaker_id,speaker_attribution_status\nv1,1.5,2,"a, b",S1,HIGH\nv1,x,2,c,S1,HIGH\nv2,,,d,S2,LOW\nv2,3,,e,S2,\n'
+#: Events as attribution rows, some with times that cannot be read.
+ATTRIBUTED = """SELECT 'run' || CAST(user_id % 12 AS STRING) AS run, event_id AS no, 'v' || CAST(event_id % 50 AS STRING) AS video_id, CASE event_id % 11 WHEN 0 THEN 'x' WHEN 1 THEN '' ELSE CAST(event_id AS STRING) || '.5' END AS a, CASE event_id % 7 WHEN 0 THEN '' WHEN 1 THEN ' y ' ELSE CAST(event_id + 2 AS STRING) END AS z,
+CASE event_id % 5 WHEN 0 THEN event_type || ', again' ELSE event_type END AS t, 'S' || CAST(user_id AS STRING) AS speaker, CASE WHEN event_id % 3 > 0 THEN 'HIGH' ELSE 'LOW' END AS status FROM {events}"""
 
 
-@register("attribution_scan", """SELECT * FROM (VALUES ('v1', 1.5::DOUBLE, 2.0::DOUBLE, 'a, b', 'S1', 'HIGH'), ('v2', 0.0, 0.0, 'd', 'S2', 'LOW'), ('v2', 3.0, 3.0, 'e', 'S2', NULL)) AS t(video_id, start, "end", text, raw_speaker, status)""")
+@register("attribution_scan", duck(r=ATTRIBUTED) + """, n AS (SELECT *, CASE a WHEN '' THEN 0.0 ELSE TRY_CAST(a AS DOUBLE) END AS s FROM r) SELECT video_id, s AS start, CASE z WHEN '' THEN s ELSE TRY_CAST(z AS DOUBLE) END AS "end", t AS text, speaker AS raw_speaker, status FROM n WHERE a <> 'x' AND z <> ' y '""")
 def attribution_scan(spark: SparkSession, d: str) -> DataFrame:
-    """SRC-15."""
+    """SRC-15: all events as rows of files below one folder per run."""
     root = folder(spark)
-    put_file(spark, f"{root}/a/caption_speaker_attribution.csv", ATTR)
+    r = made(spark, d, ATTRIBUTED)
+    file, quoted = F.concat("run", F.lit("/caption_speaker_attribution.csv")).alias("file"), F.concat(F.lit('"'), "t", F.lit('"'))
+    rows = r.select(file, "no", F.concat_ws(",", "video_id", "a", "z", quoted, "speaker", "status").alias("line"))
+    head = r.select(file).distinct().select("file", F.lit(-1).cast("long").alias("no"), F.lit("video_id,start_seconds,end_seconds,text,raw_speaker_id,speaker_attribution_status").alias("line"))
+    put_files(spark, rows.unionByName(head), root)
     return io.attribution_scan(spark, root)
 
 
