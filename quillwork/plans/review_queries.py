@@ -193,7 +193,7 @@ def superseded_index(spark: SparkSession, d: str) -> DataFrame:
     return R.superseded_index(ix, made(spark, d, UNITS))
 
 
-CAPS = """SELECT 'U' || CAST(event_id AS STRING) AS unit_id, CASE WHEN event_id % 3 = 0 THEN 'moji_diarized' ELSE 'youtube_caption' END AS source_type, CASE WHEN event_id % 11 = 0 THEN 'SUPERSEDED' ELSE 'CURRENT' END AS source_status,
+CAPS = """SELECT 'U' || CAST(event_id AS STRING) AS unit_id, CASE WHEN event_id % 3 = 0 THEN 'diarized' ELSE 'youtube_caption' END AS source_type, CASE WHEN event_id % 11 = 0 THEN 'SUPERSEDED' ELSE 'CURRENT' END AS source_status,
 CASE WHEN event_id % 4 = 0 THEN 'COMPLETE' WHEN event_id % 4 = 1 THEN NULL ELSE 'PENDING' END AS semantic_status, CASE WHEN event_id % 8 = 0 THEN 'COMPLETE' ELSE 'PENDING' END AS fact_status FROM {events}"""
 DONE = "SELECT 'U' || CAST(event_id AS STRING) AS unit_id FROM {events} WHERE event_id % 6 = 1"
 ATTR = "SELECT 'U' || CAST(event_id AS STRING) AS unit_id FROM {events} WHERE event_id % 5 < 2"

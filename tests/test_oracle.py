@@ -6,7 +6,7 @@ from collections import Counter
 import duckdb
 import pytest
 
-from quillwork.plans import domain_queries, event_queries, graph_queries, io_queries, registry, review_queries, text_queries, voice_queries  # noqa: F401
+from quillwork.plans import domain_queries, event_queries, graph_queries, io_queries, queue_queries, registry, review_queries, sequence_queries, text_queries, voice_queries  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
