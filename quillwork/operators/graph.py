@@ -7,7 +7,6 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections import defaultdict
-from collections.abc import Iterator
 
 import pandas as pd
 from pyspark import StorageLevel
@@ -184,12 +183,9 @@ def _louvain(edges: list[tuple], resolution: float) -> dict:
     return {n: least[c] for n, c in final.items()}
 
 
-def louvain(edges: DataFrame, by: list[str], resolution: float = 1.0, max_edges: int = 500_000) -> DataFrame:
-    """GRF-02: by, node, community (its least node), a task per snapshot or layer in `by`; meant for graphs of some
-    thousand nodes each; an error beyond max_edges. communities() is the distributed way for larger ones."""
-    top = edges.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-    if top > max_edges:
-        raise ValueError("louvain holds a graph in one task; one is beyond max_edges")
+def louvain(edges: DataFrame, by: list[str], resolution: float = 1.0) -> DataFrame:
+    """GRF-02: by, node, community (its least node), a task per snapshot or layer in `by`: for many graphs of some thousand
+    nodes each. moved_communities() takes one graph of any size."""
 
     def work(frame: pd.DataFrame) -> pd.DataFrame:
         found = _louvain(list(frame[["src", "dst", "weight"]].itertuples(index=False)), resolution)
@@ -203,6 +199,67 @@ def louvain(edges: DataFrame, by: list[str], resolution: float = 1.0, max_edges:
     return edges.groupBy(*by).applyInPandas(work, schema)
 
 
+def _local_moves(edges: DataFrame, start: DataFrame | None, resolution: float, rounds: int, least_gain: float) -> tuple[DataFrame, float]:
+    """Rounds of parallel moves over one level's edges (src, dst, weight; src = dst holds what is inside a node), from
+    `start` (node, community) or one community a node. The labels with the highest modularity seen, and that."""
+    way = both_ways(edges)
+    sizes = way.groupBy("node").agg(exact_sum(F.col("weight")).cast("double").alias("size"))
+    total = sizes.agg(F.sum("size")).first()[0]
+    links = saved(way.where("node <> other"), "links")
+    label = start or sizes.select("node", F.col("node").alias("community"))
+    label = saved(label.join(sizes, "node"), "labels")
+    best, top, still = label, None, 0
+    for turn in range(rounds + 1):
+        near = links.join(label.select(F.col("node").alias("other"), "community"), "other").groupBy("node", "community").agg(exact_sum(F.col("weight")).alias("w"))
+        none = F.lit(0).cast("decimal(38,0)").alias("w")
+        around = near.unionByName(label.select("node", "community", none)).groupBy("node", "community").agg(F.sum("w").cast("double").alias("w"))
+        mass = label.groupBy("community").agg(F.sum("size").alias("mass"))
+        own = F.col("community") == F.col("home")
+        seen = around.join(mass, "community").join(label.select("node", F.col("community").alias("home"), "size"), "node")
+        gain = F.round((F.col("w") - resolution * (F.col("mass") - F.when(own, F.col("size")).otherwise(0.0)) * F.col("size") / total) / total, 15)
+        # half of the nodes may move in a round: two that want each other's place do not swap for ever
+        picked = F.max_by("community", F.struct(gain.alias("g"), own.alias("o"), "community"))
+        chosen = seen.groupBy("node", "home", "size").agg(picked.alias("to"), F.max(F.when(own, F.col("w"))).alias("inner"), F.max(F.when(own, F.col("mass"))).alias("mass"))
+        awake = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(2)) == 0
+        after = saved(chosen.withColumn("community", F.when(awake, F.col("to")).otherwise(F.col("home"))), "moves")
+        # what the round started from: sum over nodes of the weight inside, less the expected
+        q, wants = after.agg(F.sum(F.col("inner") - resolution * F.col("mass") * F.col("size") / total) / total, F.count_if(F.col("to") != F.col("home"))).first()
+        still = 0 if top is None or q > top + least_gain else still + 1
+        if top is None or q > top:
+            best, top = label, q
+        if not wants or still >= 3:
+            break
+        label = after.select("node", "community", "size")
+    inside = edges.where("src = dst").agg(exact_sum(F.col("weight")).cast("double")).first()[0] or 0.0
+    return best.select("node", "community"), top + 2 * inside / total
+
+
+def moved_communities(edges: DataFrame, resolution: float = 1.0, rounds: int = 16, levels: int = 10, least_gain: float = 1e-4) -> DataFrame:
+    """GRF-02: node, community (its least node) for one graph of any size: local moving for modularity in parallel rounds,
+    contraction to a graph of communities, again and again, then moves of the first level's nodes from what was found.
+
+    A round is two joins and a grouping of the edges by node; no task holds the graph. All weights are summed as whole
+    numbers and ties go to the own, then the greatest community, so reruns agree. Parallel moves see each other's
+    communities as they were before the round, so a round can lose modularity: the best labels seen are kept. An empty
+    graph gives no rows; a node with only a loop is a community of its own."""
+    level = saved(edges.groupBy(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).agg(F.sum("weight").alias("weight")).where("weight > 0"), "level")
+    if level.isEmpty():
+        return level.select(F.col("src").alias("node"), F.col("src").alias("community"))
+    first, found, best = level, None, None
+    for _ in range(levels):
+        label, q = _local_moves(level, None, resolution, rounds, least_gain)
+        if best is not None and q <= best + least_gain / 10:
+            break
+        best = q
+        up = label.withColumnRenamed("community", "to")
+        found = saved(up.withColumnRenamed("to", "community") if found is None else found.join(up.withColumnRenamed("node", "community"), "community").select("node", F.col("to").alias("community")), "found")
+        ends = level.join(label.select(F.col("node").alias("src"), F.col("community").alias("a")), "src").join(label.select(F.col("node").alias("dst"), F.col("community").alias("b")), "dst")
+        level = saved(ends.groupBy(F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst")).agg((exact_sum(F.col("weight")).cast("double") / PARTS).alias("weight")), "level")
+    found, _ = _local_moves(first, found, resolution, rounds, least_gain)
+    names = found.groupBy("community").agg(F.min("node").alias("least"))
+    return found.join(names, "community").select("node", F.col("least").alias("community"))
+
+
 def community_ids(members: DataFrame, snapshot: str) -> DataFrame:
     """SRT-03: members (node, community) with community_id C_<snapshot>_0001 ... by size, the largest first, and least node."""
     g = members.groupBy("community").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("least"))
@@ -225,59 +282,71 @@ def communities(edges: DataFrame, rounds: int = 10) -> DataFrame:
     return label
 
 
-def betweenness(edges: DataFrame, distance: Column | None = None, max_edges: int = 200_000) -> DataFrame:
-    """GRF-05: node, betweenness, normalised. Sources are dealt to tasks, each with all edges: up to max_edges of them
-    (200,000 take some 100 MB on the driver and in each task); an error beyond.
-    The default distance is the weight itself; pass 1 / weight to make strong ties short."""
-    from heapq import heappop, heappush
-
-    e = both_ways(edges.withColumn("weight", F.col("weight") if distance is None else distance))
-    n_edges = e.count()
-    if n_edges > 2 * max_edges:
-        raise ValueError("betweenness holds all edges in each task; the graph is beyond max_edges")
-    adjacency: dict = defaultdict(list)
-    for a, b, w in e.select("node", "other", "weight").collect():
-        adjacency[a].append((b, w))
-    spark = edges.sparkSession
-    shared, n = spark.sparkContext.broadcast(dict(adjacency)), len(adjacency)
-
-    def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        adj = shared.value
-        for frame in frames:
-            score: dict = defaultdict(float)
-            for s in frame["node"]:
-                dist, paths, before, order, heap = {}, defaultdict(float), defaultdict(list), [], [(0.0, str(s), s, s)]
-                seen = {s: 0.0}
-                paths[s] = 1.0
-                while heap:
-                    d, _, v, p = heappop(heap)
-                    if v in dist:
-                        continue
-                    if v != s:
-                        paths[v] = sum(paths[x] for x in before[v])
-                    dist[v] = d
-                    order.append(v)
-                    for o, w in adj[v]:
-                        far = d + w
-                        if o not in dist and (o not in seen or far < seen[o] - 1e-12):
-                            seen[o] = far
-                            before[o] = [v]
-                            heappush(heap, (far, str(o), o, v))
-                        elif o not in dist and abs(far - seen[o]) <= 1e-12 and v not in before[o]:
-                            before[o].append(v)
-                share: dict = defaultdict(float)
-                for v in reversed(order):
-                    for p in before[v]:
-                        share[p] += paths[p] / paths[v] * (1 + share[v])
-                    if v != s:
-                        score[v] += share[v]
-            yield pd.DataFrame(sorted(score.items()), columns=["node", "b"])
-
-    kind = dict(e.dtypes)["node"]
-    nodes = e.select("node").distinct()
-    parts = nodes.repartition("node").mapInPandas(work, f"node {kind}, b double")
+def _distances(sources: DataFrame, ways: DataFrame, tolerance: float) -> DataFrame:
+    """source, node, d: shortest distances from the sources (node) along ways (node, other, weight). Of each round only the
+    pairs that came nearer go on."""
+    at = sources.select(F.col("node").alias("source"), "node", F.lit(0.0).alias("d"), F.lit(True).alias("moved"))
+    while True:
+        step = at.where("moved").join(ways, "node").groupBy("source", F.col("other").alias("node")).agg(F.min(F.col("d") + F.col("weight")).alias("new"))
+        none = F.lit(None).cast("double")
+        both = at.select("source", "node", "d", none.alias("new")).unionByName(step.select("source", "node", none.alias("d"), "new"))
+        both = both.groupBy("source", "node").agg(F.min("d").alias("d"), F.min("new").alias("new"))
+        nearer = F.col("d").isNull() | (F.col("new") < F.col("d") - tolerance)
+        at = saved(both.select("source", "node", F.when(nearer, F.col("new")).otherwise(F.col("d")).alias("d"), F.coalesce(nearer, F.lit(False)).alias("moved")), "distances")
+        if at.where("moved").isEmpty():
+            return at.select("source", "node", "d")
+
+
+def betweenness(edges: DataFrame, distance: Column | None = None, pairs: int = 20_000_000, landmarks: int = 16, tolerance: float = 1e-12) -> DataFrame:
+    """GRF-05: node, betweenness, normalised; exact, as joins: no task and not the driver holds the graph.
+    The default distance is the weight itself; pass 1 / weight to make strong ties short. Distances must be above 0.
+
+    First go edges that are longer than the way by one of some landmarks (the nodes of most edges): no shortest path has
+    them. Then sources are taken in batches of so many that a batch has about `pairs` rows (source, node) at most, or one source. Of a
+    batch, distances come by rounds; then the edges that lie on shortest paths
+    carry numbers of paths forwards and shares of later nodes backwards, a step of the longest path a round. Paths whose
+    lengths differ by less than the tolerance are equally short. An empty graph gives no rows."""
+    e = both_ways(edges.withColumn("weight", F.col("weight") if distance is None else distance)).where("node <> other")
+    e = saved(e.groupBy("node", "other").agg(F.min("weight").alias("weight")), "ways")
+    nodes = saved(e.groupBy("node").agg(F.count(F.lit(1)).alias("degree")), "nodes")
+    n = nodes.count()
+    near = _distances(nodes.orderBy(F.desc("degree"), "node").limit(landmarks), e, tolerance)
+    ends = e.join(near.select("source", "node", F.col("d").alias("a")), "node").join(near.select("source", F.col("node").alias("other"), F.col("d").alias("z")), ["source", "other"])
+    detour = ends.groupBy("node", "other").agg(F.min(F.col("a") + F.col("z")).alias("round"))
+    e = saved(e.join(detour, ["node", "other"], "left").where(F.col("round").isNull() | (F.col("weight") <= F.col("round") + tolerance)).select("node", "other", "weight"), "ways")
+    batches = max(1, -(-n * n // pairs))
+    parts = [nodes.select("node", F.lit(0.0).alias("b"))]
+    for i in range(batches):
+        own = nodes.where(F.pmod(F.xxhash64("node"), F.lit(batches)) == i)
+        at = _distances(own, e, tolerance)
+        far = at.groupBy("source").agg(F.max("d").alias("far"))
+        ways = at.join(far, "source").join(e, "node").select("source", "node", "other", (F.col("d") + F.col("weight")).alias("d"), "far").where(F.col("d") <= F.col("far") + tolerance)
+        on = saved(ways.drop("far").join(at.select("source", F.col("node").alias("other"), F.col("d").alias("least")), ["source", "other"]).where(F.col("d") <= F.col("least") + tolerance).select("source", "node", "other"), "shortest")
+        front = own.select(F.col("node").alias("source"), "node", F.lit(1.0).alias("paths"))
+        steps = [front]
+        while True:
+            front = saved(front.join(on, ["source", "node"]).groupBy("source", F.col("other").alias("node")).agg(F.sum("paths").alias("paths")), "paths")
+            if front.isEmpty():
+                break
+            steps.append(front)
+        paths = steps[0]
+        for x in steps[1:]:
+            paths = paths.unionByName(x)
+        paths = saved(paths.groupBy("source", "node").agg(F.sum("paths").alias("paths")), "all-paths")
+        ends = paths.select("source", F.col("node").alias("other"), F.col("paths").alias("later"))
+        on = saved(on.join(paths, ["source", "node"]).join(ends, ["source", "other"]).select("source", "node", "other", (F.col("paths") / F.col("later")).alias("share")).where("node <> source"), "shares")
+        back = on.groupBy("source", "node").agg(F.sum("share").alias("x"))
+        while True:
+            back = saved(back, "later")
+            if back.isEmpty():
+                break
+            parts.append(saved(back.groupBy("node").agg(F.sum("x").alias("b")), "scores"))
+            back = on.join(back.withColumnRenamed("node", "other"), ["source", "other"]).groupBy("source", "node").agg(F.sum(F.col("share") * F.col("x")).alias("x"))
+    whole = parts[0]
+    for x in parts[1:]:
+        whole = whole.unionByName(x)
     scale = 1.0 / max(1, (n - 1) * (n - 2))
-    return nodes.join(parts.groupBy("node").agg(F.sum("b").alias("b")), "node", "left").select("node", (F.coalesce("b", F.lit(0.0)) * scale).alias("betweenness"))
+    return whole.groupBy("node").agg((F.sum("b") * scale).alias("betweenness"))
 
 
 def lineage(old: DataFrame, new: DataFrame, threshold: float = 0.18, member: float = 0.15) -> DataFrame:

@@ -166,6 +166,17 @@ def louvain(spark: SparkSession, d: str) -> DataFrame:
     return G.louvain(nation_edges(spark, d).withColumn("snapshot_id", F.lit("s1")), ["snapshot_id"])
 
 
+@register("trade_communities", f"WITH {EDGES} SELECT node, 1::BIGINT AS times, TRUE AS named_by_least, TRUE AS above_regions FROM ways GROUP BY node")
+def trade_communities(spark: SparkSession, d: str) -> DataFrame:
+    """GRF-02 on the whole graph: each node, how often it has a community, whether the community's name is its least member,
+    and whether the communities' modularity is above that of the regions."""
+    e = kept_edges(spark, d)
+    found = G.saved(G.moved_communities(e), "communities")
+    least = found.groupBy("community").agg((F.min("node") == F.col("community")).alias("named_by_least"))
+    above = (G.modularity(e, found).first().q or 0.0) > (G.modularity(e, regions(spark, d)).first().q or 0.0)
+    return found.join(least, "community").groupBy("node").agg(F.count(F.lit(1)).alias("times"), F.bool_and("named_by_least").alias("named_by_least")).withColumn("above_regions", F.lit(above))
+
+
 @register("betweenness")
 def betweenness(spark: SparkSession, d: str) -> DataFrame:
     """GRF-05."""
