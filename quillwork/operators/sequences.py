@@ -71,3 +71,70 @@ def bursts(events: DataFrame, width: int, least: int, part: int | None = None) -
     begun = level.groupBy("key", "part").agg(F.max("begins").alias("b")).select("key", "part", F.max("b").over(before).alias("carry"))
     own = level.join(begun, ["key", "part"]).withColumn("start", F.coalesce(F.max("begins").over(inside), "carry"))
     return own.groupBy("key", "start").agg(F.min(F.when(F.col("level") < least, F.col("t"))).alias("end"), F.max("level").alias("peak"))
+
+
+def _in_parts(events: DataFrame, part: int, before: int, after: int = 0) -> DataFrame:
+    """events dealt to stretches of time of `part` units, column part, so that a frequent key is not one task. Events up to
+    `before` units before a stretch, and `after` behind it, are in it too, as context: own is false."""
+    t = F.col("t")
+    at = F.floor(t / part)
+    parts = F.sequence(F.floor((t - after) / part), F.floor((t + before) / part))
+    return events.withColumn("part", F.explode(parts)).withColumn("own", F.col("part") == at)
+
+
+def funnels(events: DataFrame, steps: list[str], gap: int, part: int | None = None) -> DataFrame:
+    """DCL-07: key, id, step, t, start: each event that ends a chain of its kind's length. events: key, id, kind, t (whole
+    units); steps: the kinds in order, each once; step counts from 1.
+
+    A chain takes a step's event strictly later than the one before it and at most `gap` later. Of several chains an event
+    continues the latest one (of equal times the latest start), so t - start is the shortest time from the first step. Events
+    without key or t end no chain. A chain of k steps reaches back (k - 1) * gap at most, so stretches of time with that much
+    context give all of them: one shuffle and one sort, a running maximum a step."""
+    back = gap * (len(steps) - 1)
+    e = events.where(F.col("kind").isin(steps) & F.col("key").isNotNull() & F.col("t").isNotNull()).select("key", "id", "kind", "t")
+    e = _in_parts(e, max(part or 50 * back, back, 1), back)
+    earlier = Window.partitionBy("key", "part").orderBy("t").rangeBetween(Window.unboundedPreceding, -1)
+    e = e.withColumn("start", F.when(F.col("kind") == steps[0], F.col("t")))
+    for last, kind in zip(steps, steps[1:], strict=False):
+        come = F.max(F.when((F.col("kind") == last) & F.col("start").isNotNull(), F.struct("t", "start"))).over(earlier)
+        e = e.withColumn("come", come)
+        e = e.withColumn("start", F.when((F.col("kind") == kind) & (F.col("t") - F.col("come.t") <= gap), F.col("come.start")).otherwise(F.col("start")))
+    step = F.array_position(F.array(*map(F.lit, steps)), F.col("kind")).cast("int")
+    return e.where("own and start is not null").select("key", "id", step.alias("step"), "t", "start")
+
+
+def adjacency(events: DataFrame, lead: list[str], follow: list[str], limits: list[int], part: int | None = None) -> DataFrame:
+    """DCL-07: key, id, t, apart, same_segment and within_<limit> for each event of a kind in `follow`: how far the nearest
+    event of a kind in `lead` of its key is, before or after it (null beyond the largest limit), whether one is in its own
+    segment, and whether one is within each limit. events: key, id, kind, t (whole units), segment.
+
+    Events of a key or a time that is null have no neighbours; a null segment is nobody's."""
+    far = max(limits)
+    leads, follows = F.col("kind").isin(lead), F.col("kind").isin(follow)
+    e = events.where(leads | follows).select("key", "id", "kind", "t", "segment")
+    timed = F.col("key").isNotNull() & F.col("t").isNotNull()
+    p = _in_parts(e.where(timed), max(part or 50 * far, far, 1), far, far)
+    w = Window.partitionBy("key", "part")
+    up, down = w.orderBy("t").rangeBetween(Window.unboundedPreceding, 0), w.orderBy(F.desc("t")).rangeBetween(Window.unboundedPreceding, 0)
+    lead_t = F.when(leads, F.col("t"))
+    p = p.withColumns({"a": F.col("t") - F.max(lead_t).over(up), "z": F.min(lead_t).over(down) - F.col("t")}).where(F.col("own") & follows)
+    near = F.least("a", "z")
+    p = p.select("key", "id", "t", "segment", F.when(near <= far, near).alias("apart"))
+    p = p.unionByName(e.where(follows & ~timed).select("key", "id", "t", "segment", F.lit(None).cast("long").alias("apart")))
+    same = e.where(leads).select("key", "segment", F.lit(True).alias("same_segment")).where("key is not null and segment is not null").distinct()
+    p = p.join(same, ["key", "segment"], "left").withColumn("same_segment", F.coalesce("same_segment", F.lit(False)))
+    return p.select("key", "id", "t", "apart", "same_segment", *[F.coalesce(F.col("apart") <= x, F.lit(False)).alias(f"within_{x}") for x in limits])
+
+
+#: The six parts of the fear-to-commerce score, 0 to 2 each.
+SCORED = ["threat", "urgency", "adjacency", "financial", "weakness", "price"]
+
+
+def pitch_score(**parts):
+    """DCL-07: the sum of the six parts (columns), each cut to 0 ... 2, null as 0."""
+    return sum(F.greatest(F.lit(0), F.least(F.lit(2), F.coalesce(parts[p].cast("int"), F.lit(0)))) for p in SCORED)
+
+
+def near_points(same_segment, within_1, within_5):
+    """2 for the same segment or a minute, 1 for five minutes, else 0."""
+    return F.when(same_segment | within_1, 2).when(within_5, 1).otherwise(0)
