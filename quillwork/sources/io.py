@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import exprs as X
 from ..operators import core
+from ..operators.graph import saved
 
 
 def _missing(e: Exception) -> bool:
@@ -27,22 +28,37 @@ def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return raw.select(*[cell(f).alias(f.name) for f in want.schema.fields])
 
 
+def numbered_lines(spark: SparkSession, path: str, recursive: bool = True) -> DataFrame:
+    """path, line_no (from 0), line of text files, which are read in splits: no task has a whole file. An error if there is
+    no such path; an empty file has no lines, a null path none.
+
+    A row knows the split it was read from and its place in it. The rows are written once with both, so that numbers do not
+    depend on how splits fall to tasks; a split's first number is the sum of the lines of its file's earlier splits. Only
+    these sums, a row a split, are ordered by file."""
+    raw = spark.read.option("recursiveFileLookup", recursive).option("lineSep", "\n").text(path)
+    at = F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block")
+    lines = saved(raw.select(*at, F.monotonically_increasing_id().alias("n"), F.col("value").alias("line")), "lines")
+    blocks = lines.groupBy("path", "block").agg(F.min("n").alias("first"), F.count(F.lit(1)).alias("many"))
+    earlier = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select("path", "block", "first", F.coalesce(F.sum("many").over(earlier), F.lit(0)).alias("base"))
+    return lines.join(blocks, ["path", "block"]).select("path", (F.col("base") + F.col("n") - F.col("first")).cast("int").alias("line_no"), "line")
+
+
 def json_lines(spark: SparkSession, path: str, schema: str, strict: bool = False, recursive: bool = True, numbered: bool = True) -> DataFrame:
     """SRC-02, SRC-03: path, line_no (blank lines count) and the fields of each line. Malformed lines go, or stop a strict
-    scan. Line numbers need each file whole in one task: fit for transcripts. Without them line_no is NULL, and files of any
-    size are read in splits."""
-    read = spark.read.option("recursiveFileLookup", recursive)
+    scan. Files of any size are read in splits; numbered lines are written once on the way (numbered_lines), without them
+    line_no is NULL."""
     try:
-        files = read.text(path, wholetext=numbered).withColumn("path", F.col("_metadata.file_path"))
+        if numbered:
+            lines = numbered_lines(spark, path, recursive)
+        else:
+            files = spark.read.option("recursiveFileLookup", recursive).text(path)
+            lines = files.select(F.col("_metadata.file_path").alias("path"), F.lit(None).cast("int").alias("line_no"), F.col("value").alias("line"))
     except Exception as e:
         if _missing(e):
             return spark.createDataFrame([], f"path string, line_no int, {schema}")
         raise
-    if numbered:
-        lines = files.select("path", F.posexplode(F.split("value", "\n")).alias("line_no", "line"))
-    else:
-        lines = files.select("path", F.lit(None).cast("int").alias("line_no"), F.col("value").alias("line"))
-    lines = lines.where(F.trim("line") != "")
+    lines = lines.where(F.col("line").rlike(r"\S"))
     mode = {"mode": "FAILFAST" if strict else "PERMISSIVE"}
     kind = schema if strict else f"{schema}, _bad string"
     options = mode if strict else mode | {"columnNameOfCorruptRecord": "_bad"}

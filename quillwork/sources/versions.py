@@ -13,6 +13,7 @@ import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 class ConflictError(RuntimeError):
@@ -107,3 +108,50 @@ class VersionedTable:
         state = lambda e: "failed" if e["state"] == "failed" else "active" if head and e["number"] == head["number"] else "superseded"
         rows = [(e["number"], e["batch_id"], state(e), by.get(e["batch_id"]) if state(e) == "superseded" else None, e["reason"], e["rows"]) for e in past]
         return self.spark.createDataFrame(rows, "number int, batch_id string, state string, superseded_by string, reason string, rows long")
+
+
+class BatchLedger(VersionedTable):
+    """Rows of a stream's batches, each batch once (STM-08): a batch's rows are written to a folder of their own, and then
+    its number's entry in the log names the folder. A batch that comes again after its entry changes nothing; one that failed
+    before it is written anew, and what it left is read by nobody. One stream writes at a time."""
+
+    def entry(self, number: int) -> dict | None:
+        return next((e for e in self.history() if e["number"] == number), None)
+
+    def _drop_unfinished(self, number: int) -> None:
+        path = self._path(f"{self.root}/log/{number:010d}")
+        if self.fs.exists(path) and self.entry(number) is None:
+            self.fs.delete(path, False)
+
+    def rows(self, schema=None) -> DataFrame | None:
+        """All rows of finished batches; without any, an empty table of the schema, or None."""
+        folders = [f"{self.root}/{e['data']}" for e in self.history()]
+        if folders:
+            return self.spark.read.schema(schema or self.spark.read.parquet(folders[0]).schema).parquet(*folders)
+        return None if schema is None else self.spark.createDataFrame([], schema)
+
+    def once(self, batch: DataFrame, number: int, keys: list[str]) -> bool:
+        """Adds the batch's rows whose keys (null is a key like any other) no earlier row has; of equal keys in the batch one
+        row stays. False, and nothing is done, if the batch is in the ledger."""
+        if self.entry(number) is not None:
+            return False
+        self._drop_unfinished(number)
+        fresh, past = batch.dropDuplicates(keys), self.rows(batch.schema)
+        same = None
+        for k in keys:
+            c = F.col(f"x.{k}").eqNullSafe(F.col(f"y.{k}"))
+            same = c if same is None else same & c
+        fresh = fresh.alias("x").join(past.select(*keys).distinct().alias("y"), same, "left_anti")
+        data = f"data/{number:010d}-{uuid.uuid4().hex}"
+        fresh.write.parquet(f"{self.root}/{data}")
+        self._append(number, {"batch_id": str(number), "data": data, "state": "committed", "supersedes": None, "at": time.time()})
+        return True
+
+
+def ledger_sink(root: str, keys: list[str], prepare=None):
+    """A foreachBatch function that adds prepare(batch) to the ledger at root."""
+
+    def sink(batch: DataFrame, number: int) -> None:
+        BatchLedger(batch.sparkSession, root).once(prepare(batch) if prepare else batch, number, keys)
+
+    return sink
