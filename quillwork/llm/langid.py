@@ -5,9 +5,9 @@ it into pieces of the product of their probabilities, by a forward algorithm; a
 No piece reaches over a word's end, so the sum over all cuts of a text is the product of its words' sums, and each
 distinct word is scored once per task. Words are runs of letters, lower-cased.
 
-Training: word counts of up to `docs_per_lang` labelled documents of each language, and of these the `words_per_lang`
-most frequent words, are the bounded sample; piece probabilities are fitted to them by expectation-maximisation with
-the same lattice. Everything is scored over whole texts.
+Training: all words of up to `docs_per_lang` labelled documents of each language are the bounded sample; piece
+probabilities are fitted to their counts by expectation-maximisation with the same lattice. Everything is scored over
+whole texts. A model has a column per language; of more than `max_langs` labels none is fitted (an error).
 
 Defined cases: text null or without letters (number characters such as ½ are none) gives `und` and score 0. A training set
 without labels gives `und` for all. Ties go to the language first by code point. Rows are scored one by one, so repeated
@@ -44,14 +44,13 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-def read_pieces(path: str, longest: int = 16) -> list[str]:
-    """The vocabulary's pieces of letters (and START), in order of their ids. Others cannot occur in a word; longer ones
-    than `longest` are left to their parts."""
+def read_pieces(path: str) -> list[str]:
+    """The vocabulary's pieces of letters (and START), in order of their ids. Others cannot occur in a word."""
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     pieces = (model.id_to_piece(i).lower() for i in range(model.get_piece_size()))
-    return list(dict.fromkeys(p for p in pieces if len(p) <= longest and (p == START or p.removeprefix(START).isalpha())))
+    return list(dict.fromkeys(p for p in pieces if p == START or p.removeprefix(START).isalpha()))
 
 
 def words_of(text: str) -> list[str]:
@@ -118,8 +117,15 @@ class Lattice:
             at = to
         return np.concatenate(out) if out else np.zeros((0, logp.shape[1]))
 
-    def expected(self, words: list[str], counts: np.ndarray, logp: np.ndarray) -> np.ndarray:
-        """Expected uses of each piece in the words, by forward and backward sums. logp: one language's."""
+    def expected(self, words: list[str], counts: np.ndarray, logp: np.ndarray, portion: int = 20_000) -> np.ndarray:
+        """Expected uses of each piece in the words, summed over portions of them. logp: one language's."""
+        uses = np.zeros(self.size + 1)
+        for at in range(0, len(words), portion):
+            uses += self._expected(words[at : at + portion], counts[at : at + portion], logp)
+        return uses
+
+    def _expected(self, words: list[str], counts: np.ndarray, logp: np.ndarray) -> np.ndarray:
+        """The same of one portion, by forward and backward sums."""
         alpha, (end, start, piece, depth, base, last) = self.forward(words, logp[:, None])
         alpha = alpha[:, 0]
         beta = np.full(len(alpha), -np.inf)
@@ -150,8 +156,8 @@ def fit(pieces: list[str], samples: dict[str, dict[str, int]], rounds: int = 4,
     return langs, np.stack(columns, axis=1) if columns else np.zeros((len(pieces) + 1, 0))
 
 
-def training_words(spark: SparkSession, docs: DataFrame, docs_per_lang: int = 400, words_per_lang: int = 20_000, seed: int = 5, max_langs: int = 1000) -> dict[str, dict[str, int]]:
-    """The bounded sample: word counts by language. Documents and words are chosen and counted on the executors."""
+def training_words(spark: SparkSession, docs: DataFrame, docs_per_lang: int = 400, seed: int = 5, max_langs: int = 1000) -> dict[str, dict[str, int]]:
+    """The bounded sample: word counts by language. Documents are chosen and words counted on the executors."""
     labelled = docs.where("lang is not null and text is not null")
     sizes = labelled.groupBy("lang").count().limit(max_langs + 1).collect()
     if len(sizes) > max_langs:
@@ -166,9 +172,8 @@ def training_words(spark: SparkSession, docs: DataFrame, docs_per_lang: int = 40
     texts = labelled.join(F.broadcast(chosen), ["lang", "doc_id"])  # at most docs_per_lang ids a language
     words = texts.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))).alias("w"))
     counts = words.groupBy("lang", "w").agg(F.count(F.lit(1)).alias("c"))
-    top = counts.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("c"), "w"))).where(F.col("r") <= words_per_lang)
     out: dict[str, dict[str, int]] = {}
-    for row in top.select("lang", "w", "c").orderBy("lang", "r").collect():
+    for row in counts.orderBy("lang", F.desc("c"), "w").collect():
         if row["w"].isalpha():
             out.setdefault(row["lang"], {})[row["w"].lower()] = row["c"]
     return {k: v for k, v in out.items() if v}
