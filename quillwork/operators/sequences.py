@@ -126,7 +126,7 @@ def adjacency(events: DataFrame, lead: list[str], follow: list[str], limits: lis
     return p.select("key", "id", "t", "apart", "same_segment", *[F.coalesce(F.col("apart") <= x, F.lit(False)).alias(f"within_{x}") for x in limits])
 
 
-#: The six parts of the fear-to-commerce score, 0 to 2 each.
+#: The six parts of the pitch score, 0 to 2 each.
 SCORED = ["threat", "urgency", "adjacency", "financial", "weakness", "price"]
 
 
