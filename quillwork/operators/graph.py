@@ -51,13 +51,14 @@ def motif_relations(raw: DataFrame) -> DataFrame:
     return raw.where(~F.upper(F.trim(F.coalesce("status", F.lit("")))).isin(EXCLUDED))
 
 
-def build_edges(raw: DataFrame) -> DataFrame:
-    """GRF-01, AGG-09: parallel relations as one undirected edge: src, dst, weight, evidence, types."""
+def build_edges(raw: DataFrame, types: bool = True, flags: dict[str, list[str]] | None = None) -> DataFrame:
+    """GRF-01, AGG-09: parallel relations as one undirected edge: src, dst, weight, evidence, types. Sets of types make Spark
+    sort; flags (name: types) say instead whether an edge has one of some types."""
     w = X.edge_weight(F.col("relationship_type"), F.col("confidence"), F.col("evidence_count"), F.col("primary_source_count"))
     rows = relations(raw).withColumn("w", w).where("w > 0")
     return rows.groupBy(F.least("source_id", "target_id").alias("src"), F.greatest("source_id", "target_id").alias("dst")).agg(
         F.sum("w").alias("weight"), F.sum(F.greatest(F.lit(1.0), F.coalesce(F.col("evidence_count").cast("double"), F.lit(1.0)))).alias("evidence"),
-        F.array_sort(F.collect_set(F.upper("relationship_type"))).alias("types"))
+        *([F.array_sort(F.collect_set(F.upper("relationship_type"))).alias("types")] if types else []), *(F.bool_or(F.upper("relationship_type").isin(of)).alias(name) for name, of in (flags or {}).items()))
 
 
 def both_ways(edges: DataFrame) -> DataFrame:
@@ -71,8 +72,11 @@ PARTS, SQUARES = 1e9, 1e12
 
 
 def exact_sum(c: Column, parts: float = PARTS) -> Column:
-    """The sum as a whole number of parts."""
-    return F.sum(F.round(c * parts).cast("decimal(38,0)"))
+    """The sum as a whole number of parts: the upper and the lower half of each are summed as integers."""
+    whole, half = F.round(c * parts), 2.0**31
+    high = F.floor(whole / half)
+    low = (whole - high.cast("double") * half).cast("long")
+    return (F.sum(high).cast("decimal(28,0)") * F.lit(2**31).cast("decimal(10,0)") + F.sum(low).cast("decimal(28,0)")).cast("decimal(38,0)")
 
 
 def strengths(edges: DataFrame) -> DataFrame:
@@ -106,29 +110,41 @@ def modularity(edges: DataFrame, communities: DataFrame, resolution: float = 1.0
     return per.agg((F.sum(F.coalesce("l", F.lit(0.0))) / m - resolution * F.sum(F.col("d") * F.col("d")) / (4 * m * m)).alias("q"))
 
 
-def pagerank(edges: DataFrame, rounds: int = 20, damping: float = 0.85, every: int = 5, tolerance: float | None = None) -> DataFrame:
-    """GRF-06: node, rank; weighted, undirected, so no node dangles. Edges are dealt by node once and kept on disk, so a
-    round moves ranks only; a lost executor's part is read again from the written edges. Ranks are written every few
-    rounds. With a tolerance the rounds end when ranks change by less than it per node, summed over nodes."""
-    spark = edges.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    e = both_ways(edges)
-    e = saved(e.join(e.groupBy("node").agg(F.sum("weight").alias("out")), "node").select("node", "other", (F.col("weight") / F.col("out")).alias("share")), "pr-edges")
-    e = e.repartition(parts, "node").persist(StorageLevel.DISK_ONLY)
-    nodes = e.select("node").distinct()
+#: Nodes whose ranks are broadcast at most.
+HUBS = 400_000
+
+
+def pagerank(edges: DataFrame, rounds: int = 20, damping: float = 0.85, every: int = 5, tolerance: float | None = None, hubs: int = HUBS) -> DataFrame:
+    """GRF-06: node, rank; weighted, undirected, so no node dangles. Edges are dealt once and kept on disk, by node or, from a
+    hub (one of `hubs` nodes of most edges) to a node of fewer edges, by that node: the hubs' ranks are broadcast, so such a
+    node's sum is made where it is, and what nodes send to a hub is summed before it moves. A lost executor's part is read
+    again from the written edges. Ranks are written every round. With a tolerance, looked at every few rounds, they end when ranks change by less than it per node, summed over nodes."""
+    nodes = saved(both_ways(edges).groupBy("node").agg(F.sum("weight").alias("out"), F.count(F.lit(1)).alias("degree")), "pr-nodes")
     n = nodes.count()
-    rank = last = nodes.withColumn("rank", F.lit(1.0 / max(1, n)))
+    side = lambda c: nodes.select(F.col("node").alias(c), F.struct("out", "degree", "node").alias(f"at_{c}"))
+    both = edges.select("src", "dst", "weight").join(side("src"), "src").join(side("dst"), "dst")
+    more = lambda a, b: F.struct(f"{a}.degree", f"{a}.node") > F.struct(f"{b}.degree", f"{b}.node")
+    way = lambda a, b: F.struct(F.col(f"{a}.node").alias("node"), F.col(f"{b}.node").alias("other"), (F.col("weight") / F.col(f"{a}.out")).alias("share"), F.col(f"{a}.degree").alias("degree"), more(a, b).alias("down"))
+    ends = saved(both.select(F.inline(F.array(way("at_src", "at_dst"), way("at_dst", "at_src")))), "pr-ways")
+    top = saved(ends.where("down").groupBy("node").agg(F.first("degree").alias("degree")).orderBy(F.desc("degree"), "node").limit(hubs).select("node", F.lit(True).alias("hub")), "pr-hubs")
+    ways = ends.join(F.broadcast(top), "node", "left")  # hubs: bounded
+    pulled = F.col("down") & F.col("hub").isNotNull()
+    push, pull = _dealt(ways.where(~pulled).select("node", "other", "share"), "node"), _dealt(ways.where(pulled).select("node", "other", "share"), "other")
+    rank = last = nodes.select("node", F.lit(1.0 / max(1, n)).alias("rank"))
+    given = F.sum(F.col("rank") * F.col("share")).alias("got")
     for i in range(rounds):
-        got = e.join(rank, "node").groupBy(F.col("other").alias("node")).agg(F.sum(F.col("rank") * F.col("share")).alias("got"))
-        rank = got.select("node", ((1 - damping) / max(1, n) + damping * F.col("got")).alias("rank"))
+        sent = push.join(rank.hint("shuffle_hash"), "node").groupBy(F.col("other").alias("node")).agg(given)
+        taken = pull.join(F.broadcast(rank.join(F.broadcast(top.select("node")), "node", "left_semi")), "node").groupBy(F.col("other").alias("node")).agg(given)
+        got = sent.unionByName(taken).groupBy("node").agg(F.sum("got").alias("got"))
+        rank = saved(got.select("node", ((1 - damping) / max(1, n) + damping * F.col("got")).alias("rank")), "pr")
         if (i + 1) % every == 0 or i + 1 == rounds:
-            rank = saved(rank, "pr")
             if tolerance is not None:
                 moved = rank.join(last.withColumnRenamed("rank", "was"), "node").agg(F.sum(F.abs(F.col("rank") - F.col("was")))).first()[0] or 0.0
                 if moved < tolerance * n * every:
                     break
             last = rank
-    e.unpersist()
+    push.unpersist()
+    pull.unpersist()
     return rank
 
 
@@ -199,38 +215,51 @@ def louvain(edges: DataFrame, by: list[str], resolution: float = 1.0) -> DataFra
     return edges.groupBy(*by).applyInPandas(work, schema)
 
 
+def _dealt(rows: DataFrame, *by: str) -> DataFrame:
+    """rows dealt by columns and kept on disk; a lost executor's part is made again from what was written."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by).persist(StorageLevel.DISK_ONLY)
+
+
 def _local_moves(edges: DataFrame, start: DataFrame | None, resolution: float, rounds: int, least_gain: float) -> tuple[DataFrame, float]:
     """Rounds of parallel moves over one level's edges (src, dst, weight; src = dst holds what is inside a node), from
-    `start` (node, community) or one community a node. The labels with the highest modularity seen, and that."""
+    `start` (node, community) or one community a node. The labels with the highest modularity seen, and that.
+
+    Links stay where their `other` is, so a round moves labels to them and each link once, to its node; labels carry their
+    community's mass and links their node's size, so nothing else is joined."""
     way = both_ways(edges)
-    sizes = way.groupBy("node").agg(exact_sum(F.col("weight")).cast("double").alias("size"))
-    total = sizes.agg(F.sum("size")).first()[0]
-    links = saved(way.where("node <> other"), "links")
+    parts, sum_ = PARTS, way.agg(F.sum("weight")).first()[0]
+    while sum_ * parts > 2**61:
+        parts /= 10
+    whole = F.round(F.col("weight") * parts).cast("long")
+    way = way.select("node", "other", whole.alias("w"))
+    sizes = saved(way.groupBy("node").agg(F.sum("w").alias("size")), "sizes")
+    total = float(sizes.agg(F.sum("size")).first()[0])
+    links = _dealt(saved(way.where("node <> other").join(sizes, "node").select("node", "other", "w", "size"), "links"), "other")
     label = start or sizes.select("node", F.col("node").alias("community"))
     label = saved(label.join(sizes, "node"), "labels")
     best, top, still = label, None, 0
     for turn in range(rounds + 1):
-        near = links.join(label.select(F.col("node").alias("other"), "community"), "other").groupBy("node", "community").agg(exact_sum(F.col("weight")).alias("w"))
-        none = F.lit(0).cast("decimal(38,0)").alias("w")
-        around = near.unionByName(label.select("node", "community", none)).groupBy("node", "community").agg(F.sum("w").cast("double").alias("w"))
-        mass = label.groupBy("community").agg(F.sum("size").alias("mass"))
-        own = F.col("community") == F.col("home")
-        seen = around.join(mass, "community").join(label.select("node", F.col("community").alias("home"), "size"), "node")
-        gain = F.round((F.col("w") - resolution * (F.col("mass") - F.when(own, F.col("size")).otherwise(0.0)) * F.col("size") / total) / total, 15)
+        full = label.join(label.groupBy("community").agg(F.sum("size").alias("mass")), "community")
+        near = links.join(full.select(F.col("node").alias("other"), "community", "mass").hint("shuffle_hash"), "other").select("node", "community", "w", "mass", "size", F.lit(False).alias("own"))
+        mine = full.select("node", "community", F.lit(0).cast("long").alias("w"), "mass", "size", F.lit(True).alias("own"))
+        around = near.unionByName(mine).repartition("node").groupBy("node", "community").agg(F.sum("w").cast("double").alias("w"), F.max("mass").cast("double").alias("mass"), F.max("size").alias("size"), F.max("own").alias("own"))
+        size, own = F.col("size").cast("double"), F.col("own")
+        gain = F.round((F.col("w") - resolution * (F.col("mass") - F.when(own, size).otherwise(0.0)) * size / total) / total, 15)
         # half of the nodes may move in a round: two that want each other's place do not swap for ever
         picked = F.max_by("community", F.struct(gain.alias("g"), own.alias("o"), "community"))
-        chosen = seen.groupBy("node", "home", "size").agg(picked.alias("to"), F.max(F.when(own, F.col("w"))).alias("inner"), F.max(F.when(own, F.col("mass"))).alias("mass"))
+        chosen = around.groupBy("node").agg(picked.alias("to"), F.max(F.when(own, F.col("community"))).alias("home"), F.max("size").alias("size"), F.max(F.when(own, F.col("w"))).alias("inner"), F.max(F.when(own, F.col("mass"))).alias("mass"))
         awake = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(2)) == 0
         after = saved(chosen.withColumn("community", F.when(awake, F.col("to")).otherwise(F.col("home"))), "moves")
         # what the round started from: sum over nodes of the weight inside, less the expected
-        q, wants = after.agg(F.sum(F.col("inner") - resolution * F.col("mass") * F.col("size") / total) / total, F.count_if(F.col("to") != F.col("home"))).first()
+        q, wants = after.agg(F.sum(F.col("inner") - resolution * F.col("mass") * size / total) / total, F.count_if(F.col("to") != F.col("home"))).first()
         still = 0 if top is None or q > top + least_gain else still + 1
         if top is None or q > top:
             best, top = label, q
         if not wants or still >= 3:
             break
         label = after.select("node", "community", "size")
-    inside = edges.where("src = dst").agg(exact_sum(F.col("weight")).cast("double")).first()[0] or 0.0
+    links.unpersist()
+    inside = edges.where("src = dst").agg(F.sum(whole)).first()[0] or 0
     return best.select("node", "community"), top + 2 * inside / total
 
 
@@ -272,13 +301,17 @@ def community_ids(members: DataFrame, snapshot: str) -> DataFrame:
 def communities(edges: DataFrame, rounds: int = 10) -> DataFrame:
     """Label propagation in DataFrame steps, for graphs of any size: a node takes the label with most weight around it."""
     e = both_ways(edges)
-    label = e.select("node", F.col("node").alias("community")).distinct()
-    for i in range(rounds):
-        votes = e.join(label.withColumnRenamed("node", "other"), "other").groupBy("node", "community").agg(F.sum("weight").alias("w"))
-        # damped: a node's own label votes with half its strength, so that pairs do not swap labels for ever
-        own = label.join(e.groupBy("node").agg((F.sum("weight") / 2).alias("w")), "node").select("node", "community", "w")
-        votes = votes.unionByName(own).groupBy("node", "community").agg(F.sum("w").alias("w"))
+    # damped: a node's own label votes with half its strength, so that pairs do not swap labels for ever
+    half = saved(e.groupBy("node").agg((F.sum("weight") / 2).alias("weight")), "lp-halves")
+    e = _dealt(e, "other")
+    label = half.select("node", F.col("node").alias("community"))
+    for _ in range(rounds):
+        # links stay where their `other` is; each goes to its node once a round
+        votes = e.join(label.withColumnRenamed("node", "other").hint("shuffle_hash"), "other").select("node", "community", "weight")
+        votes = votes.unionByName(label.join(half, "node").select("node", "community", "weight")).repartition("node")
+        votes = votes.groupBy("node", "community").agg(F.sum("weight").alias("w"))
         label = saved(votes.groupBy("node").agg(F.max_by("community", F.struct("w", "community")).alias("community")), "lp")
+    e.unpersist()
     return label
 
 
@@ -448,17 +481,19 @@ def stance_edges(stances: DataFrame) -> DataFrame:
 # Relationships that are money, those that are business, and the weight of a strong tie.
 MONEY = ["OWNS", "CONTROLS", "FINANCIAL", "PAYS", "FUNDS", "INVESTS_IN", "EMPLOYS"]
 COMMERCE = ["SPONSORSHIP", "AFFILIATE_REFERRAL", "SELLS", "MANUFACTURES", "DISTRIBUTES", "LICENSES", "COMMERCIAL_PROMOTION", "CONTRACTS_WITH", "JOINT_PRODUCT"]
+LAYER_TYPES = {"commerce": COMMERCE, "money": MONEY}
 STRONG = 8.0
 
 
 def layers(edges: DataFrame) -> DataFrame:
     """DCL-03: degree and strength of each node in four layers: all edges, strong ties, commerce, money. An edge is in a
-    layer if one of its types is."""
-    has = lambda values: F.arrays_overlap("types", F.array(*map(F.lit, values)))
-    names = F.array_compact(F.array(F.lit("all"), F.when(F.col("weight") >= STRONG, "strong"), F.when(has(COMMERCE), "commerce"), F.when(has(MONEY), "money")))
-    e = edges.withColumn("layer", F.explode(names))
-    ends = e.select("layer", F.col("src").alias("node"), "weight").unionByName(e.select("layer", F.col("dst").alias("node"), "weight"))
-    return ends.groupBy("layer", "node").agg(F.count(F.lit(1)).alias("degree"), (exact_sum(F.col("weight")).cast("double") / PARTS).alias("strength"))
+    layer if one of its types is; edges have types, or commerce and money (build_edges with LAYER_TYPES)."""
+    has = lambda name, values: F.col(name) if name in edges.columns else F.arrays_overlap("types", F.array(*map(F.lit, values)))
+    of = {"all": F.lit(True), "strong": F.col("weight") >= STRONG, "commerce": has("commerce", COMMERCE), "money": has("money", MONEY)}
+    # one pass over the edges, one row a node; layers become rows after the sums
+    ends = edges.select(F.explode(F.array("src", "dst")).alias("node"), "weight", *[c.alias(f"in_{name}") for name, c in of.items()])
+    sums = [F.struct(F.lit(name).alias("layer"), F.count_if(f"in_{name}").alias("degree"), (exact_sum(F.when(F.col(f"in_{name}"), F.col("weight"))).cast("double") / PARTS).alias("strength")) for name in of]
+    return ends.groupBy("node").agg(F.array(*sums).alias("x")).select("node", F.inline("x")).where("degree > 0").select("layer", "node", "degree", "strength")
 
 
 def carry_review(found: DataFrame, prior: DataFrame) -> DataFrame:

@@ -79,8 +79,8 @@ def raw_relations(spark: SparkSession, d: str) -> DataFrame:
         F.lit("").alias("confidence"), "evidence_count", F.lit(0).alias("primary_source_count"), F.lit("ACTIVE").alias("status"))
 
 
-def edges(spark: SparkSession, d: str) -> DataFrame:
-    return G.build_edges(raw_relations(spark, d))
+def edges(spark: SparkSession, d: str, flags: dict[str, list[str]] | None = None) -> DataFrame:
+    return G.build_edges(raw_relations(spark, d), types=False, flags=flags)
 
 
 def kept_edges(spark: SparkSession, d: str) -> DataFrame:
@@ -148,7 +148,7 @@ def _rank_sql(rounds: int) -> str:
 @register("pagerank_20", _rank_sql(20))
 def pagerank_20(spark: SparkSession, d: str) -> DataFrame:
     """GRF-06."""
-    return G.pagerank(edges(spark, d), 20).select("node", F.round("rank", 7).alias("rank"))
+    return G.pagerank(kept_edges(spark, d), 20).select("node", F.round("rank", 7).alias("rank"))
 
 
 def nation_edges(spark: SparkSession, d: str) -> DataFrame:
@@ -344,7 +344,7 @@ def stance_edges(spark: SparkSession, d: str) -> DataFrame:
 SELECT layer, node, count(*) AS degree, round(sum(weight), 4) AS strength FROM (SELECT layer, src AS node, weight FROM l UNION ALL SELECT layer, dst, weight FROM l) GROUP BY 1, 2""")
 def layer_degrees(spark: SparkSession, d: str) -> DataFrame:
     """DCL-03: all edges, strong ties, commerce, money."""
-    return G.layers(kept_edges(spark, d)).withColumn("strength", F.round("strength", 4))
+    return G.layers(edges(spark, d, G.LAYER_TYPES)).withColumn("strength", F.round("strength", 4))
 
 
 @register("membership_shares", f"WITH {SHARES}, own AS (SELECT node, community, 0.0 AS z FROM nodes WHERE node IN (SELECT node FROM ways)) SELECT node, community, round(coalesce(share, z), 6) AS share FROM sh FULL JOIN own USING (node, community)")

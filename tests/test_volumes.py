@@ -34,3 +34,50 @@ def test_blocks_are_sent_once_a_shard(spark, no_broadcast):
     df = graph.saved(spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(rng.normal(size=(n, dim)))], "id long, vec array<float>"), "test")
     got = volume(spark, lambda: vectors.blocks_topk(df, df, 5, 0.2).count())
     assert got < (n / vectors.SHARD_ROWS + 8) * n * (4 * dim + 100), got
+
+
+def web(spark, hubs=6, n=4000, each=4):
+    """Nodes with `each` links to some of a few hubs, repeated in no order."""
+    rng = np.random.default_rng(5)
+    rows = [(f"a{h}", f"n{i:05d}", float(rng.integers(1, 5))) for i in range(n) for h in rng.choice(hubs, each, replace=False)]
+    return graph.saved(spark.createDataFrame(rows, "src string, dst string, weight double"), "test"), rows
+
+
+def test_ranks_move_and_not_links(spark, no_broadcast):
+    df, rows = web(spark)
+    graph.pagerank(df, 1)
+    one = volume(spark, lambda: graph.pagerank(df, 2).count())
+    many = volume(spark, lambda: graph.pagerank(df, 12).count())
+    assert (many - one) / 10 < 30 * 4000 + 10 * len(rows), (many, one)
+
+
+def test_ranks_with_few_or_no_hubs(spark):
+    df, rows = web(spark, n=60)
+    out, rank, nodes = {}, {}, {x for r in rows for x in r[:2]}
+    for a, b, w in rows:
+        for x in (a, b):
+            out[x] = out.get(x, 0) + w
+    rank = dict.fromkeys(nodes, 1 / len(nodes))
+    for _ in range(7):
+        new = dict.fromkeys(nodes, 0.15 / len(nodes))
+        for a, b, w in rows:
+            new[b] += 0.85 * rank[a] * w / out[a]
+            new[a] += 0.85 * rank[b] * w / out[b]
+        rank = new
+    for hubs in (400_000, 2, 0):
+        assert {r.node: pytest.approx(r["rank"]) for r in graph.pagerank(df, 7, hubs=hubs).collect()} == rank
+
+
+def test_flags_stand_for_types(spark):
+    raw = spark.createDataFrame([("a", "b", "OWNS", 1), ("b", "a", "SELLS", 9), ("a", "c", "other", 2)], "source_id string, target_id string, relationship_type string, evidence_count long").selectExpr("*", "'' AS confidence", "0 AS primary_source_count", "'' AS status")
+    flagged = graph.build_edges(raw, types=False, flags=graph.LAYER_TYPES)
+    plan = flagged._jdf.queryExecution().executedPlan().toString()
+    assert "ObjectHashAggregate" not in plan and "collect_set" not in plan
+    assert sorted(graph.layers(flagged).collect()) == sorted(graph.layers(graph.build_edges(raw)).collect())
+
+
+def test_rounds_send_each_link_once(spark, no_broadcast):
+    df, rows = web(spark)
+    one = volume(spark, lambda: graph.communities(df, 1).count())
+    many = volume(spark, lambda: graph.communities(df, 5).count())
+    assert (many - one) / 4 < 40 * len(rows), (many, one)
