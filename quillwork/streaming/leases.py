@@ -90,6 +90,8 @@ class Lane:
         part = lambda name: OrderedSet(lambda c: self._load(f"{name}/{'' if c is None else c}"), lambda c, v: self._save(f"{name}/{'' if c is None else c}", v))
         self.queued, self.waiting, self.leased = part("queued"), part("waiting"), part("leased")
         self.jobs: dict[int, dict] = {}
+        self.workers: dict[str | None, int | None] = {}
+        self.leased_by: set[str | None] = set()
         self.out: list[tuple[int, int, str, str | None, int]] = []
 
     def _load(self, key: str):
@@ -106,6 +108,12 @@ class Lane:
             self.jobs[job_id] = self._load(f"job/{job_id}")
         return self.jobs[job_id]
 
+    def _last(self, worker: str | None) -> int | None:
+        """The job that a worker leased last."""
+        if worker not in self.workers:
+            self.workers[worker] = self._load(f"worker/{worker}")
+        return self.workers[worker]
+
     def _log(self, job: dict, at: int, event: str, worker: str | None) -> None:
         self.out.append((job["id"], at, event, worker, job["attempts"]))
 
@@ -148,10 +156,11 @@ class Lane:
             until = now + int(max(LEAST, seconds) * 1_000_000)
             job |= {"state": "leased", "attempts": job["attempts"] + 1, "worker": worker, "until": until}
             self.leased.add((until, job["id"]))
-            self._save(f"worker/{worker}", job["id"])
+            self.workers[worker] = job["id"]
+            self.leased_by.add(worker)
             self._log(job, now, "leased", worker)
             return until
-        job = self.job(self._load(f"worker/{worker}") if job_id is None else job_id)
+        job = self.job(self._last(worker) if job_id is None else job_id)
         if job is None:
             return None
         own = job["state"] == "leased" and job["worker"] == worker
@@ -179,6 +188,9 @@ class Lane:
         for job_id, job in self.jobs.items():
             if job:
                 self._save(f"job/{job_id}", job)
+        for worker in self.leased_by:
+            self._save(f"worker/{worker}", self.workers[worker])
+        self.leased_by.clear()
 
 
 class _States:
@@ -202,6 +214,9 @@ class LeaseQueue(StatefulProcessor):
         self.handle, self.state = handle, handle.getMapState("lane", "key string", "value string")
 
     def _rows(self, key, lane: Lane) -> Iterator[pd.DataFrame]:
+        # one timer a lane, for the lease that ends first
+        if first := lane.leased.first():
+            self.handle.registerTimer(first[0] // 1000 + 1)
         lane.flush()
         if lane.out:
             yield pd.DataFrame([(key[0], *x) for x in lane.out], columns=[c.split()[0] for c in EVENT.split(", ")])
@@ -212,14 +227,13 @@ class LeaseQueue(StatefulProcessor):
         null = lambda x: None if pd.isna(x) else x
         whole = lambda x, other: other if pd.isna(x) else int(x)
         for r in frame.itertuples(index=False):
-            until = lane.apply(int(r.ts.value) // 1000, r.command, whole(r.job_id, None), whole(r.priority, 100), null(r.worker), 0.0 if pd.isna(r.seconds) else float(r.seconds), whole(r.most, 3))
-            if until is not None:
-                self.handle.registerTimer(until // 1000 + 1)
+            lane.apply(int(r.ts.value) // 1000, r.command, whole(r.job_id, None), whole(r.priority, 100), null(r.worker), 0.0 if pd.isna(r.seconds) else float(r.seconds), whole(r.most, 3))
         yield from self._rows(key, lane)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        # all leases that a timer of their own would have ended by now: those whose next millisecond is before the watermark
         lane = Lane(_States(self.state))
-        lane.reclaim(expiredTimerInfo.getExpiryTimeInMs() * 1000)
+        lane.reclaim(max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs() - 1) * 1000)
         yield from self._rows(key, lane)
 
     def close(self) -> None:

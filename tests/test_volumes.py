@@ -81,3 +81,30 @@ def test_rounds_send_each_link_once(spark, no_broadcast):
     one = volume(spark, lambda: graph.communities(df, 1).count())
     many = volume(spark, lambda: graph.communities(df, 5).count())
     assert (many - one) / 4 < 40 * len(rows), (many, one)
+
+
+def test_one_timer_a_lane():
+    import types
+
+    import pandas as pd
+
+    from quillwork.streaming.leases import LeaseQueue
+
+    class State(dict):
+        getValue, containsKey, removeKey = dict.__getitem__, dict.__contains__, dict.__delitem__
+
+        def updateValue(self, key, value):  # noqa: N802
+            puts.append(key)
+            self[key] = value
+
+    puts, timers, queue = [], [], LeaseQueue()
+    queue.handle, queue.state = types.SimpleNamespace(registerTimer=timers.append), State()
+    at = lambda i: pd.Timestamp("2024-01-01") + pd.Timedelta(seconds=i)
+    rows = [("L", i, at(i), "enqueue", i, 1, None, None, 3) for i in range(20)] + [("L", 20 + i, at(20), "lease", None, None, "w", 100.0 + i, 3) for i in range(20)]
+    frame = pd.DataFrame(rows, columns="lane seq ts command job_id priority worker seconds most".split())
+    list(queue.handleInputRows(("L",), iter([frame]), None))
+    first = at(120).value // 1_000_000 + 1
+    assert timers == [first] and puts.count(("worker/w",)) == 1
+    mark = types.SimpleNamespace(getCurrentWatermarkInMs=lambda: first + 10_000)
+    out = pd.concat(queue.handleExpiredTimer(("L",), mark, types.SimpleNamespace(getExpiryTimeInMs=lambda: first)))
+    assert len(out) == 10 and set(out.event) == {"lease_expired"} and timers[1:] == [first + 10_000]
