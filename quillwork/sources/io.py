@@ -137,8 +137,13 @@ def audio_to_video(paths: DataFrame, manifest: DataFrame, names: DataFrame) -> D
     by_path = manifest.select(F.col("audio_path").alias("path"), F.col("video_id").alias("v1"))
     ids = names.select("video_id").distinct()
     lengths = [F.lit(r.n) for r in ids.select(F.length("video_id").alias("n")).distinct().collect()] or [F.lit(1)]
-    heads = p.select("path", F.explode(F.array(*[F.left("name", n) for n in lengths])).alias("video_id")).join(ids, "video_id")
-    longest = heads.groupBy("path").agg(F.max_by("video_id", F.length("video_id")).alias("v3"))
+    heads = p.select("path", "name", F.explode(F.array_distinct(F.array(*[F.left("name", n) for n in lengths]))).alias("video_id"))
+    # very many names can begin with one short id: heads are counted first, and the few frequent ones among ids are broadcast
+    found = saved(heads.groupBy("video_id").agg(F.count(F.lit(1)).alias("n")).join(ids, "video_id"), "heads")
+    often = F.col("n") > max(1000, (found.agg(F.sum("n")).first()[0] or 0) // 4000)  # 4,000 ids at most
+    few, rest = found.where(often).select("video_id"), found.where(~often).select("video_id")
+    heads = heads.join(F.broadcast(few), "video_id", "left_semi").unionByName(heads.join(F.broadcast(few), "video_id", "left_anti").join(rest, "video_id", "left_semi"))
+    longest = heads.groupBy("path", "name").agg(F.max(F.length("video_id")).alias("n")).select("path", F.expr("left(name, n)").alias("v3"))
     out = p.join(by_path, "path", "left").join(ids.select(F.col("video_id").alias("stem"), F.col("video_id").alias("v2")), "stem", "left").join(longest, "path", "left")
     return out.select("path", F.coalesce("v1", "v2", "v3").alias("video_id"))
 

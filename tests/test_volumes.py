@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 from quillwork.operators import graph, vectors
+from quillwork.sources import io
 
 
 def stages(spark):
@@ -108,3 +109,15 @@ def test_one_timer_a_lane():
     mark = types.SimpleNamespace(getCurrentWatermarkInMs=lambda: first + 10_000)
     out = pd.concat(queue.handleExpiredTimer(("L",), mark, types.SimpleNamespace(getExpiryTimeInMs=lambda: first)))
     assert len(out) == 10 and set(out.event) == {"lease_expired"} and timers[1:] == [first + 10_000]
+
+
+def test_names_with_one_short_id_are_many_tasks(spark):
+    n = 20_000
+    paths = spark.range(n).selectExpr("'/a/x' || id || '_tail.wav' AS path").repartition(8)
+    ids = spark.createDataFrame([("x",), ("x77",)], "video_id string")
+    manifest = ids.selectExpr("'none' AS audio_path", "video_id")
+    got = graph.saved(io.audio_to_video(paths, manifest, ids), "test")
+    assert got.count() == n and got.where("video_id = 'x77'").count() == sum(str(i).startswith("77") for i in range(n))
+    # the names meet the ids where they are: rows of 20,000 names go by path only
+    plan = io.audio_to_video(paths, manifest, ids)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in plan and "strategy=broadcast" in plan
