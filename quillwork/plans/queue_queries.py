@@ -103,8 +103,9 @@ def ledger_ingest(spark: SparkSession, d: str) -> DataFrame:
     other file names; the sink fails once after a batch's entry, so the restarted stream repeats that batch."""
     folder = f"{shared_root(spark)}/ledger-{uuid.uuid4().hex}"
     docs = table(spark, d, "documents").select("doc_id", "text")
-    docs.repartition(4, "doc_id").write.parquet(f"{folder}/in")
-    docs.where("doc_id % 3 = 0").repartition(2, "doc_id").write.mode("append").parquet(f"{folder}/in")
+    files = max(4, docs.rdd.getNumPartitions())  # of a split each, however many there are
+    docs.repartition(files, "doc_id").write.parquet(f"{folder}/in")
+    docs.where("doc_id % 3 = 0").repartition(-(-files // 2), "doc_id").write.mode("append").parquet(f"{folder}/in")
     prepare = lambda rows: rows.select("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("sha"), F.length("text").cast("long").alias("n_chars"))
     add, broken = ledger_sink(f"{folder}/ledger", ["doc_id", "sha"], prepare), []
 
@@ -115,7 +116,7 @@ def ledger_ingest(spark: SparkSession, d: str) -> DataFrame:
             raise RuntimeError("after the entry, before the stream's own")
 
     def run() -> None:
-        streams.read_events(spark, f"{folder}/in", 2).writeStream.foreachBatch(sink).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+        streams.read_events(spark, f"{folder}/in", files // 2).writeStream.foreachBatch(sink).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
 
     try:
         run()
