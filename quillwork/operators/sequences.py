@@ -27,23 +27,23 @@ def citation_lineage(links: DataFrame) -> DataFrame:
     done = roots.select(F.col("to").alias("id"), F.col("to").alias("origin"), F.lit(0).cast("long").alias("hops"))
     for _ in range(max(1, math.ceil(math.log2(items.count() + 1)) + 1)):
         at = saved(at, "pointers")
-        ended = at.join(roots, "to", "left_semi")
+        ended = at.join(roots.hint("merge"), "to", "left_semi")
         done = done.unionByName(ended.select("id", F.col("to").alias("origin"), "hops"))
-        open_ = at.join(roots, "to", "left_anti")
+        open_ = at.join(roots.hint("merge"), "to", "left_anti")
         if open_.isEmpty():
             break
         # a pointer's target has ended in an earlier round, or is open itself
         onward = at.select(F.col("id").alias("to"), F.col("to").alias("next"), F.col("hops").alias("more"), F.col("least").alias("low"))
         old = done.where("hops > 0").select(F.col("id").alias("to"), F.col("origin").alias("next"), F.col("hops").alias("more"), F.col("id").alias("low"))
-        onward = onward.unionByName(old.join(onward, "to", "left_anti"))
-        at = open_.join(onward, "to").select("id", F.col("next").alias("to"), (F.col("hops") + F.col("more")).alias("hops"), F.least("least", "low").alias("least"))
+        onward = onward.unionByName(old.join(onward.hint("merge"), "to", "left_anti"))
+        at = open_.join(onward.hint("merge"), "to").select("id", F.col("next").alias("to"), (F.col("hops") + F.col("more")).alias("hops"), F.least("least", "low").alias("least"))
         done = saved(done, "ended")
-    at = saved(at.join(roots, "to", "left_anti"), "pointers")  # what is open now runs into cycles
+    at = saved(at.join(roots.hint("merge"), "to", "left_anti"), "pointers")  # what is open now runs into cycles
     on = at.select(F.col("to").alias("id")).distinct().withColumn("in_cycle", F.lit(True))
-    circles = at.join(at.select(F.col("id").alias("to"), F.col("least").alias("cycle")), "to").select("id", "cycle")
+    circles = at.join(at.select(F.col("id").alias("to"), F.col("least").alias("cycle")).hint("merge"), "to").select("id", "cycle")
     none = F.lit(None)
     ended = done.select("id", "origin", "hops", none.cast(dict(done.dtypes)["id"]).alias("cycle"), F.lit(False).alias("in_cycle"))
-    running = circles.join(on, "id", "left").select("id", none.cast(dict(done.dtypes)["id"]).alias("origin"), none.cast("long").alias("hops"), "cycle", F.coalesce("in_cycle", F.lit(False)).alias("in_cycle"))
+    running = circles.join(on.hint("merge"), "id", "left").select("id", none.cast(dict(done.dtypes)["id"]).alias("origin"), none.cast("long").alias("hops"), "cycle", F.coalesce("in_cycle", F.lit(False)).alias("in_cycle"))
     return ended.unionByName(running)
 
 

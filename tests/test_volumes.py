@@ -121,3 +121,10 @@ def test_names_with_one_short_id_are_many_tasks(spark):
     # the names meet the ids where they are: rows of 20,000 names go by path only
     plan = io.audio_to_video(paths, manifest, ids)._jdf.queryExecution().optimizedPlan().toString()
     assert "LeftAnti" in plan and "strategy=broadcast" in plan
+
+
+def test_chains_are_not_broadcast(spark):
+    from quillwork.operators.sequences import citation_lineage
+
+    links = spark.createDataFrame([(i, i // 2 if i > 1 else None) for i in range(200)], "id long, cites long")
+    assert "BroadcastHashJoin" not in citation_lineage(links)._jdf.queryExecution().executedPlan().toString()
