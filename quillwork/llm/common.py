@@ -34,12 +34,17 @@ def shared_dir(spark: SparkSession) -> str:
 _MADE: list[tuple[str, str]] = []
 
 
+#: Spark's setting that deletes an execution's shuffle files at its end.
+TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 class Scratch:
     """Parquet tables in the shared folder. They cut lineage and outlive lost executors. Operators drop those that their
-    result does not read; sweep() deletes the others when results are no longer needed."""
+    result does not read; sweep() deletes the others when results are no longer needed. tidy: the shuffle files of a
+    table's making go when it is written; else they stay until the driver happens to collect its garbage."""
 
-    def __init__(self, spark: SparkSession, tag: str):
-        self.spark, self.root = spark, f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+    def __init__(self, spark: SparkSession, tag: str, tidy: bool = False):
+        self.spark, self.root, self.tidy = spark, f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}", tidy
         _MADE.append(("folder", self.root))
 
     def path(self, name: str) -> str:
@@ -48,7 +53,14 @@ class Scratch:
     def put(self, name: str, df: DataFrame, by: tuple[str, ...] = (), codec: str = "snappy") -> DataFrame:
         """Writes df, which runs it once, and returns the table. by: partition columns. codec: "none" suits hashes."""
         out = df.write.mode("overwrite").option("compression", codec)
-        (out.partitionBy(*by) if by else out).parquet(self.path(name))
+        before = self.spark.conf.get(TIDY, "false")
+        try:
+            if self.tidy:
+                self.spark.conf.set(TIDY, "true")
+            (out.partitionBy(*by) if by else out).parquet(self.path(name))
+        finally:
+            if self.tidy:
+                self.spark.conf.set(TIDY, before)
         return self.get(name, df)
 
     def get(self, name: str, like: DataFrame) -> DataFrame:
@@ -95,6 +107,21 @@ def by_key(rows: DataFrame, per_key: DataFrame, keys: list[str], n: str, total:
     return few.unionByName(rest.join(light.hint(hint) if hint else light, keys))
 
 
+#: Bits of a bitmap of Spark's bitmap functions.
+BITMAP = 1 << 15
+
+
+def may_meet(rows: DataFrame, others: DataFrame, keys: list[str], n: int) -> DataFrame:
+    """The rows whose keys others has, and about one in nine of those whose keys it has not, which a join drops. others has
+    n rows; a bitmap of a byte for each is broadcast, so that a join need not shuffle rows that meet nothing."""
+    bit = F.pmod(F.xxhash64(*keys), F.lit(BITMAP * (1 + 8 * n // BITMAP)))
+    slot, place = F.floor(bit / BITMAP).alias("_slot"), (bit % BITMAP).alias("_place")
+    maps = others.select(slot, place).repartition("_slot").groupBy("_slot").agg(F.bitmap_construct_agg("_place").alias("_bits"))
+    here = F.conv(F.hex(F.substring("_bits", F.expr("int(_place div 8) + 1"), F.lit(1))), 16, 10).cast("int")
+    found = rows.select("*", slot, place).join(F.broadcast(maps), "_slot").select("*", here.alias("_here"))
+    return found.where("shiftright(_here, int(_place % 8)) % 2 = 1").drop("_slot", "_place", "_bits", "_here")
+
+
 #: What Python workers keep between tasks, by operator.
 _KEPT: dict[str, Callable] = {}
 

@@ -11,7 +11,8 @@ be shorter in bytes; they are counted and nothing is removed for them).
 1. One pass finds the anchors. Anchors whose first `length - window + 1` units occur once cannot lie in a repeat; they go
    after a count by key with map-side sums.
 2. For the rest, each task sorts suffixes into runs, one per bucket of that key, equal entries as one, and sends
-   them front-coded: the length of the prefix shared with the entry before, and the rest.
+   them front-coded (the length of the prefix shared with the entry before, and the rest) and compressed. Texts without
+   such anchors are not sent.
 3. Each bucket merges its runs with a loser tree. Its nodes keep how much a loser shares with its winner, so prefixes
    known to be equal are never compared again, and each entry comes out with the prefix it shares with the last.
 4. These shared prefixes form a tree. Going from long to short, sets of entries are joined, the smaller into the
@@ -41,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import NO_ID, Scratch, by_key
+from .common import NO_ID, Scratch, by_key, may_meet
 from .setsketch import _powers, mix64, word_hashes
 
 U = np.uint64
@@ -126,7 +127,8 @@ def shared(a: bytes, b: bytes, at: int = 0) -> int:
 
 
 def front_code(entries: list[tuple[bytes, bytes]]) -> tuple[np.ndarray, bytes]:
-    """entries in order: shared prefix with the one before, length of the rest and of the left context; then all bytes."""
+    """entries in order: shared prefix with the one before, length of the rest and of the left context; then all bytes, as
+    one zstd frame."""
     heads, body, before = [], [], b""
     for r, left in entries:
         k = shared(before, r)
@@ -134,11 +136,12 @@ def front_code(entries: list[tuple[bytes, bytes]]) -> tuple[np.ndarray, bytes]:
         body.append(r[k:])
         body.append(left)
         before = r
-    return np.array(heads, "<u2").reshape(-1, 3), b"".join(body)
+    return np.array(heads, "<u2").reshape(-1, 3), pa.compress(b"".join(body), codec="zstd", asbytes=True)
 
 
 def decoded(heads: np.ndarray, body: bytes) -> Iterator[tuple[int, bytes, bytes]]:
     r, at = b"", 0
+    body = pa.decompress(body, int(heads[:, 1:].sum()), codec="zstd", asbytes=True)
     for k, n, m in heads.tolist():
         r = r[:k] + body[at : at + n]
         yield k, r, body[at + n : at + n + m]
@@ -391,7 +394,7 @@ def _strings(texts: DataFrame, kinds: tuple[Kind, ...]) -> DataFrame:
 
 def repeats(spark: SparkSession, docs: DataFrame, kinds: tuple[Kind, ...], per_bucket: int = 10_000, hot: int = 100_000) -> DataFrame:
     """doc, th, spans: per text with repeats, the ranges that they cover by kind. docs: doc, th, t."""
-    scratch = Scratch(spark, "suffix")
+    scratch = Scratch(spark, "suffix", tidy=True)
     table = scratch.put("anchors", _anchor_table(docs, kinds), codec="none")
     counts = table.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     twice = scratch.put("twice", counts, codec="none")
@@ -401,8 +404,9 @@ def repeats(spark: SparkSession, docs: DataFrame, kinds: tuple[Kind, ...], per_b
     of = lambda c: F.sort_array(F.collect_set(F.when(c, F.col("spots"))))
     spots = scratch.put("spots", some.agg(of(F.col("n") <= hot).alias("spots"), of(F.col("n") > hot).alias("hot")))
     scratch.drop("anchors", "twice")
-    n, n_hot = spots.agg(F.sum(F.size("spots")), F.sum(F.size("hot"))).first()
-    with_text = lambda which: docs.join(spots.where(F.size(which) > 0).select("doc", "th", which).hint("shuffle_hash"), ["doc", "th"]).select("doc", "th", "t", which)
+    n, n_hot, n_texts = spots.agg(F.sum(F.size("spots")), F.sum(F.size("hot")), F.count(F.lit(1))).first()
+    some = may_meet(docs, spots, ["doc", "th"], n_texts)
+    with_text = lambda which: some.join(spots.where(F.size(which) > 0).select("doc", "th", which).hint("shuffle_hash"), ["doc", "th"]).select("doc", "th", "t", which)
     found = _merged(_runs(with_text("spots"), kinds, max(1, (n or 0) // per_bucket)), kinds)
     if n_hot:
         strings = scratch.put("strings", _strings(with_text("hot"), kinds), codec="none")

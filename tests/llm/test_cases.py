@@ -2,6 +2,7 @@
 
 import math
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -10,7 +11,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from quillwork.llm import cws, langid, linededup, packing, quality, setsketch, suffixdedup
-from quillwork.llm.common import by_key
+from quillwork.llm.common import by_key, may_meet
 
 DOC = "doc_id long, text string"
 
@@ -149,3 +150,48 @@ def test_by_key_is_the_join(spark, monkeypatch, heavy):
     per = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where("k <> 7")
     got = by_key(rows, per, ["k"], "n", 5000)
     assert sorted(map(tuple, got.select("k", "id", "n").collect())) == sorted(map(tuple, rows.join(per, "k").select("k", "id", "n").collect()))
+
+
+def _shuffle_files(spark):
+    """Bytes by name."""
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {f.getName(): f.length() for f in (files.apply(i) for i in range(files.size())) if re.match(r"shuffle_.*data", f.getName())}
+
+
+def test_suffix_dedup_leaves_no_shuffle_files(spark):
+    r = np.random.default_rng(5)
+    text = lambda: "".join(r.choice(list("abcdefgh "), 900))
+    shared = text()
+    docs = spark.createDataFrame([(i, i, shared + text() if i % 3 == 0 else text()) for i in range(60)], "doc long, th long, t string")
+    before, name = _shuffle_files(spark), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(name)
+    spans = suffixdedup.repeats(spark, docs, (suffixdedup.byte_kind(400),))
+    left = lambda: sum(n for k, n in _shuffle_files(spark).items() if k not in before)
+    end = time.time() + 20
+    while left() > 2000 and time.time() < end:
+        time.sleep(0.2)
+    # but for sums of one row, nothing waits for the driver's garbage collection
+    assert left() <= 2000 and spark.conf.get(name) == was
+    assert {x.doc for x in spans.collect()} == set(range(0, 60, 3))
+
+
+def test_runs_are_sent_compressed_and_read_back():
+    r = np.random.default_rng(6)
+    words = ["".join(r.choice(list("abcdefghijklmnop"), 6)).encode() for _ in range(300)]
+    entries = sorted((b" ".join(words[i] for i in r.integers(0, 300, 60)), b" ".join(words[i] for i in r.integers(0, 300, 20))[: i % 40]) for i in range(200))
+    entries += [(entries[-1][0], b"")] * 2
+    heads, body = suffixdedup.front_code(entries)
+    assert [(x[1], x[2]) for x in suffixdedup.decoded(heads, body)] == entries
+    assert len(body) < 0.7 * int(heads[:, 1:].sum())
+
+
+def test_may_meet_loses_no_row_that_meets(spark):
+    rows = spark.range(40_000).select(F.col("id").alias("doc"), (F.col("id") * 7).alias("th"), F.lit("t").alias("t"))
+    rows = rows.unionByName(rows.where("doc % 100 = 0"))  # copies stay
+    others = spark.range(0, 40_000, 8).select(F.col("id").alias("doc"), (F.col("id") * 7).alias("th"))
+    got = may_meet(rows, others, ["doc", "th"], 5000)
+    assert got.columns == rows.columns
+    count = Counter(r.doc for r in got.collect())
+    want = Counter(r.doc for r in rows.join(others, ["doc", "th"]).collect())
+    assert {k: count[k] for k in want} == want and sum(count.values()) - sum(want.values()) < 40_000 * 0.15
+    assert may_meet(rows, others.where("false"), ["doc", "th"], 0).count() == 0
