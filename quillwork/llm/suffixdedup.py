@@ -12,7 +12,7 @@ be shorter in bytes; they are counted and nothing is removed for them).
    after a count by key with map-side sums.
 2. For the rest, each task sorts suffixes into runs, one per bucket of that key, equal entries as one, and sends
    them front-coded (the length of the prefix shared with the entry before, and the rest) and compressed. Texts without
-   such anchors are not sent.
+   such anchors are not sent, and of equal texts (by 128-bit hashes) one, for all of them are repeats from end to end.
 3. Each bucket merges its runs with a loser tree. Its nodes keep how much a loser shares with its winner, so prefixes
    known to be equal are never compared again, and each entry comes out with the prefix it shares with the last.
 4. These shared prefixes form a tree. Going from long to short, sets of entries are joined, the smaller into the
@@ -392,9 +392,21 @@ def _strings(texts: DataFrame, kinds: tuple[Kind, ...]) -> DataFrame:
     return texts.mapInArrow(work, "h1 long, h2 long, kind int, doc long, th long, lo long")
 
 
+def _copied(scratch: Scratch, docs: DataFrame) -> DataFrame:
+    """doc, th, first: the texts that occur twice or more (by 128-bit hash), and whether doc is the least that has it."""
+    ids = scratch.put("ids", docs.select("doc", "th", F.unhex(F.md5("t")).alias("m")), codec="none")
+    groups = scratch.put("groups", ids.groupBy("th", "m").agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("least")).where("n > 1"), codec="none")
+    rows = by_key(ids, groups, ["th", "m"], "n", groups.agg(F.sum("n")).first()[0] or 0)
+    copied = scratch.put("copied", rows.select("doc", "th", (F.col("doc") == F.col("least")).alias("first")).distinct())
+    scratch.drop("ids", "groups")
+    return copied
+
+
 def repeats(spark: SparkSession, docs: DataFrame, kinds: tuple[Kind, ...], per_bucket: int = 10_000, hot: int = 100_000) -> DataFrame:
-    """doc, th, spans: per text with repeats, the ranges that they cover by kind. docs: doc, th, t."""
+    """doc, th, spans, whole: per text with repeats, the ranges that they cover by kind, and true if the whole text occurs
+    again. docs: doc, th, t."""
     scratch = Scratch(spark, "suffix", tidy=True)
+    copied = _copied(scratch, docs)
     table = scratch.put("anchors", _anchor_table(docs, kinds), codec="none")
     counts = table.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     twice = scratch.put("twice", counts, codec="none")
@@ -402,7 +414,9 @@ def repeats(spark: SparkSession, docs: DataFrame, kinds: tuple[Kind, ...], per_b
     each = table.select("doc", "th", F.inline(F.arrays_zip("keys", "spots"))).withColumnRenamed("keys", "key")
     some = by_key(each, twice, ["key"], "n", total).groupBy("doc", "th")
     of = lambda c: F.sort_array(F.collect_set(F.when(c, F.col("spots"))))
-    spots = scratch.put("spots", some.agg(of(F.col("n") <= hot).alias("spots"), of(F.col("n") > hot).alias("hot")))
+    lists = some.agg(of(F.col("n") <= hot).alias("spots"), of(F.col("n") > hot).alias("hot"))
+    # of equal texts one is compared with the others
+    spots = scratch.put("spots", lists.join(copied.where("not first"), ["doc", "th"], "left_anti"))
     scratch.drop("anchors", "twice")
     n, n_hot, n_texts = spots.agg(F.sum(F.size("spots")), F.sum(F.size("hot")), F.count(F.lit(1))).first()
     some = may_meet(docs, spots, ["doc", "th"], n_texts)
@@ -414,8 +428,9 @@ def repeats(spark: SparkSession, docs: DataFrame, kinds: tuple[Kind, ...], per_b
         size = F.get(F.array(*[F.lit(k.length) for k in kinds]), F.col("kind"))
         hits = by_key(strings, again, ["h1", "h2"], "n", again.agg(F.sum("n")).first()[0] or 0)
         found = found.unionByName(hits.select("doc", "th", "kind", "lo", (F.col("lo") + size).alias("hi")))
-    spans = scratch.put("spans", found.groupBy("doc", "th").agg(F.collect_list(F.struct("kind", "lo", "hi")).alias("spans")))
-    scratch.drop("spots", "strings", "again")
+    by_text = found.groupBy("doc", "th").agg(F.collect_list(F.struct("kind", "lo", "hi")).alias("spans"))
+    spans = scratch.put("spans", by_text.join(copied.select("doc", "th", F.lit(True).alias("whole")), ["doc", "th"], "full"))
+    scratch.drop("spots", "strings", "again", "copied")
     return spans
 
 
@@ -436,20 +451,24 @@ def dedup_suffixes(spark: SparkSession, docs: DataFrame, length: int = 400, pass
     bytes between white space), whatever its bytes; bytes are removed for `length` alone."""
     text = F.coalesce("text", F.lit(""))
     own = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).cast("long").alias("doc"), F.xxhash64(text).alias("th"), text.alias("t"))
-    spans = repeats(spark, own, (byte_kind(length), word_kind(passage)), hot=hot)
+    kinds = byte_kind(length), word_kind(passage)
+    spans = repeats(spark, own, kinds, hot=hot)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for t, found in zip(batch.column(1), batch.column(2), strict=True):
+            for t, found, whole in zip(*(batch.column(i) for i in (1, 2, 3)), strict=True):
                 data, spans = t.as_py().encode(), found.as_py() or []
+                if whole.as_py():
+                    sizes = ((k, len(k.units(data))) for k in kinds)
+                    spans = [{"kind": k.code, "lo": 0, "hi": n} for k, n in sizes if n >= k.length]
                 ranges, words = (covered([(x["lo"], x["hi"]) for x in spans if x["kind"] == code]) for code in (0, 1))
                 cuts = [0, *(x for r in ranges for x in r), len(data)]
                 kept = b"".join(data[a:b] for a, b in zip(cuts[::2], cuts[1::2], strict=True))
                 rows.append((len(data), sum(b - a for a, b in ranges), len(ranges), kept, sum(b - a for a, b in words)))
             cols = list(zip(*rows, strict=True)) or [[]] * 5
-            kinds = [pa.int64()] * 3 + [pa.binary(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "n_passage_words"])
+            types = [pa.int64()] * 3 + [pa.binary(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(cols, types, strict=True))], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "n_passage_words"])
 
-    both = own.join(spans.hint("shuffle_hash"), ["doc", "th"], "left").select(F.when(F.col("doc") != NO_ID, F.col("doc")).alias("doc_id"), "t", "spans")
+    both = own.join(spans.hint("shuffle_hash"), ["doc", "th"], "left").select(F.when(F.col("doc") != NO_ID, F.col("doc")).alias("doc_id"), "t", "spans", "whole")
     return both.mapInArrow(work, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, n_passage_words long")

@@ -195,3 +195,19 @@ def test_may_meet_loses_no_row_that_meets(spark):
     want = Counter(r.doc for r in rows.join(others, ["doc", "th"]).collect())
     assert {k: count[k] for k in want} == want and sum(count.values()) - sum(want.values()) < 40_000 * 0.15
     assert may_meet(rows, others.where("false"), ["doc", "th"], 0).count() == 0
+
+
+def test_suffix_dedup_compares_one_of_equal_texts(spark, monkeypatch):
+    r = np.random.default_rng(7)
+    text = lambda n: " ".join("".join(r.choice(list("abcdefgh"), 6)) for _ in range(n))
+    much, short, brief = text(200), text(20), " ".join(text(1)[:2] for _ in range(60))
+    rows = [*((i, much) for i in range(30)), (None, much), (3, much), (40, f"{text(30)} {much[100:900]} {text(30)}"), (41, text(90)), (50, short), (51, short), (60, brief), (61, brief), (70, None), (71, None)]
+    sent, runs = [], suffixdedup._runs
+    monkeypatch.setattr(suffixdedup, "_runs", lambda texts, *a: sent.append(texts.count()) or runs(texts, *a))
+    got = suffixdedup.dedup_suffixes(spark, spark.createDataFrame(rows, DOC)).collect()
+    assert Counter(x.doc_id for x in got) == Counter(x[0] for x in rows) and sent[0] <= 4
+    of = {x.doc_id: x for x in got}
+    assert all((of[i].n_removed, of[i].n_spans, bytes(of[i].kept), of[i].n_passage_words) == (len(much), 1, b"", 200) for i in (*range(30), None))
+    assert 800 <= of[40].n_removed <= 804 and of[40].n_spans == 1 and of[41].n_removed == of[41].n_passage_words == 0
+    assert all((of[i].n_removed, of[i].n_passage_words, bytes(of[i].kept)) == (0, 0, short.encode()) for i in (50, 51))
+    assert all((of[i].n_removed, of[i].n_passage_words) == (0, 60) for i in (60, 61)) and of[70].n_bytes == of[71].n_removed == 0
