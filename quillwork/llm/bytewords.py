@@ -51,7 +51,11 @@ class Slices(NamedTuple):
         return pa.Array.from_buffers(pa.large_string(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
 
 
-def portions(column: pa.Array, most: int = 16_000_000) -> Iterator[tuple[int, int]]:
+#: Bytes of text that are cut into words at once; cutting and grouping take about 25 times as much memory.
+MOST = 2_000_000
+
+
+def portions(column: pa.Array, most: int = MOST) -> Iterator[tuple[int, int]]:
     """Ranges of rows of about `most` bytes; a longer text is a portion by itself."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
     at = 0
@@ -61,6 +65,28 @@ def portions(column: pa.Array, most: int = 16_000_000) -> Iterator[tuple[int, in
         at = to
 
 
+def pieces(column: pa.Array, member: np.ndarray, most: int = MOST) -> Iterator[pa.Array]:
+    """A portion as it is, or one text of more than `most` bytes in pieces of about that size, cut before a byte that is in
+    no word. A longer run of member bytes stays whole."""
+    if len(column) != 1 or (pc.binary_length(column)[0].as_py() or 0) <= most:
+        yield column
+        return
+    text = column[0].as_buffer()
+    raw = np.frombuffer(text, np.uint8)
+    at = 0
+    while at < len(raw):
+        to = at + most
+        while to < len(raw):
+            ends = np.flatnonzero(~member[raw[max(at + 1, to - most) : to]])
+            if len(ends):
+                to = max(at + 1, to - most) + int(ends[-1])
+                break
+            to += most
+        to = min(to, len(raw))
+        yield pa.Array.from_buffers(pa.large_string(), 1, [None, pa.py_buffer(np.array([0, to - at])), text.slice(at, to - at)])
+        at = to
+
+
 def cut(column: pa.Array, member: np.ndarray) -> Slices:
     """The maximal runs of member bytes in each text; null has none."""
     column = pc.fill_null(column.cast(pa.large_string()), "")

@@ -30,26 +30,40 @@ from .common import Scratch, by_key, keep_only
 PARTS = "lang string, source string, term string, n long, docs long"
 
 
+def _words(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
+    """Of a portion of texts: row, number of the term and occurrences, one entry per row and term; and the terms."""
+    found = None
+    for piece in bytewords.pieces(column, bytewords.LETTERS):
+        s = bytewords.cut(piece, bytewords.LETTERS)
+        number, first = bytewords.grouped(s, bytewords.hashes(s))
+        entries, n = np.unique(s.rows * len(first) + number, return_counts=True)
+        row, term = np.divmod(entries, max(1, len(first)))
+        terms = s.strings(first)
+        if found:  # the text's earlier pieces
+            both = pa.chunked_array([found[3], terms.take(pa.array(term))]).combine_chunks().dictionary_encode()
+            n = np.bincount(both.indices.to_numpy(), np.concatenate([found[2], n])).astype(np.int64)
+            row, term, terms = np.zeros(len(n), np.int64), np.arange(len(n)), both.dictionary
+        found = row, term, n, terms
+    return found
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per lang, source and term of each portion: occurrences and documents."""
     keep_only("")
     for batch in batches:
         for at, to in bytewords.portions(batch.column(2)):
-            s = bytewords.cut(batch.column(2).slice(at, to - at), bytewords.LETTERS)
-            if not len(s.starts):
+            row, term, n, terms = _words(batch.column(2).slice(at, to - at))
+            if not len(row):
                 continue
-            number, first = bytewords.grouped(s, bytewords.hashes(s))
             codes = [c.slice(at, to - at).dictionary_encode() for c in (batch.column(0), batch.column(1))]
             langs, sources = (c.indices.to_numpy(zero_copy_only=False).astype(np.int64) for c in codes)
-            n_sources, n_terms = len(codes[1].dictionary), len(first)
-            per_doc, n = np.unique(s.rows * n_terms + number, return_counts=True)
-            row, term = np.divmod(per_doc, n_terms)
+            n_sources, n_terms = len(codes[1].dictionary), len(terms)
             group, which = np.unique((langs * n_sources + sources)[row] * n_terms + term, return_inverse=True)
             counts = np.zeros(len(group), np.int64)
             np.add.at(counts, which, n)
             pair, term = np.divmod(group, n_terms)
             lang, source = np.divmod(pair, n_sources)
-            columns = [codes[0].dictionary.take(pa.array(lang)), codes[1].dictionary.take(pa.array(source)), s.strings(first).take(pa.array(term))]
+            columns = [codes[0].dictionary.take(pa.array(lang)), codes[1].dictionary.take(pa.array(source)), terms.take(pa.array(term))]
             columns = [c.cast(pa.string()) for c in columns] + [pa.array(counts), pa.array(np.bincount(which, minlength=len(group)))]
             for k in range(0, len(group), 100_000):
                 yield pa.RecordBatch.from_arrays([c.slice(k, 100_000) for c in columns], names=["lang", "source", "term", "n", "docs"])

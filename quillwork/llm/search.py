@@ -72,15 +72,18 @@ def _frequencies(terms: list[str]):
         for batch in batches:
             for at, to in bytewords.portions(batch.column(2)):
                 rows = to - at
-                s = bytewords.cut(batch.column(2).slice(at, rows), bytewords.LETTERS_DIGITS)
-                number = words.numbers(s)
-                n = np.bincount(s.rows, minlength=rows)
-                hit = number >= 0
-                keys, tfs = np.unique(s.rows[hit] * max(1, len(terms)) + number[hit], return_counts=True)
+                n, hits = np.zeros(rows, np.int64), []
+                for piece in bytewords.pieces(batch.column(2).slice(at, rows), bytewords.LETTERS_DIGITS):
+                    s = bytewords.cut(piece, bytewords.LETTERS_DIGITS)
+                    number = words.numbers(s)
+                    n += np.bincount(s.rows, minlength=rows)
+                    hit = number >= 0
+                    hits.append(s.rows[hit] * max(1, len(terms)) + number[hit])
+                keys, tfs = np.unique(np.concatenate(hits), return_counts=True)
                 row, term = np.divmod(keys, max(1, len(terms)))
                 ends = pa.array(np.searchsorted(row, np.arange(rows + 1)).astype(np.int32))
                 lists = [pa.ListArray.from_arrays(ends, pa.array(x.astype(np.int32))) for x in (term, tfs)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, rows), batch.column(1).slice(at, rows), pa.array(n.astype(np.int64)), *lists], names=["doc_id", "row", "n", "terms", "tfs"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, rows), batch.column(1).slice(at, rows), pa.array(n), *lists], names=["doc_id", "row", "n", "terms", "tfs"])
 
     return run
 

@@ -2,6 +2,7 @@
 
 import math
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -41,6 +42,50 @@ def test_slices_and_hashes(texts):
     assert len(bytewords.cut(pa.array([], pa.string()), bytewords.LETTERS).starts) == 0
 
 
+@pytest.mark.parametrize("most", [1, 7, 40, 100_000])
+def test_pieces(texts, most):
+    for t in ["x", " ", "a b", "ab" * 30, *(t and t[:300] for t in texts[-15:])]:
+        got = list(bytewords.pieces(pa.array([t], pa.string()), bytewords.LETTERS, most))
+        assert b"".join((p[0].as_py() or "").encode() for p in got) == (t or "").encode()
+        assert [w for p in got for w in LETTERS.findall(lower(p[0].as_py()))] == LETTERS.findall(lower(t))
+        assert all(p[0] is None or len((p[0].as_py() or "").encode()) <= most + 2 * max(map(len, (t or "").encode().split(b" "))) for p in got)
+    column = pa.array(texts, pa.string())
+    assert [p.equals(column) for p in bytewords.pieces(column, bytewords.LETTERS, most)] == [True]
+
+
+@pytest.mark.parametrize("n_texts", [4000, 1])
+def test_memory_of_counting(n_texts):
+    """12 MB of text, many texts or one, whatever the batch holds: memory is that of a portion."""
+    rng = np.random.default_rng(8)
+    words = np.array([f"w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}" for i in range(5000)])[rng.integers(5000, size=2_400_000)]
+    texts = [" ".join(w) for w in np.array_split(words, n_texts)]
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"] * n_texts), pa.array(["s"] * n_texts), pa.array(texts)], names=["lang", "source", "text"])
+    tracemalloc.start()
+    n, docs = Counter(), Counter()
+    for out in divergence._count(iter([batch])):
+        for _, _, term, k, d in zip(*(c.to_pylist() for c in out.columns), strict=True):
+            n[term] += k
+            docs[term] += d
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == Counter(words.tolist())
+    assert docs == Counter(t for text in texts for t in set(text.split()))
+    assert peak < 100_000_000
+
+
+@pytest.mark.parametrize("n_texts", [4000, 1])
+def test_memory_of_frequencies(n_texts):
+    texts = [" ".join(["the", "of", "on"] * (1_200_000 // n_texts))] * n_texts
+    batch = pa.RecordBatch.from_arrays([pa.array(range(n_texts)), pa.array(range(n_texts)), pa.array(texts)], names=["doc_id", "row", "text"])
+    tracemalloc.start()
+    got = [r for out in search._frequencies(["of", "the"])(iter([batch])) for r in out.to_pylist()]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    k = 1_200_000 // n_texts
+    assert got == [{"doc_id": i, "row": i, "n": 3 * k, "terms": [0, 1], "tfs": [k, k]} for i in range(n_texts)]
+    assert peak < 100_000_000
+
+
 def audit_plain(rows, least, add, top):
     """rows: lang, source, text."""
     seen, langs, own = defaultdict(Counter), defaultdict(Counter), defaultdict(Counter)
