@@ -8,12 +8,14 @@ import tempfile
 import uuid
 from collections import defaultdict
 
+import numpy as np
 import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
+from . import moves
 
 # Statuses by which relations count.
 INCLUDED = ["", "ACTIVE", "VERIFIED", "SUPPORTED", "CONFIRMED", "DOCUMENTED", "SEED"]
@@ -99,15 +101,22 @@ def participation(shares: DataFrame) -> DataFrame:
     return shares.groupBy("node").agg(((SQUARES - exact_sum(F.col("share") * F.col("share"), SQUARES).cast("double")) / SQUARES).alias("participation"), (1 - F.max("share")).alias("outlier"))
 
 
-def modularity(edges: DataFrame, communities: DataFrame, resolution: float = 1.0) -> DataFrame:
-    """GRF-08: one row, q."""
-    c = communities.select(F.col("node"), F.col("community"))
-    ends = edges.join(c.select(F.col("node").alias("src"), F.col("community").alias("a")), "src").join(c.select(F.col("node").alias("dst"), F.col("community").alias("b")), "dst")
-    inner = ends.groupBy(F.col("a").alias("community")).agg(F.sum(F.when(F.col("a") == F.col("b"), F.col("weight")).otherwise(0.0)).alias("l"))
-    degree = both_ways(edges).join(c, "node").groupBy("community").agg(F.sum("weight").alias("d"))
-    per = degree.join(inner, "community", "left")
-    m = F.sum("d") / 2
-    return per.agg((F.sum(F.coalesce("l", F.lit(0.0))) / m - resolution * F.sum(F.col("d") * F.col("d")) / (4 * m * m)).alias("q"))
+def modularity(edges: DataFrame, communities: DataFrame, resolution: float = 1.0, of: tuple[str, ...] = ("community",)) -> DataFrame:
+    """GRF-08: one row, q. With several columns of communities in `of` (all of one type), q0, q1 ... of one pass."""
+    c = communities.select("node", F.array(*of).alias("c"))
+    ends = edges.join(c.select(F.col("node").alias("src"), F.col("c").alias("a")), "src", "left").join(c.select(F.col("node").alias("dst"), F.col("c").alias("b")), "dst", "left")
+    # an edge once at each end, its weight inside at the first
+    at = lambda i, end, inner: F.struct(F.lit(i).alias("of"), F.col(end)[i].alias("community"), F.col("weight").alias("d"), inner.alias("l"))
+    inside = [F.when(F.col("a")[i] == F.col("b")[i], F.col("weight")).otherwise(0.0) for i in range(len(of))]
+    rows = ends.select(F.inline(F.array(*(x for i in range(len(of)) for x in (at(i, "a", inside[i]), at(i, "b", F.lit(0.0)))))))
+    per = rows.where("community IS NOT NULL").groupBy("of", "community").agg(F.sum("d").alias("d"), F.sum("l").alias("l"))
+
+    def q(i: int) -> Column:
+        own = lambda x: F.sum(F.when(F.col("of") == i, x))
+        m = own(F.col("d")) / 2
+        return own(F.col("l")) / m - resolution * own(F.col("d") * F.col("d")) / (4 * m * m)
+
+    return per.agg(*(q(i).alias("q" if len(of) == 1 else f"q{i}") for i in range(len(of))))
 
 
 #: Nodes whose ranks are broadcast at most.
@@ -263,17 +272,31 @@ def _local_moves(edges: DataFrame, start: DataFrame | None, resolution: float, r
     return best.select("node", "community"), top + 2 * inside / total
 
 
-def moved_communities(edges: DataFrame, resolution: float = 1.0, rounds: int = 16, levels: int = 10, least_gain: float = 1e-4) -> DataFrame:
+#: Nodes of a graph whose communities go to all tasks as arrays, at most, and links that are moved in the driver, at most.
+HELD, FEW = 4_000_000, 1_000_000
+
+
+def moved_communities(edges: DataFrame, resolution: float = 1.0, rounds: int = 16, levels: int = 10, least_gain: float = 1e-4, held: int = HELD, few: int = FEW) -> DataFrame:
     """GRF-02: node, community (its least node) for one graph of any size: local moving for modularity in parallel rounds,
     contraction to a graph of communities, again and again, then moves of the first level's nodes from what was found.
 
-    A round is two joins and a grouping of the edges by node; no task holds the graph. All weights are summed as whole
+    Up to `held` nodes, links stay in blocks where they are and a round broadcasts the nodes' communities; above that it is
+    two joins and a grouping of the edges by node. Levels of up to `few` links (both ways) are moved in the driver; no task
+    holds a larger graph, and all ways find the same communities. All weights are summed as whole
     numbers and ties go to the own, then the greatest community, so reruns agree. Parallel moves see each other's
     communities as they were before the round, so a round can lose modularity: the best labels seen are kept. An empty
     graph gives no rows; a node with only a loop is a community of its own."""
-    level = saved(edges.groupBy(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).agg(F.sum("weight").alias("weight")).where("weight > 0"), "level")
+    level = saved(edges.groupBy(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).agg(F.sum("weight").alias("weight")).where("weight > 0 AND src IS NOT NULL"), "level")
     if level.isEmpty():
         return level.select(F.col("src").alias("node"), F.col("src").alias("community"))
+    nodes = saved(both_ways(level).select("node").distinct(), "nodes")
+    work = _held_communities if nodes.count() <= held else _joined_communities
+    found = work(level, nodes, resolution, rounds, levels, least_gain, few)
+    names = found.groupBy("community").agg(F.min("node").alias("least"))
+    return found.join(names, "community").select("node", F.col("least").alias("community"))
+
+
+def _joined_communities(level: DataFrame, nodes: DataFrame, resolution: float, rounds: int, levels: int, least_gain: float, few: int) -> DataFrame:
     first, found, best = level, None, None
     for _ in range(levels):
         label, q = _local_moves(level, None, resolution, rounds, least_gain)
@@ -284,9 +307,94 @@ def moved_communities(edges: DataFrame, resolution: float = 1.0, rounds: int = 1
         found = saved(up.withColumnRenamed("to", "community") if found is None else found.join(up.withColumnRenamed("node", "community"), "community").select("node", F.col("to").alias("community")), "found")
         ends = level.join(label.select(F.col("node").alias("src"), F.col("community").alias("a")), "src").join(label.select(F.col("node").alias("dst"), F.col("community").alias("b")), "dst")
         level = saved(ends.groupBy(F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst")).agg((exact_sum(F.col("weight")).cast("double") / PARTS).alias("weight")), "level")
-    found, _ = _local_moves(first, found, resolution, rounds, least_gain)
-    names = found.groupBy("community").agg(F.min("node").alias("least"))
-    return found.join(names, "community").select("node", F.col("least").alias("community"))
+    return _local_moves(first, found, resolution, rounds, least_gain)[0]
+
+
+class _Blocks:
+    """Links (node, other, w: numbers, both ways) in blocks on the executors' disks; a lost executor's part is made again from
+    what was written."""
+
+    def __init__(self, ways: DataFrame, count: int):
+        self.spark = ways.sparkSession
+        parts = max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), -(-count // 2_000_000))
+        self.rows = ways.repartition(parts, "node").sortWithinPartitions("node").mapInArrow(moves.pack, moves.LINKS).persist(StorageLevel.DISK_ONLY)
+
+    def sizes(self, n: int) -> tuple[np.ndarray, int]:
+        size, loops = np.zeros(n, np.int64), 0
+        for r in self.rows.mapInArrow(moves.sizes, moves.SIZES).collect():
+            np.add.at(size, np.frombuffer(r["node"], np.int32), np.frombuffer(r["size"], np.int64))
+            loops += r["loops"]
+        return size, loops
+
+    def choices(self, *given) -> list[tuple]:
+        sent = self.spark.sparkContext.broadcast(given)  # arrays of at most HELD numbers
+        rows = self.rows.mapInArrow(moves.chooser(sent), moves.CHOICES).collect()
+        sent.destroy()
+        return [(np.frombuffer(r["node"], np.int32), np.frombuffer(r["to"], np.int32), np.frombuffer(r["inner"], np.int64)) for r in rows]
+
+    def contracted(self, label: np.ndarray) -> DataFrame:
+        sent = self.spark.sparkContext.broadcast(label)
+        rows = self.rows.mapInArrow(moves.contractor(sent), "node long, other long, w long")
+        ways = saved(rows.groupBy("node", "other").agg(F.sum("w").alias("w")), "level")
+        sent.destroy()
+        return ways
+
+    def close(self) -> None:
+        self.rows.unpersist()
+
+
+def _placed(ways: DataFrame, few: int) -> _Blocks | moves.Few:
+    """Links in the driver where they are few, else in blocks."""
+    count = ways.count()
+    if count > few:
+        return _Blocks(ways, count)
+    t = ways.select("node", "other", "w").toArrow()
+    return moves.Few(*(t[c].to_numpy() for c in ("node", "other", "w")))
+
+
+def _numbered(nodes: DataFrame, rounds: int) -> DataFrame:
+    """node, id: its place among all in order, awake: in which rounds it may move, as bits."""
+    at = F.monotonically_increasing_id()
+    bits = [F.when(F.pmod(F.xxhash64("node", F.lit(i)), F.lit(2)) == 0, F.lit(1 << i)).otherwise(F.lit(0)).cast("long") for i in range(min(rounds + 1, moves.AWAKE))]
+    rows = saved(nodes.sort("node").select("node", F.shiftright(at, 33).alias("part"), at.bitwiseAND(F.lit((1 << 33) - 1)).alias("at"), sum(bits[1:], bits[0]).alias("awake")), "numbered")
+    parts, before, starts = sorted(rows.groupBy("part").count().collect()), 0, []  # a row for each task that sorted
+    for part, n in parts:
+        starts.append((part, before))
+        before += n
+    first = F.broadcast(nodes.sparkSession.createDataFrame(starts, "part long, before long"))
+    return saved(rows.join(first, "part").select("node", (F.col("at") + F.col("before")).alias("id"), "awake"), "ids")
+
+
+def _held_communities(level: DataFrame, nodes: DataFrame, resolution: float, rounds: int, levels: int, least_gain: float, few: int) -> DataFrame:
+    ids = _numbered(nodes, rounds)
+    t = ids.select("id", "awake").toArrow()  # HELD rows at most
+    awake = np.zeros(t.num_rows, np.int64)
+    awake[t["id"].to_numpy()] = t["awake"].to_numpy()
+    parts, sum_ = PARTS, 2 * level.agg(F.sum("weight")).first()[0]
+    while sum_ * parts > 2**61:
+        parts /= 10
+    number = lambda end, name: ids.select(F.col("node").alias(end), F.col("id").alias(name))
+    both = level.join(number("src", "a"), "src").join(number("dst", "b"), "dst").withColumn("w", F.round(F.col("weight") * parts).cast("long"))
+    way = lambda a, b: F.struct(F.col(a).alias("node"), F.col(b).alias("other"), "w")
+    first = links = _placed(saved(both.select(F.inline(F.array(way("a", "b"), way("b", "a")))), "ways"), few)
+    alone = found = np.arange(len(awake), dtype=np.int32)
+    best = None
+    for _ in range(levels):
+        label, q = moves.rounds_of(links, alone, awake, resolution, rounds, least_gain)
+        if best is not None and q <= best + least_gain / 10:
+            break
+        best, found = q, label[found]
+        up = links.contracted(label)
+        if links is not first:
+            links.close()
+        links = up if isinstance(up, moves.Few) else _placed(up, few)
+    found, _ = moves.rounds_of(first, found, awake, resolution, rounds, least_gain)
+    first.close()
+    links.close()
+    sent = level.sparkSession.sparkContext.broadcast(found)
+    out = saved(ids.mapInArrow(moves.labeller(sent), f"node {dict(ids.dtypes)['node']}, community long"), "found")
+    sent.destroy()
+    return out
 
 
 def community_ids(members: DataFrame, snapshot: str) -> DataFrame:

@@ -173,7 +173,9 @@ def trade_communities(spark: SparkSession, d: str) -> DataFrame:
     e = kept_edges(spark, d)
     found = G.saved(G.moved_communities(e), "communities")
     least = found.groupBy("community").agg((F.min("node") == F.col("community")).alias("named_by_least"))
-    above = (G.modularity(e, found).first().q or 0.0) > (G.modularity(e, regions(spark, d)).first().q or 0.0)
+    both = found.join(regions(spark, d).select("node", F.col("community").cast("string").alias("region")), "node", "left")
+    q = G.modularity(e, both, of=("community", "region")).first()
+    above = (q.q0 or 0.0) > (q.q1 or 0.0)
     return found.join(least, "community").groupBy("node").agg(F.count(F.lit(1)).alias("times"), F.bool_and("named_by_least").alias("named_by_least")).withColumn("above_regions", F.lit(above))
 
 

@@ -3,10 +3,11 @@
 import random
 from collections import defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quillwork.operators import graph
+from quillwork.operators import graph, moves
 
 KIND = "src string, dst string, weight double"
 
@@ -69,3 +70,50 @@ def test_moved_communities_odd(spark):
         assert {r.node: r.community for r in graph.moved_communities(spark.createDataFrame(rows, KIND).repartition(parts)).collect()} == {"a": "a", "b": "a", "c": "c", "d": "c", "z": "z"}
     star = spark.range(1, 300).select(F.lit("hub").alias("src"), F.format_string("n%03d", "id").alias("dst"), F.lit(1.0).alias("weight"))
     assert {r.community for r in graph.moved_communities(star).collect()} == {"hub"}
+
+
+def test_moved_communities_agree(spark):
+    """In the driver, in blocks and by joins: the same communities, of a graph with groups, loops, hubs and parts of its own."""
+    rng = random.Random(9)
+    rows = [(f"n{a}", f"n{b}", rng.uniform(0.1, 3)) for a in range(90) for b in range(a, 90) if rng.random() < (0.5 if a % 5 == b % 5 else 0.06)]
+    rows += [("hub", f"n{i}", 0.5) for i in range(90)] + [("z", "z", 2.0), ("y1", "y2", 1.0), ("y2", "y1", 1.0)]
+    df = graph.saved(spark.createDataFrame(rows, KIND).repartition(5), "test")
+    found = [{r.node: r.community for r in graph.moved_communities(df, rounds=5, **how).collect()} for how in ({}, {"few": 0}, {"held": 0})]
+    assert found[0] == found[1] == found[2] and len(found[0]) == 94
+
+
+def test_blocks_cut_anywhere():
+    rng = np.random.default_rng(2)
+    node = np.sort(rng.integers(0, 40, 600)).astype(np.int32)
+    node[100:400] = node[100]  # one node in many blocks
+    other, w = rng.integers(0, 40, 600).astype(np.int32), rng.integers(1, 9, 600)
+    label, size = rng.integers(0, 7, 40).astype(np.int32), np.bincount(node, w, 40).astype(np.int64)
+    mass = np.bincount(label, size, 40).astype(np.int64)
+
+    def all_of(step):
+        cut = [(node[i : i + step], other[i : i + step], w[i : i + step]) for i in range(0, 600, step)]
+        return {int(n): (int(t), int(own)) for part in moves.choices(cut, label, mass, size, 1.0, float(size.sum())) for n, t, own in zip(*part, strict=True)}
+
+    want = {}
+    for n in set(node.tolist()):
+        to = defaultdict(int, {int(label[n]): 0})
+        for o, x in zip(other[node == n], w[node == n], strict=True):
+            if o != n:
+                to[int(label[o])] += int(x)
+        total = float(size.sum())
+        gain = lambda c: round((to[c] - (mass[c] - (size[n] if c == label[n] else 0.0)) * size[n] / total) / total, 13)  # noqa: B023, E731
+        want[n] = (max(to, key=lambda c: (gain(c), c == label[n], c)), to[int(label[n])])  # noqa: B023
+    assert all_of(1) == all_of(7) == all_of(1000) == want
+
+
+def test_modularity_of_several(spark):
+    rows = [("a", "b", 2.0), ("b", "c", 1.0), ("c", "d", 3.0), ("a", "z", 1.0), ("d", "d", 1.0)]  # z has no community
+    df = spark.createDataFrame(rows, KIND)
+    c = spark.createDataFrame([("a", "1", "1"), ("b", "1", "2"), ("c", "2", "2"), ("d", "2", "1"), ("far", "3", "3")], "node string, x string, y string")
+    both = graph.modularity(df, c, of=("x", "y")).first()
+    for i, name in enumerate("xy"):
+        assert both[i] == pytest.approx(graph.modularity(df, c.select("node", F.col(name).alias("community"))).first().q)
+    d = {"1": 5.0 + 1, "2": 1.0 + 3 + 3 + 2 - 0}  # weights at the ends that have a community
+    m = sum(d.values()) / 2
+    assert both.q0 == pytest.approx((2 + 3 + 1) / m - sum(x * x for x in d.values()) / (4 * m * m))
+    assert graph.modularity(spark.createDataFrame([], KIND), c.withColumnRenamed("x", "community")).first().q is None

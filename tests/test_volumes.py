@@ -84,6 +84,20 @@ def test_rounds_send_each_link_once(spark, no_broadcast):
     assert (many - one) / 4 < 40 * len(rows), (many, one)
 
 
+def test_moves_of_few_links_run_few_stages(spark):
+    df, _ = web(spark)
+    last = max(s.stageId() for s in stages(spark))
+    graph.moved_communities(df).count()
+    assert max(s.stageId() for s in stages(spark)) - last < 60
+
+
+def test_moves_leave_links_where_they_are(spark, no_broadcast):
+    df, rows = web(spark)
+    moved = lambda rounds: volume(spark, lambda: graph.moved_communities(df, rounds=rounds, levels=1, least_gain=-1.0, few=0).count())
+    few, many = moved(2), moved(8)
+    assert (many - few) / 6 < len(rows), (many, few)
+
+
 def test_one_timer_a_lane():
     import types
 
